@@ -7,8 +7,8 @@ Scale notes
   is cut down to one row per map task before the shuffle.
 * ``dense_key`` numbers rows 1..n in key order without a single-task global
   window: rows are range-partitioned on the key into ``num_buckets`` slices,
-  numbered inside each slice, and shifted by the row count of all earlier
-  slices.  The offsets table has one row per slice (bounded by
+  sorted and tagged with their position inside the slice, checkpointed once,
+  and shifted by the row count of all earlier slices.  The offsets table has one row per slice (bounded by
   ``num_buckets``), so broadcasting it is safe.  Numbering depends only on the
   key values, not on input order or on where the range bounds fall.
 """
@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.session import ensure_checkpoint_dir
+
 _PID, _SEQ, _OFF, _N = "__sl_pid", "__sl_seq", "__sl_off", "__sl_n"
 
 
@@ -65,6 +67,12 @@ def dense_key(df: DataFrame, order_cols, key_name: str, num_buckets: int | None
     # monotonically_increasing_id = (partition index << 33) + row index in partition
     tagged = ordered.withColumns({_PID: F.spark_partition_id(),
                                   _SEQ: F.monotonically_increasing_id()})
+    # Materialize once in the shared checkpoint folder.  The per-slice counts
+    # and the numbering must see the very same slices; left as two plan
+    # branches, the optimizer prunes them differently and each would draw its
+    # own range-bound sample.
+    ensure_checkpoint_dir(spark)
+    tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))

@@ -23,7 +23,7 @@ from starloom.plans import analytics as A
 from starloom.plans import checks as C
 from starloom.plans import dims as D
 from starloom.plans import facts as FX
-from starloom.plans.star import build_star
+from starloom.plans.star import Star
 from starloom.sources import testdata as TD
 from starloom.sources.profile import profile_sources
 
@@ -41,20 +41,16 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-class _Star:
-    """Lazily built star over one test-data folder (one builder per table)."""
+class _Star(Star):
+    """Star over one test-data folder, each table built on first use."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-        self.src = TD.testdata_sources(spark, sf_dir)
-        self._t = build_star(self.src)
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return self._t[name]
+        super().__init__(TD.testdata_sources(spark, sf_dir))
+        self.src = self.sources
 
     @property
     def tables(self) -> dict[str, DataFrame]:
-        return dict(self._t)
+        return {n: self[n] for n in self}
 
 
 def _star(spark, sf_dir) -> _Star:

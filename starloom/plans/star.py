@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from starloom.plans import dims, facts
@@ -11,44 +13,77 @@ FACTS = ("fact_orders", "fact_order_items", "fact_payments", "fact_reviews")
 TABLES = DIMENSIONS + FACTS
 
 
+class Star(Mapping):
+    """The nine tables, each built on first access and then reused.
+
+    Dimensions with dense keys run one small materializing job when they are
+    first built (see ``dense_key``); everything else stays lazy until an action.
+    ``dimensions`` may hold tables already built or read back from storage.
+    """
+
+    def __init__(self, sources: dict[str, DataFrame], grain: str = "day",
+                 include_shipping: bool = True, null_safe: bool = False,
+                 date_lookup: str = "computed", num_buckets=None,
+                 dimensions: dict[str, DataFrame] | None = None):
+        self.sources = sources
+        self.opts = dict(grain=grain, include_shipping=include_shipping, null_safe=null_safe,
+                         date_lookup=date_lookup, num_buckets=num_buckets)
+        self._built: dict[str, DataFrame] = dict(dimensions or {})
+
+    def _make(self, name: str) -> DataFrame:
+        s, o, nb = self.sources, self.opts, self.opts["num_buckets"]
+        dd = (lambda: self["dim_date"]) if o["date_lookup"] == "exact" else (lambda: None)
+        builders = {
+            "dim_date": lambda: dims.build_dim_date(s, o["grain"], o["include_shipping"]),
+            "dim_customers": lambda: dims.build_dim_customers(s["customers"], nb),
+            "dim_products": lambda: dims.build_dim_products(s["products"],
+                                                            s.get("category_translation"),
+                                                            num_buckets=nb),
+            "dim_seller": lambda: dims.build_dim_seller(s["sellers"], nb),
+            "dim_payments": lambda: dims.build_dim_payments(s["order_payments"], nb),
+            "fact_orders": lambda: facts.build_fact_orders(s["orders"], self["dim_customers"],
+                                                           o["null_safe"], o["date_lookup"], dd()),
+            "fact_order_items": lambda: facts.build_fact_order_items(
+                s["order_items"], self["dim_products"], self["dim_seller"],
+                null_safe=o["null_safe"], date_lookup=o["date_lookup"], dim_date=dd()),
+            "fact_payments": lambda: facts.build_fact_payments(s["order_payments"],
+                                                               self["dim_payments"], o["null_safe"]),
+            "fact_reviews": lambda: facts.build_fact_reviews(s["order_reviews"],
+                                                             date_lookup=o["date_lookup"],
+                                                             dim_date=dd()),
+        }
+        return builders[name]()
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = self._make(name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(TABLES)
+
+    def __len__(self) -> int:
+        return len(TABLES)
+
+
 def build_dimensions(sources: dict[str, DataFrame], grain: str = "day",
                      include_shipping: bool = True, num_buckets=None) -> dict[str, DataFrame]:
-    return {
-        "dim_date": dims.build_dim_date(sources, grain, include_shipping),
-        "dim_customers": dims.build_dim_customers(sources["customers"], num_buckets),
-        "dim_products": dims.build_dim_products(sources["products"],
-                                                sources.get("category_translation"),
-                                                num_buckets=num_buckets),
-        "dim_seller": dims.build_dim_seller(sources["sellers"], num_buckets),
-        "dim_payments": dims.build_dim_payments(sources["order_payments"], num_buckets),
-    }
+    st = Star(sources, grain, include_shipping, num_buckets=num_buckets)
+    return {n: st[n] for n in DIMENSIONS}
 
 
 def build_facts(sources: dict[str, DataFrame], dimensions: dict[str, DataFrame],
                 null_safe: bool = False, date_lookup: str = "computed") -> dict[str, DataFrame]:
-    dd = dimensions.get("dim_date")
-    return {
-        "fact_orders": facts.build_fact_orders(sources["orders"], dimensions["dim_customers"],
-                                               null_safe, date_lookup, dd),
-        "fact_order_items": facts.build_fact_order_items(sources["order_items"],
-                                                         dimensions["dim_products"],
-                                                         dimensions["dim_seller"],
-                                                         null_safe=null_safe,
-                                                         date_lookup=date_lookup, dim_date=dd),
-        "fact_payments": facts.build_fact_payments(sources["order_payments"],
-                                                   dimensions["dim_payments"], null_safe),
-        "fact_reviews": facts.build_fact_reviews(sources["order_reviews"],
-                                                 date_lookup=date_lookup, dim_date=dd),
-    }
+    st = Star(sources, null_safe=null_safe, date_lookup=date_lookup, dimensions=dimensions)
+    return {n: st[n] for n in FACTS}
 
 
 def build_star(sources: dict[str, DataFrame], grain: str = "day", include_shipping: bool = True,
                null_safe: bool = False, date_lookup: str = "computed",
                num_buckets=None) -> dict[str, DataFrame]:
-    """All nine tables as lazy DataFrames; nothing runs until an action.
-
-    To build and persist in one go (dimensions written first and read back,
-    so the facts never recompute them) use ``starloom.sinks.write_star_tables``.
-    """
-    d = build_dimensions(sources, grain, include_shipping, num_buckets)
-    return {**d, **build_facts(sources, d, null_safe, date_lookup)}
+    """All nine tables.  For on-demand building use ``Star``; to build and
+    persist in one go use ``starloom.sinks.write_star_tables``."""
+    st = Star(sources, grain, include_shipping, null_safe, date_lookup, num_buckets)
+    return {n: st[n] for n in TABLES}

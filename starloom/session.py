@@ -38,16 +38,27 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir`` (see ``ensure_checkpoint_dir``)."""
+    return ensure_checkpoint_dir(spark)
 
-    On a cluster the operator sets it to shared storage and we only read it.
-    When it is unset (tests, local runs) a fresh local folder is used.
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Return the checkpoint folder, setting one only where none is set.
+
+    On a cluster the operator names shared storage in ``spark.checkpoint.dir``
+    and it is only read here.  A fresh local folder is used only for a
+    ``local[...]`` master (tests, the bench); elsewhere a missing setting is
+    an error rather than a machine-local fallback.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    target = conf or tempfile.mkdtemp(prefix="starloom-ckpt-")
-    sc.setCheckpointDir(target)
-    return sc.getCheckpointDir() or target
+    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if conf:
+        sc.setCheckpointDir(conf)
+    elif sc.master.startswith("local"):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (needed for dense keys)")
+    return sc.getCheckpointDir()
