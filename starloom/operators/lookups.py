@@ -32,17 +32,26 @@ def broadcast_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
 def lookup_key(fact: DataFrame, dim: DataFrame, natural_key, key_name: str,
                how: str = "left", null_safe: bool = False,
-               unknown: int | None = None) -> DataFrame:
+               unknown: int | None = None,
+               broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Swap a natural key for the dimension's surrogate key.
 
     ``null_safe`` matches null with null (pandas merge behaviour);
     ``unknown`` replaces an unmatched key (0 = unknown member).
+    The lookup side is only (natural key, surrogate key); it is broadcast when
+    it has at most ``broadcast_max_rows`` rows, so the fact is not shuffled,
+    and joined by sort-merge (AQE skew splitting on) above that.
     The natural-key column is kept; callers drop what they do not publish.
     """
     keys = _names(natural_key)
     right = dim.select(*[F.col(k).alias("__sl_r_" + k) for k in keys], F.col(key_name))
+    if broadcast_max_rows and how in ("left", "inner", "left_semi", "left_anti"):
+        right = broadcast_bounded(right, broadcast_max_rows)
     cond = None
     for k in keys:
         c = (F.col(k).eqNullSafe(F.col("__sl_r_" + k)) if null_safe

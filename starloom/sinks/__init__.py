@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.plans import star as star_plan
@@ -106,20 +107,42 @@ def _swap_in(tables, stage: str, target: str) -> None:
     fs.delete(Path(stage), True)
 
 
+SHARED_SOURCES = ("orders", "order_items", "order_reviews", "order_payments")
+
+
 def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target: str,
-                      fmt: str = "parquet", **build_opts) -> dict[str, DataFrame]:
+                      fmt: str = "parquet", persist_shared: bool = False,
+                      **build_opts) -> dict[str, DataFrame]:
     """Build and persist the whole star in dependency order; returns the
-    written tables read back (ready for ``spark.sql`` or the analytics)."""
+    written tables read back (ready for ``spark.sql`` or the analytics).
+
+    ``persist_shared=True`` keeps the sources that feed more than one table
+    (orders, items, reviews, payments) with MEMORY_AND_DISK for the duration
+    of the build, so costly sources (CSV parsing, derived roles) are computed
+    once; lost blocks are recomputed from their scan.  Off by default: for
+    parquet sources a second scan is cheaper than building the cache.
+    """
     if fmt not in ("parquet", "csv"):
         raise ValueError("write_star_tables writes parquet or csv folders")
-    dims = star_plan.build_dimensions(sources, build_opts.get("grain", "day"),
-                                      build_opts.get("include_shipping", True),
-                                      build_opts.get("num_buckets"))
-    write_star(dims, target, fmt=fmt)
-    dims_back = read_star(spark, target, names=dims, fmt=fmt)
-    facts = star_plan.build_facts(sources, dims_back, build_opts.get("null_safe", False),
-                                  build_opts.get("date_lookup", "computed"))
-    write_star(facts, target, fmt=fmt)
+    held = []
+    if persist_shared:
+        sources = dict(sources)
+        for name in SHARED_SOURCES:
+            if name in sources:
+                sources[name] = sources[name].persist(StorageLevel.MEMORY_AND_DISK)
+                held.append(sources[name])
+    try:
+        dims = star_plan.build_dimensions(sources, build_opts.get("grain", "day"),
+                                          build_opts.get("include_shipping", True),
+                                          build_opts.get("num_buckets"))
+        write_star(dims, target, fmt=fmt)
+        dims_back = read_star(spark, target, names=dims, fmt=fmt)
+        facts = star_plan.build_facts(sources, dims_back, build_opts.get("null_safe", False),
+                                      build_opts.get("date_lookup", "computed"))
+        write_star(facts, target, fmt=fmt)
+    finally:
+        for df in held:
+            df.unpersist()
     return {**dims_back, **read_star(spark, target, names=facts, fmt=fmt)}
 
 
