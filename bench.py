@@ -33,7 +33,7 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                         app_name="starloom-bench")
     timings: dict[str, float] = {}
 

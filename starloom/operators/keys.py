@@ -8,9 +8,10 @@ Scale notes
 * ``dense_key`` numbers rows 1..n in key order without a single-task global
   window: rows are range-partitioned on the key into ``num_buckets`` slices,
   sorted and tagged with their position inside the slice, checkpointed once,
-  and shifted by the row count of all earlier slices.  The offsets table has one row per slice (bounded by
-  ``num_buckets``), so broadcasting it is safe.  Numbering depends only on the
-  key values, not on input order or on where the range bounds fall.
+  and shifted by the row count of all earlier slices.  The slice counts are
+  ``num_buckets`` numbers, the only values that reach the driver.  Numbering
+  depends only on the key values, not on input order or on where the range
+  bounds fall.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from starloom.session import ensure_checkpoint_dir
 
-_PID, _SEQ, _OFF, _N = "__sl_pid", "__sl_seq", "__sl_off", "__sl_n"
+_PID, _SEQ, _N = "__sl_pid", "__sl_seq", "__sl_n"
 
 
 def _names(cols) -> list[str]:
@@ -73,13 +74,18 @@ def dense_key(df: DataFrame, order_cols, key_name: str, num_buckets: int | None
     # own range-bound sample.
     ensure_checkpoint_dir(spark)
     tagged = tagged.checkpoint(eager=True)
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_OFF))
+    # Row count per slice: at most num_buckets small numbers, read once on the
+    # driver and folded into the key expression as a literal offset table.
+    sizes = dict(tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N)).collect())
+    offsets, running = [], 0
+    for pid in range(num_buckets):
+        offsets.append(running)
+        running += int(sizes.get(pid, 0))
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
+                          F.col(_PID) + F.lit(1))
     local_index = F.col(_SEQ) - F.shiftleft(F.col(_PID).cast("long"), 33)
-    numbered = (tagged.join(F.broadcast(offsets), _PID)
-                      .withColumn(key_name, (F.col(_OFF) + local_index + F.lit(first)).cast("long")))
-    return numbered.drop(_PID, _SEQ, _OFF)
+    numbered = tagged.withColumn(key_name, (offset + local_index + F.lit(first)).cast("long"))
+    return numbered.drop(_PID, _SEQ)
 
 
 def dense_key_small(df: DataFrame, order_cols, key_name: str, first: int = 1) -> DataFrame:

@@ -41,8 +41,17 @@ TRANSLATION_ROWS = [("ECONOMY", "economy"), ("LARGE", "large"), ("MEDIUM", "medi
 ORDER_DAY_FACTOR = 100_000_000  # user_id * factor + yyyymmdd = payment order id
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The test table as a DataFrame; the plan (not data) is reused per
+    session, so its footer is read once however many roles use it."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _tables(spark, sf_dir, names):
