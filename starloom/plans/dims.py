@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.dates import calendar_columns, date_id
 from starloom.functions.text import title_case, upper_case
-from starloom.operators.keys import dense_key, keep_first
+from starloom.operators.keys import dense_key, keep_existing_keys, keep_first
 from starloom.operators.lookups import broadcast_bounded
 
 # The timestamp columns that feed the date dimension, per source.
@@ -53,26 +53,39 @@ def build_dim_date(sources: dict[str, DataFrame], grain: str = "day",
                          *[v.alias(k) for k, v in calendar_columns("date").items()])
 
 
-def _geo_dim(df: DataFrame, prefix: str, key_name: str, num_buckets=None) -> DataFrame:
+def assign_keys(members: DataFrame, natural_key: str, key_name: str, num_buckets=None,
+                previous: DataFrame | None = None) -> DataFrame:
+    """Dense keys in natural-key order, or, given the previous version of the
+    dimension, its keys for known members and new keys after its maximum."""
+    if previous is None:
+        return dense_key(members, natural_key, key_name, num_buckets=num_buckets)
+    return keep_existing_keys(members, previous, natural_key, key_name, num_buckets=num_buckets)
+
+
+def _geo_dim(df: DataFrame, prefix: str, key_name: str, num_buckets=None,
+             previous: DataFrame | None = None) -> DataFrame:
     nk = f"{prefix}_id"
     first = keep_first(df, nk)
-    keyed = dense_key(first, nk, key_name, num_buckets=num_buckets)
+    keyed = assign_keys(first, nk, key_name, num_buckets, previous)
     return keyed.withColumns({f"{prefix}_city": title_case(f"{prefix}_city"),
                               f"{prefix}_state": upper_case(f"{prefix}_state")})
 
 
-def build_dim_customers(customers: DataFrame, num_buckets=None) -> DataFrame:
+def build_dim_customers(customers: DataFrame, num_buckets=None,
+                        previous: DataFrame | None = None) -> DataFrame:
     """B2: one row per customer_id (first by the other columns), dense key in
-    customer_id order, city in title case, state upper case."""
-    keyed = _geo_dim(customers, "customer", "customer_sk", num_buckets)
+    customer_id order, city in title case, state upper case.  ``previous``
+    (the last published dimension) keeps existing keys stable."""
+    keyed = _geo_dim(customers, "customer", "customer_sk", num_buckets, previous)
     return keyed.select(F.col("customer_sk").cast("int").alias("customer_sk"), "customer_id",
                         "customer_unique_id", "customer_zip_code_prefix", "customer_city",
                         "customer_state")
 
 
-def build_dim_seller(sellers: DataFrame, num_buckets=None) -> DataFrame:
+def build_dim_seller(sellers: DataFrame, num_buckets=None,
+                     previous: DataFrame | None = None) -> DataFrame:
     """As customers, for sellers."""
-    keyed = _geo_dim(sellers, "seller", "seller_sk", num_buckets)
+    keyed = _geo_dim(sellers, "seller", "seller_sk", num_buckets, previous)
     return keyed.select(F.col("seller_sk").cast("int").alias("seller_sk"), "seller_id",
                         "seller_zip_code_prefix", "seller_city", "seller_state")
 
@@ -84,7 +97,8 @@ PRODUCT_MEASURES = ["product_name_lenght", "product_description_lenght", "produc
 
 def build_dim_products(products: DataFrame, translation: DataFrame | None = None,
                        unknown: str = "unknown", num_buckets=None,
-                       translation_max_rows: int = 100_000) -> DataFrame:
+                       translation_max_rows: int = 100_000,
+                       previous: DataFrame | None = None) -> DataFrame:
     """Products with the English category name (``unknown`` when the
     category is null or untranslated), one row per product_id, dense key."""
     if translation is not None:
@@ -98,14 +112,15 @@ def build_dim_products(products: DataFrame, translation: DataFrame | None = None
     enriched = enriched.withColumn("product_category_name_english",
                                    F.coalesce("product_category_name_english", F.lit(unknown)))
     first = keep_first(enriched, "product_id")
-    keyed = dense_key(first, "product_id", "product_sk", num_buckets=num_buckets)
+    keyed = assign_keys(first, "product_id", "product_sk", num_buckets, previous)
     return keyed.select(F.col("product_sk").cast("int").alias("product_sk"), "product_id",
                         "product_category_name", "product_category_name_english",
                         *PRODUCT_MEASURES)
 
 
-def build_dim_payments(payments: DataFrame, num_buckets=None) -> DataFrame:
+def build_dim_payments(payments: DataFrame, num_buckets=None,
+                       previous: DataFrame | None = None) -> DataFrame:
     """Distinct payment types, dense key in type order."""
     types = payments.select("payment_type").distinct()
-    keyed = dense_key(types, "payment_type", "payment_sk", num_buckets=num_buckets)
+    keyed = assign_keys(types, "payment_type", "payment_sk", num_buckets, previous)
     return keyed.select("payment_type", F.col("payment_sk").cast("int").alias("payment_sk"))

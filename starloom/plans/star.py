@@ -18,29 +18,36 @@ class Star(Mapping):
 
     Dimensions with dense keys run one small materializing job when they are
     first built (see ``dense_key``); everything else stays lazy until an action.
-    ``dimensions`` may hold tables already built or read back from storage.
+    ``dimensions`` may hold tables already built or read back from storage;
+    ``previous`` (the last published star) keeps surrogate keys stable across
+    refreshes: known members keep their key, new ones are numbered after it.
     """
 
     def __init__(self, sources: dict[str, DataFrame], grain: str = "day",
                  include_shipping: bool = True, null_safe: bool = False,
                  date_lookup: str = "computed", num_buckets=None,
-                 dimensions: dict[str, DataFrame] | None = None):
+                 dimensions: dict[str, DataFrame] | None = None,
+                 previous: dict[str, DataFrame] | None = None):
         self.sources = sources
         self.opts = dict(grain=grain, include_shipping=include_shipping, null_safe=null_safe,
                          date_lookup=date_lookup, num_buckets=num_buckets)
         self._built: dict[str, DataFrame] = dict(dimensions or {})
+        self.previous = dict(previous or {})
 
     def _make(self, name: str) -> DataFrame:
-        s, o, nb = self.sources, self.opts, self.opts["num_buckets"]
+        s, o, nb, pv = self.sources, self.opts, self.opts["num_buckets"], self.previous.get
         dd = (lambda: self["dim_date"]) if o["date_lookup"] == "exact" else (lambda: None)
         builders = {
             "dim_date": lambda: dims.build_dim_date(s, o["grain"], o["include_shipping"]),
-            "dim_customers": lambda: dims.build_dim_customers(s["customers"], nb),
+            "dim_customers": lambda: dims.build_dim_customers(s["customers"], nb,
+                                                              pv("dim_customers")),
             "dim_products": lambda: dims.build_dim_products(s["products"],
                                                             s.get("category_translation"),
-                                                            num_buckets=nb),
-            "dim_seller": lambda: dims.build_dim_seller(s["sellers"], nb),
-            "dim_payments": lambda: dims.build_dim_payments(s["order_payments"], nb),
+                                                            num_buckets=nb,
+                                                            previous=pv("dim_products")),
+            "dim_seller": lambda: dims.build_dim_seller(s["sellers"], nb, pv("dim_seller")),
+            "dim_payments": lambda: dims.build_dim_payments(s["order_payments"], nb,
+                                                            pv("dim_payments")),
             "fact_orders": lambda: facts.build_fact_orders(s["orders"], self["dim_customers"],
                                                            o["null_safe"], o["date_lookup"], dd()),
             "fact_order_items": lambda: facts.build_fact_order_items(
@@ -69,8 +76,9 @@ class Star(Mapping):
 
 
 def build_dimensions(sources: dict[str, DataFrame], grain: str = "day",
-                     include_shipping: bool = True, num_buckets=None) -> dict[str, DataFrame]:
-    st = Star(sources, grain, include_shipping, num_buckets=num_buckets)
+                     include_shipping: bool = True, num_buckets=None,
+                     previous: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    st = Star(sources, grain, include_shipping, num_buckets=num_buckets, previous=previous)
     return {n: st[n] for n in DIMENSIONS}
 
 

@@ -115,6 +115,8 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
                       **build_opts) -> dict[str, DataFrame]:
     """Build and persist the whole star in dependency order; returns the
     written tables read back (ready for ``spark.sql`` or the analytics).
+    ``previous=read_star(...)`` keeps the surrogate keys of the last refresh
+    (the previous tables are read before the staged swap replaces them).
 
     ``persist_shared=True`` keeps the sources that feed more than one table
     (orders, items, reviews, payments) with MEMORY_AND_DISK for the duration
@@ -134,7 +136,8 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
     try:
         dims = star_plan.build_dimensions(sources, build_opts.get("grain", "day"),
                                           build_opts.get("include_shipping", True),
-                                          build_opts.get("num_buckets"))
+                                          build_opts.get("num_buckets"),
+                                          build_opts.get("previous"))
         write_star(dims, target, fmt=fmt)
         dims_back = read_star(spark, target, names=dims, fmt=fmt)
         facts = star_plan.build_facts(sources, dims_back, build_opts.get("null_safe", False),

@@ -48,3 +48,16 @@ def test_calendar_fixture_cases(spark):
 def test_date_id_of_timestamp_and_null(spark):
     df = spark.createDataFrame([(dt.datetime(1999, 12, 31, 23, 59, 59),), (None,)], "t timestamp_ntz")
     assert [r[0] for r in df.select(date_id("t")).collect()] == [19991231, None]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_ALPHABET = "abcxyzABCXYZáéíóúãõçÁÉÃÇ '-/#_0123456789"
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet=_ALPHABET, max_size=24), min_size=1, max_size=20))
+def test_title_case_property(spark, words):
+    df = spark.createDataFrame([(w,) for w in words], "c string")
+    got = [r[0] for r in df.select(title_case("c")).collect()]
+    assert got == [w.title() for w in words]

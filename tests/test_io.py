@@ -90,3 +90,14 @@ def test_write_star_csv(spark, scratch):
     df = spark.createDataFrame([(1, "x")], "k int, v string")
     locs = write_star({"t1": df}, scratch, fmt="csv")
     assert read_csv(spark, locs["t1"], df.schema).count() == 1
+
+
+def test_write_star_over_jdbc(spark, scratch):
+    opts = jdbc_options("jdbc:derby:memory:starloom_star;create=true",
+                        driver="org.apache.derby.jdbc.EmbeddedDriver")
+    star = write_star_tables(spark, roles_of(spark, SF), scratch)
+    small = {n: star[n] for n in ("dim_payments", "dim_seller")}
+    write_star(small, "", fmt="jdbc", jdbc=opts)
+    write_star(small, "", fmt="jdbc", jdbc=opts)  # full refresh replaces, not appends
+    back = spark.read.format("jdbc").options(**opts).option("dbtable", "dim_seller").load()
+    assert back.count() == star["dim_seller"].count()

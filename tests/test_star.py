@@ -203,3 +203,33 @@ def test_money_stays_exact_in_decimal(spark):
     fp = df.selectExpr("order_id", "1 AS payment_sk", "payment_value")
     got = A.payment_distribution(fp, dim).first()
     assert got.total_value == 0.3
+
+
+def test_stable_keys_across_refresh(spark, sources, star):
+    more = sources["customers"].unionByName(
+        spark.createDataFrame([("c0", "u0", "00001", "novo", "ba")], SCHEMAS["customers"]))
+    st = Star({**sources, "customers": more}, previous={"dim_customers": star["dim_customers"]})
+    got = {r.customer_id: r.customer_sk for r in st["dim_customers"].collect()}
+    assert got == {"c1": 1, "c2": 2, "c0": 3}  # c0 sorts first but is new: numbered after the max
+    fresh = {r.customer_id: r.customer_sk for r in Star({**sources, "customers": more})["dim_customers"].collect()}
+    assert fresh == {"c0": 1, "c1": 2, "c2": 3}
+
+
+def test_spark_sql_over_registered_views(spark, star):
+    """The star answers plain SQL once registered as views."""
+    from starloom.sinks import register_views
+    register_views(spark, star)
+    by_sql = spark.sql("""
+        SELECT p.product_category_name, SUM(i.price + i.freight_value) AS total_price, d.year, d.month
+        FROM fact_order_items i
+        JOIN fact_orders o ON o.order_id = i.order_id
+        JOIN dim_products p ON i.product_sk = p.product_sk
+        JOIN dim_date d ON d.date_id = o.purchase_date_id
+        GROUP BY d.year, d.month, p.product_category_name""").collect()
+    by_df = A.revenue_by_category_month(star["fact_order_items"], star["fact_orders"],
+                                        star["dim_products"], star["dim_date"]).collect()
+    assert sorted(map(tuple, by_sql), key=repr) == sorted(map(tuple, by_df), key=repr)
+    rep = spark.sql("""SELECT customer_sk, COUNT(DISTINCT order_id) AS num_orders FROM fact_orders
+                       GROUP BY customer_sk HAVING COUNT(DISTINCT order_id) > 1
+                       ORDER BY num_orders DESC""").collect()
+    assert [(r.customer_sk, r.num_orders) for r in rep] == [(1, 2)]
