@@ -27,7 +27,9 @@ def missing_keys(left: DataFrame, right: DataFrame, left_key: str,
 def anti_rows(left: DataFrame, right: DataFrame, left_key: str,
               right_key: str | None = None) -> DataFrame:
     """Rows of ``left`` with no partner in ``right`` (the
-    ``LEFT JOIN ... WHERE right.key IS NULL`` form; null left keys survive)."""
+    ``LEFT JOIN ... WHERE right.key IS NULL`` form; null left keys survive).
+    The right side is reduced to its distinct keys (combined map-side) first."""
     right_key = right_key or left_key
-    b = right.select(F.col(right_key).alias("__sl_rk")).where(F.col("__sl_rk").isNotNull())
+    b = (right.select(F.col(right_key).alias("__sl_rk")).where(F.col("__sl_rk").isNotNull())
+              .distinct())
     return left.join(b, F.col(left_key) == F.col("__sl_rk"), "left_anti")

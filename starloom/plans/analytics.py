@@ -115,7 +115,9 @@ def repeat_customers(fact_orders: DataFrame, min_orders: int = 2, key: str = "cu
     if key != "customer_sk":
         if dim_customers is None:
             raise ValueError("grouping by %r needs dim_customers" % key)
-        f = f.join(dim_customers.select("customer_sk", key), "customer_sk")
+        # one row per (customer, order) before the lookup of the person key
+        f = f.distinct().join(broadcast_bounded(dim_customers.select("customer_sk", key)),
+                              "customer_sk")
     out = (f.groupBy(key).agg(F.count_distinct("order_id").alias("num_orders"))
             .where(F.col("num_orders") >= min_orders))
     return out.orderBy(F.desc_nulls_first("num_orders"))
