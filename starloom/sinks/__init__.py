@@ -66,6 +66,27 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     w.parquet(path)
 
 
+# Facts joined on order_id (items-orders in the revenue report) are bucketed
+# alike, so the join reads matching buckets without a shuffle.
+DEFAULT_BUCKETS = {"fact_orders": "order_id", "fact_order_items": "order_id",
+                   "fact_payments": "order_id"}
+
+
+def write_table(df: DataFrame, name: str, database: str | None = None, mode: str = "overwrite",
+                bucket_by: str | None = None, num_buckets: int | None = None,
+                path: str | None = None) -> str:
+    """A catalog table (parquet), optionally bucketed and sorted by ``bucket_by``."""
+    full = f"{database}.{name}" if database else name
+    w = df.write.mode(mode).format("parquet")
+    if bucket_by:
+        n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        w = w.bucketBy(n, bucket_by).sortBy(bucket_by)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(full)
+    return full
+
+
 def _ordered(name: str, df: DataFrame) -> DataFrame:
     cols = SORT_ON_WRITE.get(name)
     return df.orderBy(*cols) if cols else df
@@ -73,10 +94,20 @@ def _ordered(name: str, df: DataFrame) -> DataFrame:
 
 def write_star(tables: dict[str, DataFrame], target: str, fmt: str = "parquet",
                jdbc: dict[str, str] | None = None, mode: str = "overwrite",
-               staged: bool = True) -> dict[str, str]:
+               staged: bool = True, database: str | None = None,
+               buckets: dict[str, str] | None = None,
+               num_buckets: int | None = None) -> dict[str, str]:
     """K4/K5: write every table.  File targets are written to a staging folder
     first and moved into place only when all tables are written, so a failed
-    refresh leaves the previous star readable.  Returns name -> location."""
+    refresh leaves the previous star readable.  ``fmt="table"`` writes catalog
+    tables (under ``target`` when given), the facts bucketed by order_id so
+    their joins need no shuffle.  Returns name -> location or table name."""
+    if fmt == "table":
+        buckets = DEFAULT_BUCKETS if buckets is None else buckets
+        return {name: write_table(df, name, database=database, mode=mode,
+                                  bucket_by=buckets.get(name), num_buckets=num_buckets,
+                                  path=_path(target, name) if target else None)
+                for name, df in tables.items()}
     if fmt == "jdbc":
         for name, df in tables.items():
             write_jdbc(_ordered(name, df), name, jdbc or {}, mode=mode,
@@ -112,7 +143,7 @@ SHARED_SOURCES = ("orders", "order_items", "order_reviews", "order_payments")
 
 def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target: str,
                       fmt: str = "parquet", persist_shared: bool = False,
-                      **build_opts) -> dict[str, DataFrame]:
+                      table_opts: dict | None = None, **build_opts) -> dict[str, DataFrame]:
     """Build and persist the whole star in dependency order; returns the
     written tables read back (ready for ``spark.sql`` or the analytics).
     ``previous=read_star(...)`` keeps the surrogate keys of the last refresh
@@ -124,8 +155,9 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
     once; lost blocks are recomputed from their scan.  Off by default: for
     parquet sources a second scan is cheaper than building the cache.
     """
-    if fmt not in ("parquet", "csv"):
-        raise ValueError("write_star_tables writes parquet or csv folders")
+    table_opts = dict(table_opts or {})
+    if fmt not in ("parquet", "csv", "table"):
+        raise ValueError("write_star_tables writes parquet or csv folders, or catalog tables")
     held = []
     if persist_shared:
         sources = dict(sources)
@@ -138,21 +170,25 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
                                           build_opts.get("include_shipping", True),
                                           build_opts.get("num_buckets"),
                                           build_opts.get("previous"))
-        write_star(dims, target, fmt=fmt)
-        dims_back = read_star(spark, target, names=dims, fmt=fmt)
+        write_star(dims, target, fmt=fmt, **table_opts)
+        dims_back = read_star(spark, target, names=dims, fmt=fmt, database=table_opts.get("database"))
         facts = star_plan.build_facts(sources, dims_back, build_opts.get("null_safe", False),
                                       build_opts.get("date_lookup", "computed"))
-        write_star(facts, target, fmt=fmt)
+        write_star(facts, target, fmt=fmt, **table_opts)
     finally:
         for df in held:
             df.unpersist()
-    return {**dims_back, **read_star(spark, target, names=facts, fmt=fmt)}
+    return {**dims_back, **read_star(spark, target, names=facts, fmt=fmt,
+                                     database=table_opts.get("database"))}
 
 
-def read_star(spark: SparkSession, target: str, names=None, fmt: str = "parquet") -> dict[str, DataFrame]:
+def read_star(spark: SparkSession, target: str, names=None, fmt: str = "parquet",
+              database: str | None = None) -> dict[str, DataFrame]:
     names = list(names or star_plan.TABLES)
     if fmt == "parquet":
         return {n: spark.read.parquet(_path(target, n)) for n in names}
+    if fmt == "table":
+        return {n: spark.table(f"{database}.{n}" if database else n) for n in names}
     raise ValueError("read back CSV with starloom.sources.read_csv and a schema")
 
 

@@ -101,3 +101,20 @@ def test_write_star_over_jdbc(spark, scratch):
     write_star(small, "", fmt="jdbc", jdbc=opts)  # full refresh replaces, not appends
     back = spark.read.format("jdbc").options(**opts).option("dbtable", "dim_seller").load()
     assert back.count() == star["dim_seller"].count()
+
+
+def test_bucketed_facts_join_without_shuffle(spark, scratch):
+    from starloom.plans import analytics as A
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        star = write_star_tables(spark, roles_of(spark, SF), scratch, fmt="table",
+                                 table_opts={"num_buckets": 4})
+        joined = star["fact_order_items"].join(star["fact_orders"], "order_id")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == star["fact_order_items"].count()
+        rev = A.revenue_by_category_month(star["fact_order_items"], star["fact_orders"],
+                                          star["dim_products"], star["dim_date"], broadcast_max_rows=0)
+        assert rev.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
