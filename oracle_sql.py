@@ -2,8 +2,9 @@
 
 They read the test tables (pre-registered as views) and spell out the source
 roles, dimensions and facts as CTEs, so each statement is self-contained.
-Types are cast to what the Spark side produces; decimals end as DOUBLE and
-dates as 'YYYY-MM-DD' text, as in ``starloom.plans.registry.portable``.
+Types are cast to what the Spark side produces; decimals end as DOUBLE,
+dates as 'YYYY-MM-DD' and timestamps as 'YYYY-MM-DD HH:MM:SS.ffffff' text, as
+in ``starloom.plans.registry.portable``.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ def date_id(c: str) -> str:
     return f"CAST(strftime({c}, '%Y%m%d') AS INTEGER)"
 
 
+def ts_text(c: str) -> str:
+    return f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
 def floor_days(end: str, start: str) -> str:
     return f"CAST(floor((epoch_us({end}) - epoch_us({start})) / 86400000000) AS INTEGER)"
 
@@ -232,8 +237,8 @@ GROUP BY dd.year, dd.month, p.product_category_name""",
 
 DATE_COLS = ("date_id, strftime(date, '%Y-%m-%d') AS date, year, quarter, month, month_name, day, "
              "weekday, weekday_name, is_weekend")
-DATE_COLS_TS = ("date_id, date, year, quarter, month, month_name, day, weekday, weekday_name, "
-                "is_weekend")
+DATE_COLS_TS = (f"date_id, {ts_text('date')} AS date, year, quarter, month, month_name, day, "
+                "weekday, weekday_name, is_weekend")
 
 LINEITEM_COLS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
@@ -321,9 +326,14 @@ def build() -> dict[str, str]:
         f"CAST({STAR_TABLE_WIDTH[t]} AS INTEGER) AS column_count FROM {t}" for t in STAR_TABLES)
     q["dim_date_day"] = with_ctes(f"SELECT {DATE_COLS} FROM dim_date", "dim_date")
     q["dim_date_timestamp"] = with_ctes(f"SELECT {DATE_COLS_TS} FROM dim_date_ts", "dim_date_ts")
-    for t in ("dim_customers", "dim_products", "dim_seller", "dim_payments", "fact_orders",
-              "fact_reviews"):
+    for t in ("dim_customers", "dim_products", "dim_seller", "dim_payments"):
         q[t] = with_ctes(f"SELECT * FROM {t}", t)
+    q["fact_orders"] = with_ctes(
+        "SELECT * REPLACE (" + ", ".join(f"{ts_text(c)} AS {c}" for c in ORDER_TS) + ") FROM fact_orders",
+        "fact_orders")
+    q["fact_reviews"] = with_ctes(
+        "SELECT * REPLACE (" + ", ".join(f"{ts_text(c)} AS {c}" for c in REVIEW_TS) + ") FROM fact_reviews",
+        "fact_reviews")
     q["fact_order_items"] = with_ctes(
         "SELECT order_id, order_item_id, product_sk, seller_sk, shipping_limit_date_id, "
         "CAST(price AS DOUBLE) AS price, CAST(freight_value AS DOUBLE) AS freight_value, "
@@ -352,7 +362,8 @@ FROM events e JOIN (SELECT user_id, min(ts) AS first_ts FROM events GROUP BY use
         f"PARTITION BY l_orderkey, l_linenumber ORDER BY "
         f"{', '.join(c + ' NULLS FIRST' for c in LINEITEM_TIEBREAK)}) = 1")
     q["date_lookup_exact"] = with_ctes(
-        "SELECT i.order_id, i.order_item_id, i.shipping_limit_date, d.date_id AS shipping_limit_date_id "
+        f"SELECT i.order_id, i.order_item_id, {ts_text('i.shipping_limit_date')} AS shipping_limit_date, "
+        "d.date_id AS shipping_limit_date_id "
         "FROM src_items i LEFT JOIN dim_date_ts d ON i.shipping_limit_date = d.date",
         "src_items", "dim_date_ts")
     q["null_safe_join"] = with_ctes("""

@@ -29,7 +29,9 @@ from starloom.sources.profile import profile_sources
 
 
 def portable(df: DataFrame) -> DataFrame:
-    """Decimal -> double, date -> 'yyyy-MM-dd' (order of columns kept)."""
+    """Decimal -> double, date -> 'yyyy-MM-dd', timestamp ->
+    'yyyy-MM-dd HH:mm:ss.SSSSSS' (order of columns kept), so results compare
+    across engines whatever time unit each hands to its client."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -37,6 +39,8 @@ def portable(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
