@@ -358,7 +358,8 @@ FROM events e JOIN (SELECT user_id, min(ts) AS first_ts FROM events GROUP BY use
     q["title_case"] = (f"SELECT p_partkey, {title('p_name')} AS p_name_title, "
                        f"{title('p_brand')} AS p_brand_title, {title('p_type')} AS p_type_title FROM part")
     q["dedupe_keep_first"] = (
-        f"SELECT {', '.join(LINEITEM_COLS)} FROM lineitem QUALIFY row_number() OVER ("
+        f"SELECT {', '.join(c if c != 'l_shipdate' else ts_text(c) + ' AS l_shipdate' for c in LINEITEM_COLS)} "
+        f"FROM lineitem QUALIFY row_number() OVER ("
         f"PARTITION BY l_orderkey, l_linenumber ORDER BY "
         f"{', '.join(c + ' NULLS FIRST' for c in LINEITEM_TIEBREAK)}) = 1")
     q["date_lookup_exact"] = with_ctes(
