@@ -20,13 +20,20 @@ DEFAULT_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              null_tokens=None, timestamp_format: str = DEFAULT_TIMESTAMP_FORMAT,
-             multi_line: bool = True) -> DataFrame:
-    """Header CSV with a fixed schema and explicit null tokens."""
+             multi_line: bool = True, mode: str = "PERMISSIVE",
+             check_header: bool = True) -> DataFrame:
+    """Header CSV with a fixed schema and explicit null tokens.
+
+    ``check_header`` makes Spark compare the header with the schema names
+    instead of assigning columns by position, so a reordered extract fails
+    rather than loading shifted.  ``mode="FAILFAST"`` rejects malformed rows.
+    """
     reader = (spark.read.option("header", True).option("multiLine", multi_line)
               .option("escape", '"').option("quote", '"')
               .option("timestampNTZFormat", timestamp_format)
               .option("timestampFormat", timestamp_format)
-              .option("mode", "PERMISSIVE"))
+              .option("enforceSchema", not check_header)
+              .option("mode", mode))
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(path)

@@ -118,3 +118,11 @@ def test_bucketed_facts_join_without_shuffle(spark, scratch):
         assert rev.count() > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_csv_header_is_checked_against_schema(spark, scratch):
+    path = os.path.join(scratch, "sellers.csv")
+    with open(path, "w") as f:
+        f.write("seller_zip_code_prefix,seller_id,seller_city,seller_state\n13000,s1,campinas,sp\n")
+    with pytest.raises(Exception):
+        read_csv(spark, path, SCHEMAS["sellers"]).collect()
