@@ -379,6 +379,19 @@ LEFT JOIN m p ON r.review_answer_timestamp = p.review_answer_timestamp""".replac
 SELECT r.review_id""", 1), "src_reviews")
     q["revenue_by_category_month"] = _revenue("dim_date")
     q["revenue_by_category_month_literal"] = _revenue("dim_date_ts")
+    q["revenue_fanout_literal"] = f"""
+WITH p AS (SELECT {date_id('ts')} AS date_id, CAST(value AS DECIMAL(18,2)) AS revenue
+           FROM events WHERE event_type = 'purchase'),
+dd_day AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE ts IS NOT NULL),
+dd_ts AS (SELECT DISTINCT ts AS d FROM events WHERE ts IS NOT NULL),
+g AS (
+  SELECT 'day' AS grain, CAST(year(d.d) AS INTEGER) AS year, CAST(month(d.d) AS INTEGER) AS month,
+         p.revenue FROM p JOIN dd_day d ON p.date_id = {date_id('d.d')}
+  UNION ALL
+  SELECT 'timestamp', CAST(year(d.d) AS INTEGER), CAST(month(d.d) AS INTEGER), p.revenue
+  FROM p JOIN dd_ts d ON p.date_id = {date_id('d.d')})
+SELECT grain, year, month, count(*) AS joined_rows, CAST(SUM(revenue) AS DOUBLE) AS revenue
+FROM g GROUP BY grain, year, month"""
     q["seller_location_first10"] = with_ctes("""
 SELECT s.seller_city, s.seller_state, CAST(SUM(i.price + i.freight_value) AS DOUBLE) AS total_price
 FROM fact_order_items i JOIN dim_seller s ON i.seller_sk = s.seller_sk

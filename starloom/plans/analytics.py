@@ -18,6 +18,29 @@ def _money(c) -> F.Column:
     return F.sum(c).cast("double")
 
 
+def date_multiplicity(dim_date: DataFrame, cols=("year", "month")) -> DataFrame:
+    """(date_id, *cols, k): how many date rows carry each date_id (1 at day
+    grain, the number of distinct timestamps at timestamp grain)."""
+    return dim_date.groupBy("date_id", *cols).agg(F.count(F.lit(1)).alias("__sl_k"))
+
+
+def sum_by_calendar(df: DataFrame, date_key: str, amount: str, dim_date: DataFrame,
+                    by=(), cols=("year", "month"), count_name: str | None = None) -> DataFrame:
+    """Inner-join ``df`` to ``dim_date`` on ``date_key`` and sum ``amount`` by
+    ``cols`` + ``by``, exactly as the row join would, without emitting one
+    row per (fact row, date row) pair: both sides are reduced per date_id
+    first and the sum is multiplied by the date rows of that id.
+    """
+    per_day = df.groupBy(date_key, *by).agg(F.sum(amount).alias("__sl_amt"),
+                                             F.count(F.lit(1)).alias("__sl_n"))
+    dates = date_multiplicity(dim_date, cols).withColumnRenamed("date_id", date_key)
+    j = per_day.join(dates, date_key)
+    aggs = [F.sum(F.col("__sl_amt") * F.col("__sl_k")).alias(amount)]
+    if count_name:
+        aggs.append(F.sum(F.col("__sl_n") * F.col("__sl_k")).cast("long").alias(count_name))
+    return j.groupBy(*cols, *by).agg(*aggs)
+
+
 def revenue_by_category_month(fact_order_items: DataFrame, fact_orders: DataFrame,
                               dim_products: DataFrame, dim_date: DataFrame,
                               broadcast_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -27,7 +50,8 @@ def revenue_by_category_month(fact_order_items: DataFrame, fact_orders: DataFram
     (inner joins, so unmatched rows drop out and duplicates multiply), planned
     so that the only join over whole facts is items-orders on order_id; its
     output is summed per (purchase day, product) before the product and date
-    dimensions are joined.
+    dimensions are joined, and a date dimension with several rows per date_id
+    multiplies sums instead of rows.
     """
     items = fact_order_items.select("order_id", "product_sk",
                                     (F.col("price") + F.col("freight_value")).alias("amount"))
@@ -37,12 +61,11 @@ def revenue_by_category_month(fact_order_items: DataFrame, fact_orders: DataFram
                             .agg(F.sum("amount").alias("amount")))
     products = broadcast_bounded(dim_products.select("product_sk", "product_category_name"),
                                  broadcast_max_rows)
-    dates = dim_date.select(F.col("date_id").alias("purchase_date_id"), "year", "month")
-    out = (per_day_product.join(products, "product_sk")
-                          .join(dates, "purchase_date_id")
-                          .groupBy("year", "month", "product_category_name")
-                          .agg(_money("amount").alias("total_price")))
-    return (out.select("product_category_name", "total_price", "year", "month")
+    labelled = per_day_product.join(products, "product_sk")
+    out = sum_by_calendar(labelled, "purchase_date_id", "amount", dim_date,
+                          by=("product_category_name",))
+    return (out.select("product_category_name", F.col("amount").cast("double").alias("total_price"),
+                       "year", "month")
                .orderBy(F.asc_nulls_last("year"), F.asc_nulls_last("month"),
                         F.desc_nulls_first("product_category_name")))
 

@@ -43,11 +43,16 @@ def build_dim_date(sources: dict[str, DataFrame], grain: str = "day",
     ``explode(array(...))``, reduced to dates first, and the distinct is
     combined map-side, so only a few thousand values reach the shuffle.
     """
+    return build_dim_date_from(date_sources(sources, include_shipping), grain)
+
+
+def build_dim_date_from(pairs: list[tuple[DataFrame, list[str]]], grain: str = "day") -> DataFrame:
+    """B1 over any (frame, timestamp columns) pairs."""
     if grain not in ("day", "timestamp"):
         raise ValueError("grain must be 'day' or 'timestamp'")
     conv = F.to_date if grain == "day" else (lambda c: c)
     parts = [df.select(F.explode(F.array(*[conv(F.col(c)) for c in cols])).alias("date"))
-             for df, cols in date_sources(sources, include_shipping)]
+             for df, cols in pairs]
     values = reduce(DataFrame.union, parts).where(F.col("date").isNotNull()).distinct()
     return values.select(date_id("date").alias("date_id"), "date",
                          *[v.alias(k) for k, v in calendar_columns("date").items()])

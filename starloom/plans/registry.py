@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.functions.dates import floor_days
+from starloom.functions.dates import date_id, floor_days
 from starloom.functions.text import title_case
 from starloom.operators.casts import downcast_report
 from starloom.operators.keys import dense_key, keep_first
@@ -185,6 +185,24 @@ def q_revenue_by_category_month_literal(spark, sf_dir):
     return A.revenue_by_category_month(s["fact_order_items"], s["fact_orders"], s["dim_products"], dd)
 
 
+def q_revenue_fanout_literal(spark, sf_dir):
+    """D1 on purchase events: revenue and rows per month when purchases are
+    joined on date_id to a day-grain and to a timestamp-grain date dimension
+    built from the event times (the latter repeats each date_id once per
+    distinct timestamp of that day)."""
+    ev = TD.read_table(spark, sf_dir, "events")
+    purchases = (ev.where(F.col("event_type") == "purchase")
+                   .select(date_id("ts").alias("date_id"),
+                           F.col("value").cast("decimal(18,2)").alias("revenue")))
+    out = []
+    for grain in ("day", "timestamp"):
+        dd = D.build_dim_date_from([(ev, ["ts"])], grain=grain)
+        r = A.sum_by_calendar(purchases, "date_id", "revenue", dd, count_name="joined_rows")
+        out.append(r.select(F.lit(grain).alias("grain"), "year", "month", "joined_rows",
+                            F.col("revenue").cast("double").alias("revenue")))
+    return out[0].unionByName(out[1])
+
+
 def q_seller_location_first10(spark, sf_dir):
     s = _star(spark, sf_dir)
     return A.seller_locations_first10(s["fact_order_items"], s["dim_seller"])
@@ -308,6 +326,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "null_safe_join": q_null_safe_join,
     "revenue_by_category_month": q_revenue_by_category_month,
     "revenue_by_category_month_literal": q_revenue_by_category_month_literal,
+    "revenue_fanout_literal": q_revenue_fanout_literal,
     "seller_location_first10": q_seller_location_first10,
     "top10_sellers": q_top10_sellers,
     "avg_delivery": q_avg_delivery,
