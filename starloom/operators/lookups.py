@@ -74,7 +74,8 @@ def date_key(fact: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def exact_date_key(fact: DataFrame, ts_col: str, lookup: DataFrame, out: str,
                    lookup_value: str = "date", lookup_id: str = "date_id",
-                   check_unique: bool = True) -> DataFrame:
+                   check_unique: bool = True,
+                   broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """J5 literal: map a timestamp to an id by exact equality against ``lookup``.
 
     Like a pandas ``Series.map`` over an index, a duplicated lookup value is an
@@ -85,4 +86,6 @@ def exact_date_key(fact: DataFrame, ts_col: str, lookup: DataFrame, out: str,
         dup = side.groupBy("__sl_v").count().where("count > 1").limit(1).count()
         if dup:
             raise DuplicateLookupKey(f"lookup values in {lookup_value!r} are not unique")
-    return (fact.join(side, F.col(ts_col) == F.col("__sl_v"), "left").drop("__sl_v"))
+    if broadcast_max_rows:
+        side = broadcast_bounded(side, broadcast_max_rows)
+    return fact.join(side, F.col(ts_col) == F.col("__sl_v"), "left").drop("__sl_v")

@@ -18,7 +18,7 @@ from starloom.functions.dates import date_id, floor_days
 from starloom.functions.text import title_case
 from starloom.operators.casts import downcast_report
 from starloom.operators.keys import dense_key, keep_first
-from starloom.operators.lookups import exact_date_key, lookup_key
+from starloom.operators.lookups import broadcast_bounded, exact_date_key, lookup_key
 from starloom.plans import analytics as A
 from starloom.plans import checks as C
 from starloom.plans import dims as D
@@ -128,7 +128,7 @@ def q_event_day_offsets(spark, sf_dir):
     directions (the negative one checks flooring toward -infinity)."""
     ev = TD.read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     first = ev.groupBy("user_id").agg(F.min("ts").alias("first_ts"))
-    j = ev.join(first, "user_id")
+    j = ev.join(broadcast_bounded(first), "user_id")
     return j.select("event_id", floor_days("ts", "first_ts").alias("days_since_first"),
                     floor_days("first_ts", "ts").alias("days_before_first"))
 
