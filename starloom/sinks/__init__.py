@@ -130,10 +130,14 @@ def _swap_in(tables, stage: str, target: str) -> None:
     conf = spark._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
     fs = Path(target).getFileSystem(conf)
+    old = _path(stage, "_previous")
+    fs.mkdirs(Path(old))
     for name in tables:
         dst = Path(_path(target, name))
+        # move the live table aside first: at every moment either the old or
+        # the new version is in place (or both, under the staging folder)
         if fs.exists(dst):
-            fs.delete(dst, True)
+            fs.rename(dst, Path(_path(old, name)))
         fs.rename(Path(_path(stage, name)), dst)
     fs.delete(Path(stage), True)
 
