@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.lookups import remember_rows
 from starloom.session import ensure_checkpoint_dir
 
 _PID, _SEQ, _N = "__sl_pid", "__sl_seq", "__sl_n"
@@ -85,7 +86,7 @@ def dense_key(df: DataFrame, order_cols, key_name: str, num_buckets: int | None
                           F.col(_PID) + F.lit(1))
     local_index = F.col(_SEQ) - F.shiftleft(F.col(_PID).cast("long"), 33)
     numbered = tagged.withColumn(key_name, (offset + local_index + F.lit(first)).cast("long"))
-    return numbered.drop(_PID, _SEQ)
+    return remember_rows(numbered.drop(_PID, _SEQ), running)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -22,13 +22,32 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def broadcast_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+_ROWS_ATTR = "_starloom_rows"
+
+
+def remember_rows(df: DataFrame, n: int | None) -> DataFrame:
+    """Attach an exact row count known from an earlier job (for example the
+    slice counts of a dense key), so a later size check needs no job."""
+    if n is not None:
+        setattr(df, _ROWS_ATTR, int(n))
+    return df
+
+
+def known_rows(df: DataFrame) -> int | None:
+    return getattr(df, _ROWS_ATTR, None)
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int = 100_000,
+                      rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only when it has at most ``max_rows`` rows.
 
-    The count reads at most ``max_rows + 1`` rows, so the check itself is
-    bounded; above the bound the frame is returned unhinted.
+    ``rows`` (or a count remembered on ``df``) is used when known; otherwise
+    the count reads at most ``max_rows + 1`` rows, so the check itself is
+    bounded.  Above the bound the frame is returned unhinted.
     """
-    n = df.limit(max_rows + 1).count()
+    n = rows if rows is not None else known_rows(df)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 
@@ -51,7 +70,7 @@ def lookup_key(fact: DataFrame, dim: DataFrame, natural_key, key_name: str,
     keys = _names(natural_key)
     right = dim.select(*[F.col(k).alias("__sl_r_" + k) for k in keys], F.col(key_name))
     if broadcast_max_rows and how in ("left", "inner", "left_semi", "left_anti"):
-        right = broadcast_bounded(right, broadcast_max_rows)
+        right = broadcast_bounded(right, broadcast_max_rows, rows=known_rows(dim))
     cond = None
     for k in keys:
         c = (F.col(k).eqNullSafe(F.col("__sl_r_" + k)) if null_safe

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import calendar_columns, date_id
 from starloom.functions.text import title_case, upper_case
 from starloom.operators.keys import dense_key, keep_existing_keys, keep_first
-from starloom.operators.lookups import broadcast_bounded
+from starloom.operators.lookups import broadcast_bounded, known_rows, remember_rows
 
 # The timestamp columns that feed the date dimension, per source.
 ORDER_DATE_COLUMNS = ["order_purchase_timestamp", "order_approved_at",
@@ -67,13 +67,18 @@ def assign_keys(members: DataFrame, natural_key: str, key_name: str, num_buckets
     return keep_existing_keys(members, previous, natural_key, key_name, num_buckets=num_buckets)
 
 
+def _same_rows(src: DataFrame, out: DataFrame) -> DataFrame:
+    """``out`` is a projection of ``src``: same rows, same remembered count."""
+    return remember_rows(out, known_rows(src))
+
+
 def _geo_dim(df: DataFrame, prefix: str, key_name: str, num_buckets=None,
              previous: DataFrame | None = None) -> DataFrame:
     nk = f"{prefix}_id"
     first = keep_first(df, nk)
     keyed = assign_keys(first, nk, key_name, num_buckets, previous)
-    return keyed.withColumns({f"{prefix}_city": title_case(f"{prefix}_city"),
-                              f"{prefix}_state": upper_case(f"{prefix}_state")})
+    return _same_rows(keyed, keyed.withColumns({f"{prefix}_city": title_case(f"{prefix}_city"),
+                                                f"{prefix}_state": upper_case(f"{prefix}_state")}))
 
 
 def build_dim_customers(customers: DataFrame, num_buckets=None,
@@ -82,17 +87,17 @@ def build_dim_customers(customers: DataFrame, num_buckets=None,
     customer_id order, city in title case, state upper case.  ``previous``
     (the last published dimension) keeps existing keys stable."""
     keyed = _geo_dim(customers, "customer", "customer_sk", num_buckets, previous)
-    return keyed.select(F.col("customer_sk").cast("int").alias("customer_sk"), "customer_id",
+    return _same_rows(keyed, keyed.select(F.col("customer_sk").cast("int").alias("customer_sk"), "customer_id",
                         "customer_unique_id", "customer_zip_code_prefix", "customer_city",
-                        "customer_state")
+                        "customer_state"))
 
 
 def build_dim_seller(sellers: DataFrame, num_buckets=None,
                      previous: DataFrame | None = None) -> DataFrame:
     """As customers, for sellers."""
     keyed = _geo_dim(sellers, "seller", "seller_sk", num_buckets, previous)
-    return keyed.select(F.col("seller_sk").cast("int").alias("seller_sk"), "seller_id",
-                        "seller_zip_code_prefix", "seller_city", "seller_state")
+    return _same_rows(keyed, keyed.select(F.col("seller_sk").cast("int").alias("seller_sk"), "seller_id",
+                        "seller_zip_code_prefix", "seller_city", "seller_state"))
 
 
 PRODUCT_MEASURES = ["product_name_lenght", "product_description_lenght", "product_photos_qty",
@@ -118,9 +123,9 @@ def build_dim_products(products: DataFrame, translation: DataFrame | None = None
                                    F.coalesce("product_category_name_english", F.lit(unknown)))
     first = keep_first(enriched, "product_id")
     keyed = assign_keys(first, "product_id", "product_sk", num_buckets, previous)
-    return keyed.select(F.col("product_sk").cast("int").alias("product_sk"), "product_id",
+    return _same_rows(keyed, keyed.select(F.col("product_sk").cast("int").alias("product_sk"), "product_id",
                         "product_category_name", "product_category_name_english",
-                        *PRODUCT_MEASURES)
+                        *PRODUCT_MEASURES))
 
 
 def build_dim_payments(payments: DataFrame, num_buckets=None,
@@ -128,4 +133,5 @@ def build_dim_payments(payments: DataFrame, num_buckets=None,
     """Distinct payment types, dense key in type order."""
     types = payments.select("payment_type").distinct()
     keyed = assign_keys(types, "payment_type", "payment_sk", num_buckets, previous)
-    return keyed.select("payment_type", F.col("payment_sk").cast("int").alias("payment_sk"))
+    return _same_rows(keyed, keyed.select("payment_type",
+                                          F.col("payment_sk").cast("int").alias("payment_sk")))

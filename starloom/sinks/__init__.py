@@ -17,6 +17,7 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.operators.lookups import known_rows, remember_rows
 from starloom.plans import star as star_plan
 
 SORT_ON_WRITE = {"dim_date": ["date"]}
@@ -75,8 +76,11 @@ DEFAULT_BUCKETS = {"fact_orders": "order_id", "fact_order_items": "order_id",
 def write_table(df: DataFrame, name: str, database: str | None = None, mode: str = "overwrite",
                 bucket_by: str | None = None, num_buckets: int | None = None,
                 path: str | None = None) -> str:
-    """A catalog table (parquet), optionally bucketed and sorted by ``bucket_by``."""
-    full = f"{database}.{name}" if database else name
+    """A catalog table (parquet), optionally bucketed and sorted by ``bucket_by``.
+
+    Names are database-qualified, so a temporary view of the same name never
+    shadows the table."""
+    full = f"{database or df.sparkSession.catalog.currentDatabase()}.{name}"
     w = df.write.mode(mode).format("parquet")
     if bucket_by:
         n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -175,7 +179,10 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
                                           build_opts.get("num_buckets"),
                                           build_opts.get("previous"))
         write_star(dims, target, fmt=fmt, **table_opts)
-        dims_back = read_star(spark, target, names=dims, fmt=fmt, database=table_opts.get("database"))
+        dims_back = read_star(spark, target, names=dims, fmt=fmt, database=table_opts.get("database"),
+                              schemas={n: d.schema for n, d in dims.items()})
+        for n, d in dims.items():
+            remember_rows(dims_back[n], known_rows(d))
         facts = star_plan.build_facts(sources, dims_back, build_opts.get("null_safe", False),
                                       build_opts.get("date_lookup", "computed"))
         write_star(facts, target, fmt=fmt, **table_opts)
@@ -183,16 +190,21 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
         for df in held:
             df.unpersist()
     return {**dims_back, **read_star(spark, target, names=facts, fmt=fmt,
-                                     database=table_opts.get("database"))}
+                                     database=table_opts.get("database"),
+                                     schemas={n: f.schema for n, f in facts.items()})}
 
 
 def read_star(spark: SparkSession, target: str, names=None, fmt: str = "parquet",
-              database: str | None = None) -> dict[str, DataFrame]:
+              database: str | None = None, schemas: dict | None = None) -> dict[str, DataFrame]:
+    """The written tables; ``schemas`` (as just written) skips footer inference."""
     names = list(names or star_plan.TABLES)
+    schemas = schemas or {}
     if fmt == "parquet":
-        return {n: spark.read.parquet(_path(target, n)) for n in names}
+        return {n: (spark.read.schema(schemas[n]) if n in schemas else spark.read).parquet(_path(target, n))
+                for n in names}
     if fmt == "table":
-        return {n: spark.table(f"{database}.{n}" if database else n) for n in names}
+        db = database or spark.catalog.currentDatabase()
+        return {n: spark.table(f"{db}.{n}") for n in names}
     raise ValueError("read back CSV with starloom.sources.read_csv and a schema")
 
 

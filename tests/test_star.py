@@ -233,3 +233,7 @@ def test_spark_sql_over_registered_views(spark, star):
                        GROUP BY customer_sk HAVING COUNT(DISTINCT order_id) > 1
                        ORDER BY num_orders DESC""").collect()
     assert [(r.customer_sk, r.num_orders) for r in rep] == [(1, 2)]
+    for name in star:
+        spark.catalog.dropTempView(name)
+    for name in star:
+        spark.catalog.dropTempView(name)
