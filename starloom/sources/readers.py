@@ -7,6 +7,7 @@ string is null unless a null-token list is given.
 
 from __future__ import annotations
 
+import glob
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,12 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return df
 
 
+def extract_glob(file_name: str) -> str:
+    """``x.csv`` -> ``x*.csv``: an extract may arrive as several files."""
+    stem, dot, ext = file_name.rpartition(".")
+    return f"{stem}*.{ext}" if dot else file_name + "*"
+
+
 def _join(base: str, name: str) -> str:
     return base.rstrip("/") + "/" + name if "://" in base else os.path.join(base, name)
 
@@ -53,7 +60,8 @@ def load_sources(spark: SparkSession, base_path: str, fmt: str = "csv",
                  names=None, null_tokens=None, file_names: dict | None = None) -> dict[str, DataFrame]:
     """Every source under ``base_path`` as a DataFrame (lazy).
 
-    ``fmt="csv"`` reads the extract files by name with fixed schemas;
+    ``fmt="csv"`` reads the extract files by name (``<name>*.csv``, so an
+    extract split or delivered in parts is read whole) with fixed schemas;
     ``fmt="parquet"`` reads ``<base>/<source>`` parquet directories.
     Missing sources are skipped.
     """
@@ -61,8 +69,9 @@ def load_sources(spark: SparkSession, base_path: str, fmt: str = "csv",
     out = {}
     for name in names or SCHEMAS:
         if fmt == "csv":
-            path = _join(base_path, file_names[name])
-            if "://" not in path and not os.path.exists(path):
+            # every file of the extract: "orders.csv", "orders_2.csv", ...
+            path = _join(base_path, extract_glob(file_names[name]))
+            if "://" not in path and not glob.glob(path):
                 continue
             out[name] = read_csv(spark, path, SCHEMAS[name], null_tokens=null_tokens)
         else:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.sources.readers import extract_glob
 from starloom.sources.schemas import FILE_NAMES, SCHEMAS
 
 
@@ -48,27 +49,45 @@ def profile_arrivals(spark: SparkSession, folder: str, source: str, profile_path
     return w.start()
 
 
+def _published_dimensions(spark: SparkSession, target: str) -> dict[str, DataFrame] | None:
+    """The dimensions of the star currently at ``target``, if there is one."""
+    from starloom.plans.star import DIMENSIONS
+    from starloom.sinks import read_star
+
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [n for n in DIMENSIONS if n != "dim_date"
+             and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{n}"))]
+    return read_star(spark, target, names=names) if names else None
+
+
 def refresh_on_arrival(spark: SparkSession, extracts: str, target: str, checkpoint: str,
                        load: Callable[[SparkSession, str], dict] | None = None,
-                       available_now: bool = True, **build_opts):
+                       available_now: bool = True, stable_keys: bool = True, **build_opts):
     """Rebuild and rewrite the whole star when new order extracts arrive.
 
     The stream only watches the orders extract files; the rebuild itself
     reads every source from ``extracts`` (``load`` defaults to
     ``load_sources(spark, extracts)``) and writes through the staged
     ``write_star_tables``, so readers never see a half-written star.
+    With ``stable_keys`` the dimensions already published at ``target`` keep
+    their surrogate keys; new members are numbered after them.
     """
     from starloom.sinks import write_star_tables
     from starloom.sources.readers import load_sources
 
     load = load or (lambda s, path: load_sources(s, path))
-    stream = _csv_stream(spark, extracts, SCHEMAS["orders"], FILE_NAMES["orders"], None)
+    stream = _csv_stream(spark, extracts, SCHEMAS["orders"], extract_glob(FILE_NAMES["orders"]), None)
     stream = stream.select(F.lit(1).alias("one"))
 
     def rebuild(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        write_star_tables(spark, load(spark, extracts), target, **build_opts)
+        opts = dict(build_opts)
+        if stable_keys and "previous" not in opts:
+            opts["previous"] = _published_dimensions(spark, target)
+        write_star_tables(spark, load(spark, extracts), target, **opts)
 
     w = stream.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")

@@ -55,3 +55,14 @@ def test_refresh_on_arrival_builds_star(spark):
     fo = spark.read.parquet(os.path.join(target, "fact_orders")).first()
     assert (fo.customer_sk, fo.delivery_days, fo.delay_days) == (1, 2, -2)
     assert spark.read.parquet(os.path.join(target, "fact_reviews")).first().review_comment_message == "good\nvery"
+
+    # a second extract with a customer that sorts first keeps the published keys
+    with open(os.path.join(land, "olist_customers_dataset.csv"), "a") as f:
+        f.write("c0,u0,00001,recife,pe\n")
+    with open(os.path.join(land, "olist_orders_dataset_2.csv"), "w") as f:
+        f.write(files["olist_orders_dataset.csv"].replace("o1,c1", "o2,c0"))
+    refresh_on_arrival(spark, land, target, ck).awaitTermination()
+    keys = {r.customer_id: r.customer_sk
+            for r in spark.read.parquet(os.path.join(target, "dim_customers")).collect()}
+    assert keys == {"c1": 1, "c0": 2}
+    assert spark.read.parquet(os.path.join(target, "fact_orders")).count() == 2
