@@ -6,10 +6,11 @@ Scale notes
   per key is combined map-side, so a natural key holding a third of all rows
   is cut down to one row per map task before the shuffle.
 * ``dense_key`` numbers rows 1..n in key order without a single-task global
-  window: rows are range-partitioned on the key into ``num_buckets`` slices,
+  window: rows are range-partitioned on the key into slices (coalesced by AQE
+  unless ``num_buckets`` fixes their number),
   sorted and tagged with their position inside the slice, checkpointed once,
-  and shifted by the row count of all earlier slices.  The slice counts are
-  ``num_buckets`` numbers, the only values that reach the driver.  Numbering
+  and shifted by the row count of all earlier slices.  The slice counts, one
+  number per slice, are the only values that reach the driver.  Numbering
   depends only on the key values, not on input order or on where the range
   bounds fall.
 """
@@ -61,11 +62,12 @@ def dense_key(df: DataFrame, order_cols, key_name: str, num_buckets: int | None
     """
     order_cols = _names(order_cols)
     spark = df.sparkSession
-    if num_buckets is None:
-        num_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    num_buckets = max(1, int(num_buckets))
-    ordered = (df.repartitionByRange(num_buckets, *_ordering(order_cols))
-                 .sortWithinPartitions(*_ordering(order_cols)))
+    # Without an explicit count the range exchange may be coalesced by AQE:
+    # neighbouring ranges merge, so slices stay contiguous and ordered, and a
+    # small dimension ends up in few slices instead of one per shuffle partition.
+    ranged = (df.repartitionByRange(*_ordering(order_cols)) if num_buckets is None
+              else df.repartitionByRange(max(1, int(num_buckets)), *_ordering(order_cols)))
+    ordered = ranged.sortWithinPartitions(*_ordering(order_cols))
     # monotonically_increasing_id = (partition index << 33) + row index in partition
     tagged = ordered.withColumns({_PID: F.spark_partition_id(),
                                   _SEQ: F.monotonically_increasing_id()})
@@ -75,11 +77,12 @@ def dense_key(df: DataFrame, order_cols, key_name: str, num_buckets: int | None
     # own range-bound sample.
     ensure_checkpoint_dir(spark)
     tagged = tagged.checkpoint(eager=True)
-    # Row count per slice: at most num_buckets small numbers, read once on the
-    # driver and folded into the key expression as a literal offset table.
+    # Row count per slice: one small number per slice (at most the shuffle
+    # partition count), read once on the driver and folded into the key
+    # expression as a literal offset table.
     sizes = dict(tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N)).collect())
     offsets, running = [], 0
-    for pid in range(num_buckets):
+    for pid in range(max(sizes, default=0) + 1):
         offsets.append(running)
         running += int(sizes.get(pid, 0))
     offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),

@@ -99,3 +99,24 @@ def test_downcast_report_and_overflow(spark):
     assert [r.b for r in downcast(df, ["b"], on_overflow="null").collect()] == [None, 5]
     with pytest.raises(Exception):
         downcast(df, ["b"]).collect()
+
+
+def test_dense_key_with_coalesced_slices(spark):
+    """Default slicing lets AQE merge neighbouring ranges; keys stay exact."""
+    n = 200_000
+    df = spark.range(n).select(((F.col("id") * 104729) % n).cast("string").alias("k")).repartition(13)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        out = dense_key(df, "k", "sk")
+        slices = out.select(F.spark_partition_id().alias("p")).distinct().count()
+        got = out.select("k", "sk").toPandas()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.parallelismFirst")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    assert 1 < slices < 40
+    assert (got.sort_values("k").sk.values == range(1, n + 1)).all()

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from oracle_compare import compare, duck
-from conftest import SF_ORACLE, SF_SMALL
+from conftest import SF_ORACLE
 
 NAMES = sorted(E.queries())
 
