@@ -59,15 +59,7 @@ SCHEMAS = {
     "geolocation": GEOLOCATION,
 }
 
-# The extract file names of the public e-commerce dataset.
-FILE_NAMES = {
-    "orders": "olist_orders_dataset.csv",
-    "customers": "olist_customers_dataset.csv",
-    "order_items": "olist_order_items_dataset.csv",
-    "order_payments": "olist_order_payments_dataset.csv",
-    "order_reviews": "olist_order_reviews_dataset.csv",
-    "products": "olist_products_dataset.csv",
-    "sellers": "olist_sellers_dataset.csv",
-    "geolocation": "olist_geolocation_dataset.csv",
-    "category_translation": "product_category_name_translation.csv",
-}
+# Default extract file names: ``<source>.csv`` (also ``<source>_2.csv`` and so
+# on, see ``readers.extract_glob``).  Pass ``file_names`` to ``load_sources``
+# for extracts named otherwise.
+FILE_NAMES = {name: f"{name}.csv" for name in SCHEMAS}

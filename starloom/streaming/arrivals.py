@@ -64,12 +64,13 @@ def _published_dimensions(spark: SparkSession, target: str) -> dict[str, DataFra
 
 def refresh_on_arrival(spark: SparkSession, extracts: str, target: str, checkpoint: str,
                        load: Callable[[SparkSession, str], dict] | None = None,
-                       available_now: bool = True, stable_keys: bool = True, **build_opts):
+                       available_now: bool = True, stable_keys: bool = True,
+                       file_names: dict[str, str] | None = None, **build_opts):
     """Rebuild and rewrite the whole star when new order extracts arrive.
 
     The stream only watches the orders extract files; the rebuild itself
     reads every source from ``extracts`` (``load`` defaults to
-    ``load_sources(spark, extracts)``) and writes through the staged
+    ``load_sources(spark, extracts, file_names=...)``) and writes through the staged
     ``write_star_tables``, so readers never see a half-written star.
     With ``stable_keys`` the dimensions already published at ``target`` keep
     their surrogate keys; new members are numbered after them.
@@ -77,8 +78,9 @@ def refresh_on_arrival(spark: SparkSession, extracts: str, target: str, checkpoi
     from starloom.sinks import write_star_tables
     from starloom.sources.readers import load_sources
 
-    load = load or (lambda s, path: load_sources(s, path))
-    stream = _csv_stream(spark, extracts, SCHEMAS["orders"], extract_glob(FILE_NAMES["orders"]), None)
+    names = {**FILE_NAMES, **(file_names or {})}
+    load = load or (lambda s, path: load_sources(s, path, file_names=names))
+    stream = _csv_stream(spark, extracts, SCHEMAS["orders"], extract_glob(names["orders"]), None)
     stream = stream.select(F.lit(1).alias("one"))
 
     def rebuild(batch: DataFrame, batch_id: int) -> None:

@@ -36,7 +36,7 @@ def test_csv_bom_quotes_newlines_and_null_tokens(spark, scratch):
 
 
 def test_zip_prefix_keeps_leading_zero(spark, scratch):
-    path = os.path.join(scratch, "olist_customers_dataset.csv")
+    path = os.path.join(scratch, "customers.csv")
     with open(path, "w") as f:
         f.write("customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n")
         f.write("c1,u1,01001,sao paulo,SP\n")

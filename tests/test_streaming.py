@@ -30,21 +30,21 @@ def test_refresh_on_arrival_builds_star(spark):
     land, target, ck = (os.path.join(root, d) for d in ("land", "star", "ck"))
     os.makedirs(land)
     files = {
-        "olist_orders_dataset.csv": "order_id,customer_id,order_status,order_purchase_timestamp,"
+        "orders.csv": "order_id,customer_id,order_status,order_purchase_timestamp,"
         "order_approved_at,order_delivered_carrier_date,order_delivered_customer_date,"
         "order_estimated_delivery_date\no1,c1,delivered,2024-01-01 10:00:00,,,2024-01-03 12:00:00,"
         "2024-01-05 00:00:00\n",
-        "olist_customers_dataset.csv": HEADER + "c1,u1,01001,sao paulo,sp\n",
-        "olist_products_dataset.csv": "product_id,product_category_name,product_name_lenght,"
+        "customers.csv": HEADER + "c1,u1,01001,sao paulo,sp\n",
+        "products.csv": "product_id,product_category_name,product_name_lenght,"
         "product_description_lenght,product_photos_qty,product_weight_g,product_length_cm,"
         "product_height_cm,product_width_cm\np1,casa,1,2,3,4.0,5.0,6.0,7.0\n",
-        "olist_sellers_dataset.csv": "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+        "sellers.csv": "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
         "s1,13000,campinas,sp\n",
-        "olist_order_items_dataset.csv": "order_id,order_item_id,product_id,seller_id,"
+        "order_items.csv": "order_id,order_item_id,product_id,seller_id,"
         "shipping_limit_date,price,freight_value\no1,1,p1,s1,2024-01-02 00:00:00,10.0,1.5\n",
-        "olist_order_payments_dataset.csv": "order_id,payment_sequential,payment_type,"
+        "order_payments.csv": "order_id,payment_sequential,payment_type,"
         "payment_installments,payment_value\no1,1,credit_card,2,11.5\n",
-        "olist_order_reviews_dataset.csv": "review_id,order_id,review_score,review_comment_title,"
+        "order_reviews.csv": "review_id,order_id,review_score,review_comment_title,"
         "review_comment_message,review_creation_date,review_answer_timestamp\n"
         "r1,o1,5,,\"good\nvery\",2024-01-06 00:00:00,2024-01-07 08:00:00\n",
     }
@@ -57,10 +57,10 @@ def test_refresh_on_arrival_builds_star(spark):
     assert spark.read.parquet(os.path.join(target, "fact_reviews")).first().review_comment_message == "good\nvery"
 
     # a second extract with a customer that sorts first keeps the published keys
-    with open(os.path.join(land, "olist_customers_dataset.csv"), "a") as f:
+    with open(os.path.join(land, "customers.csv"), "a") as f:
         f.write("c0,u0,00001,recife,pe\n")
-    with open(os.path.join(land, "olist_orders_dataset_2.csv"), "w") as f:
-        f.write(files["olist_orders_dataset.csv"].replace("o1,c1", "o2,c0"))
+    with open(os.path.join(land, "orders_2.csv"), "w") as f:
+        f.write(files["orders.csv"].replace("o1,c1", "o2,c0"))
     refresh_on_arrival(spark, land, target, ck).awaitTermination()
     keys = {r.customer_id: r.customer_sk
             for r in spark.read.parquet(os.path.join(target, "dim_customers")).collect()}
