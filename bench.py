@@ -68,7 +68,11 @@ def main() -> None:
     for name in RAW_QUERIES:
         timed("raw_" + name, lambda n=name: _run(portable(QUERIES[n](spark, sf_dir))))
 
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_text = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf_text)
+    except ValueError:
+        sf = sf_text
     print(json.dumps({"metric": "star_build_and_queries_total", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": sf}))
     spark.stop()
