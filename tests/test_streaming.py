@@ -66,3 +66,31 @@ def test_refresh_on_arrival_builds_star(spark):
             for r in spark.read.parquet(os.path.join(target, "dim_customers")).collect()}
     assert keys == {"c1": 1, "c0": 2}
     assert spark.read.parquet(os.path.join(target, "fact_orders")).count() == 2
+
+
+def test_command_line_build(spark, capsys):
+    from starloom.cli import main
+    root = tempfile.mkdtemp(prefix="starloom-cli-")
+    land, target = os.path.join(root, "land"), os.path.join(root, "star")
+    os.makedirs(land)
+    _write(land, "customers.csv", ["c1,u1,01001,x,sp\n"])
+    with open(os.path.join(land, "orders.csv"), "w") as f:
+        f.write("order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,"
+                "order_delivered_carrier_date,order_delivered_customer_date,"
+                "order_estimated_delivery_date\no1,c9,created,2024-01-01 10:00:00,,,,\n")
+    for name, header in [("products", "product_id,product_category_name,product_name_lenght,"
+                          "product_description_lenght,product_photos_qty,product_weight_g,"
+                          "product_length_cm,product_height_cm,product_width_cm"),
+                         ("sellers", "seller_id,seller_zip_code_prefix,seller_city,seller_state"),
+                         ("order_items", "order_id,order_item_id,product_id,seller_id,"
+                          "shipping_limit_date,price,freight_value"),
+                         ("order_payments", "order_id,payment_sequential,payment_type,"
+                          "payment_installments,payment_value"),
+                         ("order_reviews", "review_id,order_id,review_score,review_comment_title,"
+                          "review_comment_message,review_creation_date,review_answer_timestamp")]:
+        with open(os.path.join(land, f"{name}.csv"), "w") as f:
+            f.write(header + "\n")
+    assert main(["--extracts", land, "--target", target]) == 0
+    assert "orphan_keys" in capsys.readouterr().out
+    # the order's customer c9 is unknown: the check fails and so does the run
+    assert main(["--extracts", land, "--target", target, "--fail-on-check"]) == 2
