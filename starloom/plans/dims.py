@@ -115,7 +115,9 @@ def build_dim_products(products: DataFrame, translation: DataFrame | None = None
         tr = keep_first(translation.select("product_category_name",
                                            "product_category_name_english"),
                         "product_category_name")
-        enriched = products.join(broadcast_bounded(tr, translation_max_rows),
+        # a known row count of the input bounds the deduplicated side
+        enriched = products.join(broadcast_bounded(tr, translation_max_rows,
+                                                   rows=known_rows(translation)),
                                  "product_category_name", "left")
     else:
         enriched = products.withColumn("product_category_name_english", F.lit(None).cast("string"))

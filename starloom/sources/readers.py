@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.lookups import remember_rows
 from starloom.sources.schemas import FILE_NAMES, SCHEMAS
 
 DEFAULT_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -87,4 +88,20 @@ def category_translation(spark: SparkSession, path: str | None = None,
     """The category translation reference table, from a CSV file or rows."""
     if path is not None:
         return read_csv(spark, path, SCHEMAS["category_translation"], multi_line=False)
-    return spark.createDataFrame(rows or [], SCHEMAS["category_translation"])
+    return rows_frame(spark, rows or [], SCHEMAS["category_translation"])
+
+
+def rows_frame(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small fixed table as a JVM-side relation (``inline`` over one row):
+    no Python worker starts to deserialize it, unlike ``createDataFrame`` on
+    a list.  The row count is remembered, so a later broadcast check runs no
+    job."""
+    def lit_row(values):
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(values, schema.fields)])
+    if rows:
+        df = spark.range(1).select(F.inline(F.array(*[lit_row(r) for r in rows])))
+    else:
+        df = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                     for f in schema.fields])
+    return remember_rows(df, len(rows))

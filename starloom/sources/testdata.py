@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import date_id
+from starloom.sources.readers import category_translation
 
 TEST_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -139,8 +140,7 @@ def products_role(spark, sf_dir) -> DataFrame:
 
 
 def translation_role(spark) -> DataFrame:
-    return spark.createDataFrame(TRANSLATION_ROWS,
-                                 "product_category_name string, product_category_name_english string")
+    return category_translation(spark, rows=TRANSLATION_ROWS)
 
 
 def payments_role(spark, sf_dir) -> DataFrame:
