@@ -45,10 +45,16 @@ def broadcast_bounded(df: DataFrame, max_rows: int = 100_000,
     the count reads at most ``max_rows + 1`` rows, so the check itself is
     bounded.  Above the bound the frame is returned unhinted.
     """
+    return F.broadcast(df) if fits_broadcast(df, max_rows, rows) else df
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = 100_000, rows: int | None = None) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; reads at most
+    ``max_rows + 1`` rows when no count is known."""
     n = rows if rows is not None else known_rows(df)
     if n is None:
         n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return n <= max_rows
 
 
 DEFAULT_BROADCAST_ROWS = 1_000_000

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.lookups import DEFAULT_BROADCAST_ROWS, broadcast_bounded
+from starloom.operators.lookups import (DEFAULT_BROADCAST_ROWS, broadcast_bounded,
+                                       fits_broadcast, known_rows)
 
 
 def _money(c) -> F.Column:
@@ -47,21 +48,25 @@ def revenue_by_category_month(fact_order_items: DataFrame, fact_orders: DataFram
     """A1: sum(price + freight) by product category, year and month of purchase.
 
     Same result as joining items, orders, products and dates and grouping
-    (inner joins, so unmatched rows drop out and duplicates multiply), planned
-    so that the only join over whole facts is items-orders on order_id; its
-    output is summed per (purchase day, product) before the product and date
-    dimensions are joined, and a date dimension with several rows per date_id
-    multiplies sums instead of rows.
+    (inner joins, so unmatched rows drop out and duplicates multiply).  The
+    only join over whole facts is items-orders on order_id.  A product
+    dimension within the broadcast bound labels the joined rows map-side, so
+    they are aggregated once, by (purchase day, category), before any
+    shuffle; a larger one meets rows already summed per (purchase day,
+    product).  A date dimension with several rows per date_id multiplies
+    sums instead of rows.
     """
     items = fact_order_items.select("order_id", "product_sk",
                                     (F.col("price") + F.col("freight_value")).alias("amount"))
     orders = fact_orders.select("order_id", "purchase_date_id")
-    per_day_product = (items.join(orders, "order_id")
-                            .groupBy("purchase_date_id", "product_sk")
-                            .agg(F.sum("amount").alias("amount")))
-    products = broadcast_bounded(dim_products.select("product_sk", "product_category_name"),
-                                 broadcast_max_rows)
-    labelled = per_day_product.join(products, "product_sk")
+    joined = items.join(orders, "order_id")
+    products = dim_products.select("product_sk", "product_category_name")
+    if fits_broadcast(products, broadcast_max_rows, rows=known_rows(dim_products)):
+        labelled = joined.join(F.broadcast(products), "product_sk")
+    else:
+        per_day_product = (joined.groupBy("purchase_date_id", "product_sk")
+                                 .agg(F.sum("amount").alias("amount")))
+        labelled = per_day_product.join(products, "product_sk")
     out = sum_by_calendar(labelled, "purchase_date_id", "amount", dim_date,
                           by=("product_category_name",))
     return (out.select("product_category_name", F.col("amount").cast("double").alias("total_price"),

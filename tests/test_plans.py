@@ -34,3 +34,19 @@ def test_reports_read_only_needed_columns(spark, tmp_path):
     rep = A.repeat_customers(star["fact_orders"])
     text = _plan(rep)
     assert "order_status" not in text and "delivery_days" not in text
+
+
+def test_revenue_labels_fact_rows_map_side_and_both_paths_agree(spark, tmp_path):
+    import re
+
+    from starloom.sinks import write_star_tables
+    star = write_star_tables(spark, roles_of(spark, SF), str(tmp_path))
+    args = (star["fact_order_items"], star["fact_orders"], star["dim_products"], star["dim_date"])
+    small = A.revenue_by_category_month(*args)
+    text = _plan(small)
+    # a broadcastable product dimension: no aggregate keyed by product
+    assert not re.search(r"HashAggregate\(keys=\[[^\]]*product_sk", text)
+    # over the bound: rows are summed per (day, product) before the product join
+    large = A.revenue_by_category_month(*args, broadcast_max_rows=0)
+    assert re.search(r"HashAggregate\(keys=\[[^\]]*product_sk", _plan(large))
+    assert sorted(small.collect()) == sorted(large.collect())
