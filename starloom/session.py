@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -24,13 +25,23 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str | None = None, shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "starloom", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings the toolkit expects."""
-    master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
-    builder = (SparkSession.builder.master(master).appName(app_name)
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEMORY", "16g")))
+    """Build (or reuse) a session with the settings the toolkit expects.
+
+    Under ``spark-submit`` the submitted master and the cluster's own
+    ``spark.sql.shuffle.partitions`` are kept (size it for the largest fact,
+    about 128-256 MB per partition); a local session gets 8 partitions unless
+    ``shuffle_partitions`` says otherwise.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master is not None or SparkConf().get("spark.master", None) is None:
+        master = master or f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+        builder = (builder.master(master)
+                   .config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEMORY", "16g")))
+        shuffle_partitions = shuffle_partitions or 8
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
