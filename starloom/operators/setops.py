@@ -16,11 +16,14 @@ def missing_keys(left: DataFrame, right: DataFrame, left_key: str,
     """Distinct non-null ``left_key`` values absent from ``right``.
 
     Null keys are not "missing"; count them with ``null_count`` (D8).
-    The distinct is combined map-side before the anti join shuffles.
+    Both sides are cut to distinct keys, combined map-side, before the anti
+    join, so a key holding a third of either side reaches the join once; the
+    distinct leaves each side hash-partitioned on the key, which the join
+    reuses without another exchange.
     """
     right_key = right_key or left_key
     a = left.select(F.col(left_key).alias("__sl_k")).where(F.col("__sl_k").isNotNull()).distinct()
-    b = right.select(F.col(right_key).alias("__sl_k"))
+    b = right.select(F.col(right_key).alias("__sl_k")).where(F.col("__sl_k").isNotNull()).distinct()
     return a.join(b, "__sl_k", "left_anti").withColumnRenamed("__sl_k", left_key)
 
 
