@@ -208,7 +208,20 @@ def read_star(spark: SparkSession, target: str, names=None, fmt: str = "parquet"
     raise ValueError("read back CSV with starloom.sources.read_csv and a schema")
 
 
-def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
-    """Expose the tables to ``spark.sql`` under their names."""
+# The name the original database load gives the item fact
+# (view name -> table name).
+DATABASE_NAMES = {"fact_orders_items": "fact_order_items"}
+
+
+def register_views(spark: SparkSession, tables: dict[str, DataFrame],
+                   aliases: dict[str, str] | None = None) -> None:
+    """Expose the tables to ``spark.sql`` under their names, plus each
+    ``aliases`` view name for the table it names.  ``aliases=DATABASE_NAMES``
+    lets SQL written against the original database load run unchanged.
+    (Spark sorts nulls first ascending and last descending, the reverse of
+    Postgres: write ``NULLS LAST`` / ``NULLS FIRST`` where it matters.)"""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+    for view, name in (aliases or {}).items():
+        if name in tables:
+            tables[name].createOrReplaceTempView(view)

@@ -235,5 +235,18 @@ def test_spark_sql_over_registered_views(spark, star):
     assert [(r.customer_sk, r.num_orders) for r in rep] == [(1, 2)]
     for name in star:
         spark.catalog.dropTempView(name)
-    for name in star:
+
+
+def test_database_names_as_view_aliases(spark, star):
+    """SQL that names the item fact as the original database load did runs as is."""
+    from starloom.sinks import DATABASE_NAMES, register_views
+    register_views(spark, star, aliases=DATABASE_NAMES)
+    got = spark.sql("""SELECT ds.seller_city, ds.seller_state, SUM(fa.price + fa.freight_value) AS total_price
+                       FROM fact_orders_items fa JOIN dim_seller ds ON fa.seller_sk = ds.seller_sk
+                       GROUP BY ds.seller_city, ds.seller_state
+                       ORDER BY ds.seller_city, ds.seller_state LIMIT 10""").collect()
+    want = A.seller_locations_first10(star["fact_order_items"], star["dim_seller"]).collect()
+    assert [(r.seller_city, r.seller_state, float(r.total_price)) for r in got] == \
+        [(r.seller_city, r.seller_state, r.total_price) for r in want]
+    for name in [*star, *DATABASE_NAMES]:
         spark.catalog.dropTempView(name)
