@@ -57,14 +57,23 @@ def _join(base: str, name: str) -> str:
     return base.rstrip("/") + "/" + name if "://" in base else os.path.join(base, name)
 
 
+# Extracts with free text (review titles and messages) that may
+# hold quoted line breaks.  Only these are read with ``multiLine``: a
+# multi-line CSV file cannot be split, so it is one task however large.
+FREE_TEXT_SOURCES = ("order_reviews",)
+
+
 def load_sources(spark: SparkSession, base_path: str, fmt: str = "csv",
-                 names=None, null_tokens=None, file_names: dict | None = None) -> dict[str, DataFrame]:
+                 names=None, null_tokens=None, file_names: dict | None = None,
+                 multi_line_sources=FREE_TEXT_SOURCES) -> dict[str, DataFrame]:
     """Every source under ``base_path`` as a DataFrame (lazy).
 
     ``fmt="csv"`` reads the extract files by name (``<name>*.csv``, so an
     extract split or delivered in parts is read whole) with fixed schemas;
     ``fmt="parquet"`` reads ``<base>/<source>`` parquet directories.
-    Missing sources are skipped.
+    CSV extracts outside ``multi_line_sources`` are read line by line, so a
+    large file splits across tasks; name a source there if its text fields
+    can hold line breaks.  Missing sources are skipped.
     """
     file_names = {**FILE_NAMES, **(file_names or {})}
     out = {}
@@ -74,7 +83,8 @@ def load_sources(spark: SparkSession, base_path: str, fmt: str = "csv",
             path = _join(base_path, extract_glob(file_names[name]))
             if "://" not in path and not glob.glob(path):
                 continue
-            out[name] = read_csv(spark, path, SCHEMAS[name], null_tokens=null_tokens)
+            out[name] = read_csv(spark, path, SCHEMAS[name], null_tokens=null_tokens,
+                                 multi_line=name in (multi_line_sources or ()))
         else:
             path = _join(base_path, name if fmt != "parquet-file" else name + ".parquet")
             if "://" not in path and not os.path.exists(path):

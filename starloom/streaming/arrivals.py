@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.sources.readers import extract_glob
+from starloom.sources.readers import FREE_TEXT_SOURCES, extract_glob
 from starloom.sources.schemas import FILE_NAMES, SCHEMAS
 
 
 def _csv_stream(spark: SparkSession, folder: str, schema: T.StructType, pattern: str | None,
-                max_files: int | None) -> DataFrame:
-    reader = (spark.readStream.schema(schema).option("header", True).option("multiLine", True)
+                max_files: int | None, multi_line: bool = True) -> DataFrame:
+    reader = (spark.readStream.schema(schema).option("header", True).option("multiLine", multi_line)
               .option("escape", '"').option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"))
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -34,7 +34,8 @@ def profile_arrivals(spark: SparkSession, folder: str, source: str, profile_path
     Returns the started query (call ``awaitTermination`` on it).
     """
     schema = SCHEMAS[source]
-    stream = _csv_stream(spark, folder, schema, pattern, max_files)
+    stream = _csv_stream(spark, folder, schema, pattern, max_files,
+                         multi_line=source in FREE_TEXT_SOURCES)
     stream = stream.select(F.col("_metadata.file_path").alias("file_path"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -80,7 +81,8 @@ def refresh_on_arrival(spark: SparkSession, extracts: str, target: str, checkpoi
 
     names = {**FILE_NAMES, **(file_names or {})}
     load = load or (lambda s, path: load_sources(s, path, file_names=names))
-    stream = _csv_stream(spark, extracts, SCHEMAS["orders"], extract_glob(names["orders"]), None)
+    stream = _csv_stream(spark, extracts, SCHEMAS["orders"], extract_glob(names["orders"]), None,
+                         multi_line=False)
     stream = stream.select(F.lit(1).alias("one"))
 
     def rebuild(batch: DataFrame, batch_id: int) -> None:

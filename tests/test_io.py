@@ -126,3 +126,25 @@ def test_csv_header_is_checked_against_schema(spark, scratch):
         f.write("seller_zip_code_prefix,seller_id,seller_city,seller_state\n13000,s1,campinas,sp\n")
     with pytest.raises(Exception):
         read_csv(spark, path, SCHEMAS["sellers"]).collect()
+
+
+def test_only_free_text_extracts_are_read_multi_line(spark, scratch):
+    """Line-by-line extracts split across tasks; review text keeps its line breaks."""
+    with open(os.path.join(scratch, "sellers.csv"), "w") as f:
+        f.write("seller_id,seller_zip_code_prefix,seller_city,seller_state\n")
+        for i in range(5000):
+            f.write(f"s{i:05d},{i % 99999:05d},campinas,SP\n")
+    with open(os.path.join(scratch, "order_reviews.csv"), "w") as f:
+        f.write("review_id,order_id,review_score,review_comment_title,review_comment_message,"
+                "review_creation_date,review_answer_timestamp\n")
+        f.write('r1,o1,5,,"two\nlines",2024-01-01 00:00:00,\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        src = load_sources(spark, scratch, names=["sellers", "order_reviews"])
+        assert src["sellers"].rdd.getNumPartitions() > 1
+        assert src["sellers"].count() == 5000
+        assert src["order_reviews"].count() == 1
+        assert src["order_reviews"].first().review_comment_message == "two\nlines"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
