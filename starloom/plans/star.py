@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from starloom.plans import dims, facts
+from starloom.session import run_concurrently
 
 DIMENSIONS = ("dim_date", "dim_customers", "dim_products", "dim_seller", "dim_payments")
 FACTS = ("fact_orders", "fact_order_items", "fact_payments", "fact_reviews")
@@ -77,9 +78,12 @@ class Star(Mapping):
 
 def build_dimensions(sources: dict[str, DataFrame], grain: str = "day",
                      include_shipping: bool = True, num_buckets=None,
-                     previous: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+                     previous: dict[str, DataFrame] | None = None,
+                     parallel: int | None = None) -> dict[str, DataFrame]:
+    """The five dimensions.  Their dense-key jobs are independent, so they
+    are submitted together (``parallel=1``: one after another)."""
     st = Star(sources, grain, include_shipping, num_buckets=num_buckets, previous=previous)
-    return {n: st[n] for n in DIMENSIONS}
+    return run_concurrently({n: (lambda n=n: st[n]) for n in DIMENSIONS}, parallel)
 
 
 def build_facts(sources: dict[str, DataFrame], dimensions: dict[str, DataFrame],

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor, wait
 
 from pyspark import SparkConf
 from pyspark.sql import SparkSession
@@ -75,3 +77,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (needed for dense keys)")
     return sc.getCheckpointDir()
+
+
+def run_concurrently(actions: dict[str, Callable[[], object]], parallel: int | None = None) -> dict:
+    """Run independent Spark actions (one per table) from a small thread
+    pool, so their jobs share the cluster: cores that one job's last tasks
+    leave idle go to the others.  Every action finishes before the first
+    error is raised, so a caller never acts on a half-done set.
+    ``parallel=1`` runs them one after another."""
+    n = min(parallel or len(actions), len(actions))
+    if n <= 1:
+        return {k: f() for k, f in actions.items()}
+    with ThreadPoolExecutor(max_workers=n) as pool:
+        futures = {k: pool.submit(f) for k, f in actions.items()}
+        wait(futures.values())
+    for f in futures.values():
+        if f.exception() is not None:
+            raise f.exception()
+    return {k: f.result() for k, f in futures.items()}

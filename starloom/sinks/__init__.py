@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators.lookups import known_rows, remember_rows
 from starloom.plans import star as star_plan
+from starloom.session import run_concurrently
 
 SORT_ON_WRITE = {"dim_date": ["date"]}
 
@@ -100,12 +101,15 @@ def write_star(tables: dict[str, DataFrame], target: str, fmt: str = "parquet",
                jdbc: dict[str, str] | None = None, mode: str = "overwrite",
                staged: bool = True, database: str | None = None,
                buckets: dict[str, str] | None = None,
-               num_buckets: int | None = None) -> dict[str, str]:
+               num_buckets: int | None = None, parallel: int | None = None) -> dict[str, str]:
     """K4/K5: write every table.  File targets are written to a staging folder
     first and moved into place only when all tables are written, so a failed
-    refresh leaves the previous star readable.  ``fmt="table"`` writes catalog
-    tables (under ``target`` when given), the facts bucketed by order_id so
-    their joins need no shuffle.  Returns name -> location or table name."""
+    refresh leaves the previous star readable; the table writes are
+    independent jobs and are submitted together (``parallel`` bounds how many;
+    1 writes one after another).  ``fmt="table"`` writes catalog tables (under
+    ``target`` when given), the facts bucketed by order_id so their joins need
+    no shuffle; those and JDBC tables are written one at a time.  Returns
+    name -> location or table name."""
     if fmt == "table":
         buckets = DEFAULT_BUCKETS if buckets is None else buckets
         return {name: write_table(df, name, database=database, mode=mode,
@@ -119,13 +123,27 @@ def write_star(tables: dict[str, DataFrame], target: str, fmt: str = "parquet",
         return {n: n for n in tables}
     writer = {"parquet": write_parquet, "csv": write_csv}[fmt]
     stage = _path(target, f"_staging-{uuid.uuid4().hex}") if staged else target
-    for name, df in tables.items():
-        writer(_ordered(name, df), _path(stage, name), mode=mode)
+    run_concurrently({name: (lambda name=name, df=df: writer(_ordered(name, df), _path(stage, name),
+                                                           mode=mode))
+                      for name, df in tables.items()}, parallel)
     if staged:
         _swap_in(tables, stage, target)
     return {n: _path(target, n) for n in tables}
 
 
+def _fs(path: str):
+    spark = SparkSession.getActiveSession()
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _delete(path: str) -> None:
+    """Remove a staging folder (any Hadoop file system)."""
+    fs, p = _fs(path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def _swap_in(tables, stage: str, target: str) -> None:
     """Move staged tables into place through the Hadoop FileSystem API, so it
     works on any cluster file system."""
@@ -151,17 +169,30 @@ SHARED_SOURCES = ("orders", "order_items", "order_reviews", "order_payments")
 
 def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target: str,
                       fmt: str = "parquet", persist_shared: bool = False,
-                      table_opts: dict | None = None, **build_opts) -> dict[str, DataFrame]:
+                      table_opts: dict | None = None, parallel: int | None = None,
+                      **build_opts) -> dict[str, DataFrame]:
     """Build and persist the whole star in dependency order; returns the
-    written tables read back (ready for ``spark.sql`` or the analytics).
-    ``previous=read_star(...)`` keeps the surrogate keys of the last refresh
-    (the previous tables are read before the staged swap replaces them).
+    written tables (read back for parquet and catalog tables), ready for
+    ``spark.sql`` or the analytics.  ``previous=read_star(...)`` keeps the
+    surrogate keys of the last refresh.
+
+    Folder targets (parquet, csv): dimensions and facts are written into one
+    staging folder and all nine tables are moved into place together at the
+    end, so a refresh that fails at any step leaves the previous star whole
+    (never new dimensions beside old facts).  Facts are built from the staged
+    parquet dimensions, so they never recompute one; for CSV they use the
+    built dimensions, whose keys are already checkpointed.  Catalog tables
+    (``fmt="table"``) are overwritten in place, dimensions first.
 
     ``persist_shared=True`` keeps the sources that feed more than one table
     (orders, items, reviews, payments) with MEMORY_AND_DISK for the duration
     of the build, so costly sources (CSV parsing, derived roles) are computed
     once; lost blocks are recomputed from their scan.  Off by default: for
     parquet sources a second scan is cheaper than building the cache.
+
+    Independent jobs of one step (the dimensions' keys, then their writes,
+    then the fact writes) are submitted together; ``parallel`` bounds how
+    many run at once (1: one after another).
     """
     table_opts = dict(table_opts or {})
     if fmt not in ("parquet", "csv", "table"):
@@ -177,21 +208,43 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
         dims = star_plan.build_dimensions(sources, build_opts.get("grain", "day"),
                                           build_opts.get("include_shipping", True),
                                           build_opts.get("num_buckets"),
-                                          build_opts.get("previous"))
-        write_star(dims, target, fmt=fmt, **table_opts)
-        dims_back = read_star(spark, target, names=dims, fmt=fmt, database=table_opts.get("database"),
-                              schemas={n: d.schema for n, d in dims.items()})
+                                          build_opts.get("previous"), parallel=parallel)
+        schemas = {n: d.schema for n, d in dims.items()}
+        if fmt == "table":
+            write_star(dims, target, fmt=fmt, parallel=1, **table_opts)
+            dims_used = read_star(spark, target, names=dims, fmt=fmt,
+                                  database=table_opts.get("database"))
+            stage = None
+        else:
+            stage = _path(target, f"_staging-{uuid.uuid4().hex}")
+            try:
+                write_star(dims, stage, fmt=fmt, staged=False, parallel=parallel, **table_opts)
+            except Exception:
+                _delete(stage)
+                raise
+            dims_used = (read_star(spark, stage, names=dims, schemas=schemas)
+                         if fmt == "parquet" else dims)
         for n, d in dims.items():
-            remember_rows(dims_back[n], known_rows(d))
-        facts = star_plan.build_facts(sources, dims_back, build_opts.get("null_safe", False),
+            remember_rows(dims_used[n], known_rows(d))
+        facts = star_plan.build_facts(sources, dims_used, build_opts.get("null_safe", False),
                                       build_opts.get("date_lookup", "computed"))
-        write_star(facts, target, fmt=fmt, **table_opts)
+        if fmt == "table":
+            write_star(facts, target, fmt=fmt, parallel=1, **table_opts)
+        else:
+            try:
+                write_star(facts, stage, fmt=fmt, staged=False, parallel=parallel, **table_opts)
+            except Exception:
+                _delete(stage)  # the published star was never touched
+                raise
+            _swap_in([*dims, *facts], stage, target)
     finally:
         for df in held:
             df.unpersist()
-    return {**dims_back, **read_star(spark, target, names=facts, fmt=fmt,
-                                     database=table_opts.get("database"),
-                                     schemas={n: f.schema for n, f in facts.items()})}
+    if fmt == "csv":
+        return {**dims, **facts}
+    return read_star(spark, target, names=[*dims, *facts], fmt=fmt,
+                     database=table_opts.get("database"),
+                     schemas={**schemas, **{n: f.schema for n, f in facts.items()}})
 
 
 def read_star(spark: SparkSession, target: str, names=None, fmt: str = "parquet",

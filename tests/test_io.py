@@ -86,6 +86,34 @@ def test_write_star_tables_and_staged_swap(spark, scratch):
     assert read_star(spark, scratch, names=["dim_payments"])["dim_payments"].count() == 2
 
 
+def test_failed_refresh_leaves_previous_star_whole(spark, scratch):
+    """Dimensions and facts are swapped in together: a refresh that fails while
+    writing the facts changes no table and removes its staging folder."""
+    from pyspark.sql import functions as F
+    first = write_star_tables(spark, roles_of(spark, SF), scratch)
+    before = {n: sorted(map(tuple, first[n].collect())) for n in ("dim_customers", "fact_orders")}
+    broken = roles_of(spark, SF)
+    # a column only the item fact reads fails at run time; the dimensions build fine
+    broken["order_items"] = broken["order_items"].withColumn(
+        "price", F.raise_error(F.lit("boom")).cast("decimal(18,2)"))
+    broken["customers"] = broken["customers"].where(F.col("customer_id") % 2 == 0)
+    with pytest.raises(Exception):
+        write_star_tables(spark, broken, scratch)
+    after = read_star(spark, scratch)
+    assert not [d for d in os.listdir(scratch) if d.startswith("_staging")]
+    for n, rows in before.items():
+        assert sorted(map(tuple, after[n].collect())) == rows
+    assert after["fact_order_items"].count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+
+
+def test_write_star_tables_to_csv(spark, scratch):
+    star = write_star_tables(spark, roles_of(spark, SF), scratch, fmt="csv", parallel=2)
+    assert not [d for d in os.listdir(scratch) if d.startswith("_staging")]
+    back = read_csv(spark, os.path.join(scratch, "dim_payments"), star["dim_payments"].schema)
+    assert back.count() == star["dim_payments"].count()
+    assert star["fact_order_items"].count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+
+
 def test_write_star_csv(spark, scratch):
     df = spark.createDataFrame([(1, "x")], "k int, v string")
     locs = write_star({"t1": df}, scratch, fmt="csv")
