@@ -54,6 +54,7 @@ class _Star(Star):
 
     @property
     def tables(self) -> dict[str, DataFrame]:
+        self.prepare()
         return {n: self[n] for n in self}
 
 

@@ -12,6 +12,10 @@ from starloom.session import run_concurrently
 DIMENSIONS = ("dim_date", "dim_customers", "dim_products", "dim_seller", "dim_payments")
 FACTS = ("fact_orders", "fact_order_items", "fact_payments", "fact_reviews")
 TABLES = DIMENSIONS + FACTS
+# the dimensions whose keys each fact looks up (dim_date only with date_lookup="exact")
+FACT_DIMENSIONS = {"fact_orders": ("dim_customers",),
+                   "fact_order_items": ("dim_products", "dim_seller"),
+                   "fact_payments": ("dim_payments",)}
 
 
 class Star(Mapping):
@@ -66,9 +70,17 @@ class Star(Mapping):
         if name not in TABLES:
             raise KeyError(name)
         if name not in self._built:
+            self.prepare(FACT_DIMENSIONS.get(name, ()))
             self._built[name] = self._make(name)
         return self._built[name]
 
+    def prepare(self, names=DIMENSIONS, parallel: int | None = None) -> None:
+        """Build the named dimensions not built yet; their dense-key jobs are
+        independent, so they are submitted together."""
+        todo = [n for n in names if n in DIMENSIONS and n not in self._built]
+        built = run_concurrently({n: (lambda n=n: self._make(n)) for n in todo}, parallel)
+        self._built.update(built)
+
     def __iter__(self):
         return iter(TABLES)
 
@@ -83,7 +95,8 @@ def build_dimensions(sources: dict[str, DataFrame], grain: str = "day",
     """The five dimensions.  Their dense-key jobs are independent, so they
     are submitted together (``parallel=1``: one after another)."""
     st = Star(sources, grain, include_shipping, num_buckets=num_buckets, previous=previous)
-    return run_concurrently({n: (lambda n=n: st[n]) for n in DIMENSIONS}, parallel)
+    st.prepare(DIMENSIONS, parallel)
+    return {n: st[n] for n in DIMENSIONS}
 
 
 def build_facts(sources: dict[str, DataFrame], dimensions: dict[str, DataFrame],
@@ -98,4 +111,5 @@ def build_star(sources: dict[str, DataFrame], grain: str = "day", include_shippi
     """All nine tables.  For on-demand building use ``Star``; to build and
     persist in one go use ``starloom.sinks.write_star_tables``."""
     st = Star(sources, grain, include_shipping, null_safe, date_lookup, num_buckets)
+    st.prepare()
     return {n: st[n] for n in TABLES}
