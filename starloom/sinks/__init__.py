@@ -242,9 +242,12 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
             df.unpersist()
     if fmt == "csv":
         return {**dims, **facts}
-    return read_star(spark, target, names=[*dims, *facts], fmt=fmt,
-                     database=table_opts.get("database"),
-                     schemas={**schemas, **{n: f.schema for n, f in facts.items()}})
+    out = read_star(spark, target, names=[*dims, *facts], fmt=fmt,
+                    database=table_opts.get("database"),
+                    schemas={**schemas, **{n: f.schema for n, f in facts.items()}})
+    for n, d in dims.items():
+        remember_rows(out[n], known_rows(d))  # exact counts from the key jobs
+    return out
 
 
 def read_star(spark: SparkSession, target: str, names=None, fmt: str = "parquet",
