@@ -174,6 +174,7 @@ def q_null_safe_join(spark, sf_dir):
 
 def q_revenue_by_category_month(spark, sf_dir):
     s = _star(spark, sf_dir)
+    s.prepare(["fact_order_items", "fact_orders", "dim_products"])
     return A.revenue_by_category_month(s["fact_order_items"], s["fact_orders"], s["dim_products"],
                                        s["dim_date"])
 
@@ -182,6 +183,7 @@ def q_revenue_by_category_month_literal(spark, sf_dir):
     """A1 joined to the timestamp-grain date dimension of the original (D1):
     a day with k distinct timestamps counts its revenue k times."""
     s = _star(spark, sf_dir)
+    s.prepare(["fact_order_items", "fact_orders", "dim_products"])
     dd = D.build_dim_date(s.src, grain="timestamp", include_shipping=False)
     return A.revenue_by_category_month(s["fact_order_items"], s["fact_orders"], s["dim_products"], dd)
 

@@ -75,9 +75,11 @@ class Star(Mapping):
         return self._built[name]
 
     def prepare(self, names=DIMENSIONS, parallel: int | None = None) -> None:
-        """Build the named dimensions not built yet; their dense-key jobs are
-        independent, so they are submitted together."""
-        todo = [n for n in names if n in DIMENSIONS and n not in self._built]
+        """Build the named dimensions (a fact stands for the dimensions it
+        looks up) not built yet; their dense-key jobs are independent, so they
+        are submitted together."""
+        wanted = [d for n in names for d in (FACT_DIMENSIONS.get(n, ()) if n in FACTS else (n,))]
+        todo = [n for n in dict.fromkeys(wanted) if n in DIMENSIONS and n not in self._built]
         built = run_concurrently({n: (lambda n=n: self._make(n)) for n in todo}, parallel)
         self._built.update(built)
 
