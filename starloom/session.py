@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor, wait
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
-from pyspark import SparkConf
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -82,16 +83,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def run_concurrently(actions: dict[str, Callable[[], object]], parallel: int | None = None) -> dict:
     """Run independent Spark actions (one per table) from a small thread
     pool, so their jobs share the cluster: cores that one job's last tasks
-    leave idle go to the others.  Every action finishes before the first
-    error is raised, so a caller never acts on a half-done set.
-    ``parallel=1`` runs them one after another."""
+    leave idle go to the others.  When one action fails, the Spark jobs of
+    the others are cancelled (one job group per call) rather than left to run
+    to the end; every action has returned before that failure is raised, so
+    a caller never acts on a half-done set.  ``parallel=1`` runs them one
+    after another."""
     n = min(parallel or len(actions), len(actions))
     if n <= 1:
         return {k: f() for k, f in actions.items()}
+    sc = SparkContext._active_spark_context
+    group = f"starloom-{uuid.uuid4().hex}"
+
+    def in_group(f):
+        def run():
+            if sc is not None:
+                sc.setJobGroup(group, "starloom concurrent table jobs")
+            return f()
+        return run
+
     with ThreadPoolExecutor(max_workers=n) as pool:
-        futures = {k: pool.submit(f) for k, f in actions.items()}
+        futures = {k: pool.submit(in_group(f)) for k, f in actions.items()}
+        done, _ = wait(futures.values(), return_when=FIRST_EXCEPTION)
+        failed = [f for f in done if f.exception() is not None]
+        if failed and sc is not None:
+            sc.cancelJobGroup(group)
         wait(futures.values())
-    for f in futures.values():
-        if f.exception() is not None:
-            raise f.exception()
+    if failed:
+        raise failed[0].exception()  # the cause, not a sibling's cancellation
     return {k: f.result() for k, f in futures.items()}

@@ -44,3 +44,18 @@ def test_results_by_name_and_sequential_mode():
 def test_spark_jobs_from_threads(spark):
     out = run_concurrently({n: (lambda n=n: spark.range(n * 1000).count()) for n in (1, 2, 3)})
     assert out == {1: 1000, 2: 2000, 3: 3000}
+
+
+def test_first_failure_cancels_sibling_spark_jobs(spark):
+    def slow_job():
+        # 160 tasks of 0.5 s on 8 cores: about 10 s unless cancelled
+        spark.range(0, 160, 1, 160).foreach(lambda r: time.sleep(0.5))
+
+    def fails_fast():
+        time.sleep(1.0)
+        raise ValueError("first")
+
+    t = time.perf_counter()
+    with pytest.raises(ValueError, match="first"):
+        run_concurrently({"slow": slow_job, "bad": fails_fast})
+    assert time.perf_counter() - t < 7
