@@ -106,11 +106,25 @@ def exact_date_key(fact: DataFrame, ts_col: str, lookup: DataFrame, out: str,
     Like a pandas ``Series.map`` over an index, a duplicated lookup value is an
     error; a value absent from the lookup gives null (D2).
     """
-    side = lookup.select(F.col(lookup_value).alias("__sl_v"), F.col(lookup_id).alias(out))
+    return exact_date_keys(fact, {out: ts_col}, lookup, lookup_value, lookup_id,
+                           check_unique, broadcast_max_rows)
+
+
+def exact_date_keys(fact: DataFrame, columns: dict[str, str], lookup: DataFrame,
+                    lookup_value: str = "date", lookup_id: str = "date_id",
+                    check_unique: bool = True,
+                    broadcast_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``exact_date_key`` for several ``{out_name: timestamp_column}`` at once:
+    the lookup side is checked for duplicates and sized for broadcast once,
+    then joined once per column."""
+    side = lookup.select(F.col(lookup_value).alias("__sl_v"), F.col(lookup_id).alias("__sl_id"))
     if check_unique:
         dup = side.groupBy("__sl_v").count().where("count > 1").limit(1).count()
         if dup:
             raise DuplicateLookupKey(f"lookup values in {lookup_value!r} are not unique")
     if broadcast_max_rows:
         side = broadcast_bounded(side, broadcast_max_rows)
-    return fact.join(side, F.col(ts_col) == F.col("__sl_v"), "left").drop("__sl_v")
+    for out, ts_col in columns.items():
+        fact = (fact.join(side, F.col(ts_col) == F.col("__sl_v"), "left")
+                    .drop("__sl_v").withColumnRenamed("__sl_id", out))
+    return fact

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.dates import floor_days
-from starloom.operators.lookups import date_key, exact_date_key, lookup_key
+from starloom.operators.lookups import date_key, exact_date_keys, lookup_key
 
 ORDER_DATE_KEYS = {
     "purchase_date_id": "order_purchase_timestamp",
@@ -33,9 +33,7 @@ def _date_keys(df: DataFrame, mapping: dict[str, str], dim_date: DataFrame | Non
         return date_key(df, mapping)
     if date_lookup != "exact" or dim_date is None:
         raise ValueError("date_lookup='exact' needs dim_date")
-    for out, src in mapping.items():
-        df = exact_date_key(df, src, dim_date, out)
-    return df
+    return exact_date_keys(df, mapping, dim_date)
 
 
 def build_fact_orders(orders: DataFrame, dim_customers: DataFrame, null_safe: bool = False,
