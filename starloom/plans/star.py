@@ -102,9 +102,28 @@ def build_dimensions(sources: dict[str, DataFrame], grain: str = "day",
 
 
 def build_facts(sources: dict[str, DataFrame], dimensions: dict[str, DataFrame],
-                null_safe: bool = False, date_lookup: str = "computed") -> dict[str, DataFrame]:
+                null_safe: bool = False, date_lookup: str = "computed",
+                names=FACTS) -> dict[str, DataFrame]:
     st = Star(sources, null_safe=null_safe, date_lookup=date_lookup, dimensions=dimensions)
-    return {n: st[n] for n in FACTS}
+    return {n: st[n] for n in names}
+
+
+def table_groups(date_lookup: str = "computed") -> list[tuple[list[str], list[str]]]:
+    """(dimensions, facts) that depend on each other: every fact with the
+    dimensions it looks up, merged where they share one; a dimension no fact
+    looks up, or a fact that looks up none, stands alone.  Different groups
+    can be built and written at the same time."""
+    groups: list[tuple[set, list]] = []
+    for f in FACTS:
+        ds = set(FACT_DIMENSIONS.get(f, ())) | ({"dim_date"} if date_lookup == "exact" else set())
+        joined = [g for g in groups if g[0] & ds]
+        for g in joined:
+            groups.remove(g)
+            ds |= g[0]
+        groups.append((ds, [x for g in joined for x in g[1]] + [f]))
+    used = set().union(*(g[0] for g in groups))
+    groups += [({d}, []) for d in DIMENSIONS if d not in used]
+    return [([d for d in DIMENSIONS if d in ds], fs) for ds, fs in groups]
 
 
 def build_star(sources: dict[str, DataFrame], grain: str = "day", include_shipping: bool = True,

@@ -92,7 +92,11 @@ def run_concurrently(actions: dict[str, Callable[[], object]], parallel: int | N
     if n <= 1:
         return {k: f() for k, f in actions.items()}
     sc = SparkContext._active_spark_context
-    group = f"starloom-{uuid.uuid4().hex}"
+    # nested calls (a group of tables whose own steps run concurrently) share
+    # the outer job group, so one failure cancels every sibling job
+    inherited = sc.getLocalProperty("spark.jobGroup.id") if sc is not None else None
+    group = (inherited if inherited and inherited.startswith("starloom-")
+             else f"starloom-{uuid.uuid4().hex}")
 
     def in_group(f):
         def run():

@@ -190,9 +190,12 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
     once; lost blocks are recomputed from their scan.  Off by default: for
     parquet sources a second scan is cheaper than building the cache.
 
-    Independent jobs of one step (the dimensions' keys, then their writes,
-    then the fact writes) are submitted together; ``parallel`` bounds how
-    many run at once (1: one after another).
+    Folder targets build each group of dependent tables (a fact with the
+    dimensions it looks up: customers and orders; products, sellers and
+    items; payment types and payments; the date dimension; reviews) from
+    keys to written fact on its own, all groups at the same time, so no
+    group waits for another's slowest job.  ``parallel`` bounds how many
+    jobs are submitted together (1: one after another).
     """
     table_opts = dict(table_opts or {})
     if fmt not in ("parquet", "csv", "table"):
@@ -205,38 +208,12 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
                 sources[name] = sources[name].persist(StorageLevel.MEMORY_AND_DISK)
                 held.append(sources[name])
     try:
-        dims = star_plan.build_dimensions(sources, build_opts.get("grain", "day"),
-                                          build_opts.get("include_shipping", True),
-                                          build_opts.get("num_buckets"),
-                                          build_opts.get("previous"), parallel=parallel)
-        schemas = {n: d.schema for n, d in dims.items()}
         if fmt == "table":
-            write_star(dims, target, fmt=fmt, parallel=1, **table_opts)
-            dims_used = read_star(spark, target, names=dims, fmt=fmt,
-                                  database=table_opts.get("database"))
-            stage = None
+            dims, dims_used, facts = _build_in_place(spark, sources, target, table_opts, build_opts,
+                                                     parallel)
         else:
-            stage = _path(target, f"_staging-{uuid.uuid4().hex}")
-            try:
-                write_star(dims, stage, fmt=fmt, staged=False, parallel=parallel, **table_opts)
-            except Exception:
-                _delete(stage)
-                raise
-            dims_used = (read_star(spark, stage, names=dims, schemas=schemas)
-                         if fmt == "parquet" else dims)
-        for n, d in dims.items():
-            remember_rows(dims_used[n], known_rows(d))
-        facts = star_plan.build_facts(sources, dims_used, build_opts.get("null_safe", False),
-                                      build_opts.get("date_lookup", "computed"))
-        if fmt == "table":
-            write_star(facts, target, fmt=fmt, parallel=1, **table_opts)
-        else:
-            try:
-                write_star(facts, stage, fmt=fmt, staged=False, parallel=parallel, **table_opts)
-            except Exception:
-                _delete(stage)  # the published star was never touched
-                raise
-            _swap_in([*dims, *facts], stage, target)
+            dims, dims_used, facts = _build_staged(spark, sources, target, fmt, table_opts,
+                                                   build_opts, parallel)
     finally:
         for df in held:
             df.unpersist()
@@ -244,12 +221,71 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
         return {**dims, **facts}
     out = read_star(spark, target, names=[*dims, *facts], fmt=fmt,
                     database=table_opts.get("database"),
-                    schemas={**schemas, **{n: f.schema for n, f in facts.items()}})
+                    schemas={n: f.schema for n, f in {**dims, **facts}.items()})
     for n, d in dims.items():
         remember_rows(out[n], known_rows(d))  # exact counts from the key jobs
     return out
 
 
+def _build_staged(spark, sources, target, fmt, table_opts, build_opts, parallel):
+    """Folder targets: each group of dependent tables (a fact with the
+    dimensions it looks up) is built and written into one staging folder,
+    groups at the same time; all nine tables are moved into place together
+    at the end, or the staging folder is removed."""
+    date_lookup = build_opts.get("date_lookup", "computed")
+    st = star_plan.Star(sources, build_opts.get("grain", "day"),
+                        build_opts.get("include_shipping", True),
+                        num_buckets=build_opts.get("num_buckets"),
+                        previous=build_opts.get("previous"))
+    stage = _path(target, f"_staging-{uuid.uuid4().hex}")
+
+    def group(dim_names, fact_names):
+        st.prepare(dim_names, parallel)
+        dims = {n: st[n] for n in dim_names}
+        write_star(dims, stage, fmt=fmt, staged=False, parallel=parallel, **table_opts)
+        # facts look up the written dimensions (parquet), never recomputing
+        # one; CSV dimensions are used as built (their keys are checkpointed)
+        used = (read_star(spark, stage, names=dims, schemas={n: d.schema for n, d in dims.items()})
+                if fmt == "parquet" and dims else dict(dims))
+        for n, d in dims.items():
+            remember_rows(used[n], known_rows(d))
+        facts = star_plan.build_facts(sources, used, build_opts.get("null_safe", False),
+                                      date_lookup, names=fact_names)
+        write_star(facts, stage, fmt=fmt, staged=False, parallel=parallel, **table_opts)
+        return dims, used, facts
+
+    try:
+        done = run_concurrently({i: (lambda g=g: group(*g))
+                                 for i, g in enumerate(star_plan.table_groups(date_lookup))},
+                                parallel)
+    except Exception:
+        _delete(stage)  # the published star was never touched
+        raise
+    dims, used, facts = {}, {}, {}
+    for d, u, f in done.values():
+        dims.update(d), used.update(u), facts.update(f)
+    dims = {n: dims[n] for n in star_plan.DIMENSIONS}
+    facts = {n: facts[n] for n in star_plan.FACTS}
+    _swap_in([*dims, *facts], stage, target)
+    return dims, used, facts
+
+
+def _build_in_place(spark, sources, target, table_opts, build_opts, parallel):
+    """Catalog tables: dimensions written first, then the facts built from them."""
+    dims = star_plan.build_dimensions(sources, build_opts.get("grain", "day"),
+                                      build_opts.get("include_shipping", True),
+                                      build_opts.get("num_buckets"),
+                                      build_opts.get("previous"), parallel=parallel)
+    write_star(dims, target, fmt="table", **table_opts)
+    used = read_star(spark, target, names=dims, fmt="table", database=table_opts.get("database"))
+    for n, d in dims.items():
+        remember_rows(used[n], known_rows(d))
+    facts = star_plan.build_facts(sources, used, build_opts.get("null_safe", False),
+                                  build_opts.get("date_lookup", "computed"))
+    write_star(facts, target, fmt="table", **table_opts)
+    return dims, used, facts
+
+
 def read_star(spark: SparkSession, target: str, names=None, fmt: str = "parquet",
               database: str | None = None, schemas: dict | None = None) -> dict[str, DataFrame]:
     """The written tables; ``schemas`` (as just written) skips footer inference."""
