@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
@@ -15,6 +16,8 @@ from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
+_CHECKPOINT_LOCK = threading.Lock()
+
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -67,17 +70,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     an error rather than a machine-local fallback.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if conf:
-        sc.setCheckpointDir(conf)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-ckpt-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (needed for dense keys)")
-    return sc.getCheckpointDir()
+    with _CHECKPOINT_LOCK:  # dimensions may be keyed from several threads at once
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        conf = (spark.conf.get("spark.checkpoint.dir", None)
+                or sc.getConf().get("spark.checkpoint.dir", None))
+        if conf:
+            sc.setCheckpointDir(conf)
+        elif sc.master.startswith("local"):
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-ckpt-"))
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (needed for dense keys)")
+        return sc.getCheckpointDir()
 
 
 def run_concurrently(actions: dict[str, Callable[[], object]], parallel: int | None = None) -> dict:
