@@ -263,7 +263,9 @@ def _build_staged(spark, sources, target, fmt, table_opts, build_opts, parallel)
         raise
     dims, used, facts = {}, {}, {}
     for d, u, f in done.values():
-        dims.update(d), used.update(u), facts.update(f)
+        dims.update(d)
+        used.update(u)
+        facts.update(f)
     dims = {n: dims[n] for n in star_plan.DIMENSIONS}
     facts = {n: facts[n] for n in star_plan.FACTS}
     _swap_in([*dims, *facts], stage, target)
