@@ -176,3 +176,16 @@ def test_only_free_text_extracts_are_read_multi_line(spark, scratch):
         assert src["order_reviews"].first().review_comment_message == "two\nlines"
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_write_star_tables_with_exact_date_lookup(spark, scratch):
+    """Exact lookups tie every fact to dim_date, so the build runs as one group."""
+    from starloom.plans.star import DIMENSIONS, FACTS, table_groups
+    assert table_groups("exact") == [(list(DIMENSIONS), list(FACTS))]
+    star = write_star_tables(spark, roles_of(spark, SF), scratch, grain="timestamp",
+                             include_shipping=False, date_lookup="exact")
+    assert sorted(os.listdir(scratch)) == sorted([*DIMENSIONS, *FACTS])
+    items = star["fact_order_items"]
+    assert items.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    # Shipping times are not date sources, so most have no exact id
+    assert items.where("shipping_limit_date_id IS NULL").count() > 0
