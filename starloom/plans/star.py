@@ -80,7 +80,8 @@ class Star(Mapping):
         are submitted together."""
         wanted = [d for n in names for d in (FACT_DIMENSIONS.get(n, ()) if n in FACTS else (n,))]
         todo = [n for n in dict.fromkeys(wanted) if n in DIMENSIONS and n not in self._built]
-        built = run_concurrently({n: (lambda n=n: self._make(n)) for n in todo}, parallel)
+        spark = next(iter(self.sources.values())).sparkSession if self.sources else None
+        built = run_concurrently({n: (lambda n=n: self._make(n)) for n in todo}, parallel, spark)
         self._built.update(built)
 
     def __iter__(self):

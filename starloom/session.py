@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
-from pyspark import SparkConf, SparkContext
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_LOCK = threading.Lock()
@@ -85,18 +85,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
 
 
-def run_concurrently(actions: dict[str, Callable[[], object]], parallel: int | None = None) -> dict:
+def run_concurrently(actions: dict[str, Callable[[], object]], parallel: int | None = None,
+                     spark: SparkSession | None = None) -> dict:
     """Run independent Spark actions (one per table) from a small thread
     pool, so their jobs share the cluster: cores that one job's last tasks
     leave idle go to the others.  When one action fails, the Spark jobs of
     the others are cancelled (one job group per call) rather than left to run
     to the end; every action has returned before that failure is raised, so
     a caller never acts on a half-done set.  ``parallel=1`` runs them one
-    after another."""
+    after another.  Without ``spark`` (plain Python actions) nothing is
+    cancelled."""
     n = min(parallel or len(actions), len(actions))
     if n <= 1:
         return {k: f() for k, f in actions.items()}
-    sc = SparkContext._active_spark_context
+    sc = spark.sparkContext if spark is not None else None
     # nested calls (a group of tables whose own steps run concurrently) share
     # the outer job group, so one failure cancels every sibling job
     inherited = sc.getLocalProperty("spark.jobGroup.id") if sc is not None else None

@@ -123,9 +123,10 @@ def write_star(tables: dict[str, DataFrame], target: str, fmt: str = "parquet",
         return {n: n for n in tables}
     writer = {"parquet": write_parquet, "csv": write_csv}[fmt]
     stage = _path(target, f"_staging-{uuid.uuid4().hex}") if staged else target
+    spark = next(iter(tables.values())).sparkSession if tables else None
     run_concurrently({name: (lambda name=name, df=df: writer(_ordered(name, df), _path(stage, name),
                                                            mode=mode))
-                      for name, df in tables.items()}, parallel)
+                      for name, df in tables.items()}, parallel, spark)
     if staged:
         _swap_in(tables, stage, target)
     return {n: _path(target, n) for n in tables}
@@ -257,7 +258,7 @@ def _build_staged(spark, sources, target, fmt, table_opts, build_opts, parallel)
     try:
         done = run_concurrently({i: (lambda g=g: group(*g))
                                  for i, g in enumerate(star_plan.table_groups(date_lookup))},
-                                parallel)
+                                parallel, spark)
     except Exception:
         _delete(stage)  # the published star was never touched
         raise

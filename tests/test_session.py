@@ -42,7 +42,8 @@ def test_results_by_name_and_sequential_mode():
 
 
 def test_spark_jobs_from_threads(spark):
-    out = run_concurrently({n: (lambda n=n: spark.range(n * 1000).count()) for n in (1, 2, 3)})
+    out = run_concurrently({n: (lambda n=n: spark.range(n * 1000).count()) for n in (1, 2, 3)},
+                           spark=spark)
     assert out == {1: 1000, 2: 2000, 3: 3000}
 
 
@@ -57,5 +58,5 @@ def test_first_failure_cancels_sibling_spark_jobs(spark):
 
     t = time.perf_counter()
     with pytest.raises(ValueError, match="first"):
-        run_concurrently({"slow": slow_job, "bad": fails_fast})
+        run_concurrently({"slow": slow_job, "bad": fails_fast}, spark=spark)
     assert time.perf_counter() - t < 7
