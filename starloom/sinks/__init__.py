@@ -132,37 +132,64 @@ def write_star(tables: dict[str, DataFrame], target: str, fmt: str = "parquet",
     return {n: _path(target, n) for n in tables}
 
 
-def _fs(path: str):
-    spark = SparkSession.getActiveSession()
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+class _Folders:
+    """Folder operations (exists, rename, delete) on whatever Hadoop file
+    system a path names.  PySpark has no public API for them, so this is the
+    one place that goes through the JVM gateway."""
+
+    def __init__(self, path: str, spark: SparkSession | None = None):
+        spark = spark or SparkSession.getActiveSession()
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self, path: str) -> bool:
+        return bool(self._fs.exists(self._path(path)))
+
+    def mkdirs(self, path: str) -> None:
+        self._fs.mkdirs(self._path(path))
+
+    def rename(self, src: str, dst: str) -> None:
+        if not self._fs.rename(self._path(src), self._path(dst)):
+            raise OSError(f"could not move {src} to {dst}")
+
+    def delete(self, path: str) -> None:
+        if self.exists(path):
+            self._fs.delete(self._path(path), True)
 
 
 def _delete(path: str) -> None:
     """Remove a staging folder (any Hadoop file system)."""
-    fs, p = _fs(path)
-    if fs.exists(p):
-        fs.delete(p, True)
+    _Folders(path).delete(path)
 
 
 def _swap_in(tables, stage: str, target: str) -> None:
     """Move staged tables into place through the Hadoop FileSystem API, so it
-    works on any cluster file system."""
-    spark = SparkSession.getActiveSession()
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path
-    fs = Path(target).getFileSystem(conf)
+    works on any cluster file system.  If a move fails, every table already
+    moved is put back to its previous version before the error is raised."""
+    fs = _Folders(target)
     old = _path(stage, "_previous")
-    fs.mkdirs(Path(old))
-    for name in tables:
-        dst = Path(_path(target, name))
-        # move the live table aside first: at every moment either the old or
-        # the new version is in place (or both, under the staging folder)
-        if fs.exists(dst):
-            fs.rename(dst, Path(_path(old, name)))
-        fs.rename(Path(_path(stage, name)), dst)
-    fs.delete(Path(stage), True)
+    fs.mkdirs(old)
+    moved = []  # (name, had a previous version)
+    try:
+        for name in tables:
+            dst = _path(target, name)
+            had_old = fs.exists(dst)
+            # move the live table aside first: at every moment either the old
+            # or the new version is in place (or both, under the staging folder)
+            if had_old:
+                fs.rename(dst, _path(old, name))
+            moved.append((name, had_old))
+            fs.rename(_path(stage, name), dst)
+    except Exception:
+        for name, had_old in reversed(moved):
+            dst, staged = _path(target, name), _path(stage, name)
+            if fs.exists(dst) and not fs.exists(staged):
+                fs.rename(dst, staged)
+            if had_old:
+                fs.rename(_path(old, name), dst)
+        fs.delete(stage)
+        raise
+    fs.delete(stage)
 
 
 SHARED_SOURCES = ("orders", "order_items", "order_reviews", "order_payments")

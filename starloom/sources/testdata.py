@@ -42,17 +42,18 @@ TRANSLATION_ROWS = [("ECONOMY", "economy"), ("LARGE", "large"), ("MEDIUM", "medi
 ORDER_DAY_FACTOR = 100_000_000  # user_id * factor + yyyymmdd = payment order id
 
 
-_TABLES: dict[tuple, DataFrame] = {}
+_TABLES: dict[tuple, tuple[SparkSession, DataFrame]] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The test table as a DataFrame; the plan (not data) is reused per
     session, so its footer is read once however many roles use it."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    key = (id(spark), path)
+    hit = _TABLES.get(key)
+    if hit is None or hit[0] is not spark:  # the session is held, so its id is not reused
+        _TABLES[key] = hit = (spark, spark.read.parquet(path))
+    return hit[1]
 
 
 def _tables(spark, sf_dir, names):

@@ -53,13 +53,10 @@ def profile_arrivals(spark: SparkSession, folder: str, source: str, profile_path
 def _published_dimensions(spark: SparkSession, target: str) -> dict[str, DataFrame] | None:
     """The dimensions of the star currently at ``target``, if there is one."""
     from starloom.plans.star import DIMENSIONS
-    from starloom.sinks import read_star
+    from starloom.sinks import _Folders, read_star
 
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [n for n in DIMENSIONS if n != "dim_date"
-             and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{n}"))]
+    fs = _Folders(target, spark)
+    names = [n for n in DIMENSIONS if n != "dim_date" and fs.exists(f"{target.rstrip('/')}/{n}")]
     return read_star(spark, target, names=names) if names else None
 
 
