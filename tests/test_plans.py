@@ -50,3 +50,13 @@ def test_revenue_labels_fact_rows_map_side_and_both_paths_agree(spark, tmp_path)
     large = A.revenue_by_category_month(*args, broadcast_max_rows=0)
     assert re.search(r"HashAggregate\(keys=\[[^\]]*product_sk", _plan(large))
     assert sorted(small.collect()) == sorted(large.collect())
+
+
+def test_no_registered_query_runs_python(spark):
+    """Every registered query stays JVM-side: no Python UDF or Arrow eval node."""
+    import re
+
+    import __spark_entry__ as E
+    python_nodes = re.compile(r"BatchEvalPython|ArrowEvalPython|PythonUDF|MapInPandas|FlatMapGroupsInPandas")
+    for name, q in E.queries().items():
+        assert not python_nodes.search(_plan(q(spark, SF))), name
