@@ -128,7 +128,7 @@ def write_star(tables: dict[str, DataFrame], target: str, fmt: str = "parquet",
                                                            mode=mode))
                       for name, df in tables.items()}, parallel, spark)
     if staged:
-        _swap_in(tables, stage, target)
+        _swap_in(tables, stage, target, spark)
     return {n: _path(target, n) for n in tables}
 
 
@@ -157,16 +157,16 @@ class _Folders:
             self._fs.delete(self._path(path), True)
 
 
-def _delete(path: str) -> None:
+def _delete(path: str, spark: SparkSession | None = None) -> None:
     """Remove a staging folder (any Hadoop file system)."""
-    _Folders(path).delete(path)
+    _Folders(path, spark).delete(path)
 
 
-def _swap_in(tables, stage: str, target: str) -> None:
+def _swap_in(tables, stage: str, target: str, spark: SparkSession | None = None) -> None:
     """Move staged tables into place through the Hadoop FileSystem API, so it
     works on any cluster file system.  If a move fails, every table already
     moved is put back to its previous version before the error is raised."""
-    fs = _Folders(target)
+    fs = _Folders(target, spark)
     old = _path(stage, "_previous")
     fs.mkdirs(old)
     moved = []  # (name, had a previous version)
@@ -287,7 +287,7 @@ def _build_staged(spark, sources, target, fmt, table_opts, build_opts, parallel)
                                  for i, g in enumerate(star_plan.table_groups(date_lookup))},
                                 parallel, spark)
     except Exception:
-        _delete(stage)  # the published star was never touched
+        _delete(stage, spark)  # the published star was never touched
         raise
     dims, used, facts = {}, {}, {}
     for d, u, f in done.values():
@@ -296,7 +296,7 @@ def _build_staged(spark, sources, target, fmt, table_opts, build_opts, parallel)
         facts.update(f)
     dims = {n: dims[n] for n in star_plan.DIMENSIONS}
     facts = {n: facts[n] for n in star_plan.FACTS}
-    _swap_in([*dims, *facts], stage, target)
+    _swap_in([*dims, *facts], stage, target, spark)
     return dims, used, facts
 
 
