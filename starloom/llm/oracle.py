@@ -13,9 +13,13 @@ def _sharding() -> str:
     hexadecimal digit a slot; key digest, slot and lookup are SQL's own."""
     import hashlib
     slots, names = sharding.SLOTS, sharding.SHARDS
-    digest = {n: hashlib.sha256(n.encode()).hexdigest() for n in names}
-    walk = {n: ((int(digest[n][:16], 16) + j * (int(digest[n][16:32], 16) % (slots - 1) + 1)) % slots
-                for j in range(slots)) for n in names}
+
+    def permutation(name):
+        digest = hashlib.sha256(name.encode()).hexdigest()
+        first, step = int(digest[:16], 16) % slots, int(digest[16:32], 16) % (slots - 1) + 1
+        return ((first + j * step) % slots for j in range(slots))
+
+    walk = {n: permutation(n) for n in names}
     free, digits = set(range(slots)), ["?"] * slots
     while free:
         for i, n in enumerate(names):

@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import entropy_mix, sharding
+from starloom.llm import entropy_mix, ngram_jaccard, sharding
 from starloom.llm.common import table
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -23,4 +29,4 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_sharding, op10_source_mix)}
+    f.__name__: f for f in (op1_ngram_jaccard, op4_sharding, op10_source_mix)}
