@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import entropy_mix, ngram_jaccard, sharding
+from starloom.llm import decontaminate, entropy_mix, ngram_jaccard, sharding, toxicity
 from starloom.llm.common import table
 
 
@@ -22,6 +23,22 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs).select("doc_id", "shard")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document; labels of held-out rows are not learned."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.trained(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        toxicity.threshold(model, F.col("lang")).alias("lang_threshold"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items they hold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target of every document's source and the words the mix takes of it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -29,4 +46,4 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op4_sharding, op10_source_mix)}
+    f.__name__: f for f in (op1_ngram_jaccard, op4_sharding, op5_toxicity, op7_decontamination, op10_source_mix)}
