@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, entropy_mix, ngram_jaccard, sharding, toxicity
+from starloom.llm import decontaminate, entropy_mix, ngram_jaccard, sharding, substring_dedup, toxicity
 from starloom.llm.common import table
 
 
@@ -33,6 +33,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         toxicity.threshold(model, F.col("lang")).alias("lang_threshold"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document, those that repeated windows cover, and the digest of the rest."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).drop("kept")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items they hold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,4 +52,4 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op4_sharding, op5_toxicity, op7_decontamination, op10_source_mix)}
+    f.__name__: f for f in (op1_ngram_jaccard, op4_sharding, op5_toxicity, op6_substring_dedup, op7_decontamination, op10_source_mix)}
