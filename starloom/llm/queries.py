@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import decontaminate, entropy_mix, ngram_jaccard, sharding, substring_dedup, toxicity
+from starloom.llm import cross_polytope, decontaminate, entropy_mix, ngram_jaccard, sharding, substring_dedup, toxicity, warc_revisit
 from starloom.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every 20th embedding."""
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -45,6 +50,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op9_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revisit of the crawl that the pages make, resolved."""
+    return warc_revisit.resolve(warc_revisit.captures(table(spark, sf_dir, "pages")))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target of every document's source and the words the mix takes of it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -52,4 +62,4 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op4_sharding, op5_toxicity, op6_substring_dedup, op7_decontamination, op10_source_mix)}
+    f.__name__: f for f in (op1_ngram_jaccard, op3_cross_polytope, op4_sharding, op5_toxicity, op6_substring_dedup, op7_decontamination, op9_warc_revisit, op10_source_mix)}
