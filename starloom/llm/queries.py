@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import cross_polytope, decontaminate, entropy_mix, ngram_jaccard, sharding, substring_dedup, toxicity, warc_revisit
+from starloom.llm import cross_polytope, decontaminate, entropy_mix, katz, ngram_jaccard, secret_scan, sharding, substring_dedup, toxicity, warc_revisit
 from starloom.llm.common import table
 
 
@@ -17,6 +17,13 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document under a model of those not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    return katz.score(docs, held)
+
+
 def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every 20th embedding."""
     return cross_polytope.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
@@ -50,6 +57,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings in every document."""
+    return secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every revisit of the crawl that the pages make, resolved."""
     return warc_revisit.resolve(warc_revisit.captures(table(spark, sf_dir, "pages")))
@@ -62,4 +74,4 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op3_cross_polytope, op4_sharding, op5_toxicity, op6_substring_dedup, op7_decontamination, op9_warc_revisit, op10_source_mix)}
+    f.__name__: f for f in (op1_ngram_jaccard, op2_katz, op3_cross_polytope, op4_sharding, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_secret_scan, op9_warc_revisit, op10_source_mix)}
