@@ -238,8 +238,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     members = live.select("node").distinct()
     pick = (rows.select("node", "doc_id").join(members, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
     text_of = (src.join(pick.withColumnRenamed("node", "__sl_node"), "doc_id", "inner").select(F.col("__sl_node").alias("node"), "text"))
-    # a doc_id may repeat with other texts: keep the text that makes the node
-    sets = written(text_of.mapInArrow(_keyed_sets(k), "node long, items array<long>").dropDuplicates(["node"]), "items")
+    # a doc_id may repeat with other texts: only the text that makes the node counts; equal rows repeat a set, and so a link
+    sets = written(text_of.mapInArrow(_keyed_sets(k), "node long, items array<long>"), "items")
     free_shuffles(spark)
     links = written(_verified(first, sets, num, den), "links")
     comp = components(links)
