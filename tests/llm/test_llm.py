@@ -1,0 +1,166 @@
+"""Operators on small tables with nulls, empties, repeats and clashing columns,
+against brute force where they are exact."""
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.llm import (cross_polytope, decontaminate, entropy_mix, katz, ngram_jaccard, secret_scan, sharding,
+                          substring_dedup, toxicity, warc_revisit)
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node long, shard string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(300)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    base, passage = text(60), text(50)
+    rows = [(1, base), (2, base), (3, base.replace(base.split()[30], "other", 1)), (4, passage + " " + text(20)),
+            (5, text(30) + "\n" + passage), (6, None), (7, ""), (8, " \t\n"), (9, "One Two"), (10, "one two"),
+            (11, "a"), (None, base), (12, text(40)), (12, text(40)), (13, "x" * 5000), (13, "x" * 5000), (14, text(3000))]
+    return spark.createDataFrame([(i, t, "en", None if n % 5 == 0 else f"s{n % 3}", 0, 7, "old") for n, (i, t) in enumerate(rows)],
+                                 SCHEMA).cache()
+
+
+def _lower(t):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+
+
+def test_jaccard_against_brute_force(docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    sets = []
+    for _, t in rows:
+        w = WORD.findall(_lower(t))
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    comp = list(range(len(rows)))
+    for _ in rows:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                    comp[i] = comp[j] = min(comp[i], comp[j])
+    want = []
+    for i, (d, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if comp[j] == comp[i] and rows[j][0] is not None]
+        want.append((d, len(sets[i]), (min(ids) if ids else None) if sets[i] else d))
+    got = [tuple(r)[:3] for r in ngram_jaccard.near_duplicates(docs).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_signatures_lose_no_link():
+    rng = np.random.default_rng(1)
+    for trial in range(600):
+        a = int(rng.integers(1, 60)) if trial % 2 else int(rng.integers(60, 400))
+        x = rng.integers(1, 2 ** 63, a, dtype=np.uint64)
+        d = int(rng.integers(0, a // 4 + 1))
+        e = int(rng.integers(0, d + 1))
+        y = np.unique(np.concatenate([x[e:], rng.integers(1, 2 ** 63, d - e, dtype=np.uint64)]))
+        x = np.unique(x)
+        i = len(np.intersect1d(x, y))
+        if len(y) and 100 * i >= 80 * (len(x) + len(y) - i):
+            who, v, *_ = ngram_jaccard.signatures(np.array([len(x), len(y)]), np.concatenate([x, y]))
+            assert len(np.intersect1d(v[who == 0], v[who == 1]))
+
+
+def test_substring_dedup_against_brute_force(docs):
+    rows = [(r.doc_id, WORD.findall(r.text or "")) for r in docs.collect()]
+    seen = {}
+    for _, w in rows:
+        for i in range(len(w) - 34):
+            seen[tuple(w[i:i + 35])] = seen.get(tuple(w[i:i + 35]), 0) + 1
+    want = []
+    for d, w in rows:
+        gone = set()
+        for i in range(len(w) - 34):
+            if seen[tuple(w[i:i + 35])] > 1:
+                gone |= set(range(i, i + 35))
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        want.append((d, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    got = [tuple(r)[:4] for r in substring_dedup.remove_repeats(docs).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert sum(x[2] for x in got)
+
+
+def test_sharding_places_all_rows_and_replaces_the_column(docs):
+    out = sharding.place(docs)
+    assert out.columns == docs.columns and out.count() == docs.count()
+    assert out.where("shard = 'old'").count() == 0
+    share = np.bincount(sharding.lookup_table(sharding.SHARDS))
+    assert share.max() - share.min() <= 1
+
+
+def test_mix_meets_targets_and_limits(spark, docs):
+    rows = entropy_mix.mix(docs).collect()
+    assert len(rows) == docs.count()
+    assert all(0 <= r.taken <= 3 * r.size for r in rows)
+    again = entropy_mix.mix(docs.repartition(3)).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, again), key=repr)
+    mass = spark.createDataFrame([("a", 1000), ("b", 10), (None, 500)], "level string, base long")
+    got = {r.level: r.target for r in entropy_mix.source_targets(mass).collect()}
+    # 5, 2, 1: b stops at 30, the rest is shared 5 to 1
+    assert got == {"a": pytest.approx(1480 * 5 / 6), "b": 30.0, None: pytest.approx(1480 / 6)}
+
+
+def test_nearest_equals_brute_force_when_all_axes_are_probed(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 8))
+    rows = [(i, [float(v) for v in x[i]]) for i in range(60)] + [(60 + i, [float(v) for v in x[3]]) for i in range(30)]
+    bad = [(200, None), (220, [0.0] * 8), (240, [float("nan")] * 8), (260, [1.0] * 7 + [None]), (None, [1.0] * 8)]
+    df = spark.createDataFrame(rows + bad, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): r.vec_id for r in cross_polytope.nearest(df, probes=16).collect()}
+    ids, m = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    for i in (0, 20, 40, 60, 80):
+        s = np.round(m @ m[list(ids).index(i)], 9)
+        best = [int(j) for j in ids[np.lexsort((ids, -s))] if j != i][:20]
+        assert [got[i, k + 1] for k in range(20)] == best
+
+
+def test_revisits(spark):
+    h = lambda e: {"etag": e} if e else {}
+    df = spark.createDataFrame([
+        (1, "http://www.a.org/x/?utm_source=f#t", 1, 200, {**h("p"), "content-type": "text/html"}), (2, "https://A.org/x", 5, 304, h("p")),
+        (3, "https://a.org/x", 200000, 304, h("q")), (4, "https://a.org/x", 200001, 304, {}), (5, "https://b.org", 1, 304, h("p")),
+        (6, None, 9, 304, h("p"))], "record_id long, url string, ts long, status int, headers map<string,string>")
+    got = {r.record_id: (r.verdict, r.response_id) for r in warc_revisit.resolve(df).collect()}
+    assert got == {2: ("resolved", 1), 3: ("mismatch", 1), 4: ("unvalidated", 1), 5: ("orphan", None), 6: ("orphan", None)}
+
+
+def test_katz_probabilities_and_counts(docs):
+    held = F.coalesce(F.col("doc_id") == 12, F.lit(False))
+    rows = katz.score(docs, held).collect()
+    assert len(rows) == docs.count()
+    assert {r.n_tokens for r in rows if r.doc_id in (6, 7, 8)} == {1}
+    assert all(r.score < 0 and r.base_score < 0 and r.n_known <= r.n_tokens for r in rows)
+
+
+def test_template_matches_reparameterised_items(spark, docs):
+    items = spark.createDataFrame([(1, "if Anna has 12 kg of apples and gives 12 kg away then what remains"), (2, None), (3, "a b")],
+                                  "item_id long, text string")
+    d = spark.createDataFrame([(1, "x if Bob has 7 kg of apples and gives 7 kg away then what remains"),
+                               (2, "x if Bob has 7 kg of apples and gives 8 kg away then what remains"), (3, None)], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.matches(d, items).collect()] == [1]
+    assert decontaminate.clean(docs, items).count() == docs.count()
+
+
+def test_secret_patterns():
+    # a dropped match still takes its characters: nothing is left for "token ="
+    assert secret_scan.base("password: token = abcdefgh1") == []
+    assert secret_scan.base("AKIAABCDEFGH1234 AKIAABC " + "0" * 32) == [(0, 1, 16), (25, 2, 57)]
+    assert secret_scan.base("API_KEY='abcd1234'") == [(0, 0, 17)]
+
+
+def test_toxicity_without_labels(docs):
+    out = toxicity.score(docs, {"share": 0.0}).collect()
+    assert len(out) == docs.count() and {r.score for r in out} == {0.0}
+
+
+@pytest.mark.parametrize("apply", [
+    lambda d: ngram_jaccard.near_duplicates(d), lambda d: substring_dedup.remove_repeats(d), lambda d: sharding.place(d),
+    lambda d: entropy_mix.mix(d), lambda d: katz.score(d, F.lit(False)), lambda d: secret_scan.scan(d)])
+def test_empty_table(docs, apply):
+    assert apply(docs.limit(0)).count() == 0
