@@ -48,7 +48,9 @@ def floor_days(end, start) -> Column:
     calendar-day boundaries; neither floors a negative 1.25 days to -2.
     """
     micros = F.timestamp_diff("MICROSECOND", _col(start), _col(end))
-    return F.floor(micros / F.lit(MICROS_PER_DAY)).cast("int")
+    # in whole numbers: a double cannot hold the microseconds of far dates
+    return F.call_function("div", micros - F.pmod(micros, F.lit(MICROS_PER_DAY).cast("long")),
+                           F.lit(MICROS_PER_DAY).cast("long")).cast("int")
 
 
 def calendar_columns(c) -> dict[str, Column]:

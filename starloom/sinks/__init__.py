@@ -82,9 +82,11 @@ def write_table(df: DataFrame, name: str, database: str | None = None, mode: str
     Names are database-qualified, so a temporary view of the same name never
     shadows the table."""
     full = f"{database or df.sparkSession.catalog.currentDatabase()}.{name}"
+    n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if bucket_by:  # one task a bucket: at most one file each, however many tasks feed them
+        df = df.repartition(n, bucket_by)
     w = df.write.mode(mode).format("parquet")
     if bucket_by:
-        n = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         w = w.bucketBy(n, bucket_by).sortBy(bucket_by)
     if path:
         w = w.option("path", path)
