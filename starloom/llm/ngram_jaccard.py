@@ -24,11 +24,16 @@ away from the square of a group's size:
    settles groups of near copies with one pair a member; the components found
    so far are then taken, and members outside are held against the least of
    themselves;
-3. what remains are groups whose members are in different components.  A
-   group where that would cost more than ``HOT`` pairs is dropped for every
-   node whose dropped and empty partitions stay below ``m`` (such a node still
-   shares another partition with any partner); pairs across components of the
-   rest are tested, all of them.
+3. what remains are groups whose members are in different components.  Among
+   groups where that would cost more than ``HOT`` pairs, every node leaves its
+   largest ones, as long as its left and empty partitions stay below ``m``: the
+   rarest partition that two linked sets share is then kept by both.  Pairs
+   across components in what is left are tested, all of them.
+
+A pair is tested by its sizes, then by parity sketches (one bit per hash value
+modulo a power of two, whether an odd number of elements has it): sketches
+differ in no more bits than the sets in elements, so no link is lost, and only
+the pairs left need the sets themselves.
 
 The components are therefore exactly those of all links, but for clashes of
 64-bit hashes.
@@ -173,15 +178,58 @@ def _long(a: np.ndarray) -> pa.Array:
     return pa.array(a.view(np.int64) if a.dtype == np.uint64 else a)
 
 
+def sketches(per: np.ndarray, s: np.ndarray) -> list[np.ndarray]:
+    """Parity sketch of each set, as bytes; at least 256 bits, and 2 per element."""
+    out, first = [], np.cumsum(per) - per
+    h = TS.mix(s ^ _SEED[2])
+    for a, c in zip(first.tolist(), per.tolist()):
+        bits = 1 << max(8, int(2 * c - 1).bit_length()) if c else 256
+        at = (h[a:a + c] & _U(bits - 1)).astype(np.int64)
+        out.append(np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little"))
+    return out
+
+
+def folded(x: np.ndarray, size: int) -> np.ndarray:
+    """A sketch folded to ``size`` bytes."""
+    while len(x) > size:
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return x
+
+
+def most_apart(a, b, num: int, den: int):
+    """Elements in which linked sets of sizes ``a`` and ``b`` differ at most."""
+    least_common = -((-num * (a + b)) // (num + den))
+    return a + b - 2 * least_common
+
+
+def _near(num: int, den: int):
+    """Pairs whose sizes and sketches allow a link."""
+    def run(batches):
+        for b in batches:
+            na, nb = np.asarray(b.column(2)), np.asarray(b.column(4))
+            ok = (np.minimum(na, nb) * den >= np.maximum(na, nb) * num)
+            most = most_apart(na, nb, num, den)
+            for i in np.flatnonzero(ok):
+                x, y = (np.frombuffer(b.column(c)[i].as_buffer(), np.uint8) for c in (3, 5))
+                size = min(len(x), len(y))
+                ok[i] = int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum(dtype=np.int64)) <= most[i]
+            keep = pa.array(ok)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), b.column(1).filter(keep)], ["u", "v"])
+    return run
+
+
 def _nodes(k: int, num: int, den: int):
     def run(batches):
         for b in batches:
             for lo, hi, per, s in _sets(b.column(1), k):
                 _, _, band, s0, s1 = signatures(per, s, num, den)
+                sk = sketches(per, s)
+                p = np.stack([folded(x, 16) for x in sk]).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), _long(node_keys(per, s)), _long(per.astype(np.int64)),
-                     pa.array(band.astype(np.int32)), pa.array(s0.astype(np.int32)), pa.array(s1.astype(np.int32))],
-                    ["doc_id", "node", "n", "band", "s0", "s1"])
+                     pa.array(band.astype(np.int32)), pa.array(s0.astype(np.int32)), pa.array(s1.astype(np.int32)),
+                     pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array([x.tobytes() for x in sk], pa.binary())],
+                    ["doc_id", "node", "n", "band", "s0", "s1", "p0", "p1", "sketch"])
     return run
 
 
@@ -204,15 +252,30 @@ def _signed(k: int, num: int, den: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame, src: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """The pairs (u, v) whose sets link."""
+    ends = lambda p: p.select(F.col("u").alias("node")).unionByName(p.select(F.col("v").alias("node"))).distinct()
+    small = rows.join(ends(pairs), "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    small = written(small, "sketches")
+    of = lambda end, at: small.select(F.col("node").alias(end), F.col("n").alias(f"n{at}"), F.col("sketch").alias(f"s{at}"))
+    met = pairs.join(of("v", 1), "v").join(of("u", 0), "u").select("u", "v", "n0", "s0", "n1", "s1")
+    near = written(met.mapInArrow(_near(num, den), "u long, v long"), "near")
+
+    # the sets themselves, from one row of documents each
+    pick = (rows.select("node", "doc_id").join(ends(near), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("d"))
+            .withColumnRenamed("node", "__sl_node"))
+    text_of = src.join(pick, src["doc_id"].eqNullSafe(pick["d"])).select(F.col("__sl_node").alias("node"), "text")
+    # a doc_id may repeat with other texts: only the text that makes the node counts; equal rows repeat a set, and so a link
+    sets = written(text_of.mapInArrow(_keyed_sets(k), "node long, items array<long>"), "items")
     a = sets.select(F.col("node").alias("u"), F.col("items").alias("a"))
     b = sets.select(F.col("node").alias("v"), F.col("items").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
-    return (pairs.join(b, "v").join(a, "u")
-            .withColumn("both", both)
-            .where(F.col("both") * den >= (F.size("a") + F.size("b") - F.col("both")) * num)
-            .select("u", "v"))
+    links = written(near.join(b, "v").join(a, "u")
+                    .withColumn("both", both)
+                    .where(F.col("both") * den >= (F.size("a") + F.size("b") - F.col("both")) * num)
+                    .select("u", "v"), "links")
+    free_shuffles(src.sparkSession)
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = K,
@@ -223,7 +286,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     doc_type = docs.schema[id_col].dataType.simpleString()
     src = docs.select(q(id_col).alias("doc_id"), q(text).cast("string").alias("text"))
     rows = written(src.mapInArrow(_nodes(k, num, den),
-                                  f"doc_id {doc_type}, node long, n long, band int, s0 int, s1 int"), "sets")
+                                  f"doc_id {doc_type}, node long, n long, band int, s0 int, s1 int, p0 long, p1 long, sketch binary"), "sets")
 
     # signature groups with more than one node
     signed = src.select("text").mapInArrow(_signed(k, num, den), "sig long, node long")
@@ -234,14 +297,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     # every member against the least node of its group
     first = written(live.where(F.col("node") != F.col("rep")).select(F.col("rep").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
-    # the sets of nodes that share a signature; one row of documents each
-    members = live.select("node").distinct()
-    pick = (rows.select("node", "doc_id").join(members, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id")))
-    text_of = (src.join(pick.withColumnRenamed("node", "__sl_node"), "doc_id", "inner").select(F.col("__sl_node").alias("node"), "text"))
-    # a doc_id may repeat with other texts: only the text that makes the node counts; equal rows repeat a set, and so a link
-    sets = written(text_of.mapInArrow(_keyed_sets(k), "node long, items array<long>"), "items")
-    free_shuffles(spark)
-    links = written(_verified(first, sets, num, den), "links")
+    links = _verified(first, rows, src, k, num, den)
     comp = components(links)
 
     def labelled(groups: DataFrame) -> DataFrame:
@@ -259,14 +315,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     second = (outside.join(rep2, "sig").where(F.col("comp") != F.col("r.comp"))
               .select(F.col("r.node").alias("u"), F.col("node").alias("v")).distinct())
     second = written(second, "pairs")
-    links = links.unionByName(written(_verified(second, sets, num, den), "links"))
+    links = links.unionByName(_verified(second, rows, src, k, num, den))
     comp = components(links)
     tested = first.unionByName(second)
 
     left = written(labelled(left).select("sig", "node", "comp"), "open")
-    third = _across(left, rows, hot).join(tested, ["u", "v"], "left_anti")
+    third = _across(left, rows, hot, num, den).join(tested, ["u", "v"], "left_anti")
     third = written(third, "pairs")
-    links = links.unionByName(written(_verified(third, sets, num, den), "links"))
+    links = links.unionByName(_verified(third, rows, src, k, num, den))
     comp = written(components(links), "components")
 
     # labels: least doc_id of each component
@@ -278,12 +334,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def _keyed_sets(k: int):
-    """Sets under the key asked for, where the text really makes that key."""
+    """Sets under the key asked for, where the text really makes that key; once a task."""
     def run(batches):
+        seen: set[int] = set()
         for b in batches:
             want = np.asarray(b.column(0)).view(np.uint64)
             for lo, hi, per, s in _sets(b.column(1), k):
                 ok = node_keys(per, s) == want[lo:hi]
+                for i in np.flatnonzero(ok):
+                    x = int(want[lo + i])
+                    ok[i] = x not in seen
+                    seen.add(x)
+                if len(seen) > _SEEN:
+                    seen.clear()
                 s = s[np.repeat(ok, per)]
                 ends = np.concatenate([[0], np.cumsum(per[ok])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -291,28 +354,34 @@ def _keyed_sets(k: int):
     return run
 
 
-def _across(left: DataFrame, rows: DataFrame, hot: int) -> DataFrame:
-    """Pairs (u < v) of nodes of different components in one group.
+def _across(left: DataFrame, rows: DataFrame, hot: int, num: int, den: int) -> DataFrame:
+    """Pairs (u < v) of nodes of different components in one group, whose sizes
+    and short sketches allow a link.
 
     In a group, members outside its largest component meet all members.  Where
-    that is more than ``hot`` pairs, nodes that can spare the group leave it.
+    that is more than ``hot`` pairs, nodes leave their largest groups first, as
+    many as they can spare.
     """
     per = left.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("c"))
     size = (per.groupBy("sig").agg(F.max(F.struct("c", "comp")).alias("big"), F.sum("c").alias("all"))
             .withColumn("cost", (F.col("all") - F.col("big.c")) * F.col("all"))
-            .select("sig", F.col("big.comp").alias("major"), (F.col("cost") > hot).alias("hot")))
-    g = written(left.join(size, "sig"), "open")
-    heavy = g.where("hot").withColumn("odd", F.col("sig").bitwiseAND(F.lit(1)).cast("int"))
-    may = (rows.where(F.col("node") != 0).select("node", "band", "s0", "s1").dropDuplicates(["node"]))
-    drop = (heavy.groupBy("node", "odd").agg(F.count(F.lit(1)).alias("c")).join(may, "node")
-            .withColumn("spare", F.when(F.pmod(F.col("band"), F.lit(2)) == F.col("odd"), F.col("s0")).otherwise(F.col("s1")))
-            .where(F.col("c") <= F.col("spare")).select("node", "odd"))
-    stay = heavy.join(drop, ["node", "odd"], "left_anti").select("sig", "node", "comp", "major")
-    g = g.where(~F.col("hot")).select("sig", "node", "comp", "major").unionByName(stay)
-    minor = g.where(F.col("comp") != F.col("major")).select("sig", F.col("node").alias("x"), F.col("comp").alias("xc"))
-    return (minor.join(g.select("sig", F.col("node").alias("y"), F.col("comp").alias("yc")), "sig")
-            .where(F.col("xc") != F.col("yc"))
-            .select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct())
+            .select("sig", "all", F.col("big.comp").alias("major"), (F.col("cost") > hot).alias("hot")))
+    may = rows.where(F.col("node") != 0).select("node", "n", "band", "s0", "s1", "p0", "p1").dropDuplicates(["node"])
+    odd = F.col("sig").bitwiseAND(F.lit(1)).cast("int")
+    g = (left.join(size, "sig").join(may, "node").withColumn("odd", odd)
+         .withColumn("spare", F.when(F.pmod(F.col("band"), F.lit(2)) == F.col("odd"), F.col("s0")).otherwise(F.col("s1"))))
+    # a node's signatures only, never a group's members
+    nth = F.row_number().over(W.partitionBy("node", "odd").orderBy(F.col("hot").desc(), F.col("all").desc(), "sig"))
+    g = written(g.withColumn("nth", nth).where(~F.col("hot") | (F.col("nth") > F.col("spare")))
+                .select("sig", "node", "comp", "major", "n", "p0", "p1"), "open")
+    x, y = (g.select("sig", *[F.col(c).alias(t + c) for c in ("node", "comp", "major", "n", "p0", "p1")]) for t in "xy")
+    x = x.where(F.col("xcomp") != F.col("xmajor"))
+    apart = sum(F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in ("p0", "p1"))
+    total = F.col("xn") + F.col("yn")
+    allowed = total - 2 * F.ceil(total * F.lit(num) / F.lit(num + den) - 1e-9)
+    return (x.join(y.drop("ymajor"), "sig")
+            .where((F.col("xcomp") != F.col("ycomp")) & (F.least("xn", "yn") * den >= F.greatest("xn", "yn") * num) & (apart <= allowed))
+            .select(F.least("xnode", "ynode").alias("u"), F.greatest("xnode", "ynode").alias("v")).distinct())
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", **args) -> DataFrame:
