@@ -7,7 +7,8 @@ pooled values.  The score is calibrated (Platt) on labelled rows left out of
 the fit, and a threshold per language is chosen there; language, source and id
 are never inputs of a score.
 
-Fitted on the driver from a bounded sample: the ``MAX_POS`` and ``MAX_NEG``
+Fitted in one task from a bounded sample, so that the driver holds the model
+only: the ``MAX_POS`` and ``MAX_NEG``
 labelled rows that come first by a hash of their id, cut where their words
 pass ``MAX_WORDS`` in all.  Every text is scored whole.
 
@@ -19,6 +20,8 @@ share of toxic labels (0 if there are none); no rows, no result.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -158,12 +161,23 @@ def _platt(s: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(labelled: DataFrame) -> dict:
-    """Model from (doc_id, text, lang, toxic)."""
+    """Model from (doc_id, text, lang, toxic), fitted in one task."""
     order = F.xxhash64(F.col("doc_id").cast("string"))
     known = labelled.where(F.col("toxic").isin(0, 1)).withColumn("__sl_o", order)
     pick = known.where("toxic = 1").orderBy("__sl_o").limit(MAX_POS).unionByName(
         known.where("toxic = 0").orderBy("__sl_o").limit(MAX_NEG))
-    rows = pick.select("toxic", "lang", "text", "__sl_o").toArrow()
+
+    def run(batches):
+        got = [b for b in batches if b.num_rows]
+        if got:
+            model = pickle.dumps(_fitted(pa.Table.from_batches(got)))
+            yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
+    made = pick.select("toxic", "lang", "text", "__sl_o").coalesce(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0]["model"]) if made else {"share": 0.0}
+
+
+def _fitted(rows: pa.Table) -> dict:
+    """Model from the sample's rows, in the order of their ids' hashes."""
     y, lang = np.asarray(rows["toxic"]).astype(int), rows["lang"].to_pylist()
     if len(y) == 0 or y.min() == y.max():
         return {"share": float(y.mean()) if len(y) else 0.0}
