@@ -34,6 +34,8 @@ from starloom.llm.common import q
 MAX_POS, MAX_NEG, MAX_WORDS = 1500, 2500, 1_500_000
 BUCKETS, DIM, FILTERS = 1 << 16, 8, 8
 WIDTHS = (1, 2, 3)
+#: Updates that a fit makes at least: few labelled rows are gone through more often.
+STEPS = 600
 
 
 def _tokens(texts):
@@ -195,7 +197,7 @@ def _fitted(rows: pa.Table) -> dict:
             use.append(i)
     held = [i for n, i in enumerate(use) if n % 4 == 0]
     part = [i for n, i in enumerate(use) if n % 4]
-    p = train([samples[i] for i in part])
+    p = train([samples[i] for i in part], epochs=max(8, -(-STEPS * 32 // max(len(part), 1))))
     s = np.array([_score1(p, samples[i]) for i in held])
     yh = np.array([y[i] for i in held])
     a, b = _platt(s, yh) if len(held) and yh.min() != yh.max() else (1.0, 0.0)
