@@ -5,8 +5,10 @@ anchor, the hash of the words from there on.  For any two positions some shift
 below the period puts both on cover positions, so any two equal windows share
 an aligned anchor; an anchor spans ``size - PERIOD + 1`` words and lies inside
 both.  Only windows around anchors that occur again are hashed whole (the
-extension), and those that occur again are removed.  Both counts are windows
-over hashed keys; no pair of positions is ever formed.
+extension), and those that occur again are removed.  Keys are counted by an
+aggregate that is combined before its shuffle, and positions meet the repeated
+keys in a semi join, whose hot keys adaptive execution splits; no pair of
+positions is ever formed.
 
 Defined results: null and wordless texts have no words and the digest of the
 empty text; texts shorter than the window stay whole; repeated rows repeat each
@@ -23,10 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from starloom.llm import textscan as TS
-from starloom.llm.common import q, written
+from starloom.llm.common import free_shuffles, q, written
 
 SIZE, PERIOD = 35, 21
 COVER = (3, 6, 7, 12, 14)  # every difference modulo 21 occurs
@@ -35,8 +36,9 @@ _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 def _again(df: DataFrame) -> DataFrame:
     """Positions whose key occurs more than once, gathered per row of documents."""
-    n = F.count(F.lit(1)).over(W.partitionBy("h"))
-    return (df.withColumn("n", n).where("n > 1").groupBy("doc_id", "th")
+    keys = written(df, "keys")
+    again = keys.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    return (keys.join(again, "h", "left_semi").groupBy("doc_id", "th")
             .agg(F.sort_array(F.collect_set("pos")).alias("at")))
 
 
@@ -110,7 +112,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         return src.join(f, src["doc_id"].eqNullSafe(f["__d"]) & (src["th"] == f["__t"]), how).select("doc_id", "th", "text", "at")
 
     shared = written(_again(src.mapInArrow(anchors, out)), "anchors")
+    free_shuffles(docs.sparkSession)
     around = with_positions(shared, "inner").mapInArrow(extended, out)
     repeats = written(_again(around), "repeats")
+    free_shuffles(docs.sparkSession)
     return with_positions(repeats, "left").select("doc_id", "text", "at").mapInArrow(
         cut, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept string")
