@@ -5,9 +5,23 @@ discounts counts up to ``CUT`` (a count whose discount would not lie between 0
 and 1 keeps 0.5).  What the discounts free goes to words never seen (one class)
 at the lower order, and at the higher order to words not seen after a history,
 in proportion to their lower-order probability; the backoff weight normalises
-this exactly.  Tables are Parquet in the shared folder, and every token is
-scored by joins with them, recursively: the pair, else weight and word, else
-the class of unseen words.
+this exactly.  Every token is scored recursively: the pair, else weight and
+word, else the class of unseen words.
+
+Words, with their counts, are a table of one row a word.  Up to ``WORDS`` words
+it is broadcast; words are then numbered and pairs are one number, and:
+
+* pair counts are added up in each task, then by bucket of the pair's hash,
+  and stored as a table of packed blocks, a row a bucket;
+* a text's tokens are scored with the weight and word, which are known where
+  the text is; the pairs that the model may hold are sent to their bucket,
+  packed by block of texts, which returns what the score changes by;
+* the most frequent pairs (a hundred-thousandth of all tokens or more, so
+  100,000 pairs at most) are broadcast and never sent: no bucket gets an entry
+  a text for them.
+
+Beyond ``WORDS`` words, every token is scored by joins with the tables
+instead; results are the same up to the order of sums.
 
 Defined results: null text is the empty text, one end token; with no training
 rows every score comes from the unseen class; repeated rows (same id and text)
@@ -17,17 +31,22 @@ remainder is unknown); an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm import textscan as TS
-from starloom.llm.common import q, written
+from starloom.llm.common import free_shuffles, q, written
+from starloom.llm.packed import dealt, lists, pack, steps, unpack
 
 CUT = 5
+#: Words up to which their table is broadcast (36 bytes a word).
+WORDS = 1 << 22
+#: Buckets of pairs: at least so many, and one more per so many training tokens.
+BUCKETS, BUCKET_TOKENS = 48, 8_000_000
+#: Pair counts a task holds before it sends them.
+_HELD = 3_000_000
 _END, _START = 1, 2
 
 
@@ -51,9 +70,8 @@ def _pairs(batches):
                                              ["doc_id", "th", "held_out", "h", "w", "c"])
 
 
-def discounts(counts: DataFrame) -> list[float]:
-    """Factor for counts 1 to CUT, by Katz's rule."""
-    n = {r["c"]: r["n"] for r in counts.where(F.col("c") <= CUT + 1).groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+def good_turing(n: dict[int, int]) -> list[float]:
+    """Factor for counts 1 to CUT, by Katz's rule, from how many have each count."""
     out, n1 = [], n.get(1, 0)
     tail = (CUT + 1) * n.get(CUT + 1, 0) / n1 if n1 else 0.0
     for r in range(1, CUT + 1):
@@ -64,20 +82,295 @@ def discounts(counts: DataFrame) -> list[float]:
     return out
 
 
+def discounts(counts: DataFrame) -> list[float]:
+    return good_turing({r["c"]: r["n"] for r in counts.where(F.col("c") <= CUT + 1).groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()})
+
+
+def _kept(c: np.ndarray, d: list[float]) -> np.ndarray:
+    """Discounted counts."""
+    return c * np.append(d, 1.0)[np.minimum(c, CUT + 1).astype(np.int64) - 1]
+
+
 def _cut(c, d: list[float]):
-    return c * F.coalesce(F.element_at(F.array(*[F.lit(x) for x in d]), F.when(c <= CUT, c.cast("int"))), F.lit(1.0))
+    """Discounted counts, as a column."""
+    factor = F.element_at(F.array(*[F.lit(x) for x in d]), F.least(c, F.lit(CUT)).cast("int"))
+    return F.when(c <= CUT, c * factor).otherwise(c.cast("double"))
+
+
+def _words(batches):
+    for b in batches:
+        for lo, hi, _, h in TS.words(b.column(0)):
+            w, c = np.unique(h.view(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(w, _END)), pa.array(np.append(c, hi - lo))], ["w", "c"])
+
+
+class _Words:
+    """Numbers of the words, in the order of their hashes, and what is known of each."""
+
+    def __init__(self, w: np.ndarray, c: np.ndarray):
+        order = np.argsort(w)
+        self.w, self.c = w[order], c[order].astype(np.int64)
+        self.v, self.n = len(w), int(c.sum())
+        some = dict(zip(*(x.tolist() for x in np.unique(self.c[self.c <= CUT + 1], return_counts=True))))
+        p = _kept(self.c, good_turing(some)) / max(self.n, 1)
+        self.p = np.append(p, max(1.0 - float(p.sum()), 1e-12))
+        self.logp = np.log10(self.p)
+
+    def ids(self, h: np.ndarray) -> np.ndarray:
+        """Number of each word; v for one not seen."""
+        if not self.v:
+            return np.zeros(len(h), np.int64)
+        at = np.minimum(np.searchsorted(self.w, h), self.v - 1)
+        return np.where(self.w[at] == h, at, self.v)
+
+    def pairs(self, counts: np.ndarray, h: np.ndarray):
+        """Text, history and word of each token of a block.  Histories: v is the
+        start of a text, v + 1 a word not seen."""
+        x = self.ids(h.view(np.int64))
+        ends = np.cumsum(counts)
+        end = int(self.ids(np.array([_END]))[0])
+        word = np.insert(x, ends, end)
+        hist = np.insert(np.where(x == self.v, self.v + 1, x), ends - counts, self.v)
+        return np.repeat(np.arange(len(counts)), counts + 1), hist, word
+
+
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return (TS.mix(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _slices(sorted_: np.ndarray):
+    at = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]])) if len(sorted_) else np.zeros(0, np.int64)
+    return zip(at, np.append(at[1:], len(sorted_)))
+
+
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    u, inv = np.unique(np.concatenate(keys), return_inverse=True)
+    return u, np.bincount(inv, np.concatenate(counts), len(u)).astype(np.int64)
+
 
+def _count_pairs(sent, buckets: int):
+    """Pair counts of the texts of a task, by bucket."""
+    def run(batches):
+        words = sent.value
+        keys, counts, held = [], [], 0
 
-def score(docs: DataFrame, held, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+        def out():
+            u, c = _added(keys, counts)
+            b = _bucket(u, buckets)
+            order = np.argsort(b, kind="stable")
+            u, c, b = u[order], c[order], b[order]
+            rows = [(int(b[x]), pack(steps(u[x:y]), c[x:y])) for x, y in _slices(b)]
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "body"])
+
+        for batch in batches:
+            for _, _, per, h in TS.words(batch.column(0)):
+                _, hist, word = words.pairs(per, h)
+                u, c = np.unique(hist * (words.v + 1) + word, return_counts=True)
+                keys.append(u)
+                counts.append(c)
+                held += len(u)
+                if held > _HELD:
+                    yield out()
+                    keys, counts, held = [], [], 0
+        if keys:
+            yield out()
+    return run
+
+
+def _add_pairs(batches):
+    """One row a bucket: its pairs and counts, and how many have each count up to CUT + 1."""
+    bucket, keys, counts, new = None, [], [], 0
+
+    def out():
+        u, c = _added(keys, counts)
+        some = np.bincount(c[c <= CUT + 1], minlength=CUT + 2)
+        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([pack(steps(u), c)], pa.binary()),
+                                           pa.array([some.tolist()], pa.list_(pa.int64()))], ["bucket", "body", "some"])
+
+    for b in batches:
+        for i in range(b.num_rows):
+            here = b.column(0)[i].as_py()
+            if here != bucket and keys:
+                yield out()
+                keys, counts, new = [], [], 0
+            bucket = here
+            k, c = unpack(b.column(1)[i].as_buffer().to_pybytes(), np.int64, np.int64)
+            keys.append(np.cumsum(k))
+            counts.append(c)
+            new += len(k)
+            if new > _HELD:
+                u, c = _added(keys, counts)
+                keys, counts, new = [u], [c], 0
+    if keys:
+        yield out()
+
+
+def _histories(sent, d: list[float]):
+    """Count, discounted count and lower-order share of each history, of a task's pairs."""
+    def run(batches):
+        words = sent.value
+        sums = np.zeros((3, words.v + 1))
+        for b in batches:
+            for body in b.column(0):
+                k, c = unpack(body.as_buffer().to_pybytes(), np.int64, np.int64)
+                hist, word = np.divmod(np.cumsum(k), words.v + 1)
+                for x, values in zip(sums, (c, _kept(c, d), words.p[word])):
+                    x += np.bincount(hist, values, words.v + 1)
+        h = np.flatnonzero(sums[0])
+        yield pa.RecordBatch.from_arrays([pa.array(h), *[pa.array(x[h]) for x in sums]], ["h", "hc", "kept", "low"])
+    return run
+
+
+def _frequent(least: int):
+    def run(batches):
+        for b in batches:
+            for body in b.column(0):
+                k, c = unpack(body.as_buffer().to_pybytes(), np.int64, np.int64)
+                k, on = np.cumsum(k), c >= least
+                yield pa.RecordBatch.from_arrays([pa.array(k[on]), pa.array(c[on])], ["k", "c"])
+    return run
+
+
+_STATS = ["doc", "doc_id", "held_out", "rows", "n_tokens", "n_known", "base_score", "score"]
+
+
+def _stats_type(kind: str) -> str:
+    return f"doc long, doc_id {kind}, held_out boolean, rows long, n_tokens long, n_known long, base_score double, score double"
+
+
+def _score_texts(sent, model, buckets: int):
+    """Of each text: its sums by weight and word, and the pairs to ask for."""
+    def run(batches):
+        words, (weight, hc, often, often_c, d) = sent.value, model.value
+        v = words.v
+        base = np.log10((np.append(words.c, 0) + 1) / float(words.n + v + 1))
+        for b in batches:
+            ids = np.asarray(b.column(0))
+            for lo, hi, per, h in TS.words(b.column(3)):
+                text, hist, word = words.pairs(per, h)
+                value = weight[hist] + words.logp[word]
+                asked = (word < v) & (hc[hist] > 0)
+                key = hist * (v + 1) + word
+                if len(often):
+                    at = np.minimum(np.searchsorted(often, key), len(often) - 1)
+                    hit = asked & (often[at] == key)
+                    value[hit] = np.log10(_kept(often_c[at[hit]], d) / hc[hist[hit]])
+                    asked &= ~hit
+                n = hi - lo
+                of = lambda x: np.bincount(text, x, n)
+                doc = ids[lo:hi]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((doc.view(np.uint64) % np.uint64(buckets)).astype(np.int32)), pa.array(np.full(n, 2, np.int32)),
+                     lists(pa.array(doc), np.ones(n, np.int64)), pa.nulls(n, pa.binary()),
+                     pa.array(doc), b.column(1).slice(lo, n), b.column(2).slice(lo, n), pa.array(np.ones(n, np.int64)),
+                     pa.array(per.astype(np.int64) + 1), pa.array(of(word < v).astype(np.int64)), pa.array(of(base[word])), pa.array(of(value))],
+                    ["bucket", "part", "docs", "body", *_STATS])
+                key, text = key[asked], text[asked]
+                if not len(key):
+                    continue
+                bucket = _bucket(key, buckets)
+                order = np.lexsort((text, key, bucket))
+                key, text, bucket = key[order], text[order], bucket[order]
+                first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (text[1:] != text[:-1])]))
+                times = np.diff(np.append(first, len(key))).astype(np.uint32)
+                key, text, bucket = key[first], text[first], bucket[first]
+                rows = []
+                for x, y in _slices(bucket):
+                    u, r = np.unique(text[x:y], return_inverse=True)
+                    rows.append((int(bucket[x]), doc[u], pack(steps(key[x:y]), r.astype(np.uint32), times[x:y])))
+                m = len(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[0] for r in rows], pa.int32()), pa.array(np.ones(m, np.int32)),
+                     lists(pa.array(np.concatenate([r[1] for r in rows])), np.array([len(r[1]) for r in rows])), pa.array([r[2] for r in rows], pa.binary()),
+                     pa.nulls(m, pa.int64()), pa.nulls(m, b.schema.field(1).type), pa.nulls(m, pa.bool_()),
+                     *[pa.nulls(m, pa.int64())] * 3, *[pa.nulls(m, pa.float64())] * 2], ["bucket", "part", "docs", "body", *_STATS])
+    return run
+
+
+def _score_pairs(sent, model):
+    """What the pairs of a bucket change in the texts' scores; texts' own sums pass through."""
+    def run(batches):
+        words, (weight, hc, _, _, d) = sent.value, model.value
+        v = words.v
+        bucket, keys, change = None, np.zeros(0, np.int64), np.zeros(0)
+        for b in batches:
+            part = np.asarray(b.column(1))
+            own = pa.array(part == 2)
+            yield pa.RecordBatch.from_arrays([b.column(i).filter(own) for i in range(4, 12)], _STATS)
+            for i in np.flatnonzero(part < 2):
+                body = b.column(3)[i].as_buffer().to_pybytes()
+                here = b.column(0)[i].as_py()
+                if here != bucket:
+                    bucket, keys, change = here, np.zeros(0, np.int64), np.zeros(0)
+                if part[i] == 0:
+                    k, c = unpack(body, np.int64, np.int64)
+                    keys = np.cumsum(k)
+                    hist, word = np.divmod(keys, v + 1)
+                    change = np.log10(_kept(c, d) / hc[hist]) - weight[hist] - words.logp[word]
+                elif len(keys):
+                    doc = b.column(2)[i].values
+                    k, row, times = unpack(body, np.int64, np.uint32, np.uint32)
+                    k = np.cumsum(k)
+                    at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+                    more = np.bincount(row, np.where(keys[at] == k, change[at] * times, 0.0), len(doc))
+                    n = len(doc)
+                    zero = pa.array(np.zeros(n, np.int64))
+                    yield pa.RecordBatch.from_arrays([doc, pa.nulls(n, b.schema.field(5).type), pa.nulls(n, pa.bool_()), zero, zero, zero,
+                                                      pa.array(np.zeros(n)), pa.array(more)], _STATS)
+    return run
+
+
+def score(docs: DataFrame, held, id_col: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    spark = docs.sparkSession
     t = q(text).cast("string")
-    src = docs.select(q(id_col).alias("doc_id"), F.xxhash64(t).alias("th"), t.alias("text"), held.alias("held_out"))
+    src = docs.select(q(id_col).alias("doc_id"), t.alias("text"), F.coalesce(held, F.lit(False)).alias("held_out"))
     kind = docs.schema[id_col].dataType.simpleString()
+    train = src.where(~F.col("held_out")).select("text")
+    uni = written(train.mapInArrow(_words, "w long, c long").groupBy("w").agg(F.sum("c").alias("c")), "words")
+    if uni.count() > words:
+        return _score_by_joins(src, uni, kind)
+    got = uni.toArrow()  # at most ``words`` rows
+    known = _Words(np.asarray(got["w"].combine_chunks()), np.asarray(got["c"].combine_chunks()))
+    sent = spark.sparkContext.broadcast(known)
+    buckets = max(BUCKETS, -(-known.n // BUCKET_TOKENS))
+    pairs = written(dealt(train.mapInArrow(_count_pairs(sent, buckets), "bucket int, body binary"), buckets)
+                    .mapInArrow(_add_pairs, "bucket int, body binary, some array<long>"), "pairs")
+    free_shuffles(spark)
+    some = pairs.select(F.posexplode("some").alias("c", "n")).groupBy("c").agg(F.sum("n").alias("n")).collect()  # CUT + 2 rows
+    d = good_turing({r["c"]: r["n"] for r in some})
+    hist = (pairs.select("body").mapInArrow(_histories(sent, d), "h long, hc double, kept double, low double")
+            .groupBy("h").agg(F.sum("hc"), F.sum("kept"), F.sum("low")).toArrow())  # at most a row a word
+    h, count, kept, low = (np.asarray(x.combine_chunks()) for x in hist.columns)
+    hc, weight = np.zeros(known.v + 2), np.zeros(known.v + 2)
+    hc[h] = count
+    weight[h] = np.log10(np.maximum(1e-12, 1 - kept / count) / np.maximum(1e-12, 1 - low))
+    most = pairs.select("body").mapInArrow(_frequent(max(64, known.n // 100_000)), "k long, c long").toArrow()  # at most 100,001 rows
+    k, c = (np.asarray(x.combine_chunks()) for x in most.columns)
+    order = np.argsort(k)
+    model = spark.sparkContext.broadcast((weight, hc, k[order], c[order], d))
+
+    ids = src.select(F.xxhash64("doc_id", F.xxhash64("text"), "held_out").alias("doc"), "doc_id", "held_out", "text")
+    stats = _stats_type(kind)
+    texts = ids.mapInArrow(_score_texts(sent, model, buckets), f"bucket int, part int, docs array<long>, body binary, {stats}")
+    table = pairs.select("bucket", F.lit(0).alias("part"), F.lit(None).cast("array<long>").alias("docs"), "body",
+                         *[F.lit(None).cast(texts.schema[x].dataType).alias(x) for x in _STATS])
+    per = (dealt(table.unionByName(texts), buckets, "part").mapInArrow(_score_pairs(sent, model), stats)
+           .groupBy("doc").agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"),
+                               *[F.sum(x).alias(x) for x in _STATS[3:]]))
+    each = lambda x: (F.col(x) / F.col("rows")).cast("long").alias(x)
+    return (per.withColumn("__sl_i", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+            .select("doc_id", "held_out", each("n_tokens"), each("n_known"), F.lit(known.n).cast("long").alias("train_tokens"),
+                    (F.col("base_score") / F.col("rows")).alias("base_score"), (F.col("score") / F.col("rows")).alias("score")))
+
+
+def _score_by_joins(src: DataFrame, uni: DataFrame, kind: str) -> DataFrame:
+    """``score`` with more words than one task can hold."""
+    src = src.select("doc_id", F.xxhash64("text").alias("th"), "text", "held_out")
     tok = src.mapInArrow(_pairs, f"doc_id {kind}, th long, held_out boolean, h long, w long, c long")
     tok = tok.groupBy("doc_id", "th", "held_out", "h", "w").agg(F.max("c").alias("c"), F.count(F.lit(1)).alias("rows"))
     train = tok.where(~F.col("held_out")).withColumn("c", F.col("c") * F.col("rows"))
     bi = written(train.groupBy("h", "w").agg(F.sum("c").alias("c")), "pairs")
-    uni = written(bi.groupBy("w").agg(F.sum("c").alias("c")), "words")
     row = uni.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = int(row[0]), int(row[1])
     d1, d2 = discounts(uni), discounts(bi)

@@ -2,13 +2,15 @@
 against brute force where they are exact."""
 
 import hashlib
+import math
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm import (cross_polytope, decontaminate, entropy_mix, katz, ngram_jaccard, secret_scan, sharding,
+from starloom.llm import (cross_polytope, decontaminate, entropy_mix, katz, ngram_jaccard, packed, secret_scan, sharding,
                           substring_dedup, toxicity, warc_revisit)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -183,6 +185,49 @@ def test_katz_probabilities_and_counts(docs):
     assert all(r.score < 0 and r.base_score < 0 and r.n_known <= r.n_tokens for r in rows)
 
 
+def _katz_brute(rows):
+    """(score, base, tokens, known) of each (held, text), by plain counting."""
+    cut = lambda c, d: c * (d[c - 1] if c <= katz.CUT else 1.0)
+    texts = [(h, WORD.findall(_lower(t)) + ["\n"]) for h, t in rows]
+    uni, bi = Counter(), Counter()
+    for h, w in texts:
+        if not h:
+            uni.update(w)
+            bi.update(zip(["\t"] + w[:-1], w))
+    n, d1, d2 = sum(uni.values()), katz.good_turing(Counter(uni.values())), katz.good_turing(Counter(bi.values()))
+    p = {w: cut(c, d1) / n for w, c in uni.items()}
+    none = max(1e-12, 1 - math.fsum(p.values()))
+    hc, kept, low = Counter(), Counter(), Counter()
+    for (h, w), c in bi.items():
+        hc[h] += c
+        kept[h] += cut(c, d2)
+        low[h] += p[w]
+    alpha = {h: max(1e-12, 1 - kept[h] / hc[h]) / max(1e-12, 1 - low[h]) for h in hc}
+    out = []
+    for _, w in texts:
+        s = sum(math.log10(cut(bi[x, y], d2) / hc[x] if (x, y) in bi else alpha.get(x, 1.0) * p.get(y, none))
+                for x, y in zip(["\t"] + w[:-1], w))
+        out.append((s, sum(math.log10((uni[y] + 1) / (n + len(uni) + 1)) for y in w), len(w), sum(y in uni for y in w)))
+    return out
+
+
+@pytest.mark.parametrize("words", [katz.WORDS, 0])  # broadcast words, and joins
+def test_katz_against_brute_force(docs, words):
+    held = F.coalesce(F.col("doc_id").isin(3, 5, 10, 14), F.lit(False))
+    rows = docs.select("doc_id", "text", held.alias("h")).collect()
+    want = sorted(zip([str(r.doc_id) for r in rows], _katz_brute([(r.h, r.text) for r in rows])))
+    got = sorted((str(r.doc_id), (r.score, r.base_score, r.n_tokens, r.n_known)) for r in katz.score(docs, held, words=words).collect())
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert np.allclose([g[1] for g in got], [w[1] for w in want], rtol=1e-9)
+
+
+def test_packed_blocks():
+    a, b = np.array([3, 3, 2 ** 63], np.uint64), np.array([7, 0, 2 ** 32 - 1], np.uint32)
+    x, y = packed.unpack(packed.pack(packed.steps(a), b), np.uint64, np.uint32)
+    assert (np.cumsum(x, dtype=np.uint64) == a).all() and (y == b).all()
+    assert [len(z) for z in packed.unpack(packed.pack(a[:0], b[:0]), np.uint64, np.uint32)] == [0, 0]
+
+
 def test_template_matches_reparameterised_items(spark, docs):
     items = spark.createDataFrame([(1, "if Anna has 12 kg of apples and gives 12 kg away then what remains"), (2, None), (3, "a b")],
                                   "item_id long, text string")
