@@ -41,7 +41,7 @@ from starloom.llm.common import free_shuffles, q, written
 from starloom.llm.packed import dealt, lists, pack, steps, unpack
 
 CUT = 5
-#: Words up to which their table is broadcast (36 bytes a word).
+#: Words up to which their table is broadcast (20 bytes a word).
 WORDS = 1 << 22
 #: Buckets of pairs: at least so many, and one more per so many training tokens.
 BUCKETS, BUCKET_TOKENS = 48, 8_000_000
@@ -109,12 +109,23 @@ class _Words:
 
     def __init__(self, w: np.ndarray, c: np.ndarray):
         order = np.argsort(w)
-        self.w, self.c = w[order], c[order].astype(np.int64)
         self.v, self.n = len(w), int(c.sum())
-        some = dict(zip(*(x.tolist() for x in np.unique(self.c[self.c <= CUT + 1], return_counts=True))))
-        p = _kept(self.c, good_turing(some)) / max(self.n, 1)
-        self.p = np.append(p, max(1.0 - float(p.sum()), 1e-12))
-        self.logp = np.log10(self.p)
+        self.w, c = w[order], np.append(c[order], 0)  # the last stands for words not seen
+        self.c = c.astype(np.uint32) if self.n < 1 << 32 else c
+        some = np.bincount(c[c <= CUT + 1], minlength=CUT + 2)
+        self.d = good_turing(dict(enumerate(some.tolist())))
+        self.none = max(1.0 - float(_kept(c[:-1], self.d).sum()) / max(self.n, 1), 1e-12)
+
+    def p(self, word: np.ndarray) -> np.ndarray:
+        """Lower-order probability."""
+        c = self.c[word].astype(np.int64)
+        return np.where(c > 0, _kept(np.maximum(c, 1), self.d) / max(self.n, 1), self.none)
+
+    def follow(self, hist: np.ndarray) -> np.ndarray:
+        """Training tokens after a history: its own count, as every word has a
+        token after it; the number of texts for their start."""
+        texts = self.c[self.ids(np.array([_END]))[0]]
+        return np.where(hist < self.v, self.c[np.minimum(hist, self.v)], np.where(hist == self.v, texts, 0)).astype(np.int64)
 
     def ids(self, h: np.ndarray) -> np.ndarray:
         """Number of each word; v for one not seen."""
@@ -214,7 +225,7 @@ def _histories(sent, d: list[float]):
             for body in b.column(0):
                 k, c = unpack(body.as_buffer().to_pybytes(), np.int64, np.int64)
                 hist, word = np.divmod(np.cumsum(k), words.v + 1)
-                for x, values in zip(sums, (c, _kept(c, d), words.p[word])):
+                for x, values in zip(sums, (c, _kept(c, d), words.p(word))):
                     x += np.bincount(hist, values, words.v + 1)
         h = np.flatnonzero(sums[0])
         yield pa.RecordBatch.from_arrays([pa.array(h), *[pa.array(x[h]) for x in sums]], ["h", "hc", "kept", "low"])
@@ -241,20 +252,21 @@ def _stats_type(kind: str) -> str:
 def _score_texts(sent, model, buckets: int):
     """Of each text: its sums by weight and word, and the pairs to ask for."""
     def run(batches):
-        words, (weight, hc, often, often_c, d) = sent.value, model.value
+        words, (weight, often, often_c, d) = sent.value, model.value
         v = words.v
-        base = np.log10((np.append(words.c, 0) + 1) / float(words.n + v + 1))
         for b in batches:
             ids = np.asarray(b.column(0))
             for lo, hi, per, h in TS.words(b.column(3)):
                 text, hist, word = words.pairs(per, h)
-                value = weight[hist] + words.logp[word]
-                asked = (word < v) & (hc[hist] > 0)
+                value = weight[hist] + np.log10(words.p(word))
+                base = np.log10((words.c[word].astype(np.int64) + 1) / float(words.n + v + 1))
+                hc = words.follow(hist)
+                asked = (word < v) & (hc > 0)
                 key = hist * (v + 1) + word
                 if len(often):
                     at = np.minimum(np.searchsorted(often, key), len(often) - 1)
                     hit = asked & (often[at] == key)
-                    value[hit] = np.log10(_kept(often_c[at[hit]], d) / hc[hist[hit]])
+                    value[hit] = np.log10(_kept(often_c[at[hit]], d) / hc[hit])
                     asked &= ~hit
                 n = hi - lo
                 of = lambda x: np.bincount(text, x, n)
@@ -263,7 +275,7 @@ def _score_texts(sent, model, buckets: int):
                     [pa.array((doc.view(np.uint64) % np.uint64(buckets)).astype(np.int32)), pa.array(np.full(n, 2, np.int32)),
                      lists(pa.array(doc), np.ones(n, np.int64)), pa.nulls(n, pa.binary()),
                      pa.array(doc), b.column(1).slice(lo, n), b.column(2).slice(lo, n), pa.array(np.ones(n, np.int64)),
-                     pa.array(per.astype(np.int64) + 1), pa.array(of(word < v).astype(np.int64)), pa.array(of(base[word])), pa.array(of(value))],
+                     pa.array(per.astype(np.int64) + 1), pa.array(of(word < v).astype(np.int64)), pa.array(of(base)), pa.array(of(value))],
                     ["bucket", "part", "docs", "body", *_STATS])
                 key, text = key[asked], text[asked]
                 if not len(key):
@@ -290,7 +302,7 @@ def _score_texts(sent, model, buckets: int):
 def _score_pairs(sent, model):
     """What the pairs of a bucket change in the texts' scores; texts' own sums pass through."""
     def run(batches):
-        words, (weight, hc, _, _, d) = sent.value, model.value
+        words, (weight, _, _, d) = sent.value, model.value
         v = words.v
         bucket, keys, change = None, np.zeros(0, np.int64), np.zeros(0)
         for b in batches:
@@ -306,7 +318,7 @@ def _score_pairs(sent, model):
                     k, c = unpack(body, np.int64, np.int64)
                     keys = np.cumsum(k)
                     hist, word = np.divmod(keys, v + 1)
-                    change = np.log10(_kept(c, d) / hc[hist]) - weight[hist] - words.logp[word]
+                    change = np.log10(_kept(c, d) / words.follow(hist)) - weight[hist] - np.log10(words.p(word))
                 elif len(keys):
                     doc = b.column(2)[i].values
                     k, row, times = unpack(body, np.int64, np.uint32, np.uint32)
@@ -332,6 +344,7 @@ def score(docs: DataFrame, held, id_col: str = "doc_id", text: str = "text", wor
         return _score_by_joins(src, uni, kind)
     got = uni.toArrow()  # at most ``words`` rows
     known = _Words(np.asarray(got["w"].combine_chunks()), np.asarray(got["c"].combine_chunks()))
+    del got
     sent = spark.sparkContext.broadcast(known)
     buckets = max(BUCKETS, -(-known.n // BUCKET_TOKENS))
     pairs = written(dealt(train.mapInArrow(_count_pairs(sent, buckets), "bucket int, body binary"), buckets)
@@ -340,15 +353,16 @@ def score(docs: DataFrame, held, id_col: str = "doc_id", text: str = "text", wor
     some = pairs.select(F.posexplode("some").alias("c", "n")).groupBy("c").agg(F.sum("n").alias("n")).collect()  # CUT + 2 rows
     d = good_turing({r["c"]: r["n"] for r in some})
     hist = (pairs.select("body").mapInArrow(_histories(sent, d), "h long, hc double, kept double, low double")
-            .groupBy("h").agg(F.sum("hc"), F.sum("kept"), F.sum("low")).toArrow())  # at most a row a word
-    h, count, kept, low = (np.asarray(x.combine_chunks()) for x in hist.columns)
-    hc, weight = np.zeros(known.v + 2), np.zeros(known.v + 2)
-    hc[h] = count
-    weight[h] = np.log10(np.maximum(1e-12, 1 - kept / count) / np.maximum(1e-12, 1 - low))
+            .groupBy("h").agg(F.sum("hc").alias("hc"), F.sum("kept").alias("kept"), F.sum("low").alias("low"))
+            .select(F.col("h").cast("int"), F.log10(F.greatest(F.lit(1e-12), 1 - F.col("kept") / F.col("hc"))
+                                                    / F.greatest(F.lit(1e-12), 1 - F.col("low"))).alias("weight")).toArrow())  # at most a row a word
+    weight = np.zeros(known.v + 2)
+    weight[np.asarray(hist["h"].combine_chunks())] = np.asarray(hist["weight"].combine_chunks())
+    del hist
     most = pairs.select("body").mapInArrow(_frequent(max(64, known.n // 100_000)), "k long, c long").toArrow()  # at most 100,001 rows
     k, c = (np.asarray(x.combine_chunks()) for x in most.columns)
     order = np.argsort(k)
-    model = spark.sparkContext.broadcast((weight, hc, k[order], c[order], d))
+    model = spark.sparkContext.broadcast((weight, k[order], c[order], d))
 
     ids = src.select(F.xxhash64("doc_id", F.xxhash64("text"), "held_out").alias("doc"), "doc_id", "held_out", "text")
     stats = _stats_type(kind)
