@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from starloom.llm import textscan as TS
-from starloom.llm.common import free_shuffles, q, written
+from starloom.llm.common import WORD, free_shuffles, q, written
 from starloom.llm.components import components
 
 K = 5
@@ -219,8 +219,10 @@ def _near(num: int, den: int):
 
 
 def _nodes(k: int, num: int, den: int):
+    """What the operator needs of each row; columns after the text pass as they are."""
     def run(batches):
         for b in batches:
+            more = b.schema.names[2:]
             for lo, hi, per, s in _sets(b.column(1), k):
                 _, _, band, s0, s1 = signatures(per, s, num, den)
                 sk = sketches(per, s)
@@ -228,8 +230,9 @@ def _nodes(k: int, num: int, den: int):
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), _long(node_keys(per, s)), _long(per.astype(np.int64)),
                      pa.array(band.astype(np.int32)), pa.array(s0.astype(np.int32)), pa.array(s1.astype(np.int32)),
-                     pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array([x.tobytes() for x in sk], pa.binary())],
-                    ["doc_id", "node", "n", "band", "s0", "s1", "p0", "p1", "sketch"])
+                     pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array([x.tobytes() for x in sk], pa.binary()),
+                     *[b.column(c).slice(lo, hi - lo) for c in range(2, 2 + len(more))]],
+                    ["doc_id", "node", "n", "band", "s0", "s1", "p0", "p1", "sketch", *more])
     return run
 
 
@@ -278,15 +281,14 @@ def _verified(pairs: DataFrame, rows: DataFrame, src: DataFrame, k: int, num: in
     return links
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = K,
-                    num: int = NUM, den: int = DEN, hot: int = HOT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, and the
-    key ``node`` that equal sets share (0: empty set)."""
+def _grouped(docs: DataFrame, id_col: str, text: str, k: int, num: int, den: int, hot: int, hashed: bool) -> tuple[DataFrame, DataFrame]:
+    """A row per row of ``docs`` (doc_id, node, n, ..., and ``th``, the text's
+    hash, where ``hashed``), and the component of every node that has a link."""
     spark = docs.sparkSession
     doc_type = docs.schema[id_col].dataType.simpleString()
     src = docs.select(q(id_col).alias("doc_id"), q(text).cast("string").alias("text"))
-    rows = written(src.mapInArrow(_nodes(k, num, den),
-                                  f"doc_id {doc_type}, node long, n long, band int, s0 int, s1 int, p0 long, p1 long, sketch binary"), "sets")
+    made = f"doc_id {doc_type}, node long, n long, band int, s0 int, s1 int, p0 long, p1 long, sketch binary" + (", th long" if hashed else "")
+    rows = written((src.withColumn("th", F.xxhash64("text")) if hashed else src).mapInArrow(_nodes(k, num, den), made), "sets")
 
     # signature groups with more than one node
     signed = src.select("text").mapInArrow(_signed(k, num, den), "sig long, node long")
@@ -323,7 +325,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     third = _across(left, rows, hot, num, den).join(tested, ["u", "v"], "left_anti")
     third = written(third, "pairs")
     links = links.unionByName(_verified(third, rows, src, k, num, den))
-    comp = written(components(links), "components")
+    return rows, written(components(links), "components")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = K,
+                    num: int = NUM, den: int = DEN, hot: int = HOT) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, and the
+    key ``node`` that equal sets share (0: empty set)."""
+    rows, comp = _grouped(docs, id_col, text, k, num, den, hot, False)
 
     # labels: least doc_id of each component
     named = rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -384,12 +393,19 @@ def _across(left: DataFrame, rows: DataFrame, hot: int, num: int, den: int) -> D
             .select(F.least("xnode", "ynode").alias("u"), F.greatest("xnode", "ynode").alias("v")).distinct())
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", **args) -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = K,
+                num: int = NUM, den: int = DEN, hot: int = HOT) -> DataFrame:
     """``docs`` with one row of each component: the first by doc_id (null
-    last), then by text, so that one of several equal rows stays too."""
-    found = near_duplicates(docs, id_col, **args)
-    # the row with the component's least id; rows of the empty set all stay apart by id
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__sl_id")).distinct()
-    d = docs.join(keep, docs[id_col].eqNullSafe(keep["__sl_id"]), "left_semi")
-    first = F.row_number().over(W.partitionBy(q(id_col)).orderBy(q("text").asc_nulls_last()))
-    return d.withColumn("__sl_nth", first).where(F.col("__sl_nth") == 1).drop("__sl_nth")
+    last), then by the text's hash; of rows equal in both, any one.  Rows of
+    the empty set are components of their own and all stay."""
+    rows, comp = _grouped(docs, id_col, text, k, num, den, hot, True)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
+    nodes = rows.where(F.col("node") != 0).groupBy("node").agg(first.alias("r"))
+    keep = (nodes.join(comp, "node", "left").groupBy(F.coalesce("comp", "node")).agg(F.min("r").alias("r"))
+            .select(F.xxhash64("r.doc_id").alias("__sl_id"), F.col("r.th").alias("__sl_th")))
+    t = q(text).cast("string")
+    worded = F.coalesce(t.rlike(WORD), F.lit(False))
+    # equal rows are of one node: an aggregate, combined map-side, leaves one of them
+    d = (docs.where(worded).withColumns({"__sl_id": F.xxhash64(q(id_col)), "__sl_th": F.xxhash64(t)})
+         .dropDuplicates(["__sl_id", "__sl_th"]).join(keep, ["__sl_id", "__sl_th"], "left_semi"))
+    return d.select(*[q(c) for c in docs.columns]).unionByName(docs.where(~worded))
