@@ -9,13 +9,16 @@ are never inputs of a score.
 
 Fitted in one task from a bounded sample, so that the driver holds the model
 only: the ``MAX_POS`` and ``MAX_NEG``
-labelled rows that come first by a hash of their id, cut where their words
-pass ``MAX_WORDS`` in all.  Every text is scored whole.
+labelled rows that come first by a hash of their id.  Their words may be
+``MAX_WORDS`` in all: each label has half of that, and what one leaves the
+other may take; a text that does not fit is passed over and the next one tried.
+Every text is scored whole.
 
 Defined results: null, empty or wordless texts score as a text without any
 filter active; repeated rows score alike; labels that are null, or whose row is
-missing, are not learned from; with no labels of one kind the score is the
-share of toxic labels (0 if there are none); no rows, no result.
+missing, are not learned from; with no labels of one kind, or no words in their
+texts, the score is the share of toxic labels (0 if there are none); where all
+texts of one label are too long the fit fails; no rows, no result.
 """
 
 from __future__ import annotations
@@ -178,6 +181,25 @@ def fit(labelled: DataFrame) -> dict:
     return pickle.loads(made[0]["model"]) if made else {"share": 0.0}
 
 
+def _fitting(turn, y, words, most: int | None = None) -> list[int]:
+    """Rows in the order of ``turn`` whose words fit: half of ``most`` for each
+    label, then what is left for any."""
+    most = MAX_WORDS if most is None else most
+    use, left = set(), 0
+    for label in (0, 1):
+        room = most // 2
+        for i in turn:
+            if y[i] == label and words[i] <= room:
+                room -= words[i]
+                use.add(i)
+        left += room
+    for i in turn:
+        if i not in use and words[i] <= left:
+            left -= words[i]
+            use.add(i)
+    return [i for i in turn if i in use]
+
+
 def _fitted(rows: pa.Table) -> dict:
     """Model from the sample's rows, in the order of their ids' hashes."""
     y, lang = np.asarray(rows["toxic"]).astype(int), rows["lang"].to_pylist()
@@ -190,13 +212,16 @@ def _fitted(rows: pa.Table) -> dict:
         for i in range(lo, hi):
             a, b = ends[i - lo] - counts[i - lo], ends[i - lo]
             samples[i] = (y[i], w[a:b], h[a:b])
-    total, use = 0, []
-    for i in turn:
-        total += len(samples[i][1])
-        if total <= MAX_WORDS:
-            use.append(i)
+    use = _fitting(turn, y, [len(s[1]) for s in samples])
     held = [i for n, i in enumerate(use) if n % 4 == 0]
     part = [i for n, i in enumerate(use) if n % 4]
+    learned = lambda rows: {y[i] for i in rows if len(samples[i][1])}
+    if len(learned(part)) < 2:  # few rows: none of a label is left out
+        part = use
+    if len(learned(part)) < 2:
+        if len(use) < len(y):
+            raise ValueError(f"no labelled texts of both kinds within {MAX_WORDS} words")
+        return {"share": float(y.mean())}
     p = train([samples[i] for i in part], epochs=max(8, -(-STEPS * 32 // max(len(part), 1))))
     s = np.array([_score1(p, samples[i]) for i in held])
     yh = np.array([y[i] for i in held])

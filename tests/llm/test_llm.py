@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -249,6 +250,38 @@ def test_toxicity_without_labels(docs):
     assert len(out) == docs.count() and {r.score for r in out} == {0.0}
 
 
+def _labelled(texts, toxic):
+    n = len(texts)
+    return pa.table({"toxic": pa.array(toxic, pa.int32()), "lang": ["en"] * n, "text": texts, "__sl_o": pa.array(range(n), pa.int64())})
+
+
+@pytest.mark.parametrize("long_label", [0, 1])
+def test_toxicity_learns_past_a_text_that_does_not_fit(long_label):
+    texts = ["w " * (toxicity.MAX_WORDS + 1)] + [("vile slur " if n % 2 else "kind word ") + f"x{n}" for n in range(80)]
+    model = toxicity._fitted(_labelled(texts, [long_label] + [n % 2 for n in range(80)]))
+    a, b = model["platt"]
+    p = 1 / (1 + np.exp(-(a * toxicity.raw(model, pa.array(["vile slur y", "kind word y"])) + b)))
+    assert p[0] >= 0.7 > p[1]
+
+
+def test_toxicity_budget_of_each_label():
+    y, words = [0, 0, 1, 0, 1, 0], [60, 30, 40, 10, 20, 5]
+    assert toxicity._fitting(range(6), y, words, 100) == [1, 2, 3, 5]
+    assert toxicity._fitting(range(6), y, words, 1000) == list(range(6))
+
+
+def test_toxicity_few_labels_are_not_all_left_out_of_the_fit():
+    model = toxicity._fitted(_labelled(["vile slur"] + [f"kind word x{n}" for n in range(7)], [1] + [0] * 7))
+    s = toxicity.raw(model, pa.array(["vile slur", "kind word y"]))
+    assert s[0] > 0 > s[1]
+
+
+def test_toxicity_without_usable_texts_of_a_label():
+    with pytest.raises(ValueError):
+        toxicity._fitted(_labelled(["w " * (toxicity.MAX_WORDS + 1), "a b", "c d"], [1, 0, 0]))
+    assert toxicity._fitted(_labelled(["", "a b", "c d", "e f"], [1, 0, 0, 0])) == {"share": 0.25}
+
+
 @pytest.mark.parametrize("apply", [
     lambda d: ngram_jaccard.near_duplicates(d), lambda d: substring_dedup.remove_repeats(d), lambda d: sharding.place(d),
     lambda d: entropy_mix.mix(d), lambda d: katz.score(d, F.lit(False)), lambda d: secret_scan.scan(d)])
