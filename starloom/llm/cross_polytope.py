@@ -4,9 +4,10 @@ Unit vectors, padded to a power of two, pass three rounds of random signs and a
 fast Hadamard transform; the nearest signed axis is the bucket, one per table.
 A query probes the ``PROBES`` nearest signed axes of every table and is held
 against the original vectors it finds, in double precision.  Every row is
-indexed.  Buckets are cut by a salt so that a piece holds about ``PIECE`` rows,
-and of equal vectors only the ``k + 1`` least ids are kept, which is exact for
-the k nearest with ties to the lesser id (a bucket of copies costs no more).
+indexed, equal rows (id and vector) once.  Buckets are cut by a salt so that a
+piece holds about ``PIECE`` rows, and of equal vectors only the ``k + 1`` least
+ids are kept, which is exact for the k nearest with ties to the lesser id (a
+bucket of copies costs no more).  A bucket's k best are k ids, each at its best.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components, and null ids, take no part; fewer than k other vectors give what
@@ -76,7 +77,7 @@ def nearest(vecs: DataFrame, every: int = 20, k: int = K, tables: int = TABLES,
     ok = F.size(e) > 0
     whole = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     v = written(vecs.select(q("vec_id").cast("long").alias("vec_id"), q("embedding").cast("array<double>").alias("embedding"))
-                .where(F.col("vec_id").isNotNull() & ok & whole & F.exists(e, lambda x: x != 0)), "vectors")
+                .where(F.col("vec_id").isNotNull() & ok & whole & F.exists(e, lambda x: x != 0)).distinct(), "vectors")
     nth = F.row_number().over(W.partitionBy("embedding").orderBy("vec_id"))
     index = v.withColumn("nth", nth).where(F.col("nth") <= k + 1).drop("nth")
     shape = "vec_id long, embedding array<double>, t int, axis int"
@@ -90,8 +91,14 @@ def nearest(vecs: DataFrame, every: int = 20, k: int = K, tables: int = TABLES,
         if left.num_rows and right.num_rows:
             qi, qx = np.asarray(left["vec_id"]), _matrix(left["embedding"].combine_chunks())
             vi, vx = np.asarray(right["vec_id"]), _matrix(right["embedding"].combine_chunks())
+            order = np.argsort(vi, kind="stable")
+            ids, first = np.unique(vi[order], return_index=True)
+            repeated, vi = len(ids) < len(vi), ids
+            vx = vx[order]
             for lo in range(0, len(qi), 256):
                 s = qx[lo:lo + 256] @ vx.T
+                if repeated:
+                    s = np.maximum.reduceat(s, first, axis=1)
                 s[qi[lo:lo + 256, None] == vi[None, :]] = -np.inf
                 for i in range(len(s)):
                     r = s[i]

@@ -168,6 +168,25 @@ def test_nearest_equals_brute_force_when_all_axes_are_probed(spark):
         assert [got[i, k + 1] for k in range(20)] == best
 
 
+def test_nearest_where_ids_repeat(spark):
+    """Neither copies of a row nor many vectors of one id push out other ids."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=8)
+    rows = [(0, x)] + [(1, x)] * 30 + [(i, x) for i in (2, 3, 4)]  # equal vectors
+    rows += [(5, x * 0.9 + rng.normal(0, 1e-3, 8)) for _ in range(30)]  # one id, near vectors
+    rows += [(i, x * 0.8 + rng.normal(0, 0.01, 8)) for i in range(6, 40)]
+    df = spark.createDataFrame([(i, [float(v) for v in a]) for i, a in rows], "vec_id long, embedding array<double>")
+    for every, query in ((40, 0), (20, 20)):
+        best = {}
+        at = next(a for i, a in rows if i == query)
+        for i, a in rows:
+            if i != query:
+                best[i] = max(best.get(i, -np.inf), round(float(a @ at), 9))
+        want = sorted(best, key=lambda i: (-best[i], i))[:20]
+        got = {r["rank"]: r.vec_id for r in cross_polytope.nearest(df, every=every, probes=16).where(f"query_id = {query}").collect()}
+        assert [got.get(n + 1) for n in range(20)] == want
+
+
 def test_revisits(spark):
     h = lambda e: {"etag": e} if e else {}
     df = spark.createDataFrame([
