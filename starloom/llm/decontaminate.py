@@ -2,14 +2,16 @@
 
 Words become templates: numbers, capitalised words and units turn into typed
 placeholders, other words are lower-cased without the punctuation around them.
-Windows of template words of every text are hash-joined with those of the
-benchmark items; a match counts when its slots are consistent, that is, the
-item's values map to the text's one to one.  A window needs at least half
-literal words, so placeholders alone match nothing.
+Currency signs, names before "=" and what is attached behind a number stand
+apart from it ("$5", "x=3", "5kg", "5-km").  Windows of template words of every
+text are hash-joined with those of the benchmark items; a match counts when its
+slots are consistent, that is, the item's values map to the text's one to one.
+In a window with fewer literal words than half, or of under ``LEAST`` words,
+placeholders alone would match too much: it matches on its exact values.
 
 Defined results: null and wordless texts and items match nothing; an item
-shorter than the window is one window of all its words, and is left out under
-``LEAST`` words; repeated rows are reported each; an empty table on either side
+shorter than the window is one window of all its words (one of a single word
+matches every text with that word); repeated rows are reported each; an empty table on either side
 gives an empty result; other columns play no part.
 """
 
@@ -27,33 +29,65 @@ WINDOW, LEAST = 13, 6
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _TRIM = ".,;:!?\"'()[]{}"
 _NUM = re.compile(r"[+-]?\d[\d.,:/%]*$")
+#: Name or sign before a number, currency, number, and letters or a unit behind it.
+_GLUED = re.compile(r"((?:[^\W\d]\w*+)?[=<>\u2264\u2265~\u2248\u00b1#]+)?([+-]?)((?:[A-Za-z]{1,2})?[$\u20ac\u00a3\u00a5])?([+-]?\d(?:[.,:/%]*+\d)*+%?)([^\d]*+)")
 # fixed values: unit words that templates hide
 UNITS = frozenset("mm cm m km g kg mg l ml s ms min h km/h mph usd eur $ € % °c °f mb gb tb".split())
 
 
-def template(text: str | None) -> list[tuple[str, str]]:
-    """(placeholder or literal, value) of each word."""
-    out = []
+def _apart(bare: str, low: str) -> list[tuple[str, str]] | None:
+    """Pieces of a word in which a number stands with other signs."""
+    m = _GLUED.fullmatch(low) if not bare.isalpha() else None
+    if m is None:
+        return None
+    lead, sign, currency, number, rest = m.groups()
+    rest = rest.strip(_TRIM + "-\u2013")
+    out = [(lead, lead)] if lead else []
+    out += [("<unit>", currency)] if currency else []
+    out.append(("<num>", sign + number))
+    return out + ([("<unit>" if rest in UNITS else rest, rest)] if rest else [])
+
+
+def _pieces(w: str) -> list[tuple[str, str]]:
+    bare = w.strip(_TRIM) or w
+    low = bare.lower()
+    if _NUM.match(bare):
+        return [("<num>", low)]
+    if low in UNITS:
+        return [("<unit>", low)]
+    return _apart(bare, low) or [("<name>" if bare[:1].isupper() else low, low)]
+
+
+#: Words whose pieces a task remembers.
+_KNOWN = 100_000
+
+
+def template(text: str | None, known: dict | None = None) -> list[tuple[str, str]]:
+    """(placeholder or literal, value) of each word; ``known`` holds words met before."""
+    known, out = {} if known is None else known, []
     for w in _WORD.findall(text or ""):
-        bare = w.strip(_TRIM) or w
-        low = bare.lower()
-        if _NUM.match(bare):
-            out.append(("<num>", low))
-        elif low in UNITS:
-            out.append(("<unit>", low))
-        elif bare[:1].isupper():
-            out.append(("<name>", low))
-        else:
-            out.append((low, low))
+        got = known.get(w)
+        if got is None:
+            if len(known) >= _KNOWN:
+                known.clear()
+            got = known[w] = _pieces(w)
+        out += got
     return out
 
 
+def _exact(words) -> str:
+    """Key of a window that matches on its values; no word holds a line break."""
+    return "\n".join(["\x1f".join(k for k, _ in words), "\x1f".join(v for _, v in words)])
+
+
 def _windows(words, size):
-    kinds = [k for k, _ in words]
+    """Key and place of each window: its template, or its template and values."""
+    literal = [k[0] != "<" for k, _ in words]
     for i in range(len(words) - size + 1):
-        part = kinds[i:i + size]
-        if 2 * sum(k[0] != "<" for k in part) >= size:
-            yield "\x1f".join(part), i
+        if size >= LEAST and 2 * sum(literal[i:i + size]) >= size:
+            yield "\x1f".join(k for k, _ in words[i:i + size]), i
+        else:
+            yield _exact(words[i:i + size]), i
 
 
 def _consistent(a: list[str], b: list[str]) -> bool:
@@ -69,7 +103,7 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text")
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 w = template(t)
                 size = min(WINDOW, len(w))
-                if size >= LEAST:
+                if size:
                     rows += [{"size": size, "tpl": k, "item_id": i, "slots": [v for _, v in w[p:p + size]]}
                              for k, p in _windows(w, size)]
             yield pa.RecordBatch.from_pylist(rows, pa.schema([("size", pa.int32()), ("tpl", pa.string()), ("item_id", pa.int64()), ("slots", pa.list_(pa.string()))]))
@@ -95,20 +129,26 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
 
         def run(batches):
             known = sent.value
-            first = {s: {k.split("\x1f", 1)[0] for k in t} for s, t in known.items()}
+            # first words of the keys: templates' by kind, exact ones' by value
+            first = {s: {k.split("\x1f", 1)[0] for k in t if "\n" not in k} for s, t in known.items()}
+            start = {s: {h[0][1][0] for k, h in t.items() if "\n" in k} for s, t in known.items()}
+            seen: dict = {}
             for b in batches:
                 rows = []
                 for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    w = template(t)
+                    w = template(t, seen)
                     found: dict = {}
+                    kinds, vals = [k for k, _ in w], [v for _, v in w]
                     for s, t_ in known.items():
-                        kinds, heads = [k for k, _ in w], first[s]
+                        heads, starts = first[s], start[s]
                         for p in range(len(w) - s + 1):
                             if kinds[p] in heads and (hit := t_.get("\x1f".join(kinds[p:p + s]))):
-                                vals = [v for _, v in w[p:p + s]]
                                 for item, slots in hit:
-                                    if _consistent(slots, vals):
+                                    if _consistent(slots, vals[p:p + s]):
                                         found[item] = found.get(item, 0) + 1
+                            if vals[p] in starts and (hit := t_.get(_exact(w[p:p + s]))):
+                                for item, _ in hit:
+                                    found[item] = found.get(item, 0) + 1
                     rows += [{"doc_id": i, "item_id": k, "n_windows": n} for k, n in found.items()]
                 yield pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", b.schema.field(0).type), ("item_id", pa.int64()), ("n_windows", pa.int64())]))
         return src.mapInArrow(run, f"doc_id {doc_type}, item_id long, n_windows long")

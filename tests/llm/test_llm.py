@@ -257,6 +257,28 @@ def test_template_matches_reparameterised_items(spark, docs):
     assert decontaminate.clean(docs, items).count() == docs.count()
 
 
+def test_template_splits_numbers_from_what_is_attached():
+    kinds = lambda t: [k for k, _ in decontaminate.template(t)]
+    assert kinds("$5 5kg 20\u00b0C 5-km x=3 -7 3.5% 12:30 (\u20ac9.50),") == [
+        "<unit>", "<num>", "<num>", "<unit>", "<num>", "<unit>", "<num>", "<unit>", "x=", "<num>", "<num>", "<num>", "<num>", "<unit>", "<num>"]
+    assert decontaminate.template("US$1,200 5th") == [("<unit>", "us$"), ("<num>", "1,200"), ("<num>", "5"), ("th", "th")]
+    assert kinds("w12 h2o 3f5a a-b covid-19 5-7") == ["w12", "h2o", "3f5a", "a-b", "covid-19", "5-7"]  # identifiers stay whole
+
+
+def test_template_matches_attached_numbers_and_windows_of_few_literals(spark):
+    items = spark.createDataFrame([
+        (1, "if a ticket costs $12 and a bag weighs 5kg how much do they pay"),
+        (2, "The Old Man And The Sea By Ernest Hemingway Won A Big Prize In Stockholm"),
+        (3, "1 2 3 5 8 13 21 34 55 89 144 233 377 610"), (4, "WHO WROTE HAMLET"), (5, "Prime numbers below 9")], "item_id long, text string")
+    d = spark.createDataFrame([
+        (1, "now if a ticket costs $15 and a bag weighs 7kg how much do they pay"), (2, "say The Old Man And The Sea By Ernest Hemingway Won A Big Prize In Stockholm"),
+        (3, "as 1 2 3 5 8 13 21 34 55 89 144 233 377 610 go"), (4, "so WHO WROTE HAMLET then"), (5, "list Prime numbers below 9 please"),
+        (6, "The Young Girl And The Lake By Ernest Hemingway Won A Big Prize In Stockholm"), (7, "as 2 3 4 6 9 14 22 35 56 90 145 234 378 611 go"),
+        (8, "so WHO PLAYED HAMLET then"), (9, "list Prime numbers below 8 please")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.item_id) for r in decontaminate.matches(d, items).collect())
+    assert got == [(i, i) for i in range(1, 6)]
+
+
 def test_secret_patterns():
     # a dropped match still takes its characters: nothing is left for "token ="
     assert secret_scan.base("password: token = abcdefgh1") == []
