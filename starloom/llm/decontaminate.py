@@ -115,13 +115,14 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text")
 BROADCAST_BYTES = 16 << 20
 
 
-def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, item_id, n_windows): every text and item with consistent windows in common."""
+def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text",
+            broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(doc_id, item_id, n_windows): every row and item with consistent windows in common."""
     doc_type = docs.schema[id_col].dataType.simpleString()
     wins = item_windows(items)
     src = docs.select(q(id_col).alias("doc_id"), q(text).cast("string").alias("text"))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    if size <= BROADCAST_BYTES:
+    if size <= broadcast_bytes:
         table: dict = {}
         for r in wins.collect():  # bounded by the check above
             table.setdefault(r["size"], {}).setdefault(r["tpl"], []).append((r["item_id"], r["slots"]))
@@ -154,18 +155,26 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
         return src.mapInArrow(run, f"doc_id {doc_type}, item_id long, n_windows long")
 
     sizes = [r[0] for r in wins.select("size").distinct().collect()]  # at most WINDOW values
+    # rows of one id and text count together and are told apart again at the end
+    src = src.withColumn("th", F.xxhash64("text"))
 
     def cut(batches):
+        seen: dict = {}
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                w = template(t)
-                rows = [{"doc_id": i, "size": s, "tpl": k, "vals": [v for _, v in w[p:p + s]]} for s in sizes for k, p in _windows(w, s)]
-                yield pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", b.schema.field(0).type), ("size", pa.int32()), ("tpl", pa.string()), ("vals", pa.list_(pa.string()))]))
-    met = src.mapInArrow(cut, f"doc_id {doc_type}, size int, tpl string, vals array<string>").join(wins, ["size", "tpl"])
+            for i, t, h in zip(*(b.column(c).to_pylist() for c in range(3))):
+                w = template(t, seen)
+                rows = [{"doc_id": i, "th": h, "size": s, "tpl": k, "vals": [v for _, v in w[p:p + s]]} for s in sizes for k, p in _windows(w, s)]
+                yield pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", b.schema.field(0).type), ("th", pa.int64()), ("size", pa.int32()),
+                                                                  ("tpl", pa.string()), ("vals", pa.list_(pa.string()))]))
+    met = src.mapInArrow(cut, f"doc_id {doc_type}, th long, size int, tpl string, vals array<string>").join(wins, ["size", "tpl"])
     pair = F.arrays_zip("slots", "vals")
     one = F.size(F.array_distinct(pair))
     ok = (one == F.size(F.array_distinct("slots"))) & (one == F.size(F.array_distinct("vals")))
-    return met.where(ok).groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("n_windows"))
+    found = met.where(ok).groupBy("doc_id", "th", "item_id").agg(F.count(F.lit(1)).alias("n"))
+    times = src.groupBy(F.col("doc_id").alias("id"), F.col("th").alias("h")).agg(F.count(F.lit(1)).alias("times"))
+    return (found.join(times, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("h")))
+            .select("doc_id", "item_id", (F.col("n") / F.col("times")).cast("long").alias("n_windows"),
+                    F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("nth")).drop("nth"))
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:

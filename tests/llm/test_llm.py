@@ -279,6 +279,42 @@ def test_template_matches_attached_numbers_and_windows_of_few_literals(spark):
     assert got == [(i, i) for i in range(1, 6)]
 
 
+@pytest.mark.parametrize("broadcast_bytes", [decontaminate.BROADCAST_BYTES, -1])  # broadcast windows, and a join
+def test_template_matches_against_brute_force(spark, broadcast_bytes):
+    rng = np.random.default_rng(9)
+    word = lambda: str(rng.choice(["if", "has", "and", "gives", "Anna", "Bob", "7", "12", "5kg", "$3", "then"]))
+    items = [(n, " ".join(word() for _ in range(k))) for n, k in enumerate([3, 5, 8, 13, 20, 20, 1])] + [(7, None), (8, "")]
+    other = {"Anna": "Eve", "7": "9", "$3": "$4", "5kg": "6kg"}
+    changed = [" ".join(other.get(w, w) for w in (t or "").split()) for _, t in items]
+    texts = [" ".join([word(), t or "", word()]) for _, t in items] + changed + [" ".join(word() for _ in range(60)), None, ""]
+    rows = [(n if n % 4 else None, t) for n, t in enumerate(texts)]
+    rows += rows[:4] + [(None, texts[4]), (None, texts[5]), (2, texts[5])]
+
+    def wins(t):
+        return decontaminate.template(t)
+
+    want = []
+    for d, t in rows:
+        w = wins(t)
+        for i, u in items:
+            v = wins(u)
+            size, n = min(13, len(v)), 0
+            seen = {tuple(v[p:p + size]) for p in range(len(v) - size + 1)} if size else ()
+            for a in seen:
+                rich = size >= 6 and 2 * sum(k[0] != "<" for k, _ in a) >= size
+                for p in range(len(w) - size + 1):
+                    b = tuple(w[p:p + size])
+                    pairs = {(x, y) for (_, x), (_, y) in zip(a, b)}
+                    one_to_one = len(pairs) == len({x for x, _ in pairs}) == len({y for _, y in pairs})
+                    n += a == b if not rich else [k for k, _ in a] == [k for k, _ in b] and one_to_one
+            if n:
+                want.append((d, i, n))
+    got = decontaminate.matches(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"),
+                                broadcast_bytes=broadcast_bytes)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert len(want) > len(items)
+
+
 def test_secret_patterns():
     # a dropped match still takes its characters: nothing is left for "token ="
     assert secret_scan.base("password: token = abcdefgh1") == []
