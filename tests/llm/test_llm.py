@@ -322,6 +322,26 @@ def test_secret_patterns():
     assert secret_scan.base("API_KEY='abcd1234'") == [(0, 0, 17)]
 
 
+def test_secret_network_adds_secrets_of_other_forms(spark, monkeypatch):
+    """Runs without keyword, digit or length the patterns ask for, learned from few findings."""
+    monkeypatch.setattr(secret_scan, "ROWS", 100)
+    rng = np.random.default_rng(12)
+    parts = ["con", "ver", "sa", "tion", "al", "ment", "pre", "sent", "ing", "de", "pend", "er", "com", "mu", "ni", "ca", "te", "ly"]
+    word = lambda: "".join(rng.choice(parts, 4))
+    some = lambda letters, n: "".join(rng.choice(list(letters), n))
+    mixed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    texts = [" ".join(word() for _ in range(30)) for _ in range(1200)]
+    for i in range(0, 300, 10):
+        texts[i] += f" password = {some(mixed + '0123456789', 20)} " + word()
+    new = [some(mixed, 24), some(mixed + "0123456789", 14), ".".join(some(mixed + "0123456789-_", n) for n in (20, 30, 24)), some("0123456789ABCDEF", 32)]
+    for i, x in enumerate(new):
+        texts[1100 + i] += f" {x} " + word()
+    got = {r.doc_id: r.spans for r in secret_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    added = [(i, texts[i][int(a):int(e)]) for i, s in got.items() for k, a, e in (x.split(":") for x in s.split(",") if x) if k == "cnn"]
+    assert {(1100 + i, x) for i, x in enumerate(new)} <= set(added)
+    assert len(added) <= len(new) + 36  # a thousandth of the other words
+
+
 def test_toxicity_without_labels(docs):
     out = toxicity.score(docs, {"share": 0.0}).collect()
     assert len(out) == docs.count() and {r.score for r in out} == {0.0}
