@@ -62,7 +62,8 @@ def _ask(keys, buckets: int):
                 out = []
                 if not lone.all():  # again within the block
                     u, r = np.unique(row[~lone], return_inverse=True)
-                    out.append((int(h[0] // width), False, doc[u], pack(r.astype(np.uint32), pos[~lone])))
+                    # settled: any bucket will do, so blocks are spread by their documents
+                    out.append((int(doc[u].sum()) % buckets, False, doc[u], pack(r.astype(np.uint32), pos[~lone])))
                 hs, rs, ps, ls = h[first], row[first], pos[first], lone[first]
                 cuts = np.concatenate([[0], np.searchsorted(hs, edges), [len(hs)]])
                 for i in np.flatnonzero(np.diff(cuts)):

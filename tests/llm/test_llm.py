@@ -134,6 +134,19 @@ def test_substring_dedup_against_brute_force(docs):
     assert sum(x[2] for x in got)
 
 
+def test_substring_dedup_spreads_what_recurs_inside_blocks():
+    rng = np.random.default_rng(14)
+
+    def keys(b):
+        h = rng.integers(0, 2 ** 64, 20_000, dtype=np.uint64)
+        yield np.repeat(h, 2), np.arange(40_000) % 50, np.arange(40_000), np.asarray(b.column(0))
+    blocks = [pa.RecordBatch.from_arrays([pa.array(rng.integers(-2 ** 63, 2 ** 63, 50))], ["doc"]) for _ in range(96)]
+    out = [(i, len(d)) for b in substring_dedup._ask(keys, 48)(blocks) for i, asked, d in zip(*(b.column(c).to_pylist() for c in range(3))) if not asked]
+    per = Counter(i for i, _ in out)
+    assert len(out) == 96 and all(n == 50 for _, n in out)
+    assert len(per) > 24 and max(per.values()) < 12 and set(per) <= set(range(48))
+
+
 def test_sharding_places_all_rows_and_replaces_the_column(docs):
     out = sharding.place(docs)
     assert out.columns == docs.columns and out.count() == docs.count()
