@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from starloom.llm import sharding
 
-WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+#: Terms and parts of a text, as the queries' contracts give them.
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+LINES = r"[^\n]*\n|[^\n]+"
+FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
 def _sharding() -> str:
@@ -33,5 +36,39 @@ def _sharding() -> str:
             f" AS VARCHAR), 2, '0') AS shard FROM documents")
 
 
+def _fill_in_middle() -> str:
+    h = ", ".join(f"cast('0x' || substr(digest, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+    run = lambda a, z: f"array_to_string(units[{a}:{z}], '')"
+    return f"""
+WITH a AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{LINES}') AS units,
+                  sha256('7:' || coalesce(cast(doc_id AS VARCHAR), '')) AS digest FROM documents),
+     b AS (SELECT *, len(units) AS n, {h} FROM a),
+     c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS x, greatest(h1 % (n + 1), h2 % (n + 1)) AS y,
+                  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                       WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM b),
+     d AS (SELECT *, {run("1", "x")} AS pre, {run("x + 1", "y")} AS mid, {run("y + 1", "n")} AS suf FROM c)
+SELECT doc_id, cast(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN cast(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN cast(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM d"""
+
+
+def _lexical_search() -> str:
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({FOLDED}, '{TERMS}') AS ts FROM documents),
+     s AS (SELECT cast(count(*) FILTER (WHERE len(ts) > 0) AS BIGINT) AS docs, cast(sum(len(ts)) AS BIGINT) AS length FROM d),
+     i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({FOLDED}, '{TERMS}')) AS term FROM benchmark),
+     p AS (SELECT doc_id, n, term, cast(count(*) AS BIGINT) AS tf FROM (SELECT doc_id, cast(len(ts) AS BIGINT) AS n, unnest(ts) AS term FROM d)
+           WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+     w AS (SELECT term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY term, docs),
+     m AS (SELECT item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // length)))) AS BIGINT) AS score
+           FROM i JOIN p USING (term) JOIN w USING (term), s GROUP BY item_id, doc_id),
+     r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM m WHERE score > 0)
+SELECT item_id, cast(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": _sharding()}
+    return {"op4_sharding": _sharding(), "op11_fill_in_middle": _fill_in_middle(), "op13_lexical_search": _lexical_search()}

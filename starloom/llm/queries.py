@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import cross_polytope, decontaminate, entropy_mix, katz, ngram_jaccard, secret_scan, sharding, substring_dedup, toxicity, warc_revisit
+from starloom.llm import (cross_polytope, decontaminate, entropy_mix, fill_in_middle, katz, lexical_search, ngram_jaccard,
+                          secret_scan, sharding, substring_dedup, toxicity, warc_revisit)
 from starloom.llm.common import table
 
 
@@ -73,5 +74,19 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entropy_mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form, cuts and digests of every document's fill-in-the-middle text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fill_in_middle.transform(docs, texts=False)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_katz, op3_cross_polytope, op4_sharding, op5_toxicity, op6_substring_dedup, op7_decontamination, op8_secret_scan, op9_warc_revisit, op10_source_mix)}
+    f.__name__: f for f in (op1_ngram_jaccard, op2_katz, op3_cross_polytope, op4_sharding, op5_toxicity, op6_substring_dedup,
+                            op7_decontamination, op8_secret_scan, op9_warc_revisit, op10_source_mix, op11_fill_in_middle,
+                            op13_lexical_search)}
