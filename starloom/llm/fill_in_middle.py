@@ -16,7 +16,8 @@ runs are put in another order, each behind its mark.  Texts travel in pieces:
    the first, so that it sorts inside the partitions without a shuffle, and a
    second digest takes in the restored text.
 
-Both sorts spill.  A row's key is a hash of its id, its text, its partition and
+Both sorts spill; there are so many partitions that each gets ``PART_BYTES`` of
+text (the session's number of shuffle partitions at least).  A row's key is a hash of its id, its text, its partition and
 its number among equal rows there, so that copies spread over all partitions
 and a task run again makes the same keys.
 
@@ -33,6 +34,7 @@ import hashlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.common import q
@@ -43,6 +45,8 @@ ORDERS = {"psm": "PSM", "spm": "SPM"}
 TEXT_ORDER = "PMS"
 #: Code points a piece holds at most.
 CHUNK = 1 << 16
+#: Bytes of text a partition of the sort is dealt.
+PART_BYTES = 64 << 20
 
 
 def lines(text: str) -> int:
@@ -152,7 +156,9 @@ def transform(docs: DataFrame, id_col: str = "doc_id", text: str = "text", seed:
     """
     spark = docs.sparkSession
     src = docs.select(q(id_col).alias("doc_id"), q(text).cast("string").alias("text"))
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
 
     def emit(part, rows):
         met: dict[bytes, int] = {}
@@ -166,30 +172,30 @@ def transform(docs: DataFrame, id_col: str = "doc_id", text: str = "text", seed:
 
     def put_out(records):
         for row, head, output in _by_row(records):
-            digest, parts_ = hashlib.sha256(), []
+            digest, made = hashlib.sha256(), []
 
             def taken():
                 for b in output:
                     digest.update(b)
                     if texts:
-                        parts_.append(b)
+                        made.append(b)
                     yield b
             for i, (place, b) in enumerate(restored(head[2], taken())):
                 yield (row, place, i), b
-            yield (row, -1, 0), (*head, digest.hexdigest(), b"".join(parts_))
+            yield (row, -1, 0), (*head, digest.hexdigest(), b"".join(made))
 
     def put_back(records):
         for _, head, text_ in _by_row(records):
             digest = hashlib.sha256()
             for b in text_:
                 digest.update(b)
-            *known, out, made = head
-            yield (*known, out, digest.hexdigest(), *([made.decode()] if texts else []))
+            *known, out, whole = head
+            yield (*known, out, digest.hexdigest(), *([whole.decode()] if texts else []))
 
     def to(key):
         return int.from_bytes(key[0][:8], "big")
 
-    sort = lambda rdd: rdd.repartitionAndSortWithinPartitions(parts, to)
+    sort = lambda rdd: rdd.repartitionAndSortWithinPartitions(partitions, to)
     out = sort(sort(src.rdd.mapPartitionsWithIndex(emit)).mapPartitions(put_out, preservesPartitioning=True))
     fields = [T.StructField("doc_id", src.schema["doc_id"].dataType), T.StructField("n", T.LongType()),
               T.StructField("form", T.StringType()), T.StructField("prefix_chars", T.LongType()),
