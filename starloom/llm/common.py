@@ -31,6 +31,34 @@ def written(df: DataFrame, what: str = "step", partition_by: list[str] | None =
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The tables of one call, in a folder of their own that goes when the
+    result stands: steps are written inside ``with``, and so is the result,
+    which stays."""
+
+    def __init__(self, spark: SparkSession, what: str):
+        self.spark, self.name = spark, f"{what}-{uuid.uuid4().hex}"
+        self.folder = f"{ensure_checkpoint_dir(spark)}/starloom-llm/{self.name}"
+        self.steps = 0
+
+    def written(self, df: DataFrame, what: str = "step") -> DataFrame:
+        """Like the function ``written``, in this folder."""
+        self.steps += 1
+        path = f"{self.folder}/{self.steps:02d}-{what}"
+        df.write.mode("errorifexists").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        return written(df, f"{self.name}-result")
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished phases: it does
     so once the driver's JVM has collected the plans that made them."""

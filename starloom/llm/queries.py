@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import (cross_polytope, decontaminate, entropy_mix, fill_in_middle, katz, lexical_search, ngram_jaccard,
-                          secret_scan, sharding, substring_dedup, toxicity, warc_revisit)
+from starloom.llm import (cross_polytope, decontaminate, entropy_mix, fill_in_middle, katz, lexical_search, minhash_join,
+                          ngram_jaccard, secret_scan, sharding, substring_dedup, toxicity, warc_revisit)
 from starloom.llm.common import table
 
 
@@ -80,6 +80,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle.transform(docs, texts=False)
 
 
+def op12_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingles and component of every document, and whether it is the one kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -89,4 +95,4 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_jaccard, op2_katz, op3_cross_polytope, op4_sharding, op5_toxicity, op6_substring_dedup,
                             op7_decontamination, op8_secret_scan, op9_warc_revisit, op10_source_mix, op11_fill_in_middle,
-                            op13_lexical_search)}
+                            op12_minhash_join, op13_lexical_search)}
