@@ -199,13 +199,15 @@ SELECT review_id, order_id, review_score, review_comment_title, review_comment_m
 FROM src_reviews""", ("src_reviews",))
 
 
-def with_ctes(body: str, *needs: str) -> str:
+def with_ctes(body: str, *needs: str, over: dict[str, tuple[str, tuple[str, ...]]] | None = None) -> str:
+    """``body`` behind the CTEs it needs; ``over`` replaces some of them."""
+    known = {**CTES, **(over or {})}
     order: list[str] = []
 
     def visit(n):
         if n in order:
             return
-        for d in CTES[n][1]:
+        for d in known[n][1]:
             visit(d)
         order.append(n)
 
@@ -213,7 +215,36 @@ def with_ctes(body: str, *needs: str) -> str:
         visit(n)
     if not order:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n][0]}\n)" for n in order) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS ({known[n][0]}\n)" for n in order) + "\n" + body
+
+
+def _replaced(name: str, **columns: str) -> tuple[str, tuple[str, ...]]:
+    return (f"SELECT * REPLACE ({', '.join(f'{sql} AS {c}' for c, sql in columns.items())}) FROM ({CTES[name][0]}) x", CTES[name][1])
+
+
+# the sources with faults, and the customer dimension with one region twice
+FLAWED = {
+    "src_orders": _replaced("src_orders", customer_id="CASE WHEN order_status <> 'P' THEN customer_id END",
+                            order_purchase_timestamp="CASE WHEN order_delivered_carrier_date IS NOT NULL THEN order_purchase_timestamp END"),
+    "src_customers": (f"""
+SELECT * FROM ({CTES['src_customers'][0]}) x WHERE customer_unique_id NOT LIKE 'MACHINERY%'
+UNION ALL SELECT * REPLACE ('elsewhere' AS customer_city) FROM ({CTES['src_customers'][0]}) y WHERE customer_unique_id LIKE 'BUILDING%'""", ()),
+    "src_products": (_replaced("src_products", product_id="CASE WHEN NOT (product_category_name = 'SMALL' AND product_photos_qty <= 10) "
+                               "THEN product_id END")[0] + " WHERE product_category_name <> 'LARGE'", ()),
+    "src_sellers": (f"SELECT * FROM ({CTES['src_sellers'][0]}) x WHERE seller_state <> 'asia'", ()),
+    "src_items": _replaced("src_items", product_id="CASE WHEN freight_value <> 0 THEN product_id END"),
+    "src_payments": _replaced("src_payments", payment_type="CASE WHEN payment_installments >= 10 THEN payment_type END"),
+    "src_reviews": (f"""
+SELECT x.* REPLACE (d.source AS review_comment_title, d.text AS review_comment_message)
+FROM ({CTES['src_reviews'][0]}) x LEFT JOIN documents d ON x.review_id = d.doc_id""", ()),
+    "dim_customers_twice": ("SELECT * FROM dim_customers UNION ALL SELECT * FROM dim_customers WHERE customer_state = 'EUROPE'",
+                            ("dim_customers",)),
+}
+
+
+def with_flaws(body: str, *needs: str) -> str:
+    body = body.replace("FROM dim_customers", "FROM dim_customers_twice").replace("JOIN dim_customers", "JOIN dim_customers_twice")
+    return with_ctes(body, *needs, "dim_customers_twice", over=FLAWED)
 
 
 STAR = ("dim_date", "dim_customers", "dim_products", "dim_seller", "dim_payments",
@@ -316,6 +347,41 @@ def _coverage_sql() -> str:
     return ("SELECT *, observed = expected AS passed FROM (" + "\nUNION ALL ".join(parts) + ") r")
 
 
+# family: where keys come from, and where they are used
+FAMILIES = {
+    "day": (("dim_date", "CAST(date AS DATE)"), ("fact_orders", "CAST(order_purchase_timestamp AS DATE)")),
+    "dim_customers.customer_id": (("dim_customers", "customer_id"), None),
+    "dim_customers.customer_sk": (("dim_customers", "customer_sk"), ("fact_orders", "customer_sk")),
+    "dim_date.date": (("dim_date", "date"), None),
+    "dim_date.date_id": (("dim_date", "date_id"), None),
+    "dim_payments.payment_type": (("dim_payments", "payment_type"), ("src_payments", "payment_type")),
+    "dim_payments.payment_sk": (("dim_payments", "payment_sk"), ("fact_payments", "payment_sk")),
+    "dim_products.product_id": (("dim_products", "product_id"), ("src_items", "product_id")),
+    "dim_products.product_sk": (("dim_products", "product_sk"), ("fact_order_items", "product_sk")),
+    "dim_seller.seller_id": (("dim_seller", "seller_id"), ("src_items", "seller_id")),
+    "dim_seller.seller_sk": (("dim_seller", "seller_sk"), ("fact_order_items", "seller_sk")),
+}
+
+
+def _reconcile_sql() -> str:
+    parts = []
+    for family, (home, used) in FAMILIES.items():
+        side = lambda s: (f"(SELECT CAST({s[1]} AS VARCHAR) AS k, count(*) AS n FROM {s[0]} GROUP BY 1)" if s
+                          else "(SELECT CAST(NULL AS VARCHAR) AS k, CAST(0 AS BIGINT) AS n WHERE false)")
+        n = lambda what, where: f"CAST(coalesce({what} FILTER (WHERE {where}), 0) AS BIGINT)"
+        has, lacks = "k IS NOT NULL", "k IS NULL"
+        parts.append(f"""
+SELECT '{family}' AS family, {n('sum(h)', 'true')} AS home_rows, {n('sum(h)', lacks)} AS home_nulls,
+       {n('count(*)', has + ' AND h > 0')} AS home_keys, {n('count(*)', has + ' AND h > 1')} AS home_repeated,
+       {n('sum(u)', 'true')} AS used_rows, {n('sum(u)', lacks)} AS used_nulls,
+       {n('count(*)', has + ' AND u > 0')} AS used_keys, {n('count(*)', has + ' AND u > 0 AND h = 0')} AS orphans,
+       {n('count(*)', has + ' AND h > 0 AND u = 0')} AS unused, {n('count(*)', has + ' AND h > 0 AND u > 0')} AS shared,
+       {n('sum(u)', "k = '0'")} AS unknown_rows
+FROM (SELECT coalesce(a.k, b.k) AS k, coalesce(a.n, 0) AS h, coalesce(b.n, 0) AS u
+      FROM {side(home)} a FULL JOIN {side(used)} b ON a.k IS NOT DISTINCT FROM b.k) z""")
+    return "\nUNION ALL ".join(parts)
+
+
 _ALL = STAR + ("src_orders", "src_items", "src_payments", "src_reviews")
 
 
@@ -459,6 +525,39 @@ GROUP BY order_id, order_item_id HAVING count(*) > 1""", "fact_order_items")
         f"count(*) FILTER (WHERE {c} < -2147483648 OR {c} > 2147483647) AS overflow_count, "
         f"count(*) FILTER (WHERE {c} IS NULL) = 0 AND count(*) FILTER (WHERE {c} < -2147483648 OR {c} > 2147483647) = 0 AS castable "
         f"FROM fact_orders" for c in cols), "fact_orders")
+    q["flawed_star_checks"] = with_flaws(
+        "\nUNION ALL ".join(f"SELECT * FROM ({s}) z" for s in
+                            (_row_count_sql(), _null_key_sql(), _unique_sql(), _coverage_sql())), *_ALL)
+    q["key_reconciliation"] = with_flaws(_reconcile_sql(), *_ALL)
+    q["flawed_integrity"] = with_flaws("""
+SELECT (SELECT count(*) FROM fact_orders f WHERE NOT EXISTS (SELECT 1 FROM dim_customers d WHERE d.customer_sk = f.customer_sk))
+         AS orders_without_customer,
+       (SELECT count(*) FROM dim_products d WHERE NOT EXISTS (SELECT 1 FROM fact_order_items f WHERE d.product_sk = f.product_sk))
+         AS products_without_items,
+       (SELECT count(*) FROM fact_order_items f WHERE NOT EXISTS (SELECT 1 FROM dim_products d WHERE d.product_sk = f.product_sk))
+         AS items_without_product,
+       (SELECT count(*) FROM (SELECT customer_sk FROM dim_customers GROUP BY customer_sk HAVING count(*) > 1) x)
+         AS duplicate_customer_keys""", *_ALL)
+    q["flawed_fact_reviews"] = with_flaws(
+        "SELECT * REPLACE (" + ", ".join(f"{ts_text(c)} AS {c}" for c in REVIEW_TS) + ") FROM fact_reviews", "fact_reviews")
+    q["key_registry_refresh"] = with_ctes("""
+SELECT customer_id, row_number() OVER (ORDER BY first_year, customer_id NULLS LAST) AS customer_sk,
+       last_year < (SELECT max(year(order_purchase_timestamp)) FROM src_orders) AS retired
+FROM (SELECT customer_id, min(y) AS first_year, max(y) AS last_year
+      FROM (SELECT year(order_purchase_timestamp) AS y, CASE WHEN order_status <> 'P' THEN customer_id END AS customer_id
+            FROM src_orders WHERE order_purchase_timestamp IS NOT NULL) m GROUP BY customer_id) g""", "src_orders")
+    q["refresh_changed_days"] = with_ctes(f"""
+SELECT part, CASE WHEN old_rows = 0 THEN 'new' WHEN new_rows = 0 THEN 'gone' ELSE 'changed' END AS change, old_rows, new_rows
+FROM (SELECT coalesce(CAST(a.d AS VARCHAR), 'none') AS part, coalesce(a.n, 0) AS old_rows, coalesce(b.n, 0) AS new_rows
+      FROM (SELECT {date_id('order_purchase_timestamp')} AS d, count(*) AS n,
+                   list_sort(list(concat_ws('|', order_id, order_status))) AS held FROM src_orders GROUP BY 1) a
+      FULL JOIN (SELECT {date_id('order_purchase_timestamp')} AS d, count(*) AS n,
+                        list_sort(list(concat_ws('|', order_id, order_status))) AS held
+                 FROM (SELECT * REPLACE (CASE WHEN CAST(order_purchase_timestamp AS DATE) BETWEEN DATE '1997-06-01' AND DATE '1997-06-30'
+                                              THEN 'X' ELSE order_status END AS order_status)
+                       FROM src_orders WHERE CAST(order_purchase_timestamp AS DATE) IS DISTINCT FROM DATE '1998-03-03') c
+                 GROUP BY 1) b ON a.d IS NOT DISTINCT FROM b.d
+      WHERE a.held IS DISTINCT FROM b.held) x""", "src_orders")
     return q
 
 

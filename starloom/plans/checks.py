@@ -1,8 +1,8 @@
 """Checks on a built star (V1-V5) and the check queries.
 
-Every check is one row (check, subject, observed, expected, passed).  Checks
-on the same table share one aggregate, and the whole checks frame is a single
-job whose result is a few dozen rows.
+Every check is one row (check, subject, observed, expected, passed).  All of
+them come from one tagged union of the tables' key columns (see
+``operators.reconcile``): one scan a table, one shuffle of distinct keys.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.setops import anti_rows, missing_keys
+from starloom.operators.reconcile import HOME, USE, Side, reconcile
+from starloom.operators.setops import anti_rows
+from starloom.plans.observed import FACT_SOURCES, MAY_BE_UNKNOWN, NOT_NULL
 
 CHECK_COLUMNS = ["check", "subject", "observed", "expected", "passed"]
 
@@ -21,130 +23,146 @@ class StarCheckFailed(AssertionError):
     pass
 
 
-def _rows(agg: DataFrame, specs: list[tuple[str, str, str, str]]) -> DataFrame:
-    """``specs``: (check, subject, observed column, expected column or int literal)."""
-    structs = []
-    for check, subject, obs, exp in specs:
-        e = F.lit(int(exp)) if isinstance(exp, int) else F.col(exp)
-        structs.append(F.struct(F.lit(check).alias("check"), F.lit(subject).alias("subject"),
-                                F.col(obs).cast("long").alias("observed"),
-                                e.cast("long").alias("expected")))
-    out = agg.select(F.explode(F.array(*structs)).alias("r")).select("r.*")
-    return out.withColumn("passed", F.col("observed") == F.col("expected"))
-
-
 def _count(df: DataFrame, name: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def row_count_checks(sources: dict[str, DataFrame], star: dict[str, DataFrame]) -> DataFrame:
-    """V1: each fact keeps the row count of its source."""
-    pairs = [("orders", "fact_orders"), ("order_items", "fact_order_items"),
-             ("order_payments", "fact_payments"), ("order_reviews", "fact_reviews")]
-    parts = []
-    for src, fact in pairs:
-        s = sources[src].agg(F.count(F.lit(1)).alias("v")).select(F.lit(fact).alias("t"), "v",
-                                                                  F.lit("src").alias("side"))
-        f = star[fact].agg(F.count(F.lit(1)).alias("v")).select(F.lit(fact).alias("t"), "v",
-                                                                F.lit("fact").alias("side"))
-        parts += [s, f]
-    both = reduce(DataFrame.unionByName, parts)
-    paired = both.groupBy("t").agg(F.max(F.when(F.col("side") == "fact", F.col("v"))).alias("fact_n"),
-                                   F.max(F.when(F.col("side") == "src", F.col("v"))).alias("src_n"))
-    return paired.select(F.lit("row_count").alias("check"), F.col("t").alias("subject"),
-                         F.col("fact_n").cast("long").alias("observed"),
-                         F.col("src_n").cast("long").alias("expected"),
-                         (F.col("fact_n") == F.col("src_n")).alias("passed"))
-
-
-def null_key_checks(star: dict[str, DataFrame], unknown_key: int = 0) -> DataFrame:
-    """V2: null surrogate/date keys in the facts, and items mapped to the
-    unknown member (key 0), which an inner join to the dimension would lose."""
-    fo = star["fact_orders"].agg(
-        F.count_if(F.col("customer_sk").isNull()).alias("a"),
-        F.count_if(F.col("purchase_date_id").isNull()).alias("b"))
-    fp = star["fact_payments"].agg(F.count_if(F.col("payment_sk").isNull()).alias("a"))
-    fi = star["fact_order_items"].agg(
-        F.count_if(F.col("product_sk").isNull()).alias("a"),
-        F.count_if(F.col("product_sk") == unknown_key).alias("b"),
-        F.count_if(F.col("seller_sk").isNull()).alias("c"),
-        F.count_if(F.col("seller_sk") == unknown_key).alias("d"))
-    return reduce(DataFrame.unionByName, [
-        _rows(fo, [("null_key", "fact_orders.customer_sk", "a", 0),
-                   ("null_key", "fact_orders.purchase_date_id", "b", 0)]),
-        _rows(fp, [("null_key", "fact_payments.payment_sk", "a", 0)]),
-        _rows(fi, [("null_key", "fact_order_items.product_sk", "a", 0),
-                   ("unknown_key", "fact_order_items.product_sk", "b", 0),
-                   ("null_key", "fact_order_items.seller_sk", "c", 0),
-                   ("unknown_key", "fact_order_items.seller_sk", "d", 0)]),
-    ])
-
-
 UNIQUE_KEYS = [("dim_customers", "customer_id", "customer_sk"),
                ("dim_date", "date", "date_id"),
                ("dim_payments", "payment_type", "payment_sk"),
                ("dim_products", "product_id", "product_sk"),
                ("dim_seller", "seller_id", "seller_sk")]
 
+# (dimension key, table or source that uses it, its column); sources stand
+# under "source <name>".  Purchase dates are compared at day grain (D5), and the
+# fact side of payment types and products is checked as well.
+USED_KEYS = [("dim_customers.customer_sk", "fact_orders", "customer_sk"),
+             ("dim_payments.payment_type", "source order_payments", "payment_type"),
+             ("dim_payments.payment_sk", "fact_payments", "payment_sk"),
+             ("dim_products.product_id", "source order_items", "product_id"),
+             ("dim_products.product_sk", "fact_order_items", "product_sk"),
+             ("dim_seller.seller_id", "source order_items", "seller_id"),
+             ("dim_seller.seller_sk", "fact_order_items", "seller_sk")]
+
+KINDS = ("row_count", "null_key", "unique", "orphan_keys")
+
+
+def check_sides(kinds=KINDS) -> list[Side]:
+    """The key columns that the checks of ``kinds`` compare, per family."""
+    homes, uses = set(), set()
+    sides = []
+    if "row_count" in kinds:
+        for fact, src in FACT_SOURCES.items():
+            sides += [Side(f"rows {fact}", HOME, f"source {src}"), Side(f"rows {fact}", USE, fact)]
+    if "unique" in kinds:
+        homes |= {f"{table}.{key}" for table, nk, sk in UNIQUE_KEYS for key in (nk, sk)}
+    if "orphan_keys" in kinds:
+        uses |= {u for u in USED_KEYS}
+        homes |= {family for family, *_ in USED_KEYS}
+        sides += [Side("day", HOME, "dim_date", F.to_date("date")),
+                  Side("day", USE, "fact_orders", F.to_date("order_purchase_timestamp"))]
+    if "null_key" in kinds:
+        uses |= {u for u in USED_KEYS if not u[1].startswith("source ")}
+        sides.append(Side("fact_orders.purchase_date_id", USE, "fact_orders", F.col("purchase_date_id")))
+    sides += [Side(h, HOME, h.split(".")[0], F.col(h.split(".")[1])) for h in sorted(homes)]
+    return sides + [Side(f, USE, table, F.col(c)) for f, table, c in sorted(uses)]
+
+
+def _specs(kinds) -> dict[str, list[tuple]]:
+    """Family -> (check, subject, observed, expected column or number)."""
+    out: dict[str, list[tuple]] = {}
+    add = lambda family, *spec: out.setdefault(family, []).append(spec)
+    if "row_count" in kinds:
+        for fact in FACT_SOURCES:
+            add(f"rows {fact}", "row_count", fact, "used_rows", "home_rows")
+    if "unique" in kinds:
+        for table, nk, sk in UNIQUE_KEYS:
+            for key in (nk, sk):
+                add(f"{table}.{key}", "unique", f"{table}.{key}", "home_keys", "home_rows")
+    if "orphan_keys" in kinds:
+        add("day", "orphan_keys", "fact_orders.purchase_date", "orphans", 0)
+        for family, table, column in USED_KEYS:
+            add(family, "orphan_keys", f"{table.removeprefix('source ')}.{column}", "orphans", 0)
+    if "null_key" in kinds:
+        add("fact_orders.purchase_date_id", "null_key", "fact_orders.purchase_date_id", "used_nulls", 0)
+        for family, table, column in USED_KEYS:
+            if column in NOT_NULL.get(table, ()):
+                add(family, "null_key", f"{table}.{column}", "used_nulls", 0)
+            if column in MAY_BE_UNKNOWN.get(table, ()):
+                add(family, "unknown_key", f"{table}.{column}", "unknown_rows", 0)
+    return out
+
+
+def checked(sources: dict[str, DataFrame], star: dict[str, DataFrame], kinds) -> DataFrame:
+    """The checks of ``kinds`` from one scan of every table they touch."""
+    sides = check_sides(kinds)
+    names = dict.fromkeys(s.table for s in sides)
+    tables = {n: sources[n.removeprefix("source ")] if n.startswith("source ") else star[n] for n in names}
+    found = None
+    for family, specs in _specs(kinds).items():
+        rows = F.array(*[F.struct(F.lit(check).alias("check"), F.lit(subject).alias("subject"),
+                                  F.col(observed).alias("observed"),
+                                  (F.lit(expected).cast("long") if isinstance(expected, int) else F.col(expected)).alias("expected"))
+                         for check, subject, observed, expected in specs])
+        mine = F.col("family") == family
+        found = F.when(mine, rows) if found is None else found.when(mine, rows)
+    out = reconcile(tables, sides).select(F.explode(found).alias("r")).select("r.*")
+    return out.withColumn("passed", F.col("observed") == F.col("expected"))
+
+
+def row_count_checks(sources: dict[str, DataFrame], star: dict[str, DataFrame]) -> DataFrame:
+    """V1: each fact keeps the row count of its source."""
+    return checked(sources, star, ("row_count",))
+
+
+def null_key_checks(star: dict[str, DataFrame]) -> DataFrame:
+    """V2: null surrogate/date keys in the facts, and items mapped to the
+    unknown member (key 0), which an inner join to the dimension would lose."""
+    return checked({}, star, ("null_key",))
+
 
 def uniqueness_checks(star: dict[str, DataFrame]) -> DataFrame:
     """V3: natural and surrogate keys are unique in every dimension.
 
     Distinct counts exclude nulls, as a pandas ``nunique`` does."""
-    parts = []
-    for table, nk, sk in UNIQUE_KEYS:
-        agg = star[table].agg(F.count(F.lit(1)).alias("n"),
-                              F.count_distinct(nk).alias("u"), F.count_distinct(sk).alias("s"))
-        parts.append(_rows(agg, [("unique", f"{table}.{nk}", "u", "n"),
-                                 ("unique", f"{table}.{sk}", "s", "n")]))
-    return reduce(DataFrame.unionByName, parts)
+    return checked({}, star, ("unique",))
 
 
 def coverage_checks(sources: dict[str, DataFrame], star: dict[str, DataFrame]) -> DataFrame:
     """V4: keys used by facts (and sources) that the dimension lacks.
 
-    Orphans are distinct non-null keys; nulls are reported by V2 (D8).
-    Purchase dates are compared at day grain (D5), and the fact side of
-    payment types and products is checked as well (D7).
-    """
-    dd = star["dim_date"].select(F.to_date("date").alias("d"))
-    purchase = star["fact_orders"].select(F.to_date("order_purchase_timestamp").alias("d"))
-    specs = [
-        ("fact_orders.customer_sk", star["fact_orders"], "customer_sk", star["dim_customers"], "customer_sk"),
-        ("fact_orders.purchase_date", purchase, "d", dd, "d"),
-        ("order_payments.payment_type", sources["order_payments"], "payment_type",
-         star["dim_payments"], "payment_type"),
-        ("fact_payments.payment_sk", star["fact_payments"], "payment_sk", star["dim_payments"], "payment_sk"),
-        ("order_items.product_id", sources["order_items"], "product_id", star["dim_products"], "product_id"),
-        ("fact_order_items.product_sk", star["fact_order_items"], "product_sk",
-         star["dim_products"], "product_sk"),
-        ("order_items.seller_id", sources["order_items"], "seller_id", star["dim_seller"], "seller_id"),
-        ("fact_order_items.seller_sk", star["fact_order_items"], "seller_sk",
-         star["dim_seller"], "seller_sk"),
-    ]
-    parts = [missing_keys(l, r, lk, rk).agg(F.count(F.lit(1)).alias("n"))
-             .select(F.lit("orphan_keys").alias("check"), F.lit(subject).alias("subject"),
-                     F.col("n").cast("long").alias("observed"), F.lit(0).cast("long").alias("expected"))
-             for subject, l, lk, r, rk in specs]
-    out = reduce(DataFrame.unionByName, parts)
-    return out.withColumn("passed", F.col("observed") == F.col("expected"))
+    Orphans are distinct non-null keys; nulls are reported by V2 (D8)."""
+    return checked(sources, star, ("orphan_keys",))
 
 
 def check_star(sources: dict[str, DataFrame], star: dict[str, DataFrame]) -> DataFrame:
-    """V5: every check as one DataFrame."""
-    return reduce(DataFrame.unionByName, [row_count_checks(sources, star), null_key_checks(star),
-                                          uniqueness_checks(star), coverage_checks(sources, star)])
+    """V5: every check as one DataFrame.  Each table is scanned once, and one
+    shuffle of distinct keys answers all checks."""
+    return checked(sources, star, KINDS)
+
+
+def reconciled_keys(sources: dict[str, DataFrame], star: dict[str, DataFrame]) -> DataFrame:
+    """Both directions of every key: what facts use and dimensions lack, and
+    what dimensions hold and no fact uses, with nulls and repeats of both sides."""
+    sides = check_sides(("unique", "orphan_keys"))
+    tables = {s.table: sources[s.table.removeprefix("source ")] if s.table.startswith("source ") else star[s.table]
+              for s in sides}
+    return reconcile(tables, sides)
 
 
 def assert_star(checks: DataFrame) -> DataFrame:
     """Fail fast: raise when any check fails (the checks frame is a few rows)."""
-    failed = checks.where(~F.col("passed")).collect()
-    if failed:
-        raise StarCheckFailed("; ".join(f"{r.check} {r.subject}: {r.observed} != {r.expected}"
-                                        for r in failed))
+    assert_rows(checks.where(~F.col("passed")).select(*CHECK_COLUMNS).collect())
     return checks
 
 
+def assert_rows(rows) -> None:
+    """Raise when any of the check rows failed."""
+    failed = [r for r in rows if not r[4]]
+    if failed:
+        raise StarCheckFailed("; ".join(f"{check} {subject}: {seen} != {due}" for check, subject, seen, due, _ in failed))
+
+
 # ---- check queries (C1-C5) -------------------------------------------------
 
 def table_counts(star: dict[str, DataFrame]) -> DataFrame:

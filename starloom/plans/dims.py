@@ -11,6 +11,7 @@ from starloom.functions.dates import calendar_columns, date_id
 from starloom.functions.text import title_case, upper_case
 from starloom.operators.keys import dense_key, keep_existing_keys, keep_first
 from starloom.operators.lookups import broadcast_bounded, known_rows, remember_rows
+from starloom.operators.registry import RETIRED, registered_keys
 
 # The timestamp columns that feed the date dimension, per source.
 ORDER_DATE_COLUMNS = ["order_purchase_timestamp", "order_approved_at",
@@ -61,9 +62,12 @@ def build_dim_date_from(pairs: list[tuple[DataFrame, list[str]]], grain: str = "
 def assign_keys(members: DataFrame, natural_key: str, key_name: str, num_buckets=None,
                 previous: DataFrame | None = None) -> DataFrame:
     """Dense keys in natural-key order, or, given the previous version of the
-    dimension, its keys for known members and new keys after its maximum."""
+    dimension or its key registry, its keys for known members and new keys
+    after its maximum."""
     if previous is None:
         return dense_key(members, natural_key, key_name, num_buckets=num_buckets)
+    if RETIRED in previous.columns:
+        return registered_keys(members, previous, natural_key, key_name, num_buckets=num_buckets)
     return keep_existing_keys(members, previous, natural_key, key_name, num_buckets=num_buckets)
 
 

@@ -9,6 +9,7 @@ with other engines: decimals become double, dates become ``yyyy-MM-dd`` text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +20,13 @@ from starloom.functions.text import title_case
 from starloom.operators.casts import downcast_report
 from starloom.operators.keys import dense_key, keep_first
 from starloom.operators.lookups import broadcast_bounded, exact_date_key, lookup_key
+from starloom.operators.registry import next_registry, registered_keys
 from starloom.plans import analytics as A
 from starloom.plans import checks as C
 from starloom.plans import dims as D
 from starloom.plans import facts as FX
 from starloom.plans.star import Star
+from starloom.sinks.parts import PART_COLUMNS, changed_parts
 from starloom.sources import testdata as TD
 from starloom.sources.profile import profile_sources
 
@@ -301,6 +304,62 @@ def q_star_checks(spark, sf_dir):
     return C.check_star(s.src, s.tables)
 
 
+# ---- faults and refreshes ------------------------------------------------------
+
+def _flawed(spark, sf_dir):
+    """Sources with faults, their star, and in it customers of one region twice."""
+    src = TD.flawed_sources(spark, sf_dir)
+    st = Star(src)
+    st.prepare()
+    customers = st["dim_customers"]
+    return src, {**{n: st[n] for n in st},
+                 "dim_customers": customers.unionByName(customers.where("customer_state = 'EUROPE'"))}
+
+
+def q_flawed_star_checks(spark, sf_dir):
+    return C.check_star(*_flawed(spark, sf_dir))
+
+
+def q_key_reconciliation(spark, sf_dir):
+    return C.reconciled_keys(*_flawed(spark, sf_dir))
+
+
+def q_flawed_integrity(spark, sf_dir):
+    _, s = _flawed(spark, sf_dir)
+    found = [C.orders_without_customer(s["fact_orders"], s["dim_customers"]),
+             C.products_without_items(s["dim_products"], s["fact_order_items"]),
+             C.items_without_product(s["fact_order_items"], s["dim_products"]),
+             C.duplicate_keys(s["dim_customers"], "customer_sk").agg(F.count(F.lit(1)).alias("duplicate_customer_keys"))]
+    rows = reduce(DataFrame.unionByName, [df.select(F.lit(df.columns[0]).alias("what"), F.col(df.columns[0]).alias("n")) for df in found])
+    return rows.agg(*[F.max(F.when(F.col("what") == df.columns[0], F.col("n"))).alias(df.columns[0]) for df in found])
+
+
+def q_flawed_fact_reviews(spark, sf_dir):
+    return FX.build_fact_reviews(TD.flawed_sources(spark, sf_dir)["order_reviews"])
+
+
+def q_key_registry_refresh(spark, sf_dir):
+    """A refresh a year: members are the customers of that year's orders (null
+    while pending); what the registry holds after the last."""
+    orders = TD.orders_role(spark, sf_dir).select(
+        F.year("order_purchase_timestamp").alias("year"),
+        F.when(F.col("order_status") != "P", F.col("customer_id")).alias("customer_id"))
+    registry = None
+    for (year,) in orders.select("year").where("year IS NOT NULL").distinct().orderBy("year").collect():
+        members = orders.where(F.col("year") == year).select("customer_id").distinct()
+        keyed = (dense_key(members, "customer_id", "customer_sk") if registry is None
+                 else registered_keys(members, registry, "customer_id", "customer_sk"))
+        registry = next_registry(registry, keyed, "customer_id", "customer_sk").checkpoint()
+    return registry
+
+
+def q_refresh_changed_days(spark, sf_dir):
+    """The days of the order fact that a refresh after a late correction would write."""
+    old = Star(TD.testdata_sources(spark, sf_dir))
+    new = Star({**old.sources, "orders": TD.corrected_orders(spark, sf_dir)}, dimensions={"dim_customers": old["dim_customers"]})
+    return changed_parts(old["fact_orders"], new["fact_orders"], "fact_orders", PART_COLUMNS["fact_orders"])
+
+
 def q_downcast_check(spark, sf_dir):
     return downcast_report(_star(spark, sf_dir)["fact_orders"],
                            ["order_id", "customer_sk", "approved_date_id",
@@ -351,6 +410,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fk_coverage": q_fk_coverage,
     "star_checks": q_star_checks,
     "downcast_check": q_downcast_check,
+    "flawed_star_checks": q_flawed_star_checks,
+    "key_reconciliation": q_key_reconciliation,
+    "flawed_integrity": q_flawed_integrity,
+    "flawed_fact_reviews": q_flawed_fact_reviews,
+    "key_registry_refresh": q_key_registry_refresh,
+    "refresh_changed_days": q_refresh_changed_days,
 }
 
 

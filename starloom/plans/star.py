@@ -26,21 +26,26 @@ class Star(Mapping):
     ``dimensions`` may hold tables already built or read back from storage;
     ``previous`` (the last published star) keeps surrogate keys stable across
     refreshes: known members keep their key, new ones are numbered after it.
+    ``registries`` does the same from key registries (``operators.registry``),
+    which also hold the members that are absent now.
     """
 
     def __init__(self, sources: dict[str, DataFrame], grain: str = "day",
                  include_shipping: bool = True, null_safe: bool = False,
                  date_lookup: str = "computed", num_buckets=None,
                  dimensions: dict[str, DataFrame] | None = None,
-                 previous: dict[str, DataFrame] | None = None):
+                 previous: dict[str, DataFrame] | None = None,
+                 registries: dict[str, DataFrame] | None = None):
         self.sources = sources
         self.opts = dict(grain=grain, include_shipping=include_shipping, null_safe=null_safe,
                          date_lookup=date_lookup, num_buckets=num_buckets)
         self._built: dict[str, DataFrame] = dict(dimensions or {})
         self.previous = dict(previous or {})
+        self.registries = dict(registries or {})
 
     def _make(self, name: str) -> DataFrame:
-        s, o, nb, pv = self.sources, self.opts, self.opts["num_buckets"], self.previous.get
+        s, o, nb = self.sources, self.opts, self.opts["num_buckets"]
+        pv = lambda dim: self.registries.get(dim, self.previous.get(dim))
         dd = (lambda: self["dim_date"]) if o["date_lookup"] == "exact" else (lambda: None)
         builders = {
             "dim_date": lambda: dims.build_dim_date(s, o["grain"], o["include_shipping"]),
@@ -94,10 +99,11 @@ class Star(Mapping):
 def build_dimensions(sources: dict[str, DataFrame], grain: str = "day",
                      include_shipping: bool = True, num_buckets=None,
                      previous: dict[str, DataFrame] | None = None,
-                     parallel: int | None = None) -> dict[str, DataFrame]:
+                     parallel: int | None = None,
+                     registries: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The five dimensions.  Their dense-key jobs are independent, so they
     are submitted together (``parallel=1``: one after another)."""
-    st = Star(sources, grain, include_shipping, num_buckets=num_buckets, previous=previous)
+    st = Star(sources, grain, include_shipping, num_buckets=num_buckets, previous=previous, registries=registries)
     st.prepare(DIMENSIONS, parallel)
     return {n: st[n] for n in DIMENSIONS}
 

@@ -3,23 +3,31 @@
 * ``write_csv``  - one header CSV directory per table (K1)
 * ``write_jdbc`` - append / overwrite over JDBC with batching and parallel
   connections (K2, K3); connection options come from the caller (K6)
-* ``write_star`` - every table to one target, staged then swapped (K4, K5)
+* ``write_star`` - every table to one target, published together (K4, K5)
 * ``write_star_tables`` - build + write in dependency order: dimensions are
   written and read back before the facts are built, so the facts never
   recompute a dimension and the lineage is cut at each written table
+
+Folder targets are versioned (see ``sinks.versions``): a build writes files of
+its own and is published by one rename of its manifest.
 """
 
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators.lookups import known_rows, remember_rows
+from starloom.operators.registry import as_registry, next_registry
+from starloom.plans import checks as star_checks
+from starloom.plans import observed
 from starloom.plans import star as star_plan
-from starloom.session import run_concurrently
+from starloom.session import ensure_checkpoint_dir, run_concurrently
+from starloom.sinks.parts import PART_COLUMNS, write_parts
+from starloom.sinks.versions import KEEP, Manifest, PublishConflict, TableEntry, Versions
+from starloom.sources.quarantine import Sources, rejection_checks
 
 SORT_ON_WRITE = {"dim_date": ["date"]}
 
@@ -99,19 +107,31 @@ def _ordered(name: str, df: DataFrame) -> DataFrame:
     return df.orderBy(*cols) if cols else df
 
 
+def _write_folders(tables: dict[str, DataFrame], folder: str, fmt: str, parallel: int | None = None,
+                   mode: str = "errorifexists") -> dict[str, str]:
+    """Every table as a folder below ``folder``, as it is, written together."""
+    writer = {"parquet": write_parquet, "csv": write_csv}[fmt]
+    spark = next(iter(tables.values())).sparkSession if tables else None
+    run_concurrently({name: (lambda name=name, df=df: writer(df, _path(folder, name), mode=mode))
+                      for name, df in tables.items()}, parallel, spark)
+    return {n: _path(folder, n) for n in tables}
+
+
 def write_star(tables: dict[str, DataFrame], target: str, fmt: str = "parquet",
                jdbc: dict[str, str] | None = None, mode: str = "overwrite",
                staged: bool = True, database: str | None = None,
                buckets: dict[str, str] | None = None,
-               num_buckets: int | None = None, parallel: int | None = None) -> dict[str, str]:
-    """K4/K5: write every table.  File targets are written to a staging folder
-    first and moved into place only when all tables are written, so a failed
-    refresh leaves the previous star readable; the table writes are
-    independent jobs and are submitted together (``parallel`` bounds how many;
-    1 writes one after another).  ``fmt="table"`` writes catalog tables (under
-    ``target`` when given), the facts bucketed by order_id so their joins need
-    no shuffle; those and JDBC tables are written one at a time.  Returns
-    name -> location or table name."""
+               num_buckets: int | None = None, parallel: int | None = None,
+               keep: int = KEEP) -> dict[str, str]:
+    """K4/K5: write every table.  Folder targets are published as the next
+    version of ``target``: the tables replace those of the same name, other
+    tables of the current version stay as they are, and readers see all of it
+    or nothing (``staged=False`` writes plain folders, unversioned).  The table
+    writes are independent jobs and are submitted together (``parallel`` bounds
+    how many; 1 writes one after another).  ``fmt="table"`` writes catalog
+    tables (under ``target`` when given), the facts bucketed by order_id so
+    their joins need no shuffle; those and JDBC tables are written one at a
+    time.  Returns name -> location or table name."""
     if fmt == "table":
         buckets = DEFAULT_BUCKETS if buckets is None else buckets
         return {name: write_table(df, name, database=database, mode=mode,
@@ -123,96 +143,75 @@ def write_star(tables: dict[str, DataFrame], target: str, fmt: str = "parquet",
             write_jdbc(_ordered(name, df), name, jdbc or {}, mode=mode,
                        truncate=(mode == "overwrite"))
         return {n: n for n in tables}
-    writer = {"parquet": write_parquet, "csv": write_csv}[fmt]
-    stage = _path(target, f"_staging-{uuid.uuid4().hex}") if staged else target
-    spark = next(iter(tables.values())).sparkSession if tables else None
-    run_concurrently({name: (lambda name=name, df=df: writer(_ordered(name, df), _path(stage, name),
-                                                           mode=mode))
-                      for name, df in tables.items()}, parallel, spark)
-    if staged:
-        _swap_in(tables, stage, target, spark)
-    return {n: _path(target, n) for n in tables}
-
-
-class _Folders:
-    """Folder operations (exists, rename, delete) on whatever Hadoop file
-    system a path names.  PySpark has no public API for them, so this is the
-    one place that goes through the JVM gateway."""
-
-    def __init__(self, path: str, spark: SparkSession | None = None):
-        spark = spark or SparkSession.getActiveSession()
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def exists(self, path: str) -> bool:
-        return bool(self._fs.exists(self._path(path)))
-
-    def mkdirs(self, path: str) -> None:
-        self._fs.mkdirs(self._path(path))
+    tables = {name: _ordered(name, df) for name, df in tables.items()}
+    if not staged or not tables:
+        return _write_folders(tables, target, fmt, parallel, mode)
+    versions = Versions(next(iter(tables.values())).sparkSession, target)
+    base, run = versions.current(), versions.new_run()
+    try:
+        where = _write_folders(tables, versions.path(run), fmt, parallel)
+        versions.publish({n: TableEntry([f"{run}/{n}"], df.schema.jsonValue(), fmt) for n, df in tables.items()}, base)
+    except Exception:
+        versions.fs.delete(versions.path(run))
+        raise
+    versions.retire(keep)
+    return where
 
-    def rename(self, src: str, dst: str) -> None:
-        if not self._fs.rename(self._path(src), self._path(dst)):
-            raise OSError(f"could not move {src} to {dst}")
 
-    def delete(self, path: str) -> None:
-        if self.exists(path):
-            self._fs.delete(self._path(path), True)
+SHARED_SOURCES = ("orders", "order_items", "order_reviews", "order_payments")
 
 
-def _delete(path: str, spark: SparkSession | None = None) -> None:
-    """Remove a staging folder (any Hadoop file system)."""
-    _Folders(path, spark).delete(path)
+# Dimension -> (natural key, surrogate key) of those with dense keys.
+KEYED = {"dim_customers": ("customer_id", "customer_sk"), "dim_products": ("product_id", "product_sk"),
+         "dim_seller": ("seller_id", "seller_sk"), "dim_payments": ("payment_type", "payment_sk")}
 
 
-def _swap_in(tables, stage: str, target: str, spark: SparkSession | None = None) -> None:
-    """Move staged tables into place through the Hadoop FileSystem API, so it
-    works on any cluster file system.  If a move fails, every table already
-    moved is put back to its previous version before the error is raised."""
-    fs = _Folders(target, spark)
-    old = _path(stage, "_previous")
-    fs.mkdirs(old)
-    moved = []  # (name, had a previous version)
-    try:
-        for name in tables:
-            dst = _path(target, name)
-            had_old = fs.exists(dst)
-            # move the live table aside first: at every moment either the old
-            # or the new version is in place (or both, under the staging folder)
-            if had_old:
-                fs.rename(dst, _path(old, name))
-            moved.append((name, had_old))
-            fs.rename(_path(stage, name), dst)
-    except Exception:
-        for name, had_old in reversed(moved):
-            dst, staged = _path(target, name), _path(stage, name)
-            if fs.exists(dst) and not fs.exists(staged):
-                fs.rename(dst, staged)
-            if had_old:
-                fs.rename(_path(old, name), dst)
-        fs.delete(stage)
-        raise
-    fs.delete(stage)
+#: The table of records that the readers rejected (source, file, reason, record).
+QUARANTINE = "quarantine"
 
 
-SHARED_SOURCES = ("orders", "order_items", "order_reviews", "order_payments")
+def registry_name(dim: str) -> str:
+    return f"keys_{dim}"
 
 
 def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target: str,
                       fmt: str = "parquet", persist_shared: bool = False,
                       table_opts: dict | None = None, parallel: int | None = None,
+                      stable_keys: bool = False, checks: str = "observed", require: bool = False,
+                      incremental: bool = False, keep: int = KEEP, notes: dict | None = None,
                       **build_opts) -> dict[str, DataFrame]:
     """Build and persist the whole star in dependency order; returns the
     written tables (read back for parquet and catalog tables), ready for
-    ``spark.sql`` or the analytics.  ``previous=read_star(...)`` keeps the
-    surrogate keys of the last refresh.
-
-    Folder targets (parquet, csv): dimensions and facts are written into one
-    staging folder and all nine tables are moved into place together at the
-    end, so a refresh that fails at any step leaves the previous star whole
-    (never new dimensions beside old facts).  Facts are built from the staged
-    parquet dimensions, so they never recompute one; for CSV they use the
-    built dimensions, whose keys are already checkpointed.  Catalog tables
-    (``fmt="table"``) are overwritten in place, dimensions first.
+    ``spark.sql`` or the analytics.
+
+    Folder targets (parquet, csv): all nine tables are published together as
+    the next version of ``target`` by one rename of its manifest, so a refresh
+    that fails, or is killed, at any step leaves the previous star whole (never
+    new dimensions beside old facts); what a killed one left is removed by a
+    later build.  Facts are built from the written parquet dimensions, so they
+    never recompute one; for CSV they use the built dimensions, whose keys are
+    already checkpointed.  Catalog tables (``fmt="table"``) are overwritten in
+    place, dimensions first.
+
+    ``stable_keys`` (parquet, catalog tables) keeps surrogate keys across
+    refreshes in a registry per dimension, written beside it as ``keys_<dim>``:
+    members keep their key, also when they are absent for a while, and the key
+    of a retired member is never given to another.  ``previous=read_star(...)``
+    takes the keys from the tables of an earlier star instead.
+
+    ``checks``: rows, null keys and unknown members are counted by the writes
+    themselves (``"observed"``); ``"all"`` also holds the written, not yet
+    published tables against each other (unique and orphan keys, one scan a
+    table).  They are stored in the manifest (``published_checks``).  With
+    ``require`` a failing check raises ``StarCheckFailed`` and nothing is
+    published.
+
+    Records that ``load_sources(on_bad="quarantine")`` rejected are published
+    with the star as the table ``quarantine``, and counted in the checks.
+
+    ``incremental`` (parquet) cuts facts into days and writes only the days
+    whose rows differ from the published version; it implies ``stable_keys``.
+    See ``sinks.parts``.
 
     ``persist_shared=True`` keeps the sources that feed more than one table
     (orders, items, reviews, payments) with MEMORY_AND_DISK for the duration
@@ -230,108 +229,205 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
     table_opts = dict(table_opts or {})
     if fmt not in ("parquet", "csv", "table"):
         raise ValueError("write_star_tables writes parquet or csv folders, or catalog tables")
+    if checks not in ("observed", "all"):
+        raise ValueError("checks is 'observed' or 'all'")
+    stable_keys = stable_keys or incremental
+    if fmt == "csv" and stable_keys:
+        raise ValueError("keys are kept in parquet folders or catalog tables")
+    if fmt == "table" and (incremental or require or checks == "all"):
+        raise ValueError("catalog tables are overwritten in place: check them with plans.checks afterwards")
     held = []
     if persist_shared:
-        sources = dict(sources)
+        sources = Sources(sources, getattr(sources, "rejected", None))
         for name in SHARED_SOURCES:
             if name in sources:
                 sources[name] = sources[name].persist(StorageLevel.MEMORY_AND_DISK)
                 held.append(sources[name])
     try:
         if fmt == "table":
-            dims, dims_used, facts = _build_in_place(spark, sources, target, table_opts, build_opts,
-                                                     parallel)
+            dims, facts = _build_in_place(spark, sources, target, table_opts, build_opts, parallel, stable_keys)
         else:
-            dims, dims_used, facts = _build_staged(spark, sources, target, fmt, table_opts,
-                                                   build_opts, parallel)
+            manifest, dims, facts = _publish(spark, sources, target, fmt, build_opts, parallel, stable_keys,
+                                             checks, require, incremental, keep, notes)
     finally:
         for df in held:
             df.unpersist()
     if fmt == "csv":
         return {**dims, **facts}
-    out = read_star(spark, target, names=[*dims, *facts], fmt=fmt,
-                    database=table_opts.get("database"),
-                    schemas={n: f.schema for n, f in {**dims, **facts}.items()})
+    if fmt == "table":
+        out = read_star(spark, target, names=[*dims, *facts], fmt=fmt, database=table_opts.get("database"))
+    else:
+        versions = Versions(spark, target)
+        out = {n: versions.read(manifest, n) for n in star_plan.TABLES}
     for n, d in dims.items():
         remember_rows(out[n], known_rows(d))  # exact counts from the key jobs
     return out
 
 
-def _build_staged(spark, sources, target, fmt, table_opts, build_opts, parallel):
+def _registries(dims: dict[str, DataFrame], old: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {registry_name(n): next_registry(old.get(n), dims[n], *KEYED[n]) for n in KEYED if n in dims}
+
+
+def _known_keys(versions: Versions, base: Manifest | None) -> dict[str, DataFrame]:
+    """The key registries of the published version; a star published without
+    them starts its registries from its dimensions."""
+    out = {}
+    for n, (nk, sk) in KEYED.items():
+        if base and registry_name(n) in base.tables:
+            out[n] = versions.read(base, registry_name(n))
+        elif base and n in base.tables:
+            out[n] = as_registry(versions.read(base, n), nk, sk)
+    return out
+
+
+def _publish(spark, sources, target, fmt, build_opts, parallel, stable_keys, checks, require,
+             incremental, keep, notes):
     """Folder targets: each group of dependent tables (a fact with the
-    dimensions it looks up) is built and written into one staging folder,
-    groups at the same time; all nine tables are moved into place together
-    at the end, or the staging folder is removed."""
+    dimensions it looks up) is built and written into the build's own run
+    folder, groups at the same time; the manifest then publishes all tables
+    together, or the run folder is removed."""
+    versions = Versions(spark, target)
+    versions.recover()
+    base = versions.current()
+    run = versions.new_run()
+    folder = versions.path(run)
+    old_keys = _known_keys(versions, base) if stable_keys else {}
     date_lookup = build_opts.get("date_lookup", "computed")
     st = star_plan.Star(sources, build_opts.get("grain", "day"),
                         build_opts.get("include_shipping", True),
                         num_buckets=build_opts.get("num_buckets"),
-                        previous=build_opts.get("previous"))
-    stage = _path(target, f"_staging-{uuid.uuid4().hex}")
+                        previous=build_opts.get("previous"), registries=old_keys)
+    watch = observed.Watch(sources)
+    # counted above the sort: its range sample runs what is below a second time
+    watched = lambda tables: {n: watch.table(n, _ordered(n, df)) for n, df in tables.items()}
+    entry = lambda n, df: TableEntry([f"{run}/{n}"], df.schema.jsonValue(), fmt, watch.metrics(n))
 
     def group(dim_names, fact_names):
         st.prepare(dim_names, parallel)
         dims = {n: st[n] for n in dim_names}
-        write_star(dims, stage, fmt=fmt, staged=False, parallel=parallel, **table_opts)
+        _write_folders(watched(dims), folder, fmt, parallel)
         # facts look up the written dimensions (parquet), never recomputing
         # one; CSV dimensions are used as built (their keys are checkpointed)
-        used = (read_star(spark, stage, names=dims, schemas={n: d.schema for n, d in dims.items()})
-                if fmt == "parquet" and dims else dict(dims))
+        used = ({n: spark.read.schema(d.schema).parquet(_path(folder, n)) for n, d in dims.items()}
+                if fmt == "parquet" else dict(dims))
         for n, d in dims.items():
             remember_rows(used[n], known_rows(d))
-        facts = star_plan.build_facts(sources, used, build_opts.get("null_safe", False),
-                                      date_lookup, names=fact_names)
-        write_star(facts, stage, fmt=fmt, staged=False, parallel=parallel, **table_opts)
-        return dims, used, facts
+        facts = {}
+        for n in fact_names:
+            facts.update(star_plan.build_facts(watch.fact_sources(n) if not incremental else sources, used,
+                                               build_opts.get("null_safe", False), date_lookup, names=[n]))
+        entries = {n: entry(n, d) for n, d in dims.items()}
+        if incremental:
+            entries.update(run_concurrently(
+                {n: (lambda n=n: write_parts(versions, facts[n], n, PART_COLUMNS.get(n), base, run)) for n in facts},
+                parallel, spark))
+        else:
+            _write_folders(watched(facts), folder, fmt, parallel)
+            entries.update({n: entry(n, f) for n, f in facts.items()})
+        if stable_keys:
+            keys = _registries(used, {n: old_keys[n] for n in used if n in old_keys})
+            _write_folders(keys, folder, fmt, parallel)
+            entries.update({n: TableEntry([f"{run}/{n}"], k.schema.jsonValue(), fmt) for n, k in keys.items()})
+        return dims, facts, entries
 
     try:
         done = run_concurrently({i: (lambda g=g: group(*g))
                                  for i, g in enumerate(star_plan.table_groups(date_lookup))},
                                 parallel, spark)
+        dims, facts, entries = {}, {}, {}
+        for d, f, e in done.values():
+            dims.update(d)
+            facts.update(f)
+            entries.update(e)
+        metrics = {n: entries[n].metrics for n in star_plan.TABLES if "rows" in entries[n].metrics}
+        rows = observed.observed_checks(metrics, watch.source_rows(metrics))
+        if checks == "all":
+            made = Manifest(0, entries)
+            written = {n: versions.read(made, n) for n in star_plan.TABLES} if fmt == "parquet" else {**dims, **facts}
+            kinds = star_checks.KINDS if incremental else ("unique", "orphan_keys")
+            rows += [tuple(r) for r in star_checks.checked(sources, written, kinds).collect()]
+        rejected = getattr(sources, "quarantine", lambda: None)()
+        if rejected is not None:
+            _write_folders({QUARANTINE: rejected}, folder, "parquet", parallel)
+            entries[QUARANTINE] = TableEntry([f"{run}/{QUARANTINE}"], rejected.schema.jsonValue())
+            rows += rejection_checks(versions.read(Manifest(0, entries), QUARANTINE), sources.rejected)
+        if require:
+            star_checks.assert_rows(rows)
+        manifest = versions.publish(entries, base, {**(notes or {}), "checks": rows})
     except Exception:
-        _delete(stage, spark)  # the published star was never touched
+        versions.fs.delete(folder)  # the published star was never touched
         raise
-    dims, used, facts = {}, {}, {}
-    for d, u, f in done.values():
-        dims.update(d)
-        used.update(u)
-        facts.update(f)
-    dims = {n: dims[n] for n in star_plan.DIMENSIONS}
-    facts = {n: facts[n] for n in star_plan.FACTS}
-    _swap_in([*dims, *facts], stage, target, spark)
-    return dims, used, facts
-
-
-def _build_in_place(spark, sources, target, table_opts, build_opts, parallel):
-    """Catalog tables: dimensions written first, then the facts built from them."""
+    versions.retire(keep)
+    return (manifest, {n: dims[n] for n in star_plan.DIMENSIONS}, {n: facts[n] for n in star_plan.FACTS})
+
+
+def _build_in_place(spark, sources, target, table_opts, build_opts, parallel, stable_keys):
+    """Catalog tables: dimensions written first, then the facts built from
+    them.  Keys of an earlier star are checkpointed before its tables are
+    overwritten."""
+    db = table_opts.get("database") or spark.catalog.currentDatabase()
+    cut = lambda df: (ensure_checkpoint_dir(spark), df.checkpoint(eager=True))[1]
+    previous = build_opts.get("previous")
+    if previous:
+        previous = {n: cut(previous[n].select(*KEYED[n])) for n in KEYED if n in previous}
+    old_keys = {}
+    if stable_keys:
+        for n, (nk, sk) in KEYED.items():
+            if spark.catalog.tableExists(f"{db}.{registry_name(n)}"):
+                old_keys[n] = cut(spark.table(f"{db}.{registry_name(n)}"))
+            elif spark.catalog.tableExists(f"{db}.{n}"):
+                old_keys[n] = cut(as_registry(spark.table(f"{db}.{n}"), nk, sk))
     dims = star_plan.build_dimensions(sources, build_opts.get("grain", "day"),
                                       build_opts.get("include_shipping", True),
-                                      build_opts.get("num_buckets"),
-                                      build_opts.get("previous"), parallel=parallel)
+                                      build_opts.get("num_buckets"), previous, parallel, old_keys)
     write_star(dims, target, fmt="table", **table_opts)
     used = read_star(spark, target, names=dims, fmt="table", database=table_opts.get("database"))
     for n, d in dims.items():
         remember_rows(used[n], known_rows(d))
+    if stable_keys:
+        write_star(_registries(used, old_keys), target, fmt="table", **table_opts)
     facts = star_plan.build_facts(sources, used, build_opts.get("null_safe", False),
                                   build_opts.get("date_lookup", "computed"))
     write_star(facts, target, fmt="table", **table_opts)
-    return dims, used, facts
+    return dims, facts
 
 
 def read_star(spark: SparkSession, target: str, names=None, fmt: str = "parquet",
-              database: str | None = None, schemas: dict | None = None) -> dict[str, DataFrame]:
-    """The written tables; ``schemas`` (as just written) skips footer inference."""
-    names = list(names or star_plan.TABLES)
+              database: str | None = None, schemas: dict | None = None,
+              version: int | None = None) -> dict[str, DataFrame]:
+    """The written tables.  For a folder: those of its newest version (or of
+    ``version``, while it is kept), all of that one version; a folder without
+    versions is read as plain table folders (``schemas`` skips their footer
+    inference)."""
     schemas = schemas or {}
-    if fmt == "parquet":
-        return {n: (spark.read.schema(schemas[n]) if n in schemas else spark.read).parquet(_path(target, n))
-                for n in names}
     if fmt == "table":
         db = database or spark.catalog.currentDatabase()
-        return {n: spark.table(f"{db}.{n}") for n in names}
+        return {n: spark.table(f"{db}.{n}") for n in names or star_plan.TABLES}
+    versions = Versions(spark, target)
+    manifest = versions.load(version) if version is not None else versions.current()
+    if manifest is not None:
+        return {n: versions.read(manifest, n) for n in names or [t for t in star_plan.TABLES if t in manifest.tables]}
+    if fmt == "parquet":
+        return {n: (spark.read.schema(schemas[n]) if n in schemas else spark.read).parquet(_path(target, n))
+                for n in names or star_plan.TABLES}
     raise ValueError("read back CSV with starloom.sources.read_csv and a schema")
 
 
+def published_checks(spark: SparkSession, target: str, version: int | None = None) -> DataFrame:
+    """The checks stored with a published version; reads its manifest only."""
+    versions = Versions(spark, target)
+    manifest = versions.load(version) if version is not None else versions.current()
+    return observed.check_frame(spark, [tuple(r) for r in (manifest.notes.get("checks", []) if manifest else [])])
+
+
+def published_counts(spark: SparkSession, target: str, version: int | None = None) -> DataFrame:
+    """C1 without a scan: (table_name, row_count) as the writes counted them."""
+    versions = Versions(spark, target)
+    manifest = versions.load(version) if version is not None else versions.current()
+    rows = [(n, t.metrics["rows"]) for n, t in (manifest.tables if manifest else {}).items() if "rows" in t.metrics]
+    return spark.createDataFrame(rows, "table_name string, row_count long")
+
+
 # The name the original database load gives the item fact
 # (view name -> table name).
 DATABASE_NAMES = {"fact_orders_items": "fact_order_items"}

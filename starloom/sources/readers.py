@@ -2,33 +2,42 @@
 
 CSV is read with a fixed schema (no inference pass), ``multiLine`` so quoted
 newlines in free text survive, and ``""`` as the quote escape.  Only the empty
-string is null unless a null-token list is given.
+string is null unless a null-token list is given.  Nothing is lost in silence:
+a record that does not fit its schema fails the job (``FAILFAST``) or is kept in
+a quarantine, an extract is found by its exact name, and an absent one is an
+error.
 """
 
 from __future__ import annotations
 
-import glob
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.folders import Folders
 from starloom.operators.lookups import remember_rows
-from starloom.sources.schemas import FILE_NAMES, SCHEMAS
+from starloom.sources.quarantine import DEFAULT_TIMESTAMP_FORMAT, Sources, parse_csv
+from starloom.sources.schemas import FILE_NAMES, OPTIONAL_SOURCES, SCHEMAS
 
-DEFAULT_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+class MissingExtract(FileNotFoundError):
+    """No file of a required extract is in the folder."""
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
              null_tokens=None, timestamp_format: str = DEFAULT_TIMESTAMP_FORMAT,
-             multi_line: bool = True, mode: str = "PERMISSIVE",
+             multi_line: bool = True, mode: str = "FAILFAST",
              check_header: bool = True) -> DataFrame:
     """Header CSV with a fixed schema and explicit null tokens.
 
     ``check_header`` makes Spark compare the header with the schema names
     instead of assigning columns by position, so a reordered extract fails
-    rather than loading shifted.  ``mode="FAILFAST"`` rejects malformed rows.
+    rather than loading shifted.  ``mode="FAILFAST"`` fails on a record that
+    does not fit the schema; ``"PERMISSIVE"`` reads what does not convert as
+    null; ``quarantine.parse_csv`` keeps such records apart.
     """
     reader = (spark.read.option("header", True).option("multiLine", multi_line)
               .option("escape", '"').option("quote", '"')
@@ -47,10 +56,24 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return df
 
 
-def extract_glob(file_name: str) -> str:
-    """``x.csv`` -> ``x*.csv``: an extract may arrive as several files."""
+def _name_parts(file_name: str) -> tuple[str, str]:
     stem, dot, ext = file_name.rpartition(".")
-    return f"{stem}*.{ext}" if dot else file_name + "*"
+    return (stem, dot + ext) if dot else (file_name, "")
+
+
+def extract_files(names, file_name: str) -> list[str]:
+    """Those of ``names`` that belong to an extract: ``x.csv`` itself and its
+    numbered parts ``x_2.csv``; no other file whose name begins alike."""
+    stem, ext = _name_parts(file_name)
+    ours = re.compile(re.escape(stem) + r"(_\d+)?" + re.escape(ext))
+    return sorted(n for n in names if ours.fullmatch(n))
+
+
+def extract_glob(file_name: str) -> str:
+    """The same as a glob, for streams (numbers of up to four digits)."""
+    stem, ext = _name_parts(file_name)
+    numbers = ["_" + "[0-9]" * n for n in range(1, 5)]
+    return "{" + ",".join(stem + n + ext for n in ["", *numbers]) + "}"
 
 
 def _join(base: str, name: str) -> str:
@@ -65,32 +88,45 @@ FREE_TEXT_SOURCES = ("order_reviews",)
 
 def load_sources(spark: SparkSession, base_path: str, fmt: str = "csv",
                  names=None, null_tokens=None, file_names: dict | None = None,
-                 multi_line_sources=FREE_TEXT_SOURCES) -> dict[str, DataFrame]:
+                 multi_line_sources=FREE_TEXT_SOURCES, on_bad: str = "fail",
+                 optional=OPTIONAL_SOURCES) -> Sources:
     """Every source under ``base_path`` as a DataFrame (lazy).
 
-    ``fmt="csv"`` reads the extract files by name (``<name>*.csv``, so an
-    extract split or delivered in parts is read whole) with fixed schemas;
-    ``fmt="parquet"`` reads ``<base>/<source>`` parquet directories.
-    CSV extracts outside ``multi_line_sources`` are read line by line, so a
-    large file splits across tasks; name a source there if its text fields
-    can hold line breaks.  Missing sources are skipped.
+    ``fmt="csv"`` reads the extract files by name (``<name>.csv`` and numbered
+    parts ``<name>_2.csv``) with fixed schemas; ``fmt="parquet"`` reads
+    ``<base>/<source>`` parquet directories.  An absent source raises
+    ``MissingExtract`` unless it is ``optional``.  CSV extracts outside
+    ``multi_line_sources`` are read line by line, so a large file splits
+    across tasks; name a source there if its text fields can hold line breaks.
+
+    ``on_bad`` says what becomes of CSV records that do not fit the schema:
+    ``"fail"`` the job, ``"quarantine"`` keeps them in the result's
+    ``rejected`` frames (``write_star_tables`` publishes and counts them), and
+    ``"null"`` reads what does not convert as null.
     """
+    if on_bad not in ("fail", "quarantine", "null"):
+        raise ValueError("on_bad is 'fail', 'quarantine' or 'null'")
     file_names = {**FILE_NAMES, **(file_names or {})}
-    out = {}
+    there = Folders(base_path, spark).names(base_path)
+    out, rejected = {}, {}
     for name in names or SCHEMAS:
-        if fmt == "csv":
-            # every file of the extract: "orders.csv", "orders_2.csv", ...
-            path = _join(base_path, extract_glob(file_names[name]))
-            if "://" not in path and not glob.glob(path):
+        wanted = file_names[name] if fmt == "csv" else name if fmt == "parquet" else name + ".parquet"
+        found = extract_files(there, wanted) if fmt == "csv" else [wanted] if wanted in there else []
+        if not found:
+            if name in optional:
                 continue
-            out[name] = read_csv(spark, path, SCHEMAS[name], null_tokens=null_tokens,
-                                 multi_line=name in (multi_line_sources or ()))
+            raise MissingExtract(f"no {wanted} in {base_path}")
+        paths = [_join(base_path, f) for f in found]
+        multi_line = name in (multi_line_sources or ())
+        if fmt != "csv":
+            out[name] = spark.read.parquet(*paths)
+        elif on_bad == "quarantine":
+            parsed = parse_csv(spark, paths, SCHEMAS[name], name, null_tokens, multi_line=multi_line)
+            out[name], rejected[name] = parsed.rows, parsed.rejected
         else:
-            path = _join(base_path, name if fmt != "parquet-file" else name + ".parquet")
-            if "://" not in path and not os.path.exists(path):
-                continue
-            out[name] = spark.read.parquet(path)
-    return out
+            out[name] = read_csv(spark, paths, SCHEMAS[name], null_tokens=null_tokens, multi_line=multi_line,
+                                 mode="FAILFAST" if on_bad == "fail" else "PERMISSIVE")
+    return Sources(out, rejected)
 
 
 def category_translation(spark: SparkSession, path: str | None = None,

@@ -59,7 +59,10 @@ SCHEMAS = {
     "geolocation": GEOLOCATION,
 }
 
+# Sources a star can be built without.
+OPTIONAL_SOURCES = ("category_translation", "geolocation")
+
 # Default extract file names: ``<source>.csv`` (also ``<source>_2.csv`` and so
-# on, see ``readers.extract_glob``).  Pass ``file_names`` to ``load_sources``
+# on, see ``readers.extract_files``).  Pass ``file_names`` to ``load_sources``
 # for extracts named otherwise.
 FILE_NAMES = {name: f"{name}.csv" for name in SCHEMAS}

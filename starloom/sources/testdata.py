@@ -186,3 +186,43 @@ def testdata_sources(spark: SparkSession, sf_dir: str, names=None) -> dict[str,
     if names is None or "category_translation" in names:
         out["category_translation"] = translation_role(spark)
     return out
+
+
+def flawed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The same roles over the same whole tables with the faults checks look for:
+
+    * orders: pending ones have no customer, those without items no purchase time;
+    * customers: a segment is missing, another is delivered twice with another city;
+    * products: a category is missing, the small ones of up to size 10 have no id;
+    * sellers: a region is missing;
+    * items: no product where the tax is zero; payments: no type below 10 installments;
+    * reviews: title and text from the documents.
+    """
+    s = testdata_sources(spark, sf_dir)
+    none = lambda df, col, when: df.withColumn(col, F.when(~F.coalesce(when, F.lit(False)), F.col(col)))
+    orders = none(s["orders"], "customer_id", F.col("order_status") == "P")
+    segment = F.col("customer_unique_id")
+    customers = s["customers"].where(~segment.startswith("MACHINERY"))
+    again = customers.where(segment.startswith("BUILDING")).withColumn("customer_city", F.lit("elsewhere"))
+    products = s["products"].where(F.col("product_category_name") != "LARGE")
+    small = (F.col("product_category_name") == "SMALL") & (F.col("product_photos_qty") <= 10)
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("review_id"), "source", "text")
+    reviews = s["order_reviews"].drop("review_comment_title", "review_comment_message").join(docs, "review_id", "left")
+    return {**s,
+            "orders": none(orders, "order_purchase_timestamp", F.col("order_delivered_carrier_date").isNull()),
+            "customers": customers.unionByName(again),
+            "products": none(products, "product_id", small),
+            "sellers": s["sellers"].where(F.col("seller_state") != "asia"),
+            "order_items": none(s["order_items"], "product_id", F.col("freight_value") == 0),
+            "order_payments": none(s["order_payments"], "payment_type", F.col("payment_installments") < 10),
+            "order_reviews": reviews.withColumnsRenamed({"source": "review_comment_title", "text": "review_comment_message"})}
+
+
+def corrected_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders role after a late correction: June 1997 has another status,
+    and the orders of 3 March 1998 are withdrawn."""
+    o = orders_role(spark, sf_dir)
+    day = F.to_date("order_purchase_timestamp")
+    june = day.between(F.lit("1997-06-01").cast("date"), F.lit("1997-06-30").cast("date"))
+    return (o.where(F.coalesce(day != F.lit("1998-03-03").cast("date"), F.lit(True)))
+            .withColumn("order_status", F.when(june, F.lit("X")).otherwise(F.col("order_status"))))

@@ -50,16 +50,6 @@ def profile_arrivals(spark: SparkSession, folder: str, source: str, profile_path
     return w.start()
 
 
-def _published_dimensions(spark: SparkSession, target: str) -> dict[str, DataFrame] | None:
-    """The dimensions of the star currently at ``target``, if there is one."""
-    from starloom.plans.star import DIMENSIONS
-    from starloom.sinks import _Folders, read_star
-
-    fs = _Folders(target, spark)
-    names = [n for n in DIMENSIONS if n != "dim_date" and fs.exists(f"{target.rstrip('/')}/{n}")]
-    return read_star(spark, target, names=names) if names else None
-
-
 def refresh_on_arrival(spark: SparkSession, extracts: str, target: str, checkpoint: str,
                        load: Callable[[SparkSession, str], dict] | None = None,
                        available_now: bool = True, stable_keys: bool = True,
@@ -68,10 +58,10 @@ def refresh_on_arrival(spark: SparkSession, extracts: str, target: str, checkpoi
 
     The stream only watches the orders extract files; the rebuild itself
     reads every source from ``extracts`` (``load`` defaults to
-    ``load_sources(spark, extracts, file_names=...)``) and writes through the staged
+    ``load_sources(spark, extracts, file_names=...)``) and publishes through
     ``write_star_tables``, so readers never see a half-written star.
-    With ``stable_keys`` the dimensions already published at ``target`` keep
-    their surrogate keys; new members are numbered after them.
+    With ``stable_keys`` members keep their surrogate keys across refreshes,
+    and keys of retired members are not given to others.
     """
     from starloom.sinks import write_star_tables
     from starloom.sources.readers import load_sources
@@ -85,10 +75,8 @@ def refresh_on_arrival(spark: SparkSession, extracts: str, target: str, checkpoi
     def rebuild(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        opts = dict(build_opts)
-        if stable_keys and "previous" not in opts:
-            opts["previous"] = _published_dimensions(spark, target)
-        write_star_tables(spark, load(spark, extracts), target, **opts)
+        keep_keys = stable_keys and "previous" not in build_opts and build_opts.get("fmt") != "csv"
+        write_star_tables(spark, load(spark, extracts), target, stable_keys=keep_keys, **build_opts)
 
     w = stream.writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")

@@ -7,6 +7,7 @@ import pytest
 
 from starloom.sinks import jdbc_options, read_star, write_csv, write_jdbc, write_star, write_star_tables
 from starloom.sources import SCHEMAS, category_translation, load_sources, profile_sources, read_csv
+from starloom.sources.readers import MissingExtract
 from starloom.sources.testdata import testdata_sources as roles_of
 
 SF = "/root/testdata/sf0.001"
@@ -40,8 +41,10 @@ def test_zip_prefix_keeps_leading_zero(spark, scratch):
     with open(path, "w") as f:
         f.write("customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n")
         f.write("c1,u1,01001,sao paulo,SP\n")
-    src = load_sources(spark, scratch, names=["customers", "orders"])
-    assert list(src) == ["customers"]  # absent extracts are skipped
+    src = load_sources(spark, scratch, names=["customers", "geolocation"])
+    assert list(src) == ["customers"]  # an absent optional extract is skipped
+    with pytest.raises(MissingExtract, match="orders.csv"):
+        load_sources(spark, scratch, names=["customers", "orders"])
     assert src["customers"].first().customer_zip_code_prefix == "01001"
     prof = profile_sources(src).first()
     assert (prof.source, prof.row_count, prof.column_count) == ("customers", 1, 5)
@@ -78,17 +81,18 @@ def test_write_star_tables_and_staged_swap(spark, scratch):
     star = write_star_tables(spark, roles_of(spark, SF), scratch)
     assert set(star) == {"dim_date", "dim_customers", "dim_products", "dim_seller", "dim_payments",
                          "fact_orders", "fact_order_items", "fact_payments", "fact_reviews"}
-    assert not [d for d in os.listdir(scratch) if d.startswith("_staging")]
+    assert sorted(os.listdir(scratch)) == ["_manifest", "data"] and len(os.listdir(os.path.join(scratch, "data"))) == 1
     n_items = star["fact_order_items"].count()
     assert n_items == spark.read.parquet(f"{SF}/lineitem.parquet").count()
-    # a second refresh replaces the tables in place
+    # a second write replaces its tables and leaves the others of the version
     write_star({"dim_payments": star["dim_payments"].limit(2)}, scratch)
-    assert read_star(spark, scratch, names=["dim_payments"])["dim_payments"].count() == 2
+    after = read_star(spark, scratch)
+    assert after["dim_payments"].count() == 2 and after["fact_order_items"].count() == n_items
 
 
 def test_failed_refresh_leaves_previous_star_whole(spark, scratch):
-    """Dimensions and facts are swapped in together: a refresh that fails while
-    writing the facts changes no table and removes its staging folder."""
+    """Dimensions and facts are published together: a refresh that fails while
+    writing the facts changes no table and removes its run folder."""
     from pyspark.sql import functions as F
     first = write_star_tables(spark, roles_of(spark, SF), scratch)
     before = {n: sorted(map(tuple, first[n].collect())) for n in ("dim_customers", "fact_orders")}
@@ -100,7 +104,7 @@ def test_failed_refresh_leaves_previous_star_whole(spark, scratch):
     with pytest.raises(Exception):
         write_star_tables(spark, broken, scratch)
     after = read_star(spark, scratch)
-    assert not [d for d in os.listdir(scratch) if d.startswith("_staging")]
+    assert len(os.listdir(os.path.join(scratch, "data"))) == 1
     for n, rows in before.items():
         assert sorted(map(tuple, after[n].collect())) == rows
     assert after["fact_order_items"].count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
@@ -108,9 +112,9 @@ def test_failed_refresh_leaves_previous_star_whole(spark, scratch):
 
 def test_write_star_tables_to_csv(spark, scratch):
     star = write_star_tables(spark, roles_of(spark, SF), scratch, fmt="csv", parallel=2)
-    assert not [d for d in os.listdir(scratch) if d.startswith("_staging")]
-    back = read_csv(spark, os.path.join(scratch, "dim_payments"), star["dim_payments"].schema)
-    assert back.count() == star["dim_payments"].count()
+    back = read_star(spark, scratch)
+    assert sorted(back["dim_payments"].collect()) == sorted(star["dim_payments"].collect())
+    assert back["fact_order_items"].count() == star["fact_order_items"].count()
     assert star["fact_order_items"].count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
 
 
@@ -184,24 +188,8 @@ def test_write_star_tables_with_exact_date_lookup(spark, scratch):
     assert table_groups("exact") == [(list(DIMENSIONS), list(FACTS))]
     star = write_star_tables(spark, roles_of(spark, SF), scratch, grain="timestamp",
                              include_shipping=False, date_lookup="exact")
-    assert sorted(os.listdir(scratch)) == sorted([*DIMENSIONS, *FACTS])
+    assert set(read_star(spark, scratch)) == {*DIMENSIONS, *FACTS}
     items = star["fact_order_items"]
     assert items.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
     # Shipping times are not date sources, so most have no exact id
     assert items.where("shipping_limit_date_id IS NULL").count() > 0
-
-
-def test_failed_swap_puts_previous_tables_back(spark, scratch):
-    """A move that fails half-way through the swap rolls every table back."""
-    from starloom.sinks import _swap_in
-    target, stage = os.path.join(scratch, "star"), os.path.join(scratch, "star", "_staging-x")
-    for name, v in (("t_a", "old_a"), ("t_b", "old_b")):
-        spark.createDataFrame([(v,)], "v string").write.parquet(os.path.join(target, name))
-    spark.createDataFrame([("new_a",)], "v string").write.parquet(os.path.join(stage, "t_a"))
-    # t_b was never staged, so its move fails after t_a has been swapped in
-    # (file systems differ: false from rename, or an exception)
-    with pytest.raises(Exception):
-        _swap_in(["t_a", "t_b"], stage, target)
-    got = {n: spark.read.parquet(os.path.join(target, n)).first().v for n in ("t_a", "t_b")}
-    assert got == {"t_a": "old_a", "t_b": "old_b"}
-    assert not os.path.exists(stage)

@@ -1,6 +1,7 @@
 import os
 import tempfile
 
+from starloom.sinks import Versions, read_star
 from starloom.streaming import profile_arrivals, refresh_on_arrival
 
 HEADER = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
@@ -52,9 +53,9 @@ def test_refresh_on_arrival_builds_star(spark):
         with open(os.path.join(land, name), "w") as f:
             f.write(text)
     refresh_on_arrival(spark, land, target, ck).awaitTermination()
-    fo = spark.read.parquet(os.path.join(target, "fact_orders")).first()
+    fo = read_star(spark, target)["fact_orders"].first()
     assert (fo.customer_sk, fo.delivery_days, fo.delay_days) == (1, 2, -2)
-    assert spark.read.parquet(os.path.join(target, "fact_reviews")).first().review_comment_message == "good\nvery"
+    assert read_star(spark, target)["fact_reviews"].first().review_comment_message == "good\nvery"
 
     # a second extract with a customer that sorts first keeps the published keys
     with open(os.path.join(land, "customers.csv"), "a") as f:
@@ -63,9 +64,9 @@ def test_refresh_on_arrival_builds_star(spark):
         f.write(files["orders.csv"].replace("o1,c1", "o2,c0"))
     refresh_on_arrival(spark, land, target, ck).awaitTermination()
     keys = {r.customer_id: r.customer_sk
-            for r in spark.read.parquet(os.path.join(target, "dim_customers")).collect()}
+            for r in read_star(spark, target)["dim_customers"].collect()}
     assert keys == {"c1": 1, "c0": 2}
-    assert spark.read.parquet(os.path.join(target, "fact_orders")).count() == 2
+    assert read_star(spark, target)["fact_orders"].count() == 2
 
 
 def test_command_line_build(spark, capsys):
@@ -92,5 +93,6 @@ def test_command_line_build(spark, capsys):
             f.write(header + "\n")
     assert main(["--extracts", land, "--target", target]) == 0
     assert "orphan_keys" in capsys.readouterr().out
-    # the order's customer c9 is unknown: the check fails and so does the run
+    # the order's customer c9 is unknown: the check fails, and nothing is published
     assert main(["--extracts", land, "--target", target, "--fail-on-check"]) == 2
+    assert Versions(spark, target).numbers() == [1]
