@@ -14,20 +14,25 @@ The join that finds them:
    agree in ``MATCH`` of ``M`` share one among the ``M - MATCH + 1`` rarest of
    each, so that only those are joined.  What a passage shared by many documents
    contributes is common and ends up behind the prefix;
-3. in every posting list, members first meet its least node: their collisions
-   are counted over the whole signatures, and pairs above the threshold are
-   confirmed on the sets.  Groups of near copies become one component at the
-   cost of a pair a member;
-4. lists whose members are in one component by now are skipped.  In the others,
-   dealt into blocks of ``BLOCK`` members, collisions are counted between
-   members of different components, and a member sorted by size skips those too
-   large for a link.  Blocks of a list are held against each other in tasks of
-   their own; a list's pairs are never rows, those above the threshold are.
+3. in every posting list, members first meet its least node, then those outside
+   that node's component the least of themselves: a pair a member settles
+   groups of near copies.  A pair's collisions are counted over the whole
+   signatures; pairs above the threshold whose parity sketches allow a link (one
+   bit per hash value modulo a power of two, whether an odd number of shingles
+   has it: sketches differ in no more bits than the sets in shingles) are
+   confirmed on the sets;
+4. lists whose members are in one component by now are skipped.  The others are
+   dealt into blocks of ``BLOCK`` members, and the same tests run between members
+   of different components, a member sorted by size skipping those too large for
+   a link.  Blocks of a list are held against each other in tasks of their own.
+   A first pass sends on one pair for every two components that some pair could
+   join, a spanning forest of candidates; once those are confirmed, a second pass
+   sends all pairs that are left between different components.
 
 The sets of all members of such lists are built once, in one pass over the
-texts.  Step 4 costs time with the square of the members of a list that share a
-rare posting and do not link: for near copies below the limit, blocks make it
-byte comparisons.
+texts.  A list's pairs are never rows, only those that pass the tests are.  Step
+4 costs time with the square of the members of a list that share a rare posting
+and are in different components; in blocks these are byte comparisons.
 
 Components are those of all links found; links are exact, but for clashes of
 64-bit hashes.
@@ -88,6 +93,40 @@ def collisions(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.count_nonzero(a == b, axis=-1)
 
 
+def sketches(per: np.ndarray, s: np.ndarray) -> list[np.ndarray]:
+    """Parity sketch of each set, as bytes: 4 to 8 bits a shingle, 512 at least."""
+    out, first = [], np.cumsum(per) - per
+    h = TS.mix(s ^ _TAG[1])
+    for a, c in zip(first.tolist(), per.tolist()):
+        bits = 1 << max(9, int(4 * c - 1).bit_length())
+        odd = np.bincount((h[a:a + c] & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+        out.append(np.packbits(odd.astype(np.uint8), bitorder="little"))
+    return out
+
+
+def folded(x: np.ndarray, size: int) -> np.ndarray:
+    """Sketches (along the last axis) folded to ``size`` bytes."""
+    while x.shape[-1] > size:
+        half = x.shape[-1] // 2
+        x = x[..., :half] ^ x[..., half:]
+    return x
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Shingles in which two sets differ at least, from their sketches."""
+    size = min(x.shape[-1], y.shape[-1])
+    return np.bitwise_count(folded(x, size) ^ folded(y, size)).sum(axis=-1, dtype=np.int64)
+
+
+def may_differ(a, b, num: int, den: int):
+    """Shingles in which linked sets of sizes ``a`` and ``b`` differ at most."""
+    return a + b - 2 * -((-num * (a + b)) // (num + den))
+
+
+def _bytes(column) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint8) for x in column.to_pylist()]
+
+
 def _short(column) -> np.ndarray:
     """Short signatures (the last 16 bits of every posting) of a binary column."""
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, M)
@@ -121,9 +160,12 @@ def _signed(k: int):
                 postings = pa.ListArray.from_arrays(pa.array(ends), _long(sig.reshape(-1)), mask=pa.array(~fresh))
                 short = np.full(len(node), None, object)
                 short[fresh] = [x.tobytes() for x in (sig & _U(0xFFFF)).astype(np.uint16)]
+                sketch = np.full(len(node), None, object)
+                sketch[fresh] = [x.tobytes() for x in sketches(per[fresh], s[np.repeat(fresh, per)])]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), _long(node), _long(per.astype(np.int64)),
-                     postings, pa.array(short, pa.binary())], ["doc_id", "th", "node", "n", "postings", "short"])
+                     postings, pa.array(short, pa.binary()), pa.array(sketch, pa.binary())],
+                    ["doc_id", "th", "node", "n", "postings", "short", "sketch"])
     return run
 
 
@@ -149,41 +191,58 @@ def _keyed_sets(k: int):
 
 
 def _counted(match: int, num: int, den: int):
-    """Pairs that agree in ``match`` coordinates or more."""
+    """Pairs that agree in ``match`` coordinates or more, and whose sketches allow a link."""
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            na, nb = np.asarray(b.column(2)), np.asarray(b.column(4))
-            ok = pa.array((collisions(_short(b.column(3)), _short(b.column(5))) >= match)
-                          & (np.minimum(na, nb) * den >= np.maximum(na, nb) * num))
+            na, nb = np.asarray(b.column(2)), np.asarray(b.column(5))
+            ok = ((collisions(_short(b.column(3)), _short(b.column(6))) >= match)
+                  & (np.minimum(na, nb) * den >= np.maximum(na, nb) * num))
+            most = may_differ(na, nb, num, den)
+            for i in np.flatnonzero(ok):
+                x, y = (np.frombuffer(b.column(c)[i].as_buffer(), np.uint8) for c in (4, 7))
+                ok[i] = apart(x, y) <= most[i]
+            ok = pa.array(ok)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(ok), b.column(1).filter(ok)], ["u", "v"])
     return run
 
 
 def across(block: np.ndarray, node: np.ndarray, comp: np.ndarray, n: np.ndarray, short: np.ndarray,
-           match: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one part of a list: of two blocks those between them, of one
-    those inside; in different components and above the threshold."""
+           sketch: list[np.ndarray], match: int, num: int, den: int, forest: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one part of a list that may link: of two blocks those between
+    them, of one those inside; in different components.  ``forest``: no more
+    than join the components that such pairs could join."""
     order = np.argsort(n, kind="stable")
-    block, node, comp, n, short = block[order], node[order], comp[order], n[order], short[order]
+    block, node, n, short = block[order], node[order], n[order], short[order]
+    label = np.unique(comp[order], return_inverse=True)[1]
     two = block.min() != block.max()
     upto = np.searchsorted(n * num, n * den, "right")  # larger ones are skipped
+    sizes = np.array([len(sketch[i]) for i in order])
+    stacked = {size: np.stack([folded(sketch[i], size) if len(sketch[i]) >= size else np.zeros(size, np.uint8) for i in order])
+               for size in np.unique(sizes)}
     us, vs = [], []
     for i in range(len(n) - 1):
         j = np.arange(i + 1, upto[i])
-        j = j[(comp[j] != comp[i]) & (node[j] != node[i])]
+        j = j[(label[j] != label[i]) & (node[j] != node[i])]
         if two:
             j = j[block[j] != block[i]]
         if len(j):
             j = j[collisions(short[j], short[i]) >= match]
+        if len(j):  # larger sets have sketches as long, or longer
+            at = stacked[sizes[i]]
+            j = j[apart(at[j], at[i]) <= may_differ(n[i], n[j], num, den)]
+        if len(j):
+            if forest:
+                j = j[np.unique(label[j], return_index=True)[1]]
+                label[np.isin(label, label[j])] = label[i]
             us.append(np.minimum(node[i], node[j]))
             vs.append(np.maximum(node[i], node[j]))
     return (np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64),) * 2
 
 
-def _across(match: int, num: int, den: int):
-    """Sorted rows (t, a, z, block, node, comp, n, short): a part (t, a, z) at a time."""
+def _across(match: int, num: int, den: int, forest: bool):
+    """Sorted rows (t, a, z, block, node, comp, n, short, sketch): a part (t, a, z) at a time."""
     def run(batches):
         held: pa.Table | None = None
 
@@ -195,10 +254,11 @@ def _across(match: int, num: int, den: int):
             ends = len(at) - 1 if last else len(at) - 2
             cols = [np.asarray(table.column(c)) for c in range(3, 7)]
             short = _short(table.column(7).slice(0, at[ends])) if ends > 0 else None
+            sketch = _bytes(table.column(8).slice(0, at[ends])) if ends > 0 else None
             us, vs = [], []
             for a, z in zip(at[:ends], at[1:ends + 1]):
                 if z - a > 1:
-                    u, v = across(*(c[a:z] for c in cols), short[a:z], match, num, den)
+                    u, v = across(*(c[a:z] for c in cols), short[a:z], sketch[a:z], match, num, den, forest)
                     us.append(u)
                     vs.append(v)
             u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
@@ -233,14 +293,14 @@ def links(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text: str =
     kind = docs.schema[id_col].dataType.simpleString()
     src = docs.select(q(id_col).alias("doc_id"), q(text).cast("string").alias("text"))
     sets = scratch.written(src.select("doc_id", F.xxhash64("text").alias("th"), "text").mapInArrow(
-        _signed(k), f"doc_id {kind}, th long, node long, n long, postings array<long>, short binary"), "sets")
+        _signed(k), f"doc_id {kind}, th long, node long, n long, postings array<long>, short binary, sketch binary"), "sets")
 
     prefix = scratch.written(prefixes(sets, M, match), "prefix")
     ends = prefix.groupBy("t").agg(F.min("node").alias("u"), F.max("node").alias("hi")).where(F.col("u") != F.col("hi")).drop("hi")
     lists = scratch.written(prefix.join(ends, "t"), "lists")
     free_shuffles(spark)
     member = lists.select("node").distinct()
-    signed = scratch.written(sets.where(F.col("postings").isNotNull()).select("node", "n", "short").join(member, "node", "left_semi")
+    signed = scratch.written(sets.where(F.col("postings").isNotNull()).select("node", "n", "short", "sketch").join(member, "node", "left_semi")
                              .dropDuplicates(["node"]), "signed")
     # one row of the documents for the text of each member
     pick = (sets.join(member, "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("r"))
@@ -250,9 +310,15 @@ def links(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text: str =
     items = scratch.written(texts.mapInArrow(_keyed_sets(k), "node long, items array<long>"), "items")
     free_shuffles(spark)
 
-    of = lambda end, at: signed.select(F.col("node").alias(end), F.col("n").alias(f"n{at}"), F.col("short").alias(f"s{at}"))
+    def counted(pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` (u, v) that may link."""
+        of = lambda end, at: signed.select(F.col("node").alias(end), *[F.col(c).alias(f"{c}{at}") for c in ("n", "short", "sketch")])
+        met = pairs.distinct().join(of("v", 1), "v").join(of("u", 0), "u")
+        return scratch.written(met.select("u", "v", "n0", "short0", "sketch0", "n1", "short1", "sketch1")
+                               .mapInArrow(_counted(match, num, den), "u long, v long"), "pairs")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` whose sets link."""
         a = items.select(F.col("node").alias("u"), F.col("items").alias("a"))
         b = items.select(F.col("node").alias("v"), F.col("items").alias("b"))
         both = F.size(F.array_intersect("a", "b"))
@@ -260,26 +326,45 @@ def links(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text: str =
                                .where(F.col("both") * den >= (F.size("a") + F.size("b") - F.col("both")) * num)
                                .select("u", "v").distinct(), "links")
 
+    def named(groups: DataFrame, comp: DataFrame) -> DataFrame:
+        """Members of the lists that still span components."""
+        g = groups.select("t", "node").join(comp, "node", "left").select("t", "node", F.coalesce("comp", "node").alias("comp"))
+        still = (g.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"))
+                 .where(F.col("lo") != F.col("hi")).select("t", F.ceil(F.col("c") / block).cast("int").alias("blocks")))
+        return scratch.written(g.join(still, "t"), "open")
+
     # every member against the least node of its lists
-    first = lists.where(F.col("u") != F.col("node")).select("u", F.col("node").alias("v")).distinct()
-    met = first.join(of("v", 1), "v").join(of("u", 0), "u").select("u", "v", "n0", "s0", "n1", "s1")
-    first = scratch.written(met.mapInArrow(_counted(match, num, den), "u long, v long"), "pairs")
-    found = confirmed(first)
+    tested = counted(lists.where(F.col("u") != F.col("node")).select("u", F.col("node").alias("v")))
+    found = confirmed(tested)
+    comp = components(found)
+    free_shuffles(spark)
+
+    # members outside the least node's component against the least of themselves
+    left = named(lists, comp)
+    least = F.min(F.struct("node", "comp")).alias("r")
+    outside = left.join(left.groupBy("t").agg(least), "t").where(F.col("comp") != F.col("r.comp")).drop("r")
+    second = (outside.join(outside.groupBy("t").agg(least), "t").where(F.col("comp") != F.col("r.comp"))
+              .select(F.col("r.node").alias("u"), F.col("node").alias("v")))
+    second = counted(second)
+    tested, found = tested.unionByName(second), found.unionByName(confirmed(second))
     comp = components(found)
     free_shuffles(spark)
 
-    # lists that still span components, in blocks
-    named = lists.join(comp, "node", "left").select("t", "node", F.coalesce("comp", "node").alias("comp"))
-    still = (named.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"))
-             .where(F.col("lo") != F.col("hi")).select("t", F.ceil(F.col("c") / block).cast("int").alias("blocks")))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    parts = (named.join(still, "t").join(signed, "node").withColumn("block", mine)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("t", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("z"), "block", "node", "comp", "n", "short"))
-    parts = parts.repartition("t", "a", "z").sortWithinPartitions("t", "a", "z")
-    second = parts.mapInArrow(_across(match, num, den), "u long, v long").distinct().join(first, ["u", "v"], "left_anti")
-    found = found.unionByName(confirmed(scratch.written(second, "pairs")))
-    return sets.select("doc_id", "th", "node", "n"), found, components(found)
+    # what still spans components, in blocks
+    for forest in (True, False):
+        left = named(left, comp)
+        mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        parts = (left.join(signed, "node").withColumn("block", mine)
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .select("t", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("z"),
+                         "block", "node", "comp", "n", "short", "sketch"))
+        parts = parts.repartition("t", "a", "z").sortWithinPartitions("t", "a", "z")
+        pairs = parts.mapInArrow(_across(match, num, den, forest), "u long, v long").distinct()
+        pairs = scratch.written(pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
+        tested, found = tested.unionByName(pairs), found.unionByName(confirmed(pairs))
+        comp = components(found)
+        free_shuffles(spark)
+    return sets.select("doc_id", "th", "node", "n"), found, comp
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = K, num: int = NUM,

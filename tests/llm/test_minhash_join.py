@@ -133,18 +133,54 @@ def test_parts_of_a_list():
     short = rng.integers(0, 2, (n, MJ.M)).astype(np.uint16)
     short[:, :40] = 7
     node, comp, size = np.arange(n) + 10, rng.integers(0, 20, n), rng.integers(80, 120, n)
-    want = {(int(node[j]), int(node[i])) for i in range(n) for j in range(i) if comp[i] != comp[j]
-            and min(size[i], size[j]) * 100 >= max(size[i], size[j]) * 85 and (short[i] == short[j]).sum() >= 55}
-    block = np.zeros(n, int)
-    u, v = MJ.across(block, node, comp, size, short, 55, 85, 100)
-    assert set(zip(u.tolist(), v.tolist())) == want and len(u) == len(want)
+    base = rng.integers(1, 2 ** 63, 400, dtype=np.uint64)
+    sets = [np.sort(base[i % 8:i % 8 + s]) for i, s in enumerate(size)]
+    sketch = [MJ.sketches(np.array([len(s)]), s)[0] for s in sets]
+    differ = lambda i, j: len(np.setxor1d(sets[i], sets[j]))
+    pairs = [(i, j) for i in range(n) for j in range(i) if comp[i] != comp[j]
+             and min(size[i], size[j]) * 100 >= max(size[i], size[j]) * 85 and (short[i] == short[j]).sum() >= 55]
+    may = {(int(node[j]), int(node[i])) for i, j in pairs if MJ.apart(sketch[i], sketch[j]) <= MJ.may_differ(size[i], size[j], 85, 100)}
+    link = {(int(node[j]), int(node[i])) for i, j in pairs if differ(i, j) <= MJ.may_differ(size[i], size[j], 85, 100)}
+    assert link <= may and len(may) < len(pairs)
+    args = lambda rows, block: (block[rows], *(c[rows] for c in (node, comp, size, short)), [sketch[i] for i in np.flatnonzero(rows)], 55, 85, 100)
+    one, every = np.zeros(n, int), np.ones(n, bool)
+    u, v = MJ.across(*args(every, one))
+    assert set(zip(u.tolist(), v.tolist())) == may and len(u) == len(may)
     block, got_ = rng.integers(0, 3, n), []
     for a in range(3):
         for z in range(a, 3):
-            in_ = (block == a) | (block == z)
-            x = MJ.across(*(c[in_] for c in (block, node, comp, size, short)), 55, 85, 100)
+            x = MJ.across(*args((block == a) | (block == z), block))
             got_ += list(zip(x[0].tolist(), x[1].tolist()))
-    assert set(got_) == want and len(got_) == len(want)
+    assert set(got_) == may and len(got_) == len(may)
+    # a forest: pairs of the same set that join as much, one less than what they join
+    fu, fv = MJ.across(*args(every, one), forest=True)
+    assert set(zip(fu.tolist(), fv.tolist())) <= may
+    of = dict(zip(node.tolist(), comp.tolist()))
+
+    def joined(pairs):
+        root = {c: c for c in of.values()}
+
+        def find(c):
+            while root[c] != c:
+                c = root[c]
+            return c
+        for x, y in pairs:
+            root[find(of[x])] = find(of[y])
+        return {frozenset(c for c in root if find(c) == r) for r in map(find, root)}
+    assert joined(zip(fu.tolist(), fv.tolist())) == joined(may)
+    assert len(fu) == len(set(of.values())) - len(joined(may))
+
+
+def test_sketches_differ_no_more_than_sets():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        pool = rng.integers(1, 2 ** 63, 600, dtype=np.uint64)
+        a, b = (np.unique(rng.choice(pool, int(rng.integers(1, 500)))) for _ in range(2))
+        x, y = MJ.sketches(np.array([len(a), len(b)]), np.concatenate([a, b]))
+        assert MJ.apart(x, y) <= len(np.setxor1d(a, b))
+        m, n = len(a), len(b)
+        both = next(c for c in range(m + n + 1) if 100 * c >= 85 * (m + n - c))  # the least overlap that links
+        assert MJ.may_differ(m, n, 85, 100) == m + n - 2 * both
 
 
 def test_null_ids_fetch_one_text_a_node(spark):
@@ -155,9 +191,7 @@ def test_null_ids_fetch_one_text_a_node(spark):
     docs = frame(spark, rows)
     with Scratch(spark, "test") as s:
         MJ.links(docs, s)
-        path = next(p for p in range(1, 9) if "items" in str(s.spark._jvm.org.apache.hadoop.fs.Path(f"{s.folder}/{p:02d}-items"))
-                    and _there(s, f"{s.folder}/{p:02d}-items"))
-        assert spark.read.parquet(f"{s.folder}/{path:02d}-items").count() == 50
+        assert spark.read.parquet(next(p for p in (f"{s.folder}/{i:02d}-items" for i in range(9)) if _there(s, p))).count() == 50
     assert got(MJ.near_duplicates(docs)) == brute(rows)
 
 
