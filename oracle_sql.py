@@ -540,12 +540,24 @@ SELECT (SELECT count(*) FROM fact_orders f WHERE NOT EXISTS (SELECT 1 FROM dim_c
          AS duplicate_customer_keys""", *_ALL)
     q["flawed_fact_reviews"] = with_flaws(
         "SELECT * REPLACE (" + ", ".join(f"{ts_text(c)} AS {c}" for c in REVIEW_TS) + ") FROM fact_reviews", "fact_reviews")
+    q["dim_products_inferred"] = with_flaws("""
+SELECT CAST(row_number() OVER (ORDER BY product_id NULLS LAST) AS INTEGER) AS product_sk, product_id, product_category_name_english, is_inferred
+FROM (SELECT product_id, product_category_name_english, false AS is_inferred FROM dim_products
+      UNION ALL SELECT DISTINCT product_id, 'unknown', true FROM src_items i
+      WHERE product_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_products p WHERE p.product_id = i.product_id)) m
+UNION ALL SELECT 0, NULL, 'unknown', true""", "dim_products", "src_items")
+    q["inferred_totals"] = with_flaws("""
+SELECT report, (SELECT round(CAST(sum(price + freight_value) AS DOUBLE), 2) FROM src_items) AS revenue
+FROM (VALUES ('fact'), ('category'), ('location'), ('seller')) v(report)""", "src_items")
     q["key_registry_refresh"] = with_ctes("""
 SELECT customer_id, row_number() OVER (ORDER BY first_year, customer_id NULLS LAST) AS customer_sk,
        last_year < (SELECT max(year(order_purchase_timestamp)) FROM src_orders) AS retired
 FROM (SELECT customer_id, min(y) AS first_year, max(y) AS last_year
       FROM (SELECT year(order_purchase_timestamp) AS y, CASE WHEN order_status <> 'P' THEN customer_id END AS customer_id
             FROM src_orders WHERE order_purchase_timestamp IS NOT NULL) m GROUP BY customer_id) g""", "src_orders")
+    q["customers_by_year_sketched"] = with_ctes("""
+SELECT CAST(purchase_date_id // 10000 AS INTEGER) AS year, count(DISTINCT customer_sk) AS customers, true AS estimate_within_bound
+FROM fact_orders GROUP BY 1""", "fact_orders")
     q["refresh_changed_days"] = with_ctes(f"""
 SELECT part, CASE WHEN old_rows = 0 THEN 'new' WHEN new_rows = 0 THEN 'gone' ELSE 'changed' END AS change, old_rows, new_rows
 FROM (SELECT coalesce(CAST(a.d AS VARCHAR), 'none') AS part, coalesce(a.n, 0) AS old_rows, coalesce(b.n, 0) AS new_rows

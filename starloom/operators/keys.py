@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.lookups import remember_rows
+from starloom.operators.lookups import known_top, remember_rows, remember_top
 from starloom.session import ensure_checkpoint_dir
 
 _PID, _SEQ, _N = "__sl_pid", "__sl_seq", "__sl_n"
@@ -89,7 +89,7 @@ def dense_key(df: DataFrame, order_cols, key_name: str, num_buckets: int | None
                           F.col(_PID) + F.lit(1))
     local_index = F.col(_SEQ) - F.shiftleft(F.col(_PID).cast("long"), 33)
     numbered = tagged.withColumn(key_name, (offset + local_index + F.lit(first)).cast("long"))
-    return remember_rows(numbered.drop(_PID, _SEQ), running)
+    return remember_top(remember_rows(numbered.drop(_PID, _SEQ), running), first + running - 1)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -110,4 +110,4 @@ def keep_existing_keys(new_members: DataFrame, previous_dim: DataFrame, natural_
     start = previous_dim.agg(F.coalesce(F.max(key_name), F.lit(0))).first()[0]
     fresh_keyed = dense_key(fresh, natural_key, key_name, num_buckets=num_buckets,
                             first=int(start) + 1)
-    return known.unionByName(fresh_keyed)
+    return remember_top(known.unionByName(fresh_keyed), known_top(fresh_keyed))

@@ -37,6 +37,20 @@ def known_rows(df: DataFrame) -> int | None:
     return getattr(df, _ROWS_ATTR, None)
 
 
+_TOP_ATTR = "_starloom_top"
+
+
+def remember_top(df: DataFrame, top: int | None) -> DataFrame:
+    """Attach the highest surrogate key of ``df``, known from the job that gave it."""
+    if top is not None:
+        setattr(df, _TOP_ATTR, int(top))
+    return df
+
+
+def known_top(df: DataFrame) -> int | None:
+    return getattr(df, _TOP_ATTR, None)
+
+
 def broadcast_bounded(df: DataFrame, max_rows: int = 100_000,
                       rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only when it has at most ``max_rows`` rows.

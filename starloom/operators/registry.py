@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.keys import _names, dense_key
-from starloom.operators.lookups import known_rows, remember_rows
+from starloom.operators.lookups import known_rows, known_top, remember_rows, remember_top
 
 RETIRED = "retired"
 
@@ -47,7 +47,7 @@ def registered_keys(members: DataFrame, registry: DataFrame, natural_key, key_na
     met = members.join(known, same, "inner").select(*members.columns, key_name)
     fresh = dense_key(members.join(known, same, "left_anti"), keys, key_name, num_buckets=num_buckets,
                       first=high_water(registry, key_name) + 1)
-    return met.unionByName(fresh)
+    return remember_top(met.unionByName(fresh), known_top(fresh))
 
 
 def next_registry(registry: DataFrame | None, keyed: DataFrame, natural_key, key_name: str) -> DataFrame:

@@ -44,9 +44,18 @@ USED_KEYS = [("dim_customers.customer_sk", "fact_orders", "customer_sk"),
              ("dim_seller.seller_id", "source order_items", "seller_id"),
              ("dim_seller.seller_sk", "fact_order_items", "seller_sk")]
 
+UNKNOWN_KEY = 0
 KINDS = ("row_count", "null_key", "unique", "orphan_keys")
 
 
+def _home_key(table: str, key: str):
+    """A dimension's key; the unknown member has no natural key, and stands under a name."""
+    nk, sk = next((nk, sk) for t, nk, sk in UNIQUE_KEYS if t == table)
+    if key == sk or table == "dim_date":
+        return F.col(key)
+    return F.when(F.col(sk) == UNKNOWN_KEY, F.lit("(unknown member)")).otherwise(F.col(nk).cast("string"))
+
+
 def check_sides(kinds=KINDS) -> list[Side]:
     """The key columns that the checks of ``kinds`` compare, per family."""
     homes, uses = set(), set()
@@ -64,7 +73,7 @@ def check_sides(kinds=KINDS) -> list[Side]:
     if "null_key" in kinds:
         uses |= {u for u in USED_KEYS if not u[1].startswith("source ")}
         sides.append(Side("fact_orders.purchase_date_id", USE, "fact_orders", F.col("purchase_date_id")))
-    sides += [Side(h, HOME, h.split(".")[0], F.col(h.split(".")[1])) for h in sorted(homes)]
+    sides += [Side(h, HOME, h.split(".")[0], _home_key(*h.split("."))) for h in sorted(homes)]
     return sides + [Side(f, USE, table, F.col(c)) for f, table, c in sorted(uses)]
 
 

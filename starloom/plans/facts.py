@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from starloom.functions.dates import floor_days
 from starloom.operators.lookups import date_key, exact_date_keys, lookup_key
 
+# The date keys of the published order fact, and the column each is of.
 ORDER_DATE_KEYS = {
     "purchase_date_id": "order_purchase_timestamp",
     "approved_date_id": "order_approved_at",
@@ -37,11 +38,14 @@ def _date_keys(df: DataFrame, mapping: dict[str, str], dim_date: DataFrame | Non
 
 
 def build_fact_orders(orders: DataFrame, dim_customers: DataFrame, null_safe: bool = False,
-                      date_lookup: str = "computed", dim_date: DataFrame | None = None) -> DataFrame:
-    """Orders with customer_sk, five date keys, floored delivery and delay
-    days and a delivery class.  Every other order column passes through."""
+                      date_lookup: str = "computed", dim_date: DataFrame | None = None,
+                      unknown_key: int | None = None) -> DataFrame:
+    """Orders with customer_sk (null, or ``unknown_key``, when absent), five
+    date keys, floored delivery and delay days and a delivery class.  Every
+    other order column passes through."""
     raw = [c for c in orders.columns if c != "customer_id"]
-    f = lookup_key(orders, dim_customers, "customer_id", "customer_sk", null_safe=null_safe)
+    f = lookup_key(orders, dim_customers, "customer_id", "customer_sk", null_safe=null_safe, unknown=unknown_key)
+    f = f.withColumn("customer_sk", _typed("customer_sk", dim_customers))
     f = _date_keys(f, ORDER_DATE_KEYS, dim_date, date_lookup)
     delivered = F.col("order_delivered_customer_date")
     f = f.withColumns({
@@ -53,6 +57,11 @@ def build_fact_orders(orders: DataFrame, dim_customers: DataFrame, null_safe: bo
                     "delivery_performance")
 
 
+def _typed(key: str, dim: DataFrame) -> Column:
+    """The key in the type its dimension publishes (proven there to fit)."""
+    return F.col(key).cast(dim.schema[key].dataType).alias(key)
+
+
 def build_fact_order_items(items: DataFrame, dim_products: DataFrame, dim_seller: DataFrame,
                            unknown_key: int = 0, null_safe: bool = False,
                            date_lookup: str = "computed",
@@ -65,8 +74,8 @@ def build_fact_order_items(items: DataFrame, dim_products: DataFrame, dim_seller
     f = lookup_key(f, dim_seller, "seller_id", "seller_sk", unknown=unknown_key,
                    null_safe=null_safe)
     f = f.withColumn("item_total", F.col("price") + F.col("freight_value"))
-    return f.select("order_id", "order_item_id", F.col("product_sk").cast("int").alias("product_sk"),
-                    F.col("seller_sk").cast("int").alias("seller_sk"), "shipping_limit_date_id",
+    return f.select("order_id", "order_item_id", _typed("product_sk", dim_products),
+                    _typed("seller_sk", dim_seller), "shipping_limit_date_id",
                     "price", "freight_value", "item_total")
 
 

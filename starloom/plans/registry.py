@@ -25,6 +25,7 @@ from starloom.plans import analytics as A
 from starloom.plans import checks as C
 from starloom.plans import dims as D
 from starloom.plans import facts as FX
+from starloom.plans.sketches import daily_sketches, distinct_keys, standard_error
 from starloom.plans.star import Star
 from starloom.sinks.parts import PART_COLUMNS, changed_parts
 from starloom.sources import testdata as TD
@@ -338,6 +339,30 @@ def q_flawed_fact_reviews(spark, sf_dir):
     return FX.build_fact_reviews(TD.flawed_sources(spark, sf_dir)["order_reviews"])
 
 
+def _inferred(spark, sf_dir) -> Star:
+    st = Star(TD.flawed_sources(spark, sf_dir), infer_members=True)
+    st.prepare()
+    return st
+
+
+def q_dim_products_inferred(spark, sf_dir):
+    return _inferred(spark, sf_dir)["dim_products"].select("product_sk", "product_id", "product_category_name_english", "is_inferred")
+
+
+def q_inferred_totals(spark, sf_dir):
+    """Revenue in the fact, and as the reports by category, location and seller
+    add it up: with inferred and unknown members none of it is lost."""
+    s = _inferred(spark, sf_dir)
+    items = s["fact_order_items"]
+    reports = {"fact": items.select((F.col("price") + F.col("freight_value")).alias("total_price")),
+               "category": A.revenue_by_category_month(items, s["fact_orders"], s["dim_products"], s["dim_date"]),
+               "location": A.seller_locations_first10(items, s["dim_seller"], n=None),
+               "seller": A.top_sellers_by_revenue(items, s["dim_seller"], n=None)}
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.round(F.sum("total_price").cast("double"), 2).alias("revenue")).select(F.lit(name).alias("report"), "revenue")
+        for name, df in reports.items()])
+
+
 def q_key_registry_refresh(spark, sf_dir):
     """A refresh a year: members are the customers of that year's orders (null
     while pending); what the registry holds after the last."""
@@ -353,6 +378,17 @@ def q_key_registry_refresh(spark, sf_dir):
     return registry
 
 
+def q_customers_by_year_sketched(spark, sf_dir):
+    """Distinct customers a year: exact, and whether the merge of day sketches
+    is within four standard errors of it."""
+    fact = _star(spark, sf_dir)["fact_orders"]
+    year = F.floor(F.col("purchase_date_id") / 10000).cast("int").alias("year")
+    exact = fact.groupBy(year).agg(F.count_distinct("customer_sk").alias("customers"))
+    guess = distinct_keys(daily_sketches(fact, "customer_sk"), [year], "estimate")
+    near = F.abs(F.col("estimate") / F.col("customers") - 1) <= 4 * standard_error()
+    return exact.join(guess, exact["year"].eqNullSafe(guess["year"])).select(exact["year"], "customers", near.alias("estimate_within_bound"))
+
+
 def q_refresh_changed_days(spark, sf_dir):
     """The days of the order fact that a refresh after a late correction would write."""
     old = Star(TD.testdata_sources(spark, sf_dir))
@@ -414,7 +450,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_reconciliation": q_key_reconciliation,
     "flawed_integrity": q_flawed_integrity,
     "flawed_fact_reviews": q_flawed_fact_reviews,
+    "dim_products_inferred": q_dim_products_inferred,
+    "inferred_totals": q_inferred_totals,
     "key_registry_refresh": q_key_registry_refresh,
+    "customers_by_year_sketched": q_customers_by_year_sketched,
     "refresh_changed_days": q_refresh_changed_days,
 }
 

@@ -27,7 +27,10 @@ class Star(Mapping):
     ``previous`` (the last published star) keeps surrogate keys stable across
     refreshes: known members keep their key, new ones are numbered after it.
     ``registries`` does the same from key registries (``operators.registry``),
-    which also hold the members that are absent now.
+    which also hold the members that are absent now.  ``infer_members`` adds
+    inferred members for keys that facts use and dimensions lack, and the
+    unknown member 0 (``operators.members``), so that no fact row is lost in a
+    join to its dimensions.
     """
 
     def __init__(self, sources: dict[str, DataFrame], grain: str = "day",
@@ -35,8 +38,9 @@ class Star(Mapping):
                  date_lookup: str = "computed", num_buckets=None,
                  dimensions: dict[str, DataFrame] | None = None,
                  previous: dict[str, DataFrame] | None = None,
-                 registries: dict[str, DataFrame] | None = None):
+                 registries: dict[str, DataFrame] | None = None, infer_members: bool = False):
         self.sources = sources
+        self.infer = infer_members
         self.opts = dict(grain=grain, include_shipping=include_shipping, null_safe=null_safe,
                          date_lookup=date_lookup, num_buckets=num_buckets)
         self._built: dict[str, DataFrame] = dict(dimensions or {})
@@ -46,20 +50,24 @@ class Star(Mapping):
     def _make(self, name: str) -> DataFrame:
         s, o, nb = self.sources, self.opts, self.opts["num_buckets"]
         pv = lambda dim: self.registries.get(dim, self.previous.get(dim))
+        used = lambda source, key: [s[source].select(key)] if self.infer else None
         dd = (lambda: self["dim_date"]) if o["date_lookup"] == "exact" else (lambda: None)
         builders = {
             "dim_date": lambda: dims.build_dim_date(s, o["grain"], o["include_shipping"]),
-            "dim_customers": lambda: dims.build_dim_customers(s["customers"], nb,
-                                                              pv("dim_customers")),
+            "dim_customers": lambda: dims.build_dim_customers(s["customers"], nb, pv("dim_customers"),
+                                                              used("orders", "customer_id")),
             "dim_products": lambda: dims.build_dim_products(s["products"],
                                                             s.get("category_translation"),
                                                             num_buckets=nb,
-                                                            previous=pv("dim_products")),
-            "dim_seller": lambda: dims.build_dim_seller(s["sellers"], nb, pv("dim_seller")),
+                                                            previous=pv("dim_products"),
+                                                            used=used("order_items", "product_id")),
+            "dim_seller": lambda: dims.build_dim_seller(s["sellers"], nb, pv("dim_seller"),
+                                                        used("order_items", "seller_id")),
             "dim_payments": lambda: dims.build_dim_payments(s["order_payments"], nb,
                                                             pv("dim_payments")),
             "fact_orders": lambda: facts.build_fact_orders(s["orders"], self["dim_customers"],
-                                                           o["null_safe"], o["date_lookup"], dd()),
+                                                           o["null_safe"], o["date_lookup"], dd(),
+                                                           0 if self.infer else None),
             "fact_order_items": lambda: facts.build_fact_order_items(
                 s["order_items"], self["dim_products"], self["dim_seller"],
                 null_safe=o["null_safe"], date_lookup=o["date_lookup"], dim_date=dd()),
@@ -100,18 +108,20 @@ def build_dimensions(sources: dict[str, DataFrame], grain: str = "day",
                      include_shipping: bool = True, num_buckets=None,
                      previous: dict[str, DataFrame] | None = None,
                      parallel: int | None = None,
-                     registries: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+                     registries: dict[str, DataFrame] | None = None,
+                     infer_members: bool = False) -> dict[str, DataFrame]:
     """The five dimensions.  Their dense-key jobs are independent, so they
     are submitted together (``parallel=1``: one after another)."""
-    st = Star(sources, grain, include_shipping, num_buckets=num_buckets, previous=previous, registries=registries)
+    st = Star(sources, grain, include_shipping, num_buckets=num_buckets, previous=previous, registries=registries,
+              infer_members=infer_members)
     st.prepare(DIMENSIONS, parallel)
     return {n: st[n] for n in DIMENSIONS}
 
 
 def build_facts(sources: dict[str, DataFrame], dimensions: dict[str, DataFrame],
                 null_safe: bool = False, date_lookup: str = "computed",
-                names=FACTS) -> dict[str, DataFrame]:
-    st = Star(sources, null_safe=null_safe, date_lookup=date_lookup, dimensions=dimensions)
+                names=FACTS, infer_members: bool = False) -> dict[str, DataFrame]:
+    st = Star(sources, null_safe=null_safe, date_lookup=date_lookup, dimensions=dimensions, infer_members=infer_members)
     return {n: st[n] for n in names}
 
 

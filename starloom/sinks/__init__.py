@@ -25,6 +25,7 @@ from starloom.plans import checks as star_checks
 from starloom.plans import observed
 from starloom.plans import star as star_plan
 from starloom.session import ensure_checkpoint_dir, run_concurrently
+from starloom.sinks.jdbc import append_batch, replace_tables
 from starloom.sinks.parts import PART_COLUMNS, write_parts
 from starloom.sinks.versions import KEEP, Manifest, PublishConflict, TableEntry, Versions
 from starloom.sources.quarantine import Sources, rejection_checks
@@ -130,8 +131,9 @@ def write_star(tables: dict[str, DataFrame], target: str, fmt: str = "parquet",
     writes are independent jobs and are submitted together (``parallel`` bounds
     how many; 1 writes one after another).  ``fmt="table"`` writes catalog
     tables (under ``target`` when given), the facts bucketed by order_id so
-    their joins need no shuffle; those and JDBC tables are written one at a
-    time.  Returns name -> location or table name."""
+    their joins need no shuffle, one at a time.  JDBC tables are loaded beside
+    the old ones and exchanged in one transaction (``staged=False``, or an
+    append, writes them in place, one at a time).  Returns name -> location or table name."""
     if fmt == "table":
         buckets = DEFAULT_BUCKETS if buckets is None else buckets
         return {name: write_table(df, name, database=database, mode=mode,
@@ -139,6 +141,9 @@ def write_star(tables: dict[str, DataFrame], target: str, fmt: str = "parquet",
                                   path=_path(target, name) if target else None)
                 for name, df in tables.items()}
     if fmt == "jdbc":
+        if mode == "overwrite" and staged and tables:
+            replace_tables(next(iter(tables.values())).sparkSession, {n: _ordered(n, df) for n, df in tables.items()}, jdbc or {})
+            return {n: n for n in tables}
         for name, df in tables.items():
             write_jdbc(_ordered(name, df), name, jdbc or {}, mode=mode,
                        truncate=(mode == "overwrite"))
@@ -179,6 +184,7 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
                       table_opts: dict | None = None, parallel: int | None = None,
                       stable_keys: bool = False, checks: str = "observed", require: bool = False,
                       incremental: bool = False, keep: int = KEEP, notes: dict | None = None,
+                      jdbc: dict[str, str] | None = None, jdbc_names: dict[str, str] | None = None,
                       **build_opts) -> dict[str, DataFrame]:
     """Build and persist the whole star in dependency order; returns the
     written tables (read back for parquet and catalog tables), ready for
@@ -206,6 +212,14 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
     ``require`` a failing check raises ``StarCheckFailed`` and nothing is
     published.
 
+    ``jdbc`` (connection options, see ``jdbc_options``; parquet) also loads the
+    nine tables into a database, as they were published, in one step
+    (``sinks.jdbc``); ``jdbc_names`` gives tables another name there
+    (``{"fact_order_items": "fact_orders_items"}``).
+
+    ``infer_members=True`` gives keys that facts use and dimensions lack a
+    flagged member, and null keys the unknown member (``operators.members``).
+
     Records that ``load_sources(on_bad="quarantine")`` rejected are published
     with the star as the table ``quarantine``, and counted in the checks.
 
@@ -231,6 +245,8 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
         raise ValueError("write_star_tables writes parquet or csv folders, or catalog tables")
     if checks not in ("observed", "all"):
         raise ValueError("checks is 'observed' or 'all'")
+    if jdbc is not None and fmt != "parquet":
+        raise ValueError("a database is loaded from the published parquet tables")
     stable_keys = stable_keys or incremental
     if fmt == "csv" and stable_keys:
         raise ValueError("keys are kept in parquet folders or catalog tables")
@@ -259,13 +275,16 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
     else:
         versions = Versions(spark, target)
         out = {n: versions.read(manifest, n) for n in star_plan.TABLES}
+        if jdbc is not None:
+            replace_tables(spark, {(jdbc_names or {}).get(n, n): df for n, df in out.items()}, jdbc)
     for n, d in dims.items():
         remember_rows(out[n], known_rows(d))  # exact counts from the key jobs
     return out
 
 
 def _registries(dims: dict[str, DataFrame], old: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {registry_name(n): next_registry(old.get(n), dims[n], *KEYED[n]) for n in KEYED if n in dims}
+    real = lambda n: dims[n].where(f"{KEYED[n][1]} <> {star_checks.UNKNOWN_KEY}")
+    return {registry_name(n): next_registry(old.get(n), real(n), *KEYED[n]) for n in KEYED if n in dims}
 
 
 def _known_keys(versions: Versions, base: Manifest | None) -> dict[str, DataFrame]:
@@ -276,7 +295,7 @@ def _known_keys(versions: Versions, base: Manifest | None) -> dict[str, DataFram
         if base and registry_name(n) in base.tables:
             out[n] = versions.read(base, registry_name(n))
         elif base and n in base.tables:
-            out[n] = as_registry(versions.read(base, n), nk, sk)
+            out[n] = as_registry(versions.read(base, n).where(f"{sk} <> {star_checks.UNKNOWN_KEY}"), nk, sk)
     return out
 
 
@@ -296,7 +315,8 @@ def _publish(spark, sources, target, fmt, build_opts, parallel, stable_keys, che
     st = star_plan.Star(sources, build_opts.get("grain", "day"),
                         build_opts.get("include_shipping", True),
                         num_buckets=build_opts.get("num_buckets"),
-                        previous=build_opts.get("previous"), registries=old_keys)
+                        previous=build_opts.get("previous"), registries=old_keys,
+                        infer_members=build_opts.get("infer_members", False))
     watch = observed.Watch(sources)
     # counted above the sort: its range sample runs what is below a second time
     watched = lambda tables: {n: watch.table(n, _ordered(n, df)) for n, df in tables.items()}
@@ -315,7 +335,8 @@ def _publish(spark, sources, target, fmt, build_opts, parallel, stable_keys, che
         facts = {}
         for n in fact_names:
             facts.update(star_plan.build_facts(watch.fact_sources(n) if not incremental else sources, used,
-                                               build_opts.get("null_safe", False), date_lookup, names=[n]))
+                                               build_opts.get("null_safe", False), date_lookup, [n],
+                                               build_opts.get("infer_members", False)))
         entries = {n: entry(n, d) for n, d in dims.items()}
         if incremental:
             entries.update(run_concurrently(
@@ -376,10 +397,11 @@ def _build_in_place(spark, sources, target, table_opts, build_opts, parallel, st
             if spark.catalog.tableExists(f"{db}.{registry_name(n)}"):
                 old_keys[n] = cut(spark.table(f"{db}.{registry_name(n)}"))
             elif spark.catalog.tableExists(f"{db}.{n}"):
-                old_keys[n] = cut(as_registry(spark.table(f"{db}.{n}"), nk, sk))
+                old_keys[n] = cut(as_registry(spark.table(f"{db}.{n}").where(f"{sk} <> {star_checks.UNKNOWN_KEY}"), nk, sk))
     dims = star_plan.build_dimensions(sources, build_opts.get("grain", "day"),
                                       build_opts.get("include_shipping", True),
-                                      build_opts.get("num_buckets"), previous, parallel, old_keys)
+                                      build_opts.get("num_buckets"), previous, parallel, old_keys,
+                                      build_opts.get("infer_members", False))
     write_star(dims, target, fmt="table", **table_opts)
     used = read_star(spark, target, names=dims, fmt="table", database=table_opts.get("database"))
     for n, d in dims.items():
@@ -387,7 +409,8 @@ def _build_in_place(spark, sources, target, table_opts, build_opts, parallel, st
     if stable_keys:
         write_star(_registries(used, old_keys), target, fmt="table", **table_opts)
     facts = star_plan.build_facts(sources, used, build_opts.get("null_safe", False),
-                                  build_opts.get("date_lookup", "computed"))
+                                  build_opts.get("date_lookup", "computed"),
+                                  infer_members=build_opts.get("infer_members", False))
     write_star(facts, target, fmt="table", **table_opts)
     return dims, facts
 
