@@ -44,3 +44,16 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+
+
+def extended(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more ``links`` between nodes of ``comp`` (node,
+    comp) and others: only the graph of the components they touch is worked on."""
+    of = lambda end: comp.select(F.col("node").alias(end), F.col("comp").alias(f"c{end}"))
+    named = written(links.join(of("u"), "u", "left").join(of("v"), "v", "left")
+                    .select("u", "v", F.coalesce("cu", "u").alias("cu"), F.coalesce("cv", "v").alias("cv")), "links")
+    merged = components(named.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+    fresh = (named.select(F.col("u").alias("node"), F.col("cu").alias("comp")).unionByName(
+        named.select(F.col("v").alias("node"), F.col("cv").alias("comp"))).distinct().join(comp.select("node"), "node", "left_anti"))
+    to = merged.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    return written(comp.unionByName(fresh).join(to, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "components")

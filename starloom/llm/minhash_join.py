@@ -14,15 +14,14 @@ The join that finds them:
    agree in ``MATCH`` of ``M`` share one among the ``M - MATCH + 1`` rarest of
    each, so that only those are joined.  What a passage shared by many documents
    contributes is common and ends up behind the prefix;
-3. in every posting list, members first meet its least node, then those outside
-   that node's component the least of themselves: a pair a member settles
-   groups of near copies.  A pair's collisions are counted over the whole
+3. in every posting list, members first meet its least node: a pair a member
+   settles groups of near copies.  A pair's collisions are counted over the whole
    signatures; pairs above the threshold whose parity sketches allow a link (one
    bit per hash value modulo a power of two, whether an odd number of shingles
    has it: sketches differ in no more bits than the sets in shingles) are
    confirmed on the sets;
 4. lists whose members are in one component by now are skipped.  The others are
-   dealt into blocks of ``BLOCK`` members, and the same tests run between members
+   dealt into blocks (``llm.blocks``), and the same tests run between members
    of different components, a member sorted by size skipping those too large for
    a link.  Blocks of a list are held against each other in tasks of their own.
    A first pass sends on one pair for every two components that some pair could
@@ -54,14 +53,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm import blocks
 from starloom.llm import textscan as TS
+from starloom.llm.blocks import BLOCK, apart, may_differ
 from starloom.llm.common import Scratch, free_shuffles, q
-from starloom.llm.components import components
+from starloom.llm.components import components, extended
 
 K = 3
 NUM, DEN = 85, 100
 M, MATCH = 64, 38
-BLOCK = 512
 _U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(1213))
 _XOR, _TIMES, _TAG = (_RNG.integers(1, 2 ** 63, M, dtype=np.uint64) * _U(2) + _U(1) for _ in range(3))
@@ -104,29 +104,6 @@ def sketches(per: np.ndarray, s: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def folded(x: np.ndarray, size: int) -> np.ndarray:
-    """Sketches (along the last axis) folded to ``size`` bytes."""
-    while x.shape[-1] > size:
-        half = x.shape[-1] // 2
-        x = x[..., :half] ^ x[..., half:]
-    return x
-
-
-def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Shingles in which two sets differ at least, from their sketches."""
-    size = min(x.shape[-1], y.shape[-1])
-    return np.bitwise_count(folded(x, size) ^ folded(y, size)).sum(axis=-1, dtype=np.int64)
-
-
-def may_differ(a, b, num: int, den: int):
-    """Shingles in which linked sets of sizes ``a`` and ``b`` differ at most."""
-    return a + b - 2 * -((-num * (a + b)) // (num + den))
-
-
-def _bytes(column) -> list[np.ndarray]:
-    return [np.frombuffer(x, np.uint8) for x in column.to_pylist()]
-
-
 def _short(column) -> np.ndarray:
     """Short signatures (the last 16 bits of every posting) of a binary column."""
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, M)
@@ -208,70 +185,12 @@ def _counted(match: int, num: int, den: int):
     return run
 
 
-def across(block: np.ndarray, node: np.ndarray, comp: np.ndarray, n: np.ndarray, short: np.ndarray,
-           sketch: list[np.ndarray], match: int, num: int, den: int, forest: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one part of a list that may link: of two blocks those between
-    them, of one those inside; in different components.  ``forest``: no more
-    than join the components that such pairs could join."""
-    order = np.argsort(n, kind="stable")
-    block, node, n, short = block[order], node[order], n[order], short[order]
-    label = np.unique(comp[order], return_inverse=True)[1]
-    two = block.min() != block.max()
-    upto = np.searchsorted(n * num, n * den, "right")  # larger ones are skipped
-    sizes = np.array([len(sketch[i]) for i in order])
-    stacked = {size: np.stack([folded(sketch[i], size) if len(sketch[i]) >= size else np.zeros(size, np.uint8) for i in order])
-               for size in np.unique(sizes)}
-    us, vs = [], []
-    for i in range(len(n) - 1):
-        j = np.arange(i + 1, upto[i])
-        j = j[(label[j] != label[i]) & (node[j] != node[i])]
-        if two:
-            j = j[block[j] != block[i]]
-        if len(j):
-            j = j[collisions(short[j], short[i]) >= match]
-        if len(j):  # larger sets have sketches as long, or longer
-            at = stacked[sizes[i]]
-            j = j[apart(at[j], at[i]) <= may_differ(n[i], n[j], num, den)]
-        if len(j):
-            if forest:
-                j = j[np.unique(label[j], return_index=True)[1]]
-                label[np.isin(label, label[j])] = label[i]
-            us.append(np.minimum(node[i], node[j]))
-            vs.append(np.maximum(node[i], node[j]))
-    return (np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64),) * 2
-
-
-def _across(match: int, num: int, den: int, forest: bool):
-    """Sorted rows (t, a, z, block, node, comp, n, short, sketch): a part (t, a, z) at a time."""
-    def run(batches):
-        held: pa.Table | None = None
-
-        def parts(table, last):
-            keys = [np.asarray(table.column(c)) for c in range(3)]
-            new = np.ones(table.num_rows, bool)
-            new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-            at = np.append(np.flatnonzero(new), table.num_rows)
-            ends = len(at) - 1 if last else len(at) - 2
-            cols = [np.asarray(table.column(c)) for c in range(3, 7)]
-            short = _short(table.column(7).slice(0, at[ends])) if ends > 0 else None
-            sketch = _bytes(table.column(8).slice(0, at[ends])) if ends > 0 else None
-            us, vs = [], []
-            for a, z in zip(at[:ends], at[1:ends + 1]):
-                if z - a > 1:
-                    u, v = across(*(c[a:z] for c in cols), short[a:z], sketch[a:z], match, num, den, forest)
-                    us.append(u)
-                    vs.append(v)
-            u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"]), table.slice(at[max(ends, 0)])
-        for b in batches:
-            if b.num_rows:
-                t = pa.Table.from_batches([b])
-                held = (pa.concat_tables([held, t]) if held is not None else t).combine_chunks()
-                out, held = parts(held, False)
-                yield out
-        if held is not None and held.num_rows:
-            yield parts(held.combine_chunks(), True)[0]
-    return run
+def _agreeing(match: int):
+    """A further test of pairs in a part: coordinates that agree."""
+    def part(column):
+        short = _short(column)
+        return lambda order, j, i: collisions(short[order[j]], short[order[i]]) >= match
+    return part
 
 
 def prefixes(sets: DataFrame, m: int = M, match: int = MATCH) -> DataFrame:
@@ -329,8 +248,8 @@ def links(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text: str =
     def named(groups: DataFrame, comp: DataFrame) -> DataFrame:
         """Members of the lists that still span components."""
         g = groups.select("t", "node").join(comp, "node", "left").select("t", "node", F.coalesce("comp", "node").alias("comp"))
-        still = (g.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"))
-                 .where(F.col("lo") != F.col("hi")).select("t", F.ceil(F.col("c") / block).cast("int").alias("blocks")))
+        still = (g.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("all"))
+                 .where(F.col("lo") != F.col("hi")).select("t", "all"))
         return scratch.written(g.join(still, "t"), "open")
 
     # every member against the least node of its lists
@@ -339,30 +258,19 @@ def links(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text: str =
     comp = components(found)
     free_shuffles(spark)
 
-    # members outside the least node's component against the least of themselves
-    left = named(lists, comp)
-    least = F.min(F.struct("node", "comp")).alias("r")
-    outside = left.join(left.groupBy("t").agg(least), "t").where(F.col("comp") != F.col("r.comp")).drop("r")
-    second = (outside.join(outside.groupBy("t").agg(least), "t").where(F.col("comp") != F.col("r.comp"))
-              .select(F.col("r.node").alias("u"), F.col("node").alias("v")))
-    second = counted(second)
-    tested, found = tested.unionByName(second), found.unionByName(confirmed(second))
-    comp = components(found)
-    free_shuffles(spark)
-
     # what still spans components, in blocks
+    left = lists
     for forest in (True, False):
         left = named(left, comp)
-        mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        parts = (left.join(signed, "node").withColumn("block", mine)
-                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                 .select("t", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("z"),
-                         "block", "node", "comp", "n", "short", "sketch"))
-        parts = parts.repartition("t", "a", "z").sortWithinPartitions("t", "a", "z")
-        pairs = parts.mapInArrow(_across(match, num, den, forest), "u long, v long").distinct()
+        if left.isEmpty():
+            break
+        parts = blocks.dealt(left.join(signed, "node"), "all", block)
+        pairs = parts.mapInArrow(blocks.pairs_of(num, den, forest, _agreeing(match)), "u long, v long").distinct()
         pairs = scratch.written(pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
-        tested, found = tested.unionByName(pairs), found.unionByName(confirmed(pairs))
-        comp = components(found)
+        if not pairs.isEmpty():
+            new = confirmed(pairs)
+            tested, found = tested.unionByName(pairs), found.unionByName(new)
+            comp = extended(comp, new)
         free_shuffles(spark)
     return sets.select("doc_id", "th", "node", "n"), found, comp
 

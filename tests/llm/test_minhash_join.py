@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from starloom.llm import blocks
 from starloom.llm import minhash_join as MJ
 from starloom.llm.common import Scratch, table
 
@@ -139,21 +140,28 @@ def test_parts_of_a_list():
     differ = lambda i, j: len(np.setxor1d(sets[i], sets[j]))
     pairs = [(i, j) for i in range(n) for j in range(i) if comp[i] != comp[j]
              and min(size[i], size[j]) * 100 >= max(size[i], size[j]) * 85 and (short[i] == short[j]).sum() >= 55]
-    may = {(int(node[j]), int(node[i])) for i, j in pairs if MJ.apart(sketch[i], sketch[j]) <= MJ.may_differ(size[i], size[j], 85, 100)}
-    link = {(int(node[j]), int(node[i])) for i, j in pairs if differ(i, j) <= MJ.may_differ(size[i], size[j], 85, 100)}
+    may = {(int(node[j]), int(node[i])) for i, j in pairs if blocks.apart(sketch[i], sketch[j]) <= blocks.may_differ(size[i], size[j], 85, 100)}
+    link = {(int(node[j]), int(node[i])) for i, j in pairs if differ(i, j) <= blocks.may_differ(size[i], size[j], 85, 100)}
     assert link <= may and len(may) < len(pairs)
-    args = lambda rows, block: (block[rows], *(c[rows] for c in (node, comp, size, short)), [sketch[i] for i in np.flatnonzero(rows)], 55, 85, 100)
+
+    def args(rows, block):
+        at = np.flatnonzero(rows)
+        agree = lambda order, j, i: MJ.collisions(short[at[order[j]]], short[at[order[i]]]) >= 55
+        return (block[rows], *(c[rows] for c in (node, comp, size)), [sketch[i] for i in at], 85, 100), {"agree": agree}
     one, every = np.zeros(n, int), np.ones(n, bool)
-    u, v = MJ.across(*args(every, one))
+    (x, more) = args(every, one)
+    u, v = blocks.across(*x, **more)
     assert set(zip(u.tolist(), v.tolist())) == may and len(u) == len(may)
     block, got_ = rng.integers(0, 3, n), []
     for a in range(3):
         for z in range(a, 3):
-            x = MJ.across(*args((block == a) | (block == z), block))
+            x, more = args((block == a) | (block == z), block)
+            x = blocks.across(*x, **more)
             got_ += list(zip(x[0].tolist(), x[1].tolist()))
     assert set(got_) == may and len(got_) == len(may)
     # a forest: pairs of the same set that join as much, one less than what they join
-    fu, fv = MJ.across(*args(every, one), forest=True)
+    x, more = args(every, one)
+    fu, fv = blocks.across(*x, **more, forest=True)
     assert set(zip(fu.tolist(), fv.tolist())) <= may
     of = dict(zip(node.tolist(), comp.tolist()))
 
@@ -177,10 +185,10 @@ def test_sketches_differ_no_more_than_sets():
         pool = rng.integers(1, 2 ** 63, 600, dtype=np.uint64)
         a, b = (np.unique(rng.choice(pool, int(rng.integers(1, 500)))) for _ in range(2))
         x, y = MJ.sketches(np.array([len(a), len(b)]), np.concatenate([a, b]))
-        assert MJ.apart(x, y) <= len(np.setxor1d(a, b))
+        assert blocks.apart(x, y) <= len(np.setxor1d(a, b))
         m, n = len(a), len(b)
         both = next(c for c in range(m + n + 1) if 100 * c >= 85 * (m + n - c))  # the least overlap that links
-        assert MJ.may_differ(m, n, 85, 100) == m + n - 2 * both
+        assert blocks.may_differ(m, n, 85, 100) == m + n - 2 * both
 
 
 def test_null_ids_fetch_one_text_a_node(spark):
