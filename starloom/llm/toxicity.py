@@ -9,14 +9,16 @@ are never inputs of a score.
 
 Fitted in one task from a bounded sample, so that the driver holds the model
 only: the ``MAX_POS`` and ``MAX_NEG``
-labelled rows that come first by a hash of their id.  Their words may be
+labelled ids that come first by a hash.  They are chosen on ids alone, and their
+texts fetched by a join with those few keys.  Their words may be
 ``MAX_WORDS`` in all: each label has half of that, and what one leaves the
 other may take; a text that does not fit is passed over and the next one tried.
 Every text is scored whole.
 
 Defined results: null, empty or wordless texts score as a text without any
 filter active; repeated rows score alike; labels that are null, or whose row is
-missing, are not learned from; with no labels of one kind, or no words in their
+missing, are not learned from, nor are ids whose labels conflict; labels that
+repeat count once; of rows that repeat an id one is learned from; with no labels of one kind, or no words in their
 texts, the score is the share of toxic labels (0 if there are none); where all
 texts of one label are too long the fit fails; no rows, no result.
 """
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm import textscan as TS
-from starloom.llm.common import q
+from starloom.llm.common import written
 
 MAX_POS, MAX_NEG, MAX_WORDS = 1500, 2500, 1_500_000
 BUCKETS, DIM, FILTERS = 1 << 16, 8, 8
@@ -74,7 +76,7 @@ def _pooled(p, counts, w, h):
         for j in range(width):
             z[:len(e) - j] += e[j:] @ p[f"f{width}"][j] if j < len(e) else 0
         for j in range(1, width):  # runs that would leave their text do not count
-            at = (first + counts[has] - j)[counts[has] > j]
+            at = (first + counts[has] - j)[counts[has] >= j]
             z[at] = -1.0
         v = np.zeros((len(counts), FILTERS), np.float32)
         if len(first):
@@ -165,19 +167,33 @@ def _platt(s: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return (a, b) if a > 0 else (1.0, 0.0)
 
 
-def fit(labelled: DataFrame) -> dict:
-    """Model from (doc_id, text, lang, toxic), fitted in one task."""
-    order = F.xxhash64(F.col("doc_id").cast("string"))
-    known = labelled.where(F.col("toxic").isin(0, 1)).withColumn("__sl_o", order)
-    pick = known.where("toxic = 1").orderBy("__sl_o").limit(MAX_POS).unionByName(
-        known.where("toxic = 0").orderBy("__sl_o").limit(MAX_NEG))
+def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic, __sl_o) of the rows to learn from: of each label the
+    first by a hash of the id, among ids that ``docs`` has.  Only ids are
+    shuffled; the result has ``MAX_POS + MAX_NEG`` rows at most."""
+    known = (labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id")
+             .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("__sl_hi"))
+             .where((F.col("toxic") == F.col("__sl_hi")) & F.col("doc_id").isNotNull()).drop("__sl_hi"))
+    there = known.join(docs.select("doc_id"), "doc_id", "left_semi").withColumn("__sl_o", F.xxhash64(F.col("doc_id").cast("string")))
+    return there.where("toxic = 1").orderBy("__sl_o", "doc_id").limit(MAX_POS).unionByName(
+        there.where("toxic = 0").orderBy("__sl_o", "doc_id").limit(MAX_NEG))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> dict:
+    """Model from (doc_id, text, lang) and (doc_id, toxic), fitted in one task,
+    which reads the sample's texts and no others."""
+    pick = written(sample(docs, labels), "sample")
+    # at most MAX_POS + MAX_NEG keys; of rows that repeat an id, one text, chosen by its hash
+    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(pick), "doc_id")
+    one = rows.groupBy("doc_id", "toxic", "__sl_o").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "lang")).alias("r"))
+    rows = one.select("toxic", "r.lang", "r.text", "__sl_o", "doc_id").orderBy("__sl_o", "doc_id")
 
     def run(batches):
         got = [b for b in batches if b.num_rows]
         if got:
             model = pickle.dumps(_fitted(pa.Table.from_batches(got)))
             yield pa.RecordBatch.from_arrays([pa.array([model], pa.binary())], ["model"])
-    made = pick.select("toxic", "lang", "text", "__sl_o").coalesce(1).mapInArrow(run, "model binary").collect()
+    made = rows.coalesce(1).mapInArrow(run, "model binary").collect()
     return pickle.loads(made[0]["model"]) if made else {"share": 0.0}
 
 
@@ -271,8 +287,7 @@ def held_out(col):
 
 
 def trained(docs: DataFrame, labels: DataFrame) -> dict:
-    lab = labels.select("doc_id", "toxic").where(~held_out(F.col("doc_id")))
-    return fit(docs.select("doc_id", "text", "lang").join(lab, "doc_id"))
+    return fit(docs, labels.select("doc_id", "toxic").where(~held_out(F.col("doc_id"))))
 
 
 def threshold(model: dict, lang):
