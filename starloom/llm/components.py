@@ -1,7 +1,8 @@
 """Connected components of a link table by alternating large-star and
 small-star steps.  Links and labels stay distributed; each step is an
 aggregate (combined map-side, so a hub costs one row a task) and a join that
-adaptive execution may split, and is written to the shared folder."""
+adaptive execution may split, and is written to the shared folder.  A link table
+is worked on by as many tasks as its size needs, few for a small one."""
 
 from __future__ import annotations
 
@@ -11,21 +12,25 @@ from pyspark.sql import functions as F
 from starloom.llm.common import written
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+#: Links a task is dealt at least, and the fewest tasks.
+LINKS, TASKS = 200_000, 8
+
+
+def _star(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
     """Links every neighbour of a node above it (large) or not above it (small)
     to the least node among the neighbours and itself."""
     if large:
         near = edges.select(F.col("u"), F.col("v")).unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:  # links point from the greater to the lesser end
         near = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = near.join(least, "u")
+    least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(tasks)
+    joined = near.join(least, "u").coalesce(tasks)
     if large:
         out = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v")))
-    return out.where(F.col("u") != F.col("v")).distinct()
+    return out.where(F.col("u") != F.col("v")).distinct().coalesce(tasks)
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -33,9 +38,9 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     Only nodes with a link appear."""
     edges = written(links.where(F.col("u") != F.col("v")).select("u", "v").distinct(), "links")
     mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    last = None
+    last, tasks = None, max(TASKS, -(-edges.count() // LINKS))
     for _ in range(max_rounds):
-        edges = written(_star(_star(edges, True), False), "links")
+        edges = written(_star(_star(edges, True, tasks), False, tasks), "links")
         now = mark(edges)
         if now == last:
             break

@@ -27,8 +27,11 @@ away from the square of a group's size:
 3. what remains are groups whose members are in different components.  Among
    groups where that would cost more than ``HOT`` pairs, every node leaves its
    largest ones, as long as its left and empty partitions stay below ``m``: the
-   rarest partition that two linked sets share is then kept by both.  Pairs
-   across components in what is left are tested, all of them.
+   rarest partition that two linked sets share is then kept by both.  What is
+   left is dealt into blocks, whose members are held against those of other
+   components by sizes and sketches in memory: first one pair is sent on for
+   every two components that some pair could join, and once those are decided
+   all pairs left that may link.
 
 A pair is tested by its sizes, then by parity sketches (one bit per hash value
 modulo a power of two, whether an odd number of elements has it): sketches
@@ -55,14 +58,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from starloom.llm import blocks
 from starloom.llm import textscan as TS
 from starloom.llm.common import WORD, free_shuffles, q, written
-from starloom.llm.components import components
+from starloom.llm.components import components, extended
 
 K = 5
 NUM, DEN = 80, 100
 #: Pairs a signature group may cost before nodes that can spare it drop it.
 HOT = 2048
+#: Bytes of the sketches that travel with the members of open groups.
+SKETCH = 128
 _LEVELS = 3
 _U = np.uint64
 _BANDS: dict = {}
@@ -226,13 +232,13 @@ def _nodes(k: int, num: int, den: int):
             for lo, hi, per, s in _sets(b.column(1), k):
                 _, _, band, s0, s1 = signatures(per, s, num, den)
                 sk = sketches(per, s)
-                p = np.stack([folded(x, 16) for x in sk]).view(np.int64)
+                small = [folded(x, SKETCH).tobytes() for x in sk]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), _long(node_keys(per, s)), _long(per.astype(np.int64)),
                      pa.array(band.astype(np.int32)), pa.array(s0.astype(np.int32)), pa.array(s1.astype(np.int32)),
-                     pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array([x.tobytes() for x in sk], pa.binary()),
+                     pa.array(small, pa.binary()), pa.array([x.tobytes() for x in sk], pa.binary()),
                      *[b.column(c).slice(lo, hi - lo) for c in range(2, 2 + len(more))]],
-                    ["doc_id", "node", "n", "band", "s0", "s1", "p0", "p1", "sketch", *more])
+                    ["doc_id", "node", "n", "band", "s0", "s1", "small", "sketch", *more])
     return run
 
 
@@ -264,11 +270,12 @@ def _verified(pairs: DataFrame, rows: DataFrame, src: DataFrame, k: int, num: in
     met = pairs.join(of("v", 1), "v").join(of("u", 0), "u").select("u", "v", "n0", "s0", "n1", "s1")
     near = written(met.mapInArrow(_near(num, den), "u long, v long"), "near")
 
-    # the sets themselves, from one row of documents each
-    pick = (rows.select("node", "doc_id").join(ends(near), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("d"))
-            .withColumnRenamed("node", "__sl_node"))
-    text_of = src.join(pick, src["doc_id"].eqNullSafe(pick["d"])).select(F.col("__sl_node").alias("node"), "text")
-    # a doc_id may repeat with other texts: only the text that makes the node counts; equal rows repeat a set, and so a link
+    # the sets themselves, from one row of documents each, found by id and text hash: ids may be null or repeat
+    pick = (rows.select("node", "doc_id", "th").join(ends(near), "node", "left_semi").groupBy("node").agg(F.min(F.struct("doc_id", "th")).alias("r"))
+            .select("node", F.xxhash64("r.doc_id").alias("__sl_id"), F.col("r.th").alias("__sl_th")))
+    keyed = src.select("text", F.xxhash64("doc_id").alias("__sl_id"), F.xxhash64("text").alias("__sl_th"))
+    text_of = keyed.join(pick, ["__sl_id", "__sl_th"]).select("node", "text")
+    # equal rows repeat a set, and so a link
     sets = written(text_of.mapInArrow(_keyed_sets(k), "node long, items array<long>"), "items")
     a = sets.select(F.col("node").alias("u"), F.col("items").alias("a"))
     b = sets.select(F.col("node").alias("v"), F.col("items").alias("b"))
@@ -281,14 +288,14 @@ def _verified(pairs: DataFrame, rows: DataFrame, src: DataFrame, k: int, num: in
     return links
 
 
-def _grouped(docs: DataFrame, id_col: str, text: str, k: int, num: int, den: int, hot: int, hashed: bool) -> tuple[DataFrame, DataFrame]:
+def _grouped(docs: DataFrame, id_col: str, text: str, k: int, num: int, den: int, hot: int) -> tuple[DataFrame, DataFrame]:
     """A row per row of ``docs`` (doc_id, node, n, ..., and ``th``, the text's
-    hash, where ``hashed``), and the component of every node that has a link."""
+    hash), and the component of every node that has a link."""
     spark = docs.sparkSession
     doc_type = docs.schema[id_col].dataType.simpleString()
     src = docs.select(q(id_col).alias("doc_id"), q(text).cast("string").alias("text"))
-    made = f"doc_id {doc_type}, node long, n long, band int, s0 int, s1 int, p0 long, p1 long, sketch binary" + (", th long" if hashed else "")
-    rows = written((src.withColumn("th", F.xxhash64("text")) if hashed else src).mapInArrow(_nodes(k, num, den), made), "sets")
+    made = f"doc_id {doc_type}, node long, n long, band int, s0 int, s1 int, small binary, sketch binary, th long"
+    rows = written(src.withColumn("th", F.xxhash64("text")).mapInArrow(_nodes(k, num, den), made), "sets")
 
     # signature groups with more than one node
     signed = src.select("text").mapInArrow(_signed(k, num, den), "sig long, node long")
@@ -317,22 +324,28 @@ def _grouped(docs: DataFrame, id_col: str, text: str, k: int, num: int, den: int
     second = (outside.join(rep2, "sig").where(F.col("comp") != F.col("r.comp"))
               .select(F.col("r.node").alias("u"), F.col("node").alias("v")).distinct())
     second = written(second, "pairs")
-    links = links.unionByName(_verified(second, rows, src, k, num, den))
-    comp = components(links)
-    tested = first.unionByName(second)
-
-    left = written(labelled(left).select("sig", "node", "comp"), "open")
-    third = _across(left, rows, hot, num, den).join(tested, ["u", "v"], "left_anti")
-    third = written(third, "pairs")
-    links = links.unionByName(_verified(third, rows, src, k, num, den))
-    return rows, written(components(links), "components")
+    tested = first
+    if not second.isEmpty():
+        comp = extended(comp, _verified(second, rows, src, k, num, den))
+        tested = first.unionByName(second)
+
+    # pairs across components: first one for every two components that some pair could join, then the rest
+    for forest in (True, False):
+        left = written(labelled(left).select("sig", "node", "comp"), "open")
+        if left.isEmpty():
+            break
+        third = written(_across(left, rows, hot, num, den, forest).join(tested, ["u", "v"], "left_anti"), "pairs")
+        if not third.isEmpty():
+            comp = extended(comp, _verified(third, rows, src, k, num, den))
+            tested = tested.unionByName(third)
+    return rows, comp
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = K,
                     num: int = NUM, den: int = DEN, hot: int = HOT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, and the
     key ``node`` that equal sets share (0: empty set)."""
-    rows, comp = _grouped(docs, id_col, text, k, num, den, hot, False)
+    rows, comp = _grouped(docs, id_col, text, k, num, den, hot)
 
     # labels: least doc_id of each component
     named = rows.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -363,34 +376,30 @@ def _keyed_sets(k: int):
     return run
 
 
-def _across(left: DataFrame, rows: DataFrame, hot: int, num: int, den: int) -> DataFrame:
+def _across(left: DataFrame, rows: DataFrame, hot: int, num: int, den: int, forest: bool) -> DataFrame:
     """Pairs (u < v) of nodes of different components in one group, whose sizes
-    and short sketches allow a link.
+    and sketches allow a link (see ``llm.blocks``).
 
-    In a group, members outside its largest component meet all members.  Where
-    that is more than ``hot`` pairs, nodes leave their largest groups first, as
-    many as they can spare.
+    Where a group costs more than ``hot`` pairs, nodes leave their largest
+    groups first, as many as they can spare.
     """
     per = left.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("c"))
-    size = (per.groupBy("sig").agg(F.max(F.struct("c", "comp")).alias("big"), F.sum("c").alias("all"))
-            .withColumn("cost", (F.col("all") - F.col("big.c")) * F.col("all"))
-            .select("sig", "all", F.col("big.comp").alias("major"), (F.col("cost") > hot).alias("hot")))
-    may = rows.where(F.col("node") != 0).select("node", "n", "band", "s0", "s1", "p0", "p1").dropDuplicates(["node"])
+    size = (per.groupBy("sig").agg(F.max("c").alias("big"), F.sum("c").alias("all"))
+            .select("sig", "all", ((F.col("all") - F.col("big")) * F.col("all") > hot).alias("hot")))
+    may = rows.where(F.col("node") != 0).select("node", "n", "band", "s0", "s1").dropDuplicates(["node"])
     odd = F.col("sig").bitwiseAND(F.lit(1)).cast("int")
     g = (left.join(size, "sig").join(may, "node").withColumn("odd", odd)
          .withColumn("spare", F.when(F.pmod(F.col("band"), F.lit(2)) == F.col("odd"), F.col("s0")).otherwise(F.col("s1"))))
     # a node's signatures only, never a group's members
     nth = F.row_number().over(W.partitionBy("node", "odd").orderBy(F.col("hot").desc(), F.col("all").desc(), "sig"))
     g = written(g.withColumn("nth", nth).where(~F.col("hot") | (F.col("nth") > F.col("spare")))
-                .select("sig", "node", "comp", "major", "n", "p0", "p1"), "open")
-    x, y = (g.select("sig", *[F.col(c).alias(t + c) for c in ("node", "comp", "major", "n", "p0", "p1")]) for t in "xy")
-    x = x.where(F.col("xcomp") != F.col("xmajor"))
-    apart = sum(F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in ("p0", "p1"))
-    total = F.col("xn") + F.col("yn")
-    allowed = total - 2 * F.ceil(total * F.lit(num) / F.lit(num + den) - 1e-9)
-    return (x.join(y.drop("ymajor"), "sig")
-            .where((F.col("xcomp") != F.col("ycomp")) & (F.least("xn", "yn") * den >= F.greatest("xn", "yn") * num) & (apart <= allowed))
-            .select(F.least("xnode", "ynode").alias("u"), F.greatest("xnode", "ynode").alias("v")).distinct())
+                .select(F.col("sig").alias("t"), "node", "comp", "n"), "open")
+    # what is left of the groups, where that is of two components still
+    kept = (g.groupBy("t").agg(F.count(F.lit(1)).alias("all"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+            .where(F.col("lo") != F.col("hi")).select("t", "all"))
+    sketch = rows.where(F.col("node") != 0).select("node", F.col("small").alias("sketch")).dropDuplicates(["node"])
+    members = blocks.dealt(g.join(kept, "t").join(sketch, "node"), "all")
+    return members.mapInArrow(blocks.pairs_of(num, den, forest), "u long, v long").distinct()
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k: int = K,
@@ -398,7 +407,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", k:
     """``docs`` with one row of each component: the first by doc_id (null
     last), then by the text's hash; of rows equal in both, any one.  Rows of
     the empty set are components of their own and all stay."""
-    rows, comp = _grouped(docs, id_col, text, k, num, den, hot, True)
+    rows, comp = _grouped(docs, id_col, text, k, num, den, hot)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th"))
     nodes = rows.where(F.col("node") != 0).groupBy("node").agg(first.alias("r"))
     keep = (nodes.join(comp, "node", "left").groupBy(F.coalesce("comp", "node")).agg(F.min("r").alias("r"))
