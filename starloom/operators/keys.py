@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.lookups import known_top, remember_rows, remember_top
+from starloom.operators.lookups import known_top, remember_bytes, remember_rows, remember_top
 from starloom.session import ensure_checkpoint_dir
 
 _PID, _SEQ, _N = "__sl_pid", "__sl_seq", "__sl_n"
@@ -80,7 +80,10 @@ def dense_key(df: DataFrame, order_cols, key_name: str, num_buckets: int | None
     # Row count per slice: one small number per slice (at most the shuffle
     # partition count), read once on the driver and folded into the key
     # expression as a literal offset table.
-    sizes = dict(tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N)).collect())
+    texts = [c for c in order_cols if df.schema[c].dataType.typeName() == "string"]
+    width = sum([F.coalesce(F.octet_length(c), F.lit(0)) for c in texts], F.lit(0))
+    slices = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N), F.sum(width).alias("bytes")).collect()
+    sizes = {r[_PID]: r[_N] for r in slices}
     offsets, running = [], 0
     for pid in range(max(sizes, default=0) + 1):
         offsets.append(running)
@@ -89,7 +92,8 @@ def dense_key(df: DataFrame, order_cols, key_name: str, num_buckets: int | None
                           F.col(_PID) + F.lit(1))
     local_index = F.col(_SEQ) - F.shiftleft(F.col(_PID).cast("long"), 33)
     numbered = tagged.withColumn(key_name, (offset + local_index + F.lit(first)).cast("long"))
-    return remember_top(remember_rows(numbered.drop(_PID, _SEQ), running), first + running - 1)
+    out = remember_bytes(numbered.drop(_PID, _SEQ), sum(r["bytes"] or 0 for r in slices))
+    return remember_top(remember_rows(out, running), first + running - 1)
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:

@@ -51,24 +51,51 @@ def known_top(df: DataFrame) -> int | None:
     return getattr(df, _TOP_ATTR, None)
 
 
+_BYTES_ATTR = "_starloom_bytes"
+#: Bytes of text that a broadcast side may hold beside its fixed-width columns.
+MAX_TEXT_BYTES = 256 << 20
+
+
+def remember_bytes(df: DataFrame, n: int | None) -> DataFrame:
+    """Attach the bytes of text in the key columns of ``df``, known from an earlier job."""
+    if n is not None:
+        setattr(df, _BYTES_ATTR, int(n))
+    return df
+
+
+def known_bytes(df: DataFrame) -> int | None:
+    return getattr(df, _BYTES_ATTR, None)
+
+
+def _text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary", "array", "map", "struct")]
+
+
 def broadcast_bounded(df: DataFrame, max_rows: int = 100_000,
-                      rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+                      rows: int | None = None, text_bytes: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows, and its
+    text at most ``MAX_TEXT_BYTES``.
 
-    ``rows`` (or a count remembered on ``df``) is used when known; otherwise
-    the count reads at most ``max_rows + 1`` rows, so the check itself is
-    bounded.  Above the bound the frame is returned unhinted.
+    ``rows`` and ``text_bytes`` (or what is remembered on ``df``) are used when
+    known; otherwise one job reads at most ``max_rows + 1`` rows, so the check
+    itself is bounded.  Above a bound the frame is returned unhinted.
     """
-    return F.broadcast(df) if fits_broadcast(df, max_rows, rows) else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows, rows, text_bytes) else df
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = 100_000, rows: int | None = None) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads at most
-    ``max_rows + 1`` rows when no count is known."""
+def fits_broadcast(df: DataFrame, max_rows: int = 100_000, rows: int | None = None,
+                   text_bytes: int | None = None) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``MAX_TEXT_BYTES`` of
+    text; reads at most ``max_rows + 1`` rows where either is not known."""
     n = rows if rows is not None else known_rows(df)
-    if n is None:
-        n = df.limit(max_rows + 1).count()
-    return n <= max_rows
+    size = text_bytes if text_bytes is not None else known_bytes(df)
+    wide = _text_columns(df)
+    if n is not None and n > max_rows:
+        return False
+    if n is None or (wide and size is None):
+        text = F.sum(sum([F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in wide], F.lit(0)).cast("long"))
+        n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(text, F.lit(0))).first()
+    return n <= max_rows and (not wide or size <= MAX_TEXT_BYTES)
 
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
@@ -90,7 +117,7 @@ def lookup_key(fact: DataFrame, dim: DataFrame, natural_key, key_name: str,
     keys = _names(natural_key)
     right = dim.select(*[F.col(k).alias("__sl_r_" + k) for k in keys], F.col(key_name))
     if broadcast_max_rows and how in ("left", "inner", "left_semi", "left_anti"):
-        right = broadcast_bounded(right, broadcast_max_rows, rows=known_rows(dim))
+        right = broadcast_bounded(right, broadcast_max_rows, rows=known_rows(dim), text_bytes=known_bytes(dim))
     cond = None
     for k in keys:
         c = (F.col(k).eqNullSafe(F.col("__sl_r_" + k)) if null_safe

@@ -11,7 +11,8 @@ from starloom.functions.dates import calendar_columns, date_id
 from starloom.functions.text import title_case, upper_case
 from starloom.operators.casts import narrow_key
 from starloom.operators.keys import dense_key, keep_existing_keys, keep_first
-from starloom.operators.lookups import broadcast_bounded, known_rows, known_top, remember_rows, remember_top
+from starloom.operators.lookups import (broadcast_bounded, known_bytes, known_rows, known_top, remember_bytes,
+                                       remember_rows, remember_top)
 from starloom.operators.members import INFERRED, with_inferred, with_unknown
 from starloom.operators.registry import RETIRED, registered_keys
 
@@ -76,7 +77,7 @@ def assign_keys(members: DataFrame, natural_key: str, key_name: str, num_buckets
 
 def _same_rows(src: DataFrame, out: DataFrame) -> DataFrame:
     """``out`` is a projection of ``src``: same rows, same remembered count and keys."""
-    return remember_top(remember_rows(out, known_rows(src)), known_top(src))
+    return remember_bytes(remember_top(remember_rows(out, known_rows(src)), known_top(src)), known_bytes(src))
 
 
 def _members(first: DataFrame, natural_key: str, used) -> DataFrame:
@@ -140,7 +141,8 @@ def build_dim_products(products: DataFrame, translation: DataFrame | None = None
                         "product_category_name")
         # a known row count of the input bounds the deduplicated side
         enriched = products.join(broadcast_bounded(tr, translation_max_rows,
-                                                   rows=known_rows(translation)),
+                                                   rows=known_rows(translation),
+                                                   text_bytes=known_bytes(translation)),
                                  "product_category_name", "left")
     else:
         enriched = products.withColumn("product_category_name_english", F.lit(None).cast("string"))

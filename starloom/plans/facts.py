@@ -37,15 +37,18 @@ def _date_keys(df: DataFrame, mapping: dict[str, str], dim_date: DataFrame | Non
     return exact_date_keys(df, mapping, dim_date)
 
 
-def build_fact_orders(orders: DataFrame, dim_customers: DataFrame, null_safe: bool = False,
+def build_fact_orders(orders: DataFrame, dim_customers: DataFrame | None, null_safe: bool = False,
                       date_lookup: str = "computed", dim_date: DataFrame | None = None,
                       unknown_key: int | None = None) -> DataFrame:
     """Orders with customer_sk (null, or ``unknown_key``, when absent), five
     date keys, floored delivery and delay days and a delivery class.  Every
-    other order column passes through."""
+    other order column passes through.  Without ``dim_customers`` the fact has
+    no customer_sk, and no join."""
     raw = [c for c in orders.columns if c != "customer_id"]
-    f = lookup_key(orders, dim_customers, "customer_id", "customer_sk", null_safe=null_safe, unknown=unknown_key)
-    f = f.withColumn("customer_sk", _typed("customer_sk", dim_customers))
+    f = orders
+    if dim_customers is not None:
+        f = lookup_key(f, dim_customers, "customer_id", "customer_sk", null_safe=null_safe, unknown=unknown_key)
+        f = f.withColumn("customer_sk", _typed("customer_sk", dim_customers))
     f = _date_keys(f, ORDER_DATE_KEYS, dim_date, date_lookup)
     delivered = F.col("order_delivered_customer_date")
     f = f.withColumns({
@@ -53,7 +56,7 @@ def build_fact_orders(orders: DataFrame, dim_customers: DataFrame, null_safe: bo
         "delay_days": floor_days(delivered, "order_estimated_delivery_date"),
     })
     f = f.withColumn("delivery_performance", delivery_performance(delivered, F.col("delay_days")))
-    return f.select(*raw, "customer_sk", *ORDER_DATE_KEYS, "delivery_days", "delay_days",
+    return f.select(*raw, *(["customer_sk"] if dim_customers is not None else []), *ORDER_DATE_KEYS, "delivery_days", "delay_days",
                     "delivery_performance")
 
 
@@ -62,28 +65,30 @@ def _typed(key: str, dim: DataFrame) -> Column:
     return F.col(key).cast(dim.schema[key].dataType).alias(key)
 
 
-def build_fact_order_items(items: DataFrame, dim_products: DataFrame, dim_seller: DataFrame,
+def build_fact_order_items(items: DataFrame, dim_products: DataFrame | None, dim_seller: DataFrame | None,
                            unknown_key: int = 0, null_safe: bool = False,
                            date_lookup: str = "computed",
                            dim_date: DataFrame | None = None) -> DataFrame:
     """Items with product_sk / seller_sk (``unknown_key`` when absent),
-    shipping date key, and item_total = price + freight_value."""
+    shipping date key, and item_total = price + freight_value.  A dimension
+    that is not given is not looked up, and its key is no column."""
     f = _date_keys(items, {"shipping_limit_date_id": "shipping_limit_date"}, dim_date, date_lookup)
-    f = lookup_key(f, dim_products, "product_id", "product_sk", unknown=unknown_key,
-                   null_safe=null_safe)
-    f = lookup_key(f, dim_seller, "seller_id", "seller_sk", unknown=unknown_key,
-                   null_safe=null_safe)
+    looked_up = [(d, nk, sk) for d, nk, sk in ((dim_products, "product_id", "product_sk"), (dim_seller, "seller_id", "seller_sk"))
+                 if d is not None]
+    for dim, nk, sk in looked_up:
+        f = lookup_key(f, dim, nk, sk, unknown=unknown_key, null_safe=null_safe)
     f = f.withColumn("item_total", F.col("price") + F.col("freight_value"))
-    return f.select("order_id", "order_item_id", _typed("product_sk", dim_products),
-                    _typed("seller_sk", dim_seller), "shipping_limit_date_id",
+    return f.select("order_id", "order_item_id", *[_typed(sk, dim) for dim, _, sk in looked_up], "shipping_limit_date_id",
                     "price", "freight_value", "item_total")
 
 
-def build_fact_payments(payments: DataFrame, dim_payments: DataFrame,
+def build_fact_payments(payments: DataFrame, dim_payments: DataFrame | None,
                         null_safe: bool = False) -> DataFrame:
-    """Payments with payment_sk and the installment flag."""
-    f = lookup_key(payments, dim_payments, "payment_type", "payment_sk", null_safe=null_safe)
-    return f.select("order_id", "payment_sk", "payment_installments", "payment_value",
+    """Payments with payment_sk (if ``dim_payments`` is given) and the installment flag."""
+    f, key = payments, []
+    if dim_payments is not None:
+        f, key = lookup_key(f, dim_payments, "payment_type", "payment_sk", null_safe=null_safe), ["payment_sk"]
+    return f.select("order_id", *key, "payment_installments", "payment_value",
                     (F.col("payment_installments") > 1).alias("is_installment"))
 
 

@@ -120,12 +120,11 @@ def q_fact_reviews_literal(spark, sf_dir):
 
 
 def q_delivery_days_floor(spark, sf_dir):
-    return _star(spark, sf_dir)["fact_orders"].select("order_id", "delivery_days", "delay_days",
-                                                      "delivery_performance")
+    return _star(spark, sf_dir).fact("fact_orders").select("order_id", "delivery_days", "delay_days", "delivery_performance")
 
 
 def q_delivery_performance_mix(spark, sf_dir):
-    return A.delivery_performance_mix(_star(spark, sf_dir)["fact_orders"])
+    return A.delivery_performance_mix(_star(spark, sf_dir).fact("fact_orders"))
 
 
 def q_event_day_offsets(spark, sf_dir):
@@ -178,8 +177,7 @@ def q_null_safe_join(spark, sf_dir):
 
 def q_revenue_by_category_month(spark, sf_dir):
     s = _star(spark, sf_dir)
-    s.prepare(["fact_order_items", "fact_orders", "dim_products"])
-    return A.revenue_by_category_month(s["fact_order_items"], s["fact_orders"], s["dim_products"],
+    return A.revenue_by_category_month(s.fact("fact_order_items", ["dim_products"]), s.fact("fact_orders"), s["dim_products"],
                                        s["dim_date"])
 
 
@@ -187,9 +185,8 @@ def q_revenue_by_category_month_literal(spark, sf_dir):
     """A1 joined to the timestamp-grain date dimension of the original (D1):
     a day with k distinct timestamps counts its revenue k times."""
     s = _star(spark, sf_dir)
-    s.prepare(["fact_order_items", "fact_orders", "dim_products"])
     dd = D.build_dim_date(s.src, grain="timestamp", include_shipping=False)
-    return A.revenue_by_category_month(s["fact_order_items"], s["fact_orders"], s["dim_products"], dd)
+    return A.revenue_by_category_month(s.fact("fact_order_items", ["dim_products"]), s.fact("fact_orders"), s["dim_products"], dd)
 
 
 def q_revenue_fanout_literal(spark, sf_dir):
@@ -212,16 +209,16 @@ def q_revenue_fanout_literal(spark, sf_dir):
 
 def q_seller_location_first10(spark, sf_dir):
     s = _star(spark, sf_dir)
-    return A.seller_locations_first10(s["fact_order_items"], s["dim_seller"])
+    return A.seller_locations_first10(s.fact("fact_order_items", ["dim_seller"]), s["dim_seller"])
 
 
 def q_top10_sellers(spark, sf_dir):
     s = _star(spark, sf_dir)
-    return A.top_sellers_by_revenue(s["fact_order_items"], s["dim_seller"])
+    return A.top_sellers_by_revenue(s.fact("fact_order_items", ["dim_seller"]), s["dim_seller"])
 
 
 def q_avg_delivery(spark, sf_dir):
-    out = A.average_delivery(_star(spark, sf_dir)["fact_orders"])
+    out = A.average_delivery(_star(spark, sf_dir).fact("fact_orders"))
     return out.select(F.round("average_delivery", 6).alias("average_delivery"),
                       F.round("average_delays", 6).alias("average_delays"))
 
@@ -236,7 +233,7 @@ def q_payment_distribution(spark, sf_dir):
 
 
 def q_multi_payment_orders(spark, sf_dir):
-    return A.multi_payment_orders(_star(spark, sf_dir)["fact_payments"])
+    return A.multi_payment_orders(_star(spark, sf_dir).fact("fact_payments"))
 
 
 def q_repeat_customers(spark, sf_dir):
@@ -266,12 +263,12 @@ def q_orders_without_customer(spark, sf_dir):
 
 def q_products_without_items(spark, sf_dir):
     s = _star(spark, sf_dir)
-    return C.products_without_items(s["dim_products"], s["fact_order_items"])
+    return C.products_without_items(s["dim_products"], s.fact("fact_order_items", ["dim_products"]))
 
 
 def q_items_without_product(spark, sf_dir):
     s = _star(spark, sf_dir)
-    return C.items_without_product(s["fact_order_items"], s["dim_products"])
+    return C.items_without_product(s.fact("fact_order_items", ["dim_products"]), s["dim_products"])
 
 
 def q_duplicate_customer_keys(spark, sf_dir):
@@ -279,7 +276,7 @@ def q_duplicate_customer_keys(spark, sf_dir):
 
 
 def q_duplicate_item_keys(spark, sf_dir):
-    return C.duplicate_keys(_star(spark, sf_dir)["fact_order_items"], ["order_id", "order_item_id"])
+    return C.duplicate_keys(_star(spark, sf_dir).fact("fact_order_items"), ["order_id", "order_item_id"])
 
 
 def q_row_count_match(spark, sf_dir):

@@ -48,11 +48,17 @@ class Star(Mapping):
         self.registries = dict(registries or {})
 
     def _make(self, name: str) -> DataFrame:
+        return self._builders(lambda dim: self[dim])[name]()
+
+    def _builders(self, dim):
+        """How each table is made; ``dim`` gives the dimensions that facts look up."""
         s, o, nb = self.sources, self.opts, self.opts["num_buckets"]
         pv = lambda dim: self.registries.get(dim, self.previous.get(dim))
         used = lambda source, key: [s[source].select(key)] if self.infer else None
         dd = (lambda: self["dim_date"]) if o["date_lookup"] == "exact" else (lambda: None)
-        builders = {
+        if o["date_lookup"] == "exact" and o["grain"] == "day" and "dim_date" not in self._built:
+            raise ValueError("exact date lookups need a date dimension of grain='timestamp'")
+        return {
             "dim_date": lambda: dims.build_dim_date(s, o["grain"], o["include_shipping"]),
             "dim_customers": lambda: dims.build_dim_customers(s["customers"], nb, pv("dim_customers"),
                                                               used("orders", "customer_id")),
@@ -65,19 +71,26 @@ class Star(Mapping):
                                                         used("order_items", "seller_id")),
             "dim_payments": lambda: dims.build_dim_payments(s["order_payments"], nb,
                                                             pv("dim_payments")),
-            "fact_orders": lambda: facts.build_fact_orders(s["orders"], self["dim_customers"],
+            "fact_orders": lambda: facts.build_fact_orders(s["orders"], dim("dim_customers"),
                                                            o["null_safe"], o["date_lookup"], dd(),
                                                            0 if self.infer else None),
             "fact_order_items": lambda: facts.build_fact_order_items(
-                s["order_items"], self["dim_products"], self["dim_seller"],
+                s["order_items"], dim("dim_products"), dim("dim_seller"),
                 null_safe=o["null_safe"], date_lookup=o["date_lookup"], dim_date=dd()),
             "fact_payments": lambda: facts.build_fact_payments(s["order_payments"],
-                                                               self["dim_payments"], o["null_safe"]),
+                                                               dim("dim_payments"), o["null_safe"]),
             "fact_reviews": lambda: facts.build_fact_reviews(s["order_reviews"],
                                                              date_lookup=o["date_lookup"],
                                                              dim_date=dd()),
         }
-        return builders[name]()
+
+    def fact(self, name: str, dimensions=()) -> DataFrame:
+        """A fact with the keys of the named ``dimensions`` only: the others are
+        neither built nor joined."""
+        if name in self._built:
+            return self._built[name]
+        self.prepare(dimensions)
+        return self._builders(lambda dim: self[dim] if dim in dimensions else None)[name]()
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in TABLES:

@@ -19,7 +19,7 @@ import os
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.operators.lookups import known_rows, remember_rows
+from starloom.operators.lookups import known_bytes, known_rows, remember_bytes, remember_rows
 from starloom.operators.registry import as_registry, next_registry
 from starloom.plans import checks as star_checks
 from starloom.plans import observed
@@ -278,10 +278,15 @@ def write_star_tables(spark: SparkSession, sources: dict[str, DataFrame], target
         if jdbc is not None:
             replace_tables(spark, {(jdbc_names or {}).get(n, n): df for n, df in out.items()}, jdbc)
     for n, d in dims.items():
-        remember_rows(out[n], known_rows(d))  # exact counts from the key jobs
+        _same_counts(out[n], d)  # exact counts from the key jobs
     return out
 
 
+def _same_counts(written: DataFrame, built: DataFrame) -> None:
+    """What the key jobs counted holds for the written table too."""
+    remember_bytes(remember_rows(written, known_rows(built)), known_bytes(built))
+
+
 def _registries(dims: dict[str, DataFrame], old: dict[str, DataFrame]) -> dict[str, DataFrame]:
     real = lambda n: dims[n].where(f"{KEYED[n][1]} <> {star_checks.UNKNOWN_KEY}")
     return {registry_name(n): next_registry(old.get(n), real(n), *KEYED[n]) for n in KEYED if n in dims}
@@ -331,7 +336,7 @@ def _publish(spark, sources, target, fmt, build_opts, parallel, stable_keys, che
         used = ({n: spark.read.schema(d.schema).parquet(_path(folder, n)) for n, d in dims.items()}
                 if fmt == "parquet" else dict(dims))
         for n, d in dims.items():
-            remember_rows(used[n], known_rows(d))
+            _same_counts(used[n], d)
         facts = {}
         for n in fact_names:
             facts.update(star_plan.build_facts(watch.fact_sources(n) if not incremental else sources, used,
@@ -405,7 +410,7 @@ def _build_in_place(spark, sources, target, table_opts, build_opts, parallel, st
     write_star(dims, target, fmt="table", **table_opts)
     used = read_star(spark, target, names=dims, fmt="table", database=table_opts.get("database"))
     for n, d in dims.items():
-        remember_rows(used[n], known_rows(d))
+        _same_counts(used[n], d)
     if stable_keys:
         write_star(_registries(used, old_keys), target, fmt="table", **table_opts)
     facts = star_plan.build_facts(sources, used, build_opts.get("null_safe", False),

@@ -42,6 +42,8 @@ def converted(text: Column, kind: T.DataType, timestamp_format: str = DEFAULT_TI
         if timestamp_format == DEFAULT_TIMESTAMP_FORMAT:
             return F.when(F.trim(text).rlike(_DEFAULT_SHAPE), F.trim(text).try_cast(kind))
         return F.try_to_timestamp(text, F.lit(timestamp_format)).cast(kind)
+    if isinstance(kind, T.DecimalType):  # more decimals than the type holds would be rounded away
+        return F.when(F.trim(text).rlike(rf"^[+-]?\d*(\.\d{{0,{kind.scale}}}0*)?$"), text.try_cast(kind))
     return text.try_cast(kind)
 
 

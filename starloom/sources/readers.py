@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.folders import Folders
-from starloom.operators.lookups import remember_rows
+from starloom.operators.lookups import remember_bytes, remember_rows
 from starloom.sources.quarantine import DEFAULT_TIMESTAMP_FORMAT, Sources, parse_csv
 from starloom.sources.schemas import FILE_NAMES, OPTIONAL_SOURCES, SCHEMAS
 
@@ -150,4 +150,6 @@ def rows_frame(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
     else:
         df = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name)
                                      for f in schema.fields])
-    return remember_rows(df, len(rows))
+    text = sum(len(str(v).encode()) for r in rows for v, f in zip(r, schema.fields)
+               if v is not None and isinstance(f.dataType, T.StringType))
+    return remember_bytes(remember_rows(df, len(rows)), text)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _S, _I, _D, _TS = T.StringType(), T.IntegerType(), T.DoubleType(), T.TimestampNTZType()
+#: Money: sums are exact and do not depend on order or partitions.
+_M = T.DecimalType(18, 2)
 
 
 def _st(*fields) -> T.StructType:
@@ -39,10 +41,10 @@ SELLERS = _st(("seller_id", _S), ("seller_zip_code_prefix", _S), ("seller_city",
               ("seller_state", _S))
 
 ORDER_PAYMENTS = _st(("order_id", _S), ("payment_sequential", _I), ("payment_type", _S),
-                     ("payment_installments", _I), ("payment_value", _D))
+                     ("payment_installments", _I), ("payment_value", _M))
 
 ORDER_ITEMS = _st(("order_id", _S), ("order_item_id", _I), ("product_id", _S), ("seller_id", _S),
-                  ("shipping_limit_date", _TS), ("price", _D), ("freight_value", _D))
+                  ("shipping_limit_date", _TS), ("price", _M), ("freight_value", _M))
 
 GEOLOCATION = _st(("geolocation_zip_code_prefix", _S), ("geolocation_lat", _D),
                   ("geolocation_lng", _D), ("geolocation_city", _S), ("geolocation_state", _S))

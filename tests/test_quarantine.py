@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+from decimal import Decimal
 
 import pytest
 
@@ -15,7 +16,8 @@ ITEMS = ",".join(SCHEMAS["order_items"].names)
 GOOD = ['o1,1,p1,s1,2024-01-02 00:00:00,10.5,1.5', 'o1,2,p1,s1,,3,']
 BAD = {"a bad int": 'o2,x1,p1,s1,2024-01-02 00:00:00,1,1', "a bad timestamp": 'o3,1,p1,s1,not a date,1,1',
        "a date without time": 'o3,2,p1,s1,2024-01-02,1,1', "a short record": 'o4,1,p1', "a long one": 'o5,1,p1,s1,,1,1,extra',
-       "two faults": 'o6,y,p1,s1,,z,1', "an int out of range": 'o7,99999999999,p1,s1,,1,1'}
+       "two faults": 'o6,y,p1,s1,,z,1', "an int out of range": 'o7,99999999999,p1,s1,,1,1',
+       "too many decimals": 'o8,1,p1,s1,,1.005,1'}
 
 
 def put(folder, name, lines, header=None):
@@ -41,11 +43,11 @@ def test_every_bad_record_is_kept_with_its_reason(spark, tmp_path, multi_line):
     got = parse_csv(spark, path, SCHEMAS["order_items"], "order_items", multi_line=multi_line)
     assert got.rows.schema == SCHEMAS["order_items"]
     assert sorted(map(tuple, got.rows.collect()), key=repr) == [
-        ("o1", 1, "p1", "s1", dt.datetime(2024, 1, 2), 10.5, 1.5), ("o1", 2, "p1", "s1", None, 3.0, None)]
+        ("o1", 1, "p1", "s1", dt.datetime(2024, 1, 2), Decimal("10.50"), Decimal("1.50")), ("o1", 2, "p1", "s1", None, Decimal("3.00"), None)]
     reasons = {r.record.split(",")[0] + r.record.split(",")[1]: r.reason for r in got.rejected.collect()}
     assert reasons == {"o2x1": "order_item_id is no int", "o31": "shipping_limit_date is no timestamp_ntz",
                        "o32": "shipping_limit_date is no timestamp_ntz", "o41": "number of fields", "o51": "number of fields",
-                       "o6y": "order_item_id is no int; price is no double", "o799999999999": "order_item_id is no int"}
+                       "o6y": "order_item_id is no int; price is no decimal(18,2)", "o81": "price is no decimal(18,2)", "o799999999999": "order_item_id is no int"}
     first = got.rejected.where("record LIKE 'o2,%'").first()
     assert first.source == "order_items" and first.file.endswith("order_items.csv")
     # whatever columns are read, the same records are rejected

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql.types import DecimalType
 
 from starloom.plans import analytics as A
 from starloom.plans import checks as C
@@ -18,7 +19,8 @@ T = dt.datetime
 @pytest.fixture(scope="module")
 def sources(spark):
     def df(name, rows):
-        return spark.createDataFrame(rows, SCHEMAS[name])
+        money = [isinstance(f.dataType, DecimalType) for f in SCHEMAS[name].fields]
+        return spark.createDataFrame([tuple(Decimal(str(v)) if m else v for m, v in zip(money, r)) for r in rows], SCHEMAS[name])
     return {
         "orders": df("orders", [
             ("o1", "c1", "delivered", T(2024, 3, 1, 9), T(2024, 3, 1, 10), T(2024, 3, 2, 8),
