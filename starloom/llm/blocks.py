@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Members a block holds about.
-BLOCK = 512
+#: Members a block holds about, and of a part that is compared together with others.
+BLOCK, SMALL = 512, 64
 
 
 def folded(x: np.ndarray, size: int) -> np.ndarray:
@@ -76,6 +76,45 @@ def across(block: np.ndarray, node: np.ndarray, comp: np.ndarray, n: np.ndarray,
     return (np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64),) * 2
 
 
+def across_small(part: np.ndarray, block: np.ndarray, node: np.ndarray, comp: np.ndarray, n: np.ndarray, sketch: list[bytes],
+                 num: int, den: int, forest: bool = False,
+                 agree: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """``across`` over many small parts at once (``part``: their numbers, in
+    order): every row with the next one of its part, the second next, and so
+    on.  ``forest``: of each row the first such pair only."""
+    sizes = np.array([len(x) for x in sketch])
+    at_size = {}
+    for size in np.unique(sizes):
+        m = np.zeros((len(n), size), np.uint8)
+        for longer in np.unique(sizes[sizes >= size]):
+            rows = np.flatnonzero(sizes == longer)
+            m[rows] = folded(np.frombuffer(b"".join(sketch[i] for i in rows), np.uint8).reshape(-1, longer), size)
+        at_size[size] = m
+    order, free = np.arange(len(n)), np.ones(len(n), bool)
+    most = int(np.bincount(part).max()) if len(part) else 0
+    us, vs = [], []
+    for step in range(1, most):
+        i = np.flatnonzero((part[step:] == part[:-step]) & free[:-step])
+        j = i + step
+        ok = (comp[i] != comp[j]) & (node[i] != node[j]) & (np.minimum(n[i], n[j]) * den >= np.maximum(n[i], n[j]) * num)
+        i, j = i[ok], j[ok]
+        if len(i) and agree is not None:
+            ok = agree(order, j, i)
+            i, j = i[ok], j[ok]
+        if len(i):
+            bits, least = np.empty(len(i), np.int64), np.minimum(sizes[i], sizes[j])
+            for size, m in at_size.items():
+                x = np.flatnonzero(least == size)
+                bits[x] = np.bitwise_count(m[i[x]] ^ m[j[x]]).sum(axis=1, dtype=np.int64)
+            ok = bits <= may_differ(n[i], n[j], num, den)
+            i, j = i[ok], j[ok]
+            us.append(np.minimum(node[i], node[j]))
+            vs.append(np.maximum(node[i], node[j]))
+            if forest:
+                free[i] = False
+    return (np.concatenate(us), np.concatenate(vs)) if us else (np.zeros(0, np.int64),) * 2
+
+
 def dealt(members: DataFrame, size: str, block: int = BLOCK) -> DataFrame:
     """``members`` (t, node, ..., and ``size``, the group's) in the parts of
     their group, one part after another in a task."""
@@ -101,16 +140,27 @@ def pairs_of(num: int, den: int, forest: bool, counted: Callable | None = None):
             ends = len(at) - 1 if last else len(at) - 2
             done = table.slice(0, at[max(ends, 0)])
             cols = [np.asarray(done[c]) for c in ("block", "node", "comp", "n")]
-            sketch = [np.frombuffer(x, np.uint8) for x in done["sketch"].to_pylist()]
+            sketch, whole = done["sketch"].to_pylist(), np.asarray(done["a"]) == np.asarray(done["z"])
+            at = at[:max(ends, 0) + 1]
+            length = np.diff(at)
+            # small parts, each of one block, are compared together, the others one by one
+            small = (length > 1) & (length <= SMALL) & (whole[at[:-1]] if len(whole) else np.zeros(0, bool))
             us, vs = [], []
-            for a, z in zip(at[:max(ends, 0)], at[1:ends + 1]):
-                if z - a > 1:
-                    agree = counted(done["short"].slice(a, z - a)) if counted else None
-                    u, v = across(*(c[a:z] for c in cols), sketch[a:z], num, den, forest, agree)
-                    us.append(u)
-                    vs.append(v)
+            rows = np.flatnonzero(np.repeat(small, length))
+            if len(rows):
+                agree = counted(done["short"].take(pa.array(rows))) if counted else None
+                u, v = across_small(np.repeat(np.arange(len(length)), length)[rows], *(c[rows] for c in cols),
+                                    [sketch[i] for i in rows], num, den, forest, agree)
+                us.append(u)
+                vs.append(v)
+            for i in np.flatnonzero((length > 1) & ~small):
+                a, z = at[i], at[i + 1]
+                agree = counted(done["short"].slice(a, z - a)) if counted else None
+                u, v = across(*(c[a:z] for c in cols), [np.frombuffer(x, np.uint8) for x in sketch[a:z]], num, den, forest, agree)
+                us.append(u)
+                vs.append(v)
             u, v = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (us, vs))
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"]), table.slice(at[max(ends, 0)])
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"]), table.slice(at[-1])
         for b in batches:
             if b.num_rows:
                 t = pa.Table.from_batches([b])
