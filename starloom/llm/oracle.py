@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starloom.llm import sharding
+from starloom.llm import sharding, warc_revisit
 
 #: Terms and parts of a text, as the queries' contracts give them.
 TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -70,5 +70,22 @@ WITH d AS (SELECT doc_id, regexp_extract_all({FOLDED}, '{TERMS}') AS ts FROM doc
 SELECT item_id, cast(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50"""
 
 
+def _warc_revisit() -> str:
+    """The as-of join by DuckDB's own operator; the derived URLs have no query."""
+    step, late = warc_revisit.STEP, warc_revisit.LATE
+    return f"""
+WITH p AS (SELECT page_id, regexp_extract(url, '^[^/]*//([^/]*/[^/?#]*)', 1) AS u, md5(coalesce(html, '')) AS tag,
+                  coalesce(length(html), 0) AS size, CAST(page_id * {step} AS BIGINT) AS ts, CAST('0x' || substr(md5(coalesce(html, '')), 1, 8) AS BIGINT) AS late FROM pages),
+     c AS (SELECT *, regexp_replace(lower(split_part(u, '/', 1)), '^www[.]|:(80|443)$', '')
+                     || CASE WHEN split_part(u, '/', 2) <> '' THEN '/' || split_part(u, '/', 2) ELSE '' END AS canon FROM p),
+     f AS (SELECT canon, ts, page_id * 2 AS response_id, tag AS held, size FROM c WHERE late % 10 <> 7),
+     r AS (SELECT canon, ts + 1 + late % {late} AS ts, page_id * 2 + 1 AS record_id, tag FROM c)
+SELECT r.record_id, r.canon AS url, r.ts, CASE WHEN f.response_id IS NULL THEN 'orphan' WHEN f.held <> r.tag THEN 'mismatch' ELSE 'resolved' END AS verdict,
+       f.response_id, CASE WHEN f.held = r.tag THEN '{{"content-length":"' || f.size || '","content-type":"text/html","date":"' || r.ts
+                           || '","etag":"W/\\"' || r.tag || '\\""}}' END AS headers
+FROM r ASOF LEFT JOIN f ON r.canon = f.canon AND r.ts > f.ts"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": _sharding(), "op11_fill_in_middle": _fill_in_middle(), "op13_lexical_search": _lexical_search()}
+    return {"op4_sharding": _sharding(), "op9_warc_revisit": _warc_revisit(),
+            "op11_fill_in_middle": _fill_in_middle(), "op13_lexical_search": _lexical_search()}
