@@ -1,9 +1,9 @@
 """Key lookups between facts and dimensions.
 
-Join strategy is left to Catalyst/AQE: a dimension whose runtime size is under
-``spark.sql.adaptive.autoBroadcastJoinThreshold`` is broadcast, anything larger
-is a sort-merge join with AQE skew splitting.  An explicit broadcast hint is
-only placed by ``broadcast_bounded`` after the row count has been checked.
+A dimension's side is broadcast by ``broadcast_bounded`` after its row count
+has been checked.  A larger one is shuffled and hashed, with AQE skew
+splitting: its keys are unique, so that its rows spread evenly, while the fact's
+need not (all its null keys meet in one task) and are streamed, never sorted.
 """
 
 from __future__ import annotations
@@ -83,6 +83,13 @@ def broadcast_bounded(df: DataFrame, max_rows: int = 100_000,
     return F.broadcast(df) if fits_broadcast(df, max_rows, rows, text_bytes) else df
 
 
+def broadcast_or_hashed(df: DataFrame, max_rows: int = 100_000,
+                        rows: int | None = None, text_bytes: int | None = None) -> DataFrame:
+    """``broadcast_bounded``, and above a bound the side that a shuffled join
+    hashes; for sides with one row a key."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows, rows, text_bytes) else df.hint("shuffle_hash")
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = 100_000, rows: int | None = None,
                    text_bytes: int | None = None) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows and ``MAX_TEXT_BYTES`` of
@@ -110,14 +117,15 @@ def lookup_key(fact: DataFrame, dim: DataFrame, natural_key, key_name: str,
     ``null_safe`` matches null with null (pandas merge behaviour);
     ``unknown`` replaces an unmatched key (0 = unknown member).
     The lookup side is only (natural key, surrogate key); it is broadcast when
-    it has at most ``broadcast_max_rows`` rows, so the fact is not shuffled,
-    and joined by sort-merge (AQE skew splitting on) above that.
+    it has at most ``broadcast_max_rows`` rows, so the fact is not shuffled;
+    above that both are shuffled, and the lookup side is hashed: a fact's rows
+    of one key, say its null keys, take no memory for a sort.
     The natural-key column is kept; callers drop what they do not publish.
     """
     keys = _names(natural_key)
     right = dim.select(*[F.col(k).alias("__sl_r_" + k) for k in keys], F.col(key_name))
     if broadcast_max_rows and how in ("left", "inner", "left_semi", "left_anti"):
-        right = broadcast_bounded(right, broadcast_max_rows, rows=known_rows(dim), text_bytes=known_bytes(dim))
+        right = broadcast_or_hashed(right, broadcast_max_rows, rows=known_rows(dim), text_bytes=known_bytes(dim))
     cond = None
     for k in keys:
         c = (F.col(k).eqNullSafe(F.col("__sl_r_" + k)) if null_safe

@@ -190,8 +190,10 @@ def _rows_without_partner(fact: DataFrame, key: str, dim: DataFrame, dim_key: st
     """Count of ``fact`` rows whose ``key`` has no ``dim`` row (the LEFT JOIN
     ... IS NULL count; null keys count).  The fact is first cut to one row per
     key with its row count, combined map-side, so a hot key (say the unknown
-    member 0) never reaches the join as a third of the fact."""
-    per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("__sl_n"))
+    member 0) never reaches the join as a third of the fact.  The condition on
+    the count, always true, keeps the optimizer from moving the join below the
+    aggregate, where a task would sort all rows of a hot key."""
+    per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("__sl_n")).where(F.col("__sl_n") > 0)
     orphans = anti_rows(per_key, dim, key, dim_key)
     return orphans.agg(F.coalesce(F.sum("__sl_n"), F.lit(0)).cast("long").alias(name))
 
