@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -95,6 +96,131 @@ def _consistent(a: list[str], b: list[str]) -> bool:
     return all(ab.setdefault(x, y) == y and ba.setdefault(y, x) == x for x, y in zip(a, b))
 
 
+class _Words(dict):
+    """Numbers of the words met, and hashes of their pieces' kinds and values."""
+
+    def __init__(self):
+        super().__init__()
+        self.kinds, self.values, self.counts, self.n = [], [], [], 0
+        self.unit, self.name = hash("<unit>"), hash("<name>")  # of this process
+
+    def __missing__(self, w):
+        n = self[w] = self.n
+        self.n += 1
+        bare = w.strip(_TRIM)
+        if bare.isalpha():  # one piece: most words
+            low = bare.lower()
+            v = hash(low)
+            self.kinds.append(self.unit if low in UNITS else self.name if bare[0].isupper() else v)
+            self.values.append(v)
+            self.counts.append(1)
+        else:
+            got = _pieces(w)
+            self.kinds += [hash(k) for k, _ in got]
+            self.values += [hash(v) for _, v in got]
+            self.counts.append(len(got))
+        return n
+
+    def forget(self):
+        self.clear()
+        self.n = 0
+        for part in (self.kinds, self.values, self.counts):
+            part.clear()
+
+
+#: Words whose windows are hashed at once.
+_AT_ONCE = 1 << 18
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _sums(hashes, size: int):
+    """(s, hashes of the windows of s pieces by place), for s up to ``size``."""
+    out, power = np.zeros(len(hashes) + 1, np.uint64), 1
+    for s in range(1, size + 1):
+        out = out[:-1] + hashes[s - 1:] * np.uint64(power)
+        if not len(out):
+            return
+        power = power * _BASE % (1 << 64)
+        yield s, out
+
+
+def _window_hash(pieces) -> int:
+    return sum(hash(x) * pow(_BASE, j, 1 << 64) for j, x in enumerate(pieces)) % (1 << 64)
+
+
+class _Member:
+    """A set of 64-bit hashes; most that are not in it are told by their first bits."""
+
+    def __init__(self, hashes):
+        self.hashes = np.unique(np.array(list(hashes), np.uint64))
+        bits = max(16, (16 * len(self.hashes)).bit_length())
+        self.shift, self.may = np.uint64(64 - bits), np.zeros(1 << bits, bool)
+        self.may[self.hashes >> self.shift] = True
+
+    def places(self, hashes):
+        at = np.flatnonzero(self.may[hashes >> self.shift])
+        return at[np.isin(hashes[at], self.hashes)]
+
+
+class _Known:
+    """The items' windows by size and key; texts meet them by hashes of their
+    windows first, and the keys themselves decide."""
+
+    def __init__(self, table: dict):
+        self.table, self.size = table, max(table, default=0)
+        # a word that holds the sign between words: such keys are tried at every place
+        self.odd = {s for s, t in table.items() if any("\n" not in k and k.count("\x1f") != s - 1 for k in t)}
+        self.templates = {s: _Member(_window_hash(k.split("\x1f")) for k in t if "\n" not in k) for s, t in table.items()}
+        self.exact = {s: _Member(_window_hash(slots) for k, hits in t.items() if "\n" in k for _, slots in hits) for s, t in table.items()}
+
+    def met(self, words: _Words, texts):
+        """(id, {item: windows}) of every text that meets an item."""
+        ids, flat, n = [], [], 0
+        for i, t in texts:
+            w = _WORD.findall(t or "")
+            flat.append(np.fromiter(map(words.__getitem__, w), np.int64, len(w)))
+            ids.append(i)
+            n += len(w)
+            if n >= _AT_ONCE or len(words) >= _KNOWN:
+                yield from self._met(words, ids, flat)
+                ids, flat, n = [], [], 0
+                if len(words) >= _KNOWN:
+                    words.forget()
+        yield from self._met(words, ids, flat)
+
+    def _met(self, words, ids, texts):
+        if not texts or not self.table:
+            return
+        ends, flat = np.cumsum([len(t) for t in texts]), np.concatenate(texts)
+        counts = np.array(words.counts, np.int64)
+        first = np.cumsum(counts) - counts
+        per = counts[flat]
+        begin = np.cumsum(per) - per  # of every word, in pieces
+        of = np.repeat(first[flat] - begin, per) + np.arange(per.sum())
+        stop = np.concatenate([[0], np.cumsum(per)])[ends]  # of every text, in pieces
+        word = list(words)
+        kinds = np.array(words.kinds, np.int64).view(np.uint64)[of]
+        values = np.array(words.values, np.int64).view(np.uint64)[of]
+        found: dict = {}
+        for (s, k), (_, v) in zip(_sums(kinds, self.size), _sums(values, self.size)):
+            if s not in self.table:
+                continue
+            table = self.table[s]
+            for exact, at in ((False, np.arange(len(k)) if s in self.odd else self.templates[s].places(k)), (True, self.exact[s].places(v))):
+                text = np.searchsorted(stop, at, "right")
+                for p, n in zip(at.tolist(), text.tolist()):
+                    if p + s > stop[n]:  # runs into the next text
+                        continue
+                    a, z = np.searchsorted(begin, [p, p + s - 1], "right") - 1
+                    w = [x for m in flat[a:z + 1].tolist() for x in _pieces(word[m])][p - begin[a]:][:s]
+                    for item, slots in table.get(_exact(w) if exact else "\x1f".join(x for x, _ in w), ()):
+                        if exact or _consistent(slots, [x for _, x in w]):
+                            mine = found.setdefault(n, {})
+                            mine[item] = mine.get(item, 0) + 1
+        for n in sorted(found):
+            yield ids[n], found[n]
+
+
 def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(size, template, item_id, slots) of every window of every item."""
     def run(batches):
@@ -129,27 +255,10 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
         sent = docs.sparkSession.sparkContext.broadcast(table)
 
         def run(batches):
-            known = sent.value
-            # first words of the keys: templates' by kind, exact ones' by value
-            first = {s: {k.split("\x1f", 1)[0] for k in t if "\n" not in k} for s, t in known.items()}
-            start = {s: {h[0][1][0] for k, h in t.items() if "\n" in k} for s, t in known.items()}
-            seen: dict = {}
+            known, words = _Known(sent.value), _Words()
             for b in batches:
                 rows = []
-                for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    w = template(t, seen)
-                    found: dict = {}
-                    kinds, vals = [k for k, _ in w], [v for _, v in w]
-                    for s, t_ in known.items():
-                        heads, starts = first[s], start[s]
-                        for p in range(len(w) - s + 1):
-                            if kinds[p] in heads and (hit := t_.get("\x1f".join(kinds[p:p + s]))):
-                                for item, slots in hit:
-                                    if _consistent(slots, vals[p:p + s]):
-                                        found[item] = found.get(item, 0) + 1
-                            if vals[p] in starts and (hit := t_.get(_exact(w[p:p + s]))):
-                                for item, _ in hit:
-                                    found[item] = found.get(item, 0) + 1
+                for i, found in known.met(words, zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                     rows += [{"doc_id": i, "item_id": k, "n_windows": n} for k, n in found.items()]
                 yield pa.RecordBatch.from_pylist(rows, pa.schema([("doc_id", b.schema.field(0).type), ("item_id", pa.int64()), ("n_windows", pa.int64())]))
         return src.mapInArrow(run, f"doc_id {doc_type}, item_id long, n_windows long")
