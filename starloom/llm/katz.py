@@ -12,7 +12,8 @@ Words, with their counts, are a table of one row a word.  Up to ``WORDS`` words
 it is broadcast; words are then numbered and pairs are one number, and:
 
 * pair counts are added up in each task, then by bucket of the pair's hash,
-  and stored as a table of packed blocks, a row a bucket;
+  and stored as a table of packed blocks of ``BLOCK`` pairs of a bucket: tasks
+  unpack and work on one block at a time;
 * a text's tokens are scored with the weight and word, which are known where
   the text is; the pairs that the model may hold are sent to their bucket,
   packed by block of texts, which returns what the score changes by;
@@ -45,8 +46,12 @@ CUT = 5
 WORDS = 1 << 22
 #: Buckets of pairs: at least so many, and one more per so many training tokens.
 BUCKETS, BUCKET_TOKENS = 48, 8_000_000
-#: Pair counts a task holds before it sends them.
-_HELD = 3_000_000
+#: Pairs of a block of their table.
+BLOCK = 1 << 18
+#: Pair counts a task holds before it sends or adds them (about 50 bytes each meanwhile).
+_HELD = 1_000_000
+#: Histories of a batch.
+_ROWS = 1 << 16
 _END, _START = 1, 2
 
 
@@ -114,7 +119,8 @@ class _Words:
         self.c = c.astype(np.uint32) if self.n < 1 << 32 else c
         some = np.bincount(c[c <= CUT + 1], minlength=CUT + 2)
         self.d = good_turing(dict(enumerate(some.tolist())))
-        self.none = max(1.0 - float(_kept(c[:-1], self.d).sum()) / max(self.n, 1), 1e-12)
+        freed = sum(int(some[r]) * r * (1.0 - self.d[r - 1]) for r in range(1, CUT + 1))
+        self.none = max(freed / max(self.n, 1), 1e-12) if self.n else 1.0
 
     def p(self, word: np.ndarray) -> np.ndarray:
         """Lower-order probability."""
@@ -155,8 +161,17 @@ def _slices(sorted_: np.ndarray):
 
 
 def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    u, inv = np.unique(np.concatenate(keys), return_inverse=True)
-    return u, np.bincount(inv, np.concatenate(counts), len(u)).astype(np.int64)
+    """Sorted distinct keys and the sums of their counts.  Empties the lists,
+    so that what they hold can go meanwhile."""
+    k = np.concatenate(keys)
+    keys.clear()
+    order = np.argsort(k, kind="stable")
+    k = k[order]
+    c = np.concatenate(counts)[order]
+    counts.clear()
+    del order
+    first = np.flatnonzero(np.append(True, k[1:] != k[:-1])[:len(k)])
+    return k[first], np.add.reduceat(c, first)
 
 
 def _count_pairs(sent, buckets: int):
@@ -170,6 +185,7 @@ def _count_pairs(sent, buckets: int):
             b = _bucket(u, buckets)
             order = np.argsort(b, kind="stable")
             u, c, b = u[order], c[order], b[order]
+            del order
             rows = [(int(b[x]), pack(steps(u[x:y]), c[x:y])) for x, y in _slices(b)]
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["bucket", "body"])
 
@@ -182,28 +198,30 @@ def _count_pairs(sent, buckets: int):
                 held += len(u)
                 if held > _HELD:
                     yield out()
-                    keys, counts, held = [], [], 0
+                    held = 0
         if keys:
             yield out()
     return run
 
 
 def _add_pairs(batches):
-    """One row a bucket: its pairs and counts, and how many have each count up to CUT + 1."""
+    """Blocks of the pairs of a bucket: pairs and counts, and how many have each count up to CUT + 1."""
     bucket, keys, counts, new = None, [], [], 0
 
     def out():
         u, c = _added(keys, counts)
-        some = np.bincount(c[c <= CUT + 1], minlength=CUT + 2)
-        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([pack(steps(u), c)], pa.binary()),
-                                           pa.array([some.tolist()], pa.list_(pa.int64()))], ["bucket", "body", "some"])
+        for x in range(0, len(u), BLOCK):
+            k, n = u[x:x + BLOCK], c[x:x + BLOCK]
+            some = np.bincount(n[n <= CUT + 1], minlength=CUT + 2)
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([pack(steps(k), n)], pa.binary()),
+                                              pa.array([some.tolist()], pa.list_(pa.int64()))], ["bucket", "body", "some"])
 
     for b in batches:
         for i in range(b.num_rows):
             here = b.column(0)[i].as_py()
             if here != bucket and keys:
-                yield out()
-                keys, counts, new = [], [], 0
+                yield from out()
+                new = 0
             bucket = here
             k, c = unpack(b.column(1)[i].as_buffer().to_pybytes(), np.int64, np.int64)
             keys.append(np.cumsum(k))
@@ -213,22 +231,25 @@ def _add_pairs(batches):
                 u, c = _added(keys, counts)
                 keys, counts, new = [u], [c], 0
     if keys:
-        yield out()
+        yield from out()
 
 
 def _histories(sent, d: list[float]):
     """Count, discounted count and lower-order share of each history, of a task's pairs."""
     def run(batches):
         words = sent.value
-        sums = np.zeros((3, words.v + 1))
+        sums = np.zeros((2, words.v + 1))
         for b in batches:
             for body in b.column(0):
                 k, c = unpack(body.as_buffer().to_pybytes(), np.int64, np.int64)
                 hist, word = np.divmod(np.cumsum(k), words.v + 1)
-                for x, values in zip(sums, (c, _kept(c, d), words.p(word))):
-                    x += np.bincount(hist, values, words.v + 1)
-        h = np.flatnonzero(sums[0])
-        yield pa.RecordBatch.from_arrays([pa.array(h), *[pa.array(x[h]) for x in sums]], ["h", "hc", "kept", "low"])
+                first = np.flatnonzero(np.append(True, hist[1:] != hist[:-1]))  # pairs are in the order of their histories
+                for x, values in zip(sums, (_kept(c, d), words.p(word))):
+                    x[hist[first]] += np.add.reduceat(values, first)
+        all_ = np.flatnonzero(sums[0])
+        for x in range(0, len(all_), _ROWS):
+            h = all_[x:x + _ROWS]
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(words.follow(h)), *[pa.array(s[h]) for s in sums]], ["h", "hc", "kept", "low"])
     return run
 
 
@@ -304,7 +325,7 @@ def _score_pairs(sent, model):
     def run(batches):
         words, (weight, _, _, d) = sent.value, model.value
         v = words.v
-        bucket, keys, change = None, np.zeros(0, np.int64), np.zeros(0)
+        bucket, blocks, keys, change = None, [], np.zeros(0, np.int64), np.zeros(0)
         for b in batches:
             part = np.asarray(b.column(1))
             own = pa.array(part == 2)
@@ -313,13 +334,18 @@ def _score_pairs(sent, model):
                 body = b.column(3)[i].as_buffer().to_pybytes()
                 here = b.column(0)[i].as_py()
                 if here != bucket:
-                    bucket, keys, change = here, np.zeros(0, np.int64), np.zeros(0)
+                    bucket, blocks, keys, change = here, [], np.zeros(0, np.int64), np.zeros(0)
                 if part[i] == 0:
                     k, c = unpack(body, np.int64, np.int64)
-                    keys = np.cumsum(k)
-                    hist, word = np.divmod(keys, v + 1)
-                    change = np.log10(_kept(c, d) / words.follow(hist)) - weight[hist] - np.log10(words.p(word))
-                elif len(keys):
+                    k = np.cumsum(k)
+                    hist, word = np.divmod(k, v + 1)
+                    blocks.append((k, np.log10(_kept(c, d) / words.follow(hist)) - weight[hist] - np.log10(words.p(word))))
+                    continue
+                if blocks:
+                    blocks.sort(key=lambda x: x[0][0])
+                    keys, change = (np.concatenate(x) for x in zip(*blocks))
+                    blocks = []
+                if len(keys):
                     doc = b.column(2)[i].values
                     k, row, times = unpack(body, np.int64, np.uint32, np.uint32)
                     k = np.cumsum(k)
@@ -352,8 +378,8 @@ def score(docs: DataFrame, held, id_col: str = "doc_id", text: str = "text", wor
     free_shuffles(spark)
     some = pairs.select(F.posexplode("some").alias("c", "n")).groupBy("c").agg(F.sum("n").alias("n")).collect()  # CUT + 2 rows
     d = good_turing({r["c"]: r["n"] for r in some})
-    hist = (pairs.select("body").mapInArrow(_histories(sent, d), "h long, hc double, kept double, low double")
-            .groupBy("h").agg(F.sum("hc").alias("hc"), F.sum("kept").alias("kept"), F.sum("low").alias("low"))
+    hist = (pairs.select("body").mapInArrow(_histories(sent, d), "h long, hc long, kept double, low double")
+            .groupBy("h").agg(F.max("hc").alias("hc"), F.sum("kept").alias("kept"), F.sum("low").alias("low"))
             .select(F.col("h").cast("int"), F.log10(F.greatest(F.lit(1e-12), 1 - F.col("kept") / F.col("hc"))
                                                     / F.greatest(F.lit(1e-12), 1 - F.col("low"))).alias("weight")).toArrow())  # at most a row a word
     weight = np.zeros(known.v + 2)
