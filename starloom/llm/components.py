@@ -1,21 +1,65 @@
 """Connected components of a link table by alternating large-star and
 small-star steps.  Links and labels stay distributed; each step is an
 aggregate (combined map-side, so a hub costs one row a task) and a join that
-adaptive execution may split, and is written to the shared folder.  A link table
-is worked on by as many tasks as its size needs, few for a small one."""
+adaptive execution may split, and is written to the shared folder.
+
+Every task also replaces the links it holds, a bounded number at a time, by a
+forest that joins the same nodes.  A link table of no more than one task's
+share needs nothing else.  That keeps the driver small: a step is some twenty
+exchanges and broadcasts, and each costs it a thread, whatever the rows."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import written
 
 
-#: Links a task is dealt at least, and the fewest tasks.
+#: Links a task holds at once, and the fewest tasks of a table of more.
 LINKS, TASKS = 200_000, 8
 
 
+def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, least node it reaches) that join what the links ``u``, ``v`` join."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[:len(u)], at[len(u):]
+    root = np.arange(len(nodes))
+    while True:  # ends: each turn hooks the larger of two roots at least
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            break
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (up := root[root]).tobytes() != root.tobytes():
+            root = up
+    low = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[low], nodes[root[low]]
+
+
+def _forests(most: int):
+    """For ``mapInArrow``: the links of a task as forests of ``most`` links or a batch more."""
+    def run(batches):
+        us, vs, held = [], [], 0
+
+        def out():
+            u, v = forest(np.concatenate(us), np.concatenate(vs))
+            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+        for b in batches:
+            us.append(np.asarray(b.column(0)))
+            vs.append(np.asarray(b.column(1)))
+            held += b.num_rows
+            if held > most:
+                yield out()
+                us, vs, held = [], [], 0
+        if held:
+            yield out()
+    return run
+
+
 def _star(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
     """Links every neighbour of a node above it (large) or not above it (small)
     to the least node among the neighbours and itself."""
@@ -36,19 +80,22 @@ def _star(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``links`` (u, v long) -> (node, comp): the least node each node reaches.
     Only nodes with a link appear."""
-    edges = written(links.where(F.col("u") != F.col("v")).select("u", "v").distinct(), "links")
+    joined = lambda e: written(e.mapInArrow(_forests(LINKS), "u long, v long"), "links")
     mark = lambda e: tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    last, tasks = None, max(TASKS, -(-edges.count() // LINKS))
+    edges, last = joined(links.where(F.col("u") != F.col("v")).select("u", "v")), None
     for _ in range(max_rounds):
-        edges = written(_star(_star(edges, True, tasks), False, tasks), "links")
         now = mark(edges)
+        if now[0] <= LINKS:
+            edges = joined(edges.coalesce(1))
+            break
         if now == last:
             break
-        last = now
+        last, tasks = now, max(TASKS, -(-now[0] // LINKS))
+        edges = joined(_star(_star(edges, True, tasks), False, tasks))
     else:
         raise RuntimeError("components did not settle")
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+    return written(edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()), "components")
 
 
 def extended(comp: DataFrame, links: DataFrame) -> DataFrame:
