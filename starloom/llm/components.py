@@ -40,14 +40,16 @@ def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[low], nodes[root[low]]
 
 
-def _forests(most: int):
-    """For ``mapInArrow``: the links of a task as forests of ``most`` links or a batch more."""
+def _forests(most: int, ends: tuple[str, str] = ("u", "v"), roots: bool = False):
+    """For ``mapInArrow``: the links of a task as forests of ``most`` links or a
+    batch more.  ``roots``: with the least nodes as their own."""
     def run(batches):
         us, vs, held = [], [], 0
 
         def out():
             u, v = forest(np.concatenate(us), np.concatenate(vs))
-            return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+            top = np.unique(v) if roots else v[:0]
+            return pa.RecordBatch.from_arrays([pa.array(np.append(u, top)), pa.array(np.append(v, top))], list(ends))
         for b in batches:
             us.append(np.asarray(b.column(0)))
             vs.append(np.asarray(b.column(1)))
@@ -86,8 +88,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         now = mark(edges)
         if now[0] <= LINKS:
-            edges = joined(edges.coalesce(1))
-            break
+            return written(edges.coalesce(1).mapInArrow(_forests(LINKS, ("node", "comp"), True), "node long, comp long"), "components")
         if now == last:
             break
         last, tasks = now, max(TASKS, -(-now[0] // LINKS))
@@ -102,10 +103,9 @@ def extended(comp: DataFrame, links: DataFrame) -> DataFrame:
     """The components after more ``links`` between nodes of ``comp`` (node,
     comp) and others: only the graph of the components they touch is worked on."""
     of = lambda end: comp.select(F.col("node").alias(end), F.col("comp").alias(f"c{end}"))
-    named = written(links.join(of("u"), "u", "left").join(of("v"), "v", "left")
-                    .select("u", "v", F.coalesce("cu", "u").alias("cu"), F.coalesce("cv", "v").alias("cv")), "links")
-    merged = components(named.select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-    fresh = (named.select(F.col("u").alias("node"), F.col("cu").alias("comp")).unionByName(
-        named.select(F.col("v").alias("node"), F.col("cv").alias("comp"))).distinct().join(comp.select("node"), "node", "left_anti"))
+    named = written(links.join(of("u"), "u", "left").join(of("v"), "v", "left").select("u", "v", "cu", "cv"), "links")
+    merged = components(named.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
+    new = lambda end: named.where(F.col(f"c{end}").isNull()).select(F.col(end).alias("node"), F.col(end).alias("comp"))
+    fresh = new("u").unionByName(new("v")).distinct()
     to = merged.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
     return written(comp.unionByName(fresh).join(to, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), "components")

@@ -74,5 +74,5 @@ def test_a_small_link_table_takes_few_exchanges(spark, made, monkeypatch):
         return out
     monkeypatch.setattr(C, "written", written)
     C.components(spark.createDataFrame(made, "u long, v long")).count()
-    assert len(plans) <= 4
-    assert sum(len(re.findall(r"Exchange ", p)) for p in plans) <= 6
+    assert len(plans) <= 3
+    assert sum(len(re.findall(r"Exchange ", p)) for p in plans) <= 2
